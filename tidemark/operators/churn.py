@@ -58,11 +58,19 @@ def train_churn_model(features: DataFrame, trees: int = 150, depth: int = 6) ->
     Training is skipped, with the reason in the report, for fewer than ten rows
     or a single class.
     """
-    classes = features.agg(F.count(F.lit(1)).alias("n"), F.count_distinct("churn_label").alias("k")).first()
-    if classes["n"] < MIN_TRAINING_ROWS:
-        return None, {"status": "skipped", "reason": "not enough rows", "rows": classes["n"]}
-    if classes["k"] < 2:
-        return None, {"status": "skipped", "reason": "only one class", "rows": classes["n"]}
+    features = features.persist()
+    try:
+        classes = features.agg(F.count(F.lit(1)).alias("n"), F.count_distinct("churn_label").alias("k")).first()
+        if classes["n"] < MIN_TRAINING_ROWS:
+            return None, {"status": "skipped", "reason": "not enough rows", "rows": classes["n"]}
+        if classes["k"] < 2:
+            return None, {"status": "skipped", "reason": "only one class", "rows": classes["n"]}
+        return _fit(features, classes["n"], trees, depth)
+    finally:
+        features.unpersist()
+
+
+def _fit(features: DataFrame, rows: int, trees: int, depth: int) -> tuple[PipelineModel, dict]:
     split = stratified_split(features)
     train = balanced_weights(split.where("is_train"))
     forest = RandomForestClassifier(
@@ -75,7 +83,7 @@ def train_churn_model(features: DataFrame, trees: int = 150, depth: int = 6) ->
     quality = evaluation.classification_metrics(scored, "churn_probability", "churn_label", 0.5).first().asDict()
     auc = evaluation.roc_auc(scored, "churn_probability", "churn_label").first()
     importances = model.stages[-1].featureImportances.toArray()
-    report = {"status": "trained", "rows": classes["n"], **quality, "roc_auc": auc["roc_auc"],
+    report = {"status": "trained", "rows": rows, **quality, "roc_auc": auc["roc_auc"],
               "feature_importance": {f: round(float(v), 4) for f, v in zip(FEATURES, importances)}}
     return model, report
 

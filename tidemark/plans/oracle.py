@@ -9,34 +9,27 @@ from __future__ import annotations
 import re
 
 def _health_daily(usage: str, first: str, last: str) -> str:
-    """Health per account and day; every window counted straight from its days."""
+    """Health per account and day, each figure counted straight from its days."""
+    def days_before(what: str, newest: int, oldest: int) -> str:
+        return (f"(SELECT count({what}) FROM {usage} u WHERE u.account_id = x.account_id AND u.event_date "
+                f"BETWEEN greatest(d - {oldest}, DATE '{first}') AND d - {newest})")
+
+    def open_tickets(extra: str) -> str:
+        return (f"(SELECT count(*) FROM ticket t WHERE t.account_id = x.account_id AND CAST(created_at AS DATE) <= d "
+                f"AND (resolved_at IS NULL OR CAST(resolved_at AS DATE) > d){extra})")
+
     return f"""SELECT account_id, strftime(d, '%Y-%m-%d') AS date_key, u7 AS active_users_7d, u30 AS active_users_30d,
         e7 AS total_events_7d, CASE WHEN prior7 > 0 THEN round((e7 - prior7) / prior7, 4) END AS event_growth_wow,
         open_now AS open_tickets_count, p1_now AS unresolved_p1_tickets,
         round(greatest(0.0, 100.0 - CASE WHEN e30 < 50 THEN 30.0 WHEN e30 < 200 THEN 15.0 ELSE 0.0 END
             - least(25.0, open_now * 5.0) - least(30.0, p1_now * 15.0))::DOUBLE, 1) AS health_score
-    FROM (SELECT account_id, d,
-        count(DISTINCT user_id) FILTER (event_date BETWEEN d - 6 AND d) AS u7, count(DISTINCT user_id) AS u30,
-        count(event_date) FILTER (event_date BETWEEN d - 6 AND d) AS e7, count(event_date) AS e30,
-        count(event_date) FILTER (event_date BETWEEN d - 13 AND d - 7) AS prior7
-        FROM (SELECT account_id, CAST(unnest(generate_series(DATE '{first}', DATE '{last}', INTERVAL 1 DAY)) AS DATE) AS d
-            FROM (SELECT DISTINCT account_id FROM {usage} WHERE event_date BETWEEN DATE '{first}' AND DATE '{last}'))
-        LEFT JOIN (SELECT account_id, user_id, event_date FROM {usage}
-            WHERE event_date BETWEEN DATE '{first}' AND DATE '{last}') u
-            USING (account_id) WHERE event_date IS NULL OR event_date BETWEEN d - 29 AND d GROUP BY 1, 2
-        UNION ALL SELECT account_id, d, 0, 0, 0, 0, 0 FROM (SELECT account_id, min(event_date) AS f FROM {usage}
-            WHERE event_date BETWEEN DATE '{first}' AND DATE '{last}' GROUP BY 1),
-            (SELECT CAST(unnest(generate_series(DATE '{first}', DATE '{last}', INTERVAL 1 DAY)) AS DATE) AS d) WHERE d < f
-        UNION ALL SELECT account_id, d, 0, 0, 0, 0, 0 FROM (SELECT account_id, event_date,
-                lead(event_date) OVER (PARTITION BY account_id ORDER BY event_date) AS nxt FROM {usage}
-            WHERE event_date BETWEEN DATE '{first}' AND DATE '{last}'),
-            (SELECT CAST(unnest(generate_series(DATE '{first}', DATE '{last}', INTERVAL 1 DAY)) AS DATE) AS d)
-            WHERE d > event_date + 29 AND (nxt IS NULL OR d < nxt))
-    JOIN (SELECT account_id, d, count(created_at) AS open_now, count(created_at) FILTER (severity = 'critical') AS p1_now
-        FROM (SELECT account_id, CAST(unnest(generate_series(DATE '{first}', DATE '{last}', INTERVAL 1 DAY)) AS DATE) AS d
-            FROM (SELECT DISTINCT account_id FROM {usage} WHERE event_date BETWEEN DATE '{first}' AND DATE '{last}')) s
-        LEFT JOIN ticket t ON t.account_id = s.account_id AND CAST(created_at AS DATE) <= d
-            AND (resolved_at IS NULL OR CAST(resolved_at AS DATE) > d) GROUP BY s.account_id, d) USING (account_id, d)"""
+        FROM (SELECT account_id, d, {days_before('DISTINCT user_id', 0, 6)} AS u7,
+            {days_before('DISTINCT user_id', 0, 29)} AS u30, {days_before('*', 0, 6)} AS e7,
+            {days_before('*', 7, 13)} AS prior7, {days_before('*', 0, 29)} AS e30,
+            {open_tickets('')} AS open_now, {open_tickets(" AND severity = 'critical'")} AS p1_now
+            FROM (SELECT account_id, CAST(unnest(generate_series(DATE '{first}', DATE '{last}', INTERVAL 1 DAY)) AS DATE) AS d
+                FROM (SELECT DISTINCT account_id FROM {usage}
+                    WHERE event_date BETWEEN DATE '{first}' AND DATE '{last}')) x)"""
 
 
 # Name -> SQL; a CTE may use those above it.

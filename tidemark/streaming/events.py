@@ -112,14 +112,18 @@ def redrive(letters: DataFrame, known: Mapping[str, DataFrame], max_retries: int
 
 
 def reject_unknown(events: DataFrame, known: Mapping[str, DataFrame], topic: str = "product.events") -> DataFrame:
-    """Set ``_error`` on ``topic`` rows whose key is not in ``known``."""
+    """Set ``_error`` on ``topic`` rows whose key is not in ``known``.
+
+    The check runs on distinct keys; the events are joined only with the unknown
+    ones, which are few.
+    """
     out = events
     for key, frame in known.items():
-        flag = f"_known_{key}"
-        present = frame.select(F.col(key)).distinct().withColumn(flag, F.lit(True))
-        missing = (F.col("_topic") == topic) & F.col(flag).isNull() & F.col(key).isNotNull()
-        out = out.join(present, key, "left").withColumn("_error", F.coalesce(
-            "_error", F.when(missing, F.concat(F.lit(f"Unknown {key}: "), F.col(key).cast("string"))))).drop(flag)
+        used = events.where(F.col("_topic") == topic).select(key).where(F.col(key).isNotNull()).distinct()
+        unknown = used.join(frame.select(key), key, "left_anti").withColumn("_unknown", F.lit(True))
+        missing = F.when((F.col("_topic") == topic) & F.col("_unknown"),
+                         F.concat(F.lit(f"Unknown {key}: "), F.col(key).cast("string")))
+        out = out.join(unknown, key, "left").withColumn("_error", F.coalesce("_error", missing)).drop("_unknown")
     return out
 
 
