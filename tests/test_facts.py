@@ -95,7 +95,7 @@ def test_clean_drops_orphans_and_copies(spark, rows, tmp_path):
 
 def test_quarantine_marks_only_the_bad_record(spark, rows, tmp_path):
     (tmp_path / "subs.json").write_text(
-        '[{"subscription_id":"s1","account_id":"a","mrr":299.0},{"subscription_id":"s2","mrr":"abc"},'
+        '[\n  {"subscription_id":"s1",\n"account_id":"a","mrr":299.0},{"subscription_id":"s2","mrr":"abc"},\n'
         '{"subscription_id":"s3","mrr":999.00,"start_date":"2024-01-01T02:00:00+02:00"},{"account_id":"a"}]')
     parsed = bronze.read_json_array_checked(spark, f"{tmp_path}/subs.json", "subscriptions")
     good, bad = bronze.split_quarantine(parsed, "subscription_id")
@@ -104,6 +104,18 @@ def test_quarantine_marks_only_the_bad_record(spark, rows, tmp_path):
     assert good.where("subscription_id = 's3'").first()["start_date"] == datetime(2024, 1, 1)
 
 
+def test_unreadable_file_is_quarantined(spark, rows, tmp_path):
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "ok.json").write_text('[\n{"subscription_id":"s1"}\n]')
+    (tmp_path / "in" / "none.json").write_text("[]")
+    (tmp_path / "in" / "cut.json").write_text('[{"subscription_id":"s2"},\n{"subscri')
+    parsed = bronze.read_json_array_checked(spark, f"{tmp_path}/in", "subscriptions")
+    good, bad = bronze.split_quarantine(parsed, "subscription_id")
+    assert rows(good, "subscription_id") == [("s1",)]
+    (broken,) = bad.collect()
+    assert broken["_reason"] == "malformed record" and broken["_source_file"].endswith("cut.json")
+
+
 def test_json_lines_and_plain_array_agree(spark, rows, tmp_path):
     (tmp_path / "a.json").write_text('[{"account_id":"a","size":"1-50"},\n{"account_id":"b","size":"1000+"}]')
     (tmp_path / "a.jsonl").write_text('{"account_id":"a","size":"1-50"}\n\n{"account_id":"b","size":"1000+"}\n{broken\n')

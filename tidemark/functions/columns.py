@@ -47,6 +47,11 @@ def hours_between(start: Column, end: Column) -> Column:
     return (F.unix_micros(end) - F.unix_micros(start)) / F.lit(3.6e9)
 
 
+def slot_start(micros: Column, width: int) -> Column:
+    """Start of the ``width``-microsecond slot an instant falls in."""
+    return micros - F.pmod(micros, F.lit(width))
+
+
 def sla_limit_hours(severity: Column) -> Column:
     return lookup(F.lower(severity), S.SLA_HOURS, S.DEFAULT_SLA_HOURS)
 

@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark import schemas as S
 from tidemark.functions import columns as C
 from tidemark.operators.keyed import keep_latest
-from tidemark.operators.ranking import rolling_distinct
+from tidemark.operators.ranking import presence_changes
 from tidemark.operators.usage import trailing_usage
 
 
@@ -98,48 +100,53 @@ def flag_anomalies(health: DataFrame, anomalies: DataFrame) -> DataFrame:
 def health_daily(usage: DataFrame, support: DataFrame, first_day: str, last_day: str) -> DataFrame:
     """Health per account and calendar day between two dates (inclusive).
 
-    Covers the accounts with usage in the range.  All inputs are reduced to one
-    row per (account, day) before the running windows; distinct users come from
-    presence intervals, not from repeating every row once per window.
+    Covers the accounts with usage in the range.  Events, user presence, ticket
+    backlog and the calendar itself are all expressed as changes on an
+    (account, day); one aggregation sums them and one window accumulates them,
+    so nothing is joined day by day.
     """
     first, last = F.lit(first_day).cast("date"), F.lit(last_day).cast("date")
     first_no, last_no = F.unix_date(first), F.unix_date(last)
-    in_range = usage.where(F.col("event_date").between(first, last))
-    per_user = in_range.groupBy("account_id", "user_id", F.unix_date("event_date").alias("_day")).agg(
-        F.count(F.lit(1)).alias("_n"))
-    per_day = per_user.groupBy("account_id", "_day").agg(F.sum("_n").alias("_events"))
-    spine = per_day.select("account_id").distinct().select(
-        "account_id", F.explode(F.sequence(first_no, last_no)).alias("_day"))
-    by_day = Window.partitionBy("account_id").orderBy("_day")
-
-    # Backlog changes before the range are booked on its first day.
-    def backlog(day, change, critical):
-        return support.where(F.to_date(day) <= last).select(
-            "account_id", F.greatest(F.unix_date(F.to_date(day)), first_no).alias("_day"),
-            F.lit(change).alias("_open"), F.when(critical, change).otherwise(0).alias("_p1"))
-
-    is_p1 = F.col("severity") == "critical"
-    changes = backlog(F.col("created_at"), 1, is_p1).unionByName(backlog(F.col("resolved_at"), -1, is_p1))
-    tickets = changes.groupBy("account_id", "_day").agg(F.sum("_open").alias("_open"), F.sum("_p1").alias("_p1"))
-
-    users7 = rolling_distinct(per_user, ["account_id"], "user_id", "_day", 7, spine, "active_users_7d")
-    users30 = rolling_distinct(per_user, ["account_id"], "user_id", "_day", 30, spine, "active_users_30d")
-    keys = ["account_id", "_day"]
-    daily = (
-        spine.join(per_day, keys, "left").join(tickets, keys, "left")
-        .join(users7, keys).join(users30, keys).fillna(0, ["_events", "_open", "_p1"])
-        .withColumn("total_events_7d", F.sum("_events").over(by_day.rowsBetween(-6, 0)))
-        .withColumn("_prior_7d", F.sum("_events").over(by_day.rowsBetween(-13, -7)))
-        .withColumn("_events_30d", F.sum("_events").over(by_day.rowsBetween(-29, 0)))
-        .withColumn("open_tickets_count", F.sum("_open").over(by_day.rowsBetween(Window.unboundedPreceding, 0)))
-        .withColumn("unresolved_p1_tickets", F.sum("_p1").over(by_day.rowsBetween(Window.unboundedPreceding, 0)))
+    in_range = usage.where(F.col("event_date").between(first, last)).select(
+        "account_id", "user_id", F.unix_date("event_date").alias("_day"))
+    events = in_range.groupBy("account_id", "_day").agg(F.count(F.lit(1)).alias("events"))
+    accounts = events.select("account_id").distinct()
+    users = presence_changes(in_range, ["account_id"], "user_id", "_day",
+                             {"active_users_7d": 7, "active_users_30d": 30}).drop("members")
+    calendar = accounts.select("account_id", F.explode(F.sequence(first_no, last_no)).alias("_day"))
+
+    # A ticket opens and closes its place in the backlog; changes before the
+    # range are booked on its first day.
+    is_p1 = (F.col("severity") == "critical").cast("int")
+    moves = F.array(F.struct(F.col("created_at").alias("at"), F.lit(1).alias("n")),
+                    F.struct(F.col("resolved_at").alias("at"), F.lit(-1).alias("n")))
+    tickets = (
+        support.join(accounts, "account_id", "left_semi")
+        .select("account_id", is_p1.alias("_p1"), F.explode(moves).alias("m"))
+        .where(F.to_date("m.at") <= last)
+        .select("account_id", F.greatest(F.unix_date(F.to_date("m.at")), first_no).alias("_day"),
+                F.col("m.n").alias("open_tickets_count"), (F.col("m.n") * F.col("_p1")).alias("unresolved_p1_tickets"))
     )
+    parts = [calendar, events, users, tickets]
+    stacked = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+    summed = ("events", "active_users_7d", "active_users_30d", "open_tickets_count", "unresolved_p1_tickets")
+    daily = stacked.where(F.col("_day") <= last_no).groupBy("account_id", "_day").agg(
+        *[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in summed])
+
+    by_day = Window.partitionBy("account_id").orderBy("_day")
+    upto = by_day.rowsBetween(Window.unboundedPreceding, 0)
+    daily = daily.withColumns({
+        **{c: F.sum(c).over(upto) for c in summed[1:]},
+        "total_events_7d": F.sum("events").over(by_day.rowsBetween(-6, 0)),
+        "_prior_7d": F.sum("events").over(by_day.rowsBetween(-13, -7)),
+        "_events_30d": F.sum("events").over(by_day.rowsBetween(-29, 0)),
+    })
     score = C.health_score(F.col("_events_30d"), F.col("open_tickets_count"), F.col("unresolved_p1_tickets"),
                            F.lit(S.GOOD_STANDING), F.lit("active"))
+    growth = C.ratio(F.col("total_events_7d") - F.col("_prior_7d"), F.col("_prior_7d"))
     return daily.select(
         "account_id", F.date_from_unix_date("_day").alias("date_key"), "active_users_7d", "active_users_30d",
-        "total_events_7d",
-        F.round(C.ratio(F.col("total_events_7d") - F.col("_prior_7d"), F.col("_prior_7d")), 4).alias("event_growth_wow"),
+        "total_events_7d", F.round(growth, 4).alias("event_growth_wow"),
         "open_tickets_count", "unresolved_p1_tickets", F.round(score, 1).alias("health_score"),
     )
 

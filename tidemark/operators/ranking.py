@@ -1,10 +1,10 @@
-"""Running totals and rolling distinct counts without a single-task window."""
+"""Running totals and trailing distinct counts that stay spread over tasks."""
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -37,39 +37,38 @@ def running_totals(df: DataFrame, order: str, totals: Sequence[str], buckets: in
     )
 
 
-def rolling_distinct(seen: DataFrame, groups: Sequence[str], member: str, slot: str, width: int,
-                     spine: DataFrame, name: str) -> DataFrame:
-    """Distinct members per ``(groups, slot)`` over the trailing ``width`` slots.
+def presence_changes(seen: DataFrame, groups: Sequence[str], member: str, slot: str,
+                     widths: Mapping[str, int]) -> DataFrame:
+    """Changes of the number of members present in trailing windows.
 
-    ``seen`` has integer ``slot`` numbers.  Each member's appearances are turned
-    into presence intervals, counted as +1 where one opens and -1 where it
-    closes, and accumulated over the slots, so a member costs at most two rows
-    per appearance whatever the width.  ``spine`` lists the ``(groups, slot)``
-    rows wanted in the result.
+    ``seen`` has integer ``slot`` numbers.  A member counts in a window of
+    ``width`` slots from each appearance until ``width`` slots after it, so its
+    appearances are merged into intervals, +1 where one opens and -1 where it
+    closes: at most ``1 + len(widths)`` rows per appearance, whatever the widths.
+    Summing a column of the result over ``(groups, slot)`` and accumulating over
+    the slots gives the distinct members of each trailing window;
+    ``members`` sums to the distinct members of the slot itself.
     """
-    groups = list(groups)
-    presence = seen.groupBy(*groups, member, slot).agg(F.lit(1).alias("_one")).where(F.col(member).isNotNull())
-    next_slot = F.lead(slot).over(Window.partitionBy(*groups, member).orderBy(slot))
-    prev_slot = F.lag(slot).over(Window.partitionBy(*groups, member).orderBy(slot))
-    edges = presence.select(
-        *groups,
-        F.when(prev_slot.isNull() | (F.col(slot) - prev_slot > width), F.col(slot)).alias("_open"),
-        F.when(next_slot.isNull() | (next_slot - F.col(slot) > width), F.col(slot) + width).alias("_close"),
-    )
-    deltas = edges.select(
-        *groups,
-        F.explode(F.array(
-            F.struct(F.col("_open").alias("s"), F.lit(1).alias("d")),
-            F.struct(F.col("_close").alias("s"), F.lit(-1).alias("d")),
-        )).alias("_e"),
-    ).where("_e.s IS NOT NULL").select(*groups, F.col("_e.s").alias(slot), F.col("_e.d").alias("_delta"),
-                                       F.lit(False).alias("_wanted"))
-    wanted = spine.select(*groups, slot, F.lit(0).alias("_delta"), F.lit(True).alias("_wanted"))
-    per_slot = deltas.unionByName(wanted).groupBy(*groups, slot).agg(
-        F.sum("_delta").alias("_delta"), F.bool_or("_wanted").alias("_wanted"))
-    # One row per slot and group; with no groups this window runs over the calendar only.
-    upto = Window.partitionBy(*groups).orderBy(slot).rowsBetween(Window.unboundedPreceding, 0)
-    return (
-        per_slot.withColumn(name, F.sum("_delta").over(upto).cast("bigint"))
-        .where("_wanted").select(*groups, slot, name)
-    )
+    keys = [*groups, member, slot]
+    once = seen.select(*keys).where(F.col(member).isNotNull() & F.col(slot).isNotNull()).distinct()
+    by_member = Window.partitionBy(*groups, member).orderBy(slot)
+    here = F.col(slot)
+    gapped = once.withColumn("_since", here - F.lag(slot).over(by_member)).withColumn(
+        "_until", F.lead(slot).over(by_member) - here)
+
+    def opens(width: int):
+        return F.when(F.col("_since").isNull() | (F.col("_since") > width), 1).otherwise(0)
+
+    def closes(width: int):
+        return F.when(F.col("_until").isNull() | (F.col("_until") > width), -1).otherwise(0)
+
+    def change(at, members: int, values: Mapping) -> Column:
+        return F.struct(at.alias("at"), F.lit(members).alias("members"), *[v.alias(n) for n, v in values.items()])
+
+    zero = F.lit(0)
+    rows = [change(here, 1, {n: opens(w) for n, w in widths.items()})]
+    for name, width in widths.items():
+        rows.append(change(here + width, 0, {n: closes(width) if n == name else zero for n in widths}))
+    return gapped.select(*groups, F.explode(F.array(*rows)).alias("_c")).select(
+        *groups, F.col("_c.at").alias(slot), *[F.col(f"_c.{n}").alias(n) for n in ("members", *widths)],
+    ).where(F.greatest("members", *[F.abs(F.col(n)) for n in widths]) > 0)

@@ -2,18 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions import columns as C
-from tidemark.operators.ranking import rolling_distinct
-
-DAY_NUMBER = "_day"
-
-
-def _day_number(date: Column) -> Column:
-    return F.unix_date(date)
-
+from tidemark.operators.ranking import presence_changes
 
 def trailing_usage(usage: DataFrame, as_of, days: int = 30) -> DataFrame:
     """Events and distinct users per account since ``as_of - days`` (inclusive).
@@ -89,9 +82,8 @@ def sessions(usage: DataFrame, gap_seconds: int = 3600, by: str = "user_id") ->
     are always closer than the gap, so a slot never spans a session break and
     only the slot summaries go through the per-user window.
     """
-    micros = F.unix_micros("event_timestamp")
     gap = gap_seconds * 1_000_000
-    slots = usage.groupBy(by, F.floor(micros / F.lit(gap)).alias("_slot")).agg(
+    slots = usage.groupBy(by, C.slot_start(F.unix_micros("event_timestamp"), gap).alias("_slot")).agg(
         F.min("event_timestamp").alias("_from"), F.max("event_timestamp").alias("_to"),
         F.count(F.lit(1)).alias("_n"),
     )
@@ -109,11 +101,13 @@ def sessions(usage: DataFrame, gap_seconds: int = 3600, by: str = "user_id") ->
 
 def dau_mau(usage: DataFrame, days: int = 30) -> DataFrame:
     """Daily active users, users active in the trailing ``days``, and their ratio."""
-    user_days = usage.select("user_id", _day_number(F.col("event_date")).alias(DAY_NUMBER)).distinct()
-    dau = user_days.groupBy(DAY_NUMBER).agg(F.count("user_id").alias("dau"))
-    mau = rolling_distinct(user_days, [], "user_id", DAY_NUMBER, days, dau, "mau")
-    return dau.join(mau, DAY_NUMBER).select(
-        F.date_from_unix_date(DAY_NUMBER).alias("event_date"), "dau", "mau",
+    seen = usage.select("user_id", F.unix_date("event_date").alias("_day"))
+    changes = presence_changes(seen, [], "user_id", "_day", {"mau": days})
+    per_day = changes.groupBy("_day").agg(F.sum("members").alias("dau"), F.sum("mau").alias("mau"))
+    # One row per calendar day, hence the unpartitioned window.
+    upto = Window.orderBy("_day").rowsBetween(Window.unboundedPreceding, 0)
+    return per_day.withColumn("mau", F.sum("mau").over(upto)).where("dau > 0").select(
+        F.date_from_unix_date("_day").alias("event_date"), "dau", "mau",
         F.round(C.ratio(F.col("dau"), F.col("mau")), 4).alias("stickiness"),
     )
 

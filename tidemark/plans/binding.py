@@ -129,7 +129,7 @@ class Domain:
     @cached_property
     def events(self) -> DataFrame:
         return self.table("events").select(
-            "event_id", "user_id", F.floor(F.col("user_id") / 3).alias("account_id"),
+            "event_id", "user_id", F.expr("user_id DIV 3").alias("account_id"),
             F.col("event_type").alias("feature"), F.col("ts").alias("timestamp"),
         )
 
@@ -137,7 +137,7 @@ class Domain:
     def users(self) -> DataFrame:
         uid = F.col("user_id")
         first = self.table("events").groupBy("user_id").agg(F.min("ts").alias("created_at"))
-        account = F.floor(uid / 3)
+        account = F.expr("user_id DIV 3")
         return first.select(
             "user_id", account.alias("account_id"),
             F.concat(F.lit("user"), uid, F.lit("@Account"), account, F.lit(".example.com")).alias("email"),

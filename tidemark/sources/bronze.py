@@ -34,13 +34,22 @@ def read_json_lines(spark: SparkSession, path: str, dataset: str) -> DataFrame:
 
 def read_json_array_checked(spark: SparkSession, path: str, dataset: str) -> DataFrame:
     """Array files parsed element by element, so one malformed element does not
-    spoil its file; ``_seq`` is the position in the file."""
-    whole = spark.read.option("wholetext", True).text(path)
+    spoil its file; ``_seq`` is the position in the file.
+
+    A file that is no JSON array at all becomes one malformed row.
+    """
+    whole = spark.read.text(path, wholetext=True)
     elements = whole.select(
-        F.col("_metadata.file_path").alias("_source_file"),
-        F.posexplode(F.from_json("value", "array<string>")).alias("_seq", "element"))
-    return elements.select(_parsed(F.col("element"), dataset).alias("r"), "_source_file", "_seq").select(
-        "r.*", "_source_file", "_seq")
+        F.col("_metadata.file_path").alias("_source_file"), "value",
+        F.from_json("value", "array<string>").alias("_elements"),
+    ).select(
+        "_source_file", F.when(F.col("_elements").isNull(), F.col("value")).alias("_unreadable"),
+        F.posexplode_outer("_elements").alias("_seq", "element"),
+    ).where("element IS NOT NULL OR _unreadable IS NOT NULL")
+    fields = [f for f in S.struct(f"{S.BRONZE[dataset]}, {CORRUPT} STRING").fieldNames() if f != CORRUPT]
+    return elements.withColumn("r", _parsed(F.col("element"), dataset)).select(
+        *[F.col(f"r.{f}").alias(f) for f in fields],
+        F.coalesce(f"r.{CORRUPT}", "_unreadable").alias(CORRUPT), "_source_file", "_seq")
 
 
 def split_quarantine(parsed: DataFrame, key: str) -> tuple[DataFrame, DataFrame]:

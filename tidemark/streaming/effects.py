@@ -2,7 +2,7 @@
 
 An event changes a score x to clamp(x + d, 0, 100).  Such functions compose to
 functions of the same form, clamp(x + d, lo, hi), so the events of one account
-can be combined in parts - per minute, then per day, then in total - and no
+can be combined in parts - per second, then per day, then in total - and no
 task has to hold all events of a busy account.  Scores are kept in whole tenths,
 which makes the result exact and the same whatever the parts.
 """
@@ -27,7 +27,7 @@ LOST_SUBSCRIPTION = -30.0
 SUPPORT_PENALTY = {"high": -15.0, "medium": -5.0}
 LOST_STATUSES = ("cancelled", "churned")
 
-MINUTE, DAY = 60_000_000, 86_400_000_000
+SECOND, DAY = 1_000_000, 86_400_000_000
 
 
 def _tenths(points: float) -> int:
@@ -66,15 +66,11 @@ def _within(x: Column, lo: Column, hi: Column) -> Column:
 
 
 def compose(effects: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
-    """One effect per ``keys``, equal to applying the rows one after another."""
+    """One effect per ``keys``, equal to applying the rows in ``order`` one by one."""
     step = F.struct(*order, "d", "lo", "hi")
-    latest = F.struct(*order, "forced", "last_at")
-    if "last_at" not in effects.columns:
-        effects = effects.withColumn("last_at", F.col("at"))
     grouped = effects.groupBy(*keys).agg(
-        F.sort_array(F.collect_list(step)).alias("_steps"), F.min(F.struct(*order)).alias("_first"),
-        F.max(latest).alias("_last"), F.sum("product_events").alias("product_events"),
-        F.bool_or("payment_failed").alias("payment_failed"),
+        F.sort_array(F.collect_list(step)).alias("_steps"), F.max(F.struct(*order, "forced", "last_at")).alias("_last"),
+        F.sum("product_events").alias("product_events"), F.bool_or("payment_failed").alias("payment_failed"),
     )
 
     def after(f: Column, g: Column) -> Column:
@@ -83,13 +79,8 @@ def compose(effects: DataFrame, keys: Sequence[str], order: Sequence[str]) -> Da
                         _within(f["hi"] + g["d"], g["lo"], g["hi"]).alias("hi"))
 
     same = F.struct(F.lit(0).alias("d"), F.lit(0).alias("lo"), F.lit(FULL).alias("hi"))
-    total = F.aggregate("_steps", same, after)
-    return grouped.withColumn("_f", total).select(
-        *keys, *[F.col(f"_first.{c}").alias(c) for c in order if c not in keys],
-        F.col("_f.d").alias("d"), F.col("_f.lo").alias("lo"), F.col("_f.hi").alias("hi"),
-        "product_events", "payment_failed", F.col("_last.forced").alias("forced"),
-        F.col("_last.last_at").alias("last_at"),
-    )
+    return grouped.withColumn("_f", F.aggregate("_steps", same, after)).select(
+        *keys, "_f.d", "_f.lo", "_f.hi", "product_events", "payment_failed", "_last.forced", "_last.last_at")
 
 
 def account_effects(effects: DataFrame, drain_order: bool = False) -> DataFrame:
@@ -98,12 +89,12 @@ def account_effects(effects: DataFrame, drain_order: bool = False) -> DataFrame:
     With ``drain_order`` whole topics are applied one after another, each in
     event-time order.
     """
-    order = ["topic_rank", "at", "event_id"] if drain_order else ["at", "topic_rank", "event_id"]
-    extra = ["topic_rank"] if drain_order else []
-    slot = lambda width: F.floor(F.col("at") / F.lit(width)).alias("_slot")
-    per_minute = compose(effects.withColumn("_slot", slot(MINUTE)), ["account_id", *extra, "_slot"], order)
-    per_day = compose(per_minute.withColumn("_slot", slot(DAY)), ["account_id", *extra, "_slot"], order)
-    return compose(per_day, ["account_id"], order)
+    topic = ["topic_rank"] if drain_order else []
+    timed = effects.withColumns({"second": C.slot_start(F.col("at"), SECOND), "last_at": F.col("at")})
+    per_second = compose(timed, ["account_id", *topic, "second"], ["at", "topic_rank", "event_id"])
+    dated = per_second.withColumn("day", C.slot_start(F.col("second"), DAY))
+    per_day = compose(dated, ["account_id", *topic, "day"], ["second"])
+    return compose(per_day, ["account_id"], [*topic, "day"])
 
 
 def apply_effects(health: DataFrame, effects: DataFrame) -> DataFrame:
