@@ -66,6 +66,14 @@ def test_foreign_keys(spark, rows, spread):
     assert rows(keyed.with_unknown_key(events, accounts, "account_id", spread_by=spread), "id") == [(3,), (4,)]
 
 
+def test_attributes(spark, rows):
+    events = spark.createDataFrame([(1, "a"), (2, "a"), (3, "b"), (4, None)], "id INT, account_id STRING")
+    accounts = spark.createDataFrame([("a", "A"), ("c", "C")], "account_id STRING, name STRING")
+    assert rows(keyed.with_attributes(events, accounts, "account_id", ["id"])) == [(1, "a", "A"), (2, "a", "A")]
+    left = keyed.with_attributes(events, accounts, "account_id", ["id"], "left")
+    assert rows(left, "id", "name") == [(1, "A"), (2, "A"), (3, None), (4, None)]
+
+
 def test_upserts(spark, rows):
     old = spark.createDataFrame([(1, "a", "x"), (2, "b", "y")], "id INT, p STRING, q STRING")
     new = spark.createDataFrame([(2, "B", None), (3, "C", "Z")], "id INT, p STRING, q STRING")

@@ -86,18 +86,21 @@ def landing(root):
               for a in range(1, n) for i in range(250)]
     for name, rows in dict(accounts=accounts + accounts[:1], users=users, subscriptions=subs, invoices=invoices,
                            support_tickets=tickets, product_events=events + events[:5]).items():
-        (root / f"{name}.json").write_text(json.dumps(rows))
+        if name == "invoices":
+            rows = rows + [{"invoice_id": "bad", "amount": "n/a"}]
+        (root / f"{name}.json").write_text(json.dumps(rows, indent=1))
 
 
 def test_daily_run_end_to_end(spark, tmp_path, rows):
     raw_dir, root = tmp_path / "raw", str(tmp_path / "wh")
     raw_dir.mkdir()
     landing(raw_dir)
-    raw = bronze.read_landing(spark, str(raw_dir))
-    out = daily.run_daily(spark, raw, root, "run1", "2024-01-31 00:00:00")
+    raw, rejected = bronze.read_landing(spark, str(raw_dir))
+    out = daily.run_daily(spark, raw, root, "run1", "2024-01-31 00:00:00", rejected)
     assert out["records_processed"] == 12 + 12 + 2 + 2750
     assert out["quality"]["status"] == "PASSED" and out["training"]["status"] == "trained"
     published = lambda name: storage.read_published(spark, root, name)
+    assert rows(published("quarantine_invoices"), "_reason") == [("malformed record",)]
     assert rows(published("fact_usage").agg({"usage_id": "count"})) == [(2750,)]
     trouble = published("mrt_customer_health").where("account_id = 'acc_0'").first()
     assert (trouble.health_score, trouble.health_tier, trouble.critical_tickets) == (0.0, "Critical", 2)

@@ -107,7 +107,7 @@ def test_copies_in_batch_across_batches_and_after_restart(feed, spark):
     row = feed.health(base)["a"]
     assert row.events_last_30d == 13 and row.health_score == 25.3 and row.health_tier == "Critical"
     assert sorted(r.usage_id for r in feed.job.usage().collect()) == ["p1", "p2", "p4"]
-    totals = {r.topic: (r.received, r.published, r.duplicates_dropped) for r in feed.job.metrics().collect()}
+    totals = {r.topic: (r.received, r.consumed, r.duplicates_dropped) for r in feed.job.metrics().collect()}
     assert totals == {"product.events": (7, 4, 3), "billing.events": (3, 1, 2)}
 
 
@@ -136,8 +136,8 @@ def test_envelope_fills_id_and_time(spark):
 def test_dead_letters_and_redrive(spark, tmp_path):
     accounts = spark.createDataFrame([("a",)], "account_id STRING")
     users = spark.createDataFrame([("u",)], "user_id STRING")
-    feed = Feed(spark, tmp_path, known={"account_id": accounts, "user_id": users})
-    feed.send(product=[product(1), product(2, account="new"), product(3, user="who"), product(4, feature=None)],
+    feed = Feed(spark, tmp_path, known=lambda: {"account_id": accounts, "user_id": users})
+    feed.send(product=[product(1), product(2, account="new"), product(2, account="new"), product(3, user="who"), product(4, feature=None)],
               billing=[billing(5, "elsewhere")])
     letters = feed.letters()
     assert {k: r["_fatal_error"] for k, r in letters.items()} == {
@@ -155,6 +155,24 @@ def test_dead_letters_and_redrive(spark, tmp_path):
     assert valid.count() == 0 and kept.count() == 2            # attempts used up
 
 
+def test_redrive_job_sends_letters_back_once(spark, tmp_path, rows):
+    known = {"accounts": ["a"]}
+    feed = Feed(spark, tmp_path, known=lambda: {
+        "account_id": spark.createDataFrame([(a,) for a in known["accounts"]], "account_id STRING")})
+    feed.send(product=[product(1), product(2, account="new", seconds=2.123456), product(3, account="never")])
+    feed.send(product=[product(2, account="new", seconds=2.123456)])                  # still unknown: one letter is enough
+    assert len(feed.letters()) == 2 and spark.read.parquet(f"{tmp_path}/out/dead_letters").count() == 2
+    source = str(tmp_path / "in")
+    assert rows(feed.job.redrive(0, source), "republished") == [(False,), (False,)]
+    known["accounts"].append("new")
+    assert rows(feed.job.redrive(1, source), "republished") == [(False,), (True,)]
+    assert rows(feed.job.redrive(2, source), "republished") == [(False,)]
+    assert rows(feed.job.redrive(3, source), "republished") == []    # tried three times
+    feed.send()
+    assert sorted(r.usage_id for r in feed.job.usage().collect()) == ["p1", "p2"]
+    assert feed.job.usage().where("usage_id = 'p2'").first().event_timestamp.microsecond == 123456
+
+
 def test_replayed_batch_changes_nothing(feed, spark):
     base = mart(spark, ("a", 50))
     feed.send(product=[product(1), product(2)], billing=[billing(3)], support=[support(4, "high")])

@@ -38,6 +38,19 @@ def forecast_scenarios(summaries: DataFrame) -> DataFrame:
     )
 
 
+def summary_from_movements(movements: DataFrame) -> DataFrame:
+    """Revenue summary of the latest period, with the churn and expansion that
+    were observed, as input of the forecast."""
+    totals = movements.where(F.col("change_type") != "opening").groupBy("period").agg(
+        *[F.sum(f"{c}_mrr").alias(c) for c in ("beginning", "expansion", "churn", "ending")])
+    return totals.orderBy(F.col("period").desc()).limit(1).select(
+        F.col("period").alias("id"), F.col("ending").alias("total_mrr"),
+        C.percent(F.col("churn"), F.col("beginning")).alias("revenue_churn_rate"),
+        C.percent(F.col("expansion"), F.col("beginning")).alias("expansion_rate"),
+        F.col("period").alias("calculated_at"),
+    )
+
+
 def project_long(scenarios: DataFrame, horizon_months: int) -> DataFrame:
     """One row per scenario and month."""
     if horizon_months <= 0:

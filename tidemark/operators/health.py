@@ -9,17 +9,22 @@ from pyspark.sql import functions as F
 
 from tidemark import schemas as S
 from tidemark.functions import columns as C
-from tidemark.operators.keyed import keep_latest
+from tidemark.operators.keyed import keep_latest, with_known_key
 from tidemark.operators.ranking import presence_changes
 from tidemark.operators.usage import trailing_usage
 
 
 def support_by_account(support: DataFrame) -> DataFrame:
-    """Ticket counts per account; critical tickets count whatever their status."""
+    """Ticket counts per account.
+
+    ``critical_tickets`` counts them whatever their status, which is what health
+    and the support rule use; ``critical_open_tickets`` only those still open.
+    """
     counts = support.groupBy("account_id").agg(
         F.count("ticket_id").alias("total_tickets"),
         F.count_if(F.col("status") == "open").alias("open_tickets"),
         F.count_if(F.col("severity") == "critical").alias("critical_tickets"),
+        F.count_if((F.col("severity") == "critical") & (F.col("status") == "open")).alias("critical_open_tickets"),
         F.count_if("sla_breached").alias("sla_breached_count"),
     )
     breached_pct = C.ratio(F.col("sla_breached_count"), F.col("total_tickets"), 0.0) * 100.0
@@ -121,7 +126,7 @@ def health_daily(usage: DataFrame, support: DataFrame, first_day: str, last_day:
     moves = F.array(F.struct(F.col("created_at").alias("at"), F.lit(1).alias("n")),
                     F.struct(F.col("resolved_at").alias("at"), F.lit(-1).alias("n")))
     tickets = (
-        support.join(accounts, "account_id", "left_semi")
+        with_known_key(support, accounts, "account_id", spread_by=["ticket_id"])
         .select("account_id", is_p1.alias("_p1"), F.explode(moves).alias("m"))
         .where(F.to_date("m.at") <= last)
         .select("account_id", F.greatest(F.unix_date(F.to_date("m.at")), first_no).alias("_day"),

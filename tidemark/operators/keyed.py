@@ -38,15 +38,15 @@ def as_of_version(df: DataFrame, keys: Sequence[str], recorded_at: str, as_of, t
     return keep_latest(known, keys, recorded_at, tie_break)
 
 
-def _fk_join(rows: DataFrame, reference: DataFrame, key: str, how: str, ref_key: str | None,
-             spread_by: Sequence[str] | None, salts: int) -> DataFrame:
-    keys = reference.select(F.col(ref_key or key).alias(key))
+def _spread_join(rows: DataFrame, reference: DataFrame, key: str, how: str,
+                 spread_by: Sequence[str] | None, salts: int) -> DataFrame:
+    """Join on ``key``; with ``spread_by`` on (key, salt), the reference repeated per salt."""
     if not spread_by or salts <= 1:
-        return rows.join(keys, key, how)
-    salt_range = F.sequence(F.lit(0), F.lit(salts - 1))
-    salted_keys = keys.withColumn("_salt", F.explode(salt_range))
+        return rows.join(reference, key, how)
+    salted_reference = reference.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
     salted_rows = rows.withColumn("_salt", F.pmod(F.xxhash64(*spread_by), F.lit(salts)).cast("int"))
-    return salted_rows.join(salted_keys, [key, "_salt"], how).drop("_salt").select(*rows.columns)
+    added = [c for c in reference.columns if c != key] if how in ("inner", "left") else []
+    return salted_rows.join(salted_reference, [key, "_salt"], how).select(*rows.columns, *added)
 
 
 def with_known_key(rows: DataFrame, reference: DataFrame, key: str, ref_key: str | None = None,
@@ -56,13 +56,21 @@ def with_known_key(rows: DataFrame, reference: DataFrame, key: str, ref_key: str
     ``spread_by`` names near-unique columns of ``rows``; with it a hot key is
     spread over ``salts`` join sub-keys and the key list is repeated per salt.
     """
-    return _fk_join(rows, reference, key, "left_semi", ref_key, spread_by, salts)
+    keys = reference.select(F.col(ref_key or key).alias(key))
+    return _spread_join(rows, keys, key, "left_semi", spread_by, salts)
 
 
 def with_unknown_key(rows: DataFrame, reference: DataFrame, key: str, ref_key: str | None = None,
                      spread_by: Sequence[str] | None = None, salts: int = DEFAULT_SALTS) -> DataFrame:
     """Rows whose ``key`` is null or missing from ``reference``."""
-    return _fk_join(rows, reference, key, "left_anti", ref_key, spread_by, salts)
+    keys = reference.select(F.col(ref_key or key).alias(key))
+    return _spread_join(rows, keys, key, "left_anti", spread_by, salts)
+
+
+def with_attributes(rows: DataFrame, reference: DataFrame, key: str, spread_by: Sequence[str],
+                    how: str = "inner", salts: int = DEFAULT_SALTS) -> DataFrame:
+    """Rows with the other columns of ``reference`` (unique on ``key``)."""
+    return _spread_join(rows, reference, key, how, spread_by, salts)
 
 
 def insert_ignore(target: DataFrame, incoming: DataFrame, keys: Sequence[str], order: Sequence[str] = ()) -> DataFrame:

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from tidemark import schemas as S
 from tidemark.functions import columns as C
-from tidemark.operators.keyed import keep_first, update_columns
+from tidemark.operators.keyed import keep_first, update_columns, with_attributes
 
 # Fixed values.
 HEALTH_ALERT_BELOW = 50.0
@@ -58,7 +58,7 @@ def rule_health_drop(health: DataFrame, as_of, below: float = HEALTH_ALERT_BELOW
 
 def rule_payment_failure(billing: DataFrame, accounts: DataFrame, as_of) -> DataFrame:
     failed = billing.where(F.col("status") == "failed").select("invoice_id", "account_id", "amount")
-    named = failed.join(accounts.select("account_id", "company_name"), "account_id")
+    named = with_attributes(failed, accounts.select("account_id", "company_name"), "account_id", ["invoice_id"])
     return _alerts(
         named, as_of,
         alert_id=F.concat(F.lit("alt_bill_"), F.col("invoice_id")),

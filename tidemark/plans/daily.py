@@ -15,17 +15,21 @@ COUNTED_TABLES = ("fact_usage", "dim_account", "fact_billing", "fact_support")
 
 
 def run_daily(spark: SparkSession, raw: dict[str, DataFrame], root: str, run_id: str, as_of,
-              recipients: dict | None = None, train_churn: bool = True) -> dict:
+              quarantined: dict[str, DataFrame] | None = None, recipients: dict | None = None,
+              train_churn: bool = True) -> dict:
     """Build, check and publish all tables of one run; returns a small summary.
 
     Every table is written once and read back, so later steps start from files
     instead of repeating the cleaning.  Alerts carry over from the published
     run with their acknowledgements.  If a step fails nothing is published and
-    the failure is recorded in the run audit.
+    the failure is recorded in the run audit.  ``quarantined`` rows are kept with
+    the run.
     """
     started = datetime.now(timezone.utc)
     run = _Run(spark, root, run_id)
     try:
+        for name, rejected in (quarantined or {}).items():
+            run.put(f"quarantine_{name}", rejected)
         summary = _build(run, raw, as_of, recipients, train_churn)
     except Exception as problem:
         storage.append_run_audit(spark, root, run_id=run_id, layer="gold", status="FAILED", records=0,

@@ -86,6 +86,7 @@ CTES = {
     "support_acc": """SELECT account_id, count(*) AS total_tickets,
         count(*) FILTER (status = 'open') AS open_tickets,
         count(*) FILTER (severity = 'critical') AS critical_tickets,
+        count(*) FILTER (severity = 'critical' AND status = 'open') AS critical_open_tickets,
         count(*) FILTER (sla_breached) AS sla_breached_count,
         round(100.0 - count(*) FILTER (sla_breached) / count(*) * 100.0, 2) AS sla_compliance_rate
         FROM support GROUP BY account_id""",
@@ -417,6 +418,13 @@ QUERIES = {
         max(arr) FILTER (scenario = 'bull') AS arr_bull, max(mrr) FILTER (scenario = 'bear') AS mrr_bear,
         max(arr) FILTER (scenario = 'bear') AS arr_bear FROM projection GROUP BY 1, 2""",
     "forecast_at_month": "SELECT scenario, month_index, period, mrr, arr FROM projection WHERE month_index = 12",
+    "forecast_from_movements": """SELECT scenario, 12 AS month_index, 'Month +12' AS period, round(mrr, 2) AS mrr,
+        round(mrr * 12, 2) AS arr FROM (SELECT scenario, total * pow(1 + (pow(1 + growth + shift, 1.0::DOUBLE / 12) - 1), 12) AS mrr
+            FROM (SELECT sum(ending_mrr)::DOUBLE AS total,
+                (round(sum(expansion_mrr)::DOUBLE / sum(beginning_mrr)::DOUBLE * 100, 2)
+                    - round(sum(churn_mrr)::DOUBLE / sum(beginning_mrr)::DOUBLE * 100, 2)) / 100 AS growth
+                FROM movement WHERE period = 2000),
+            (VALUES ('base', 0.0::DOUBLE), ('bull', 0.02::DOUBLE), ('bear', -0.02::DOUBLE)) v(scenario, shift))""",
     "churn_features": """SELECT account_id, events_last_30d, active_users_30d, open_tickets, critical_tickets,
         sla_compliance_rate, mrr, CASE WHEN payment_status <> 'Good Standing' THEN 1 ELSE 0 END AS is_payment_failed,
         CASE WHEN health_tier = 'Critical' THEN 1 ELSE 0 END AS churn_label FROM health""",

@@ -381,6 +381,13 @@ def forecast_at_month(d: Domain) -> DataFrame:
     return forecast.forecast_at_month(d.revenue, 12)
 
 
+@query
+def forecast_from_movements(d: Domain) -> DataFrame:
+    """Twelve periods ahead at the observed churn and expansion of the years up to 2000."""
+    observed = forecast.summary_from_movements(_movements(d).where("period <= 2000"))
+    return forecast.forecast_at_month(observed, 12)
+
+
 @query
 def churn_features(d: Domain) -> DataFrame:
     return churn.churn_features(d.health)

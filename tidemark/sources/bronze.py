@@ -69,11 +69,16 @@ def with_audit_columns(df: DataFrame, ingested_at, channel: str) -> DataFrame:
         "_raw_payload_hash": F.sha2(F.to_json(F.struct(*df.columns)), 256)})
 
 
-def read_landing(spark: SparkSession, root: str, checked: bool = True) -> dict[str, DataFrame]:
-    """All six datasets from ``root``: ``<name>.json`` array files, or ``<name>.jsonl``
-    where ``checked`` is off."""
-    if checked:
-        return {n: split_quarantine(read_json_array_checked(spark, f"{root}/{n}.json", n), S.BRONZE_KEYS[n])[0].drop(
-            "_source_file") for n in S.BRONZE}
-    return {n: split_quarantine(read_json_lines(spark, f"{root}/{n}.jsonl", n), S.BRONZE_KEYS[n])[0].drop(
-        "_source_file") for n in S.BRONZE}
+def read_landing(spark: SparkSession, root: str, lines: bool = False) -> tuple[dict[str, DataFrame], dict[str, DataFrame]]:
+    """All six datasets under ``root``: (usable rows, quarantined rows) by name.
+
+    Reads ``<name>.json`` array files, or with ``lines`` the splittable
+    ``<name>.jsonl``.
+    """
+    usable, quarantined = {}, {}
+    for name, key in S.BRONZE_KEYS.items():
+        parsed = (read_json_lines(spark, f"{root}/{name}.jsonl", name) if lines
+                  else read_json_array_checked(spark, f"{root}/{name}.json", name))
+        good, quarantined[name] = split_quarantine(parsed, key)
+        usable[name] = good.drop("_source_file")
+    return usable, quarantined

@@ -32,6 +32,8 @@ EVENT_TYPES = {
     "status": "STRING", "timestamp": "TIMESTAMP",
 }
 EVENT_FIELDS = tuple(EVENT_TYPES)
+# The fields two events with one idempotency key can differ in.
+COPY_ORDER = ("_topic", "severity", "status", "amount", "invoice_id", "ticket_id", "user_id")
 EVENT_DDL = ", ".join(f"{name} {kind}" for name, kind in EVENT_TYPES.items()) + (
     ", payload STRUCT<session_duration_ms: INT, client_ip: STRING>")
 
@@ -75,7 +77,7 @@ def with_error(events: DataFrame) -> DataFrame:
     return events.withColumn("_error", error)
 
 
-def drop_copies(events: DataFrame, order: Sequence[str] = ("_topic", *EVENT_FIELDS)) -> DataFrame:
+def drop_copies(events: DataFrame, order: Sequence[str] = COPY_ORDER) -> DataFrame:
     """One row per idempotency key; copies that differ are ranked by ``order``."""
     return keep_first(events, ["_event_hash"], order)
 

@@ -65,11 +65,15 @@ def _utc_now() -> datetime:
 
 @dataclass
 class LiveJob:
-    """Where the live tables are, and the dimensions product events must refer to."""
+    """The live tables and how a batch is applied to them.
+
+    ``known`` returns, per key column, the frame of values product events may
+    refer to; it is called for every batch, so new accounts count at once.
+    """
 
     spark: SparkSession
     root: str
-    known: dict[str, DataFrame] = field(default_factory=dict)
+    known: Callable[[], dict[str, DataFrame]] = dict
     support_penalty: dict[str, float] = field(default_factory=lambda: dict(effects.SUPPORT_PENALTY))
     clock: Callable[[], datetime] = _utc_now
     subscribers: list[Callable[[DataFrame, int], None]] = field(default_factory=list)
@@ -100,7 +104,12 @@ class LiveJob:
              "event_date DATE")
     EFFECTS = ("account_id STRING, d INT, lo INT, hi INT, product_events BIGINT, payment_failed BOOLEAN, "
                "forced BOOLEAN, last_at BIGINT")
-    LOG = "topic STRING, received BIGINT, published BIGINT, duplicates_dropped BIGINT, dead_lettered BIGINT, max_ts TIMESTAMP"
+    LOG = ("topic STRING, received BIGINT, published BIGINT, duplicates_dropped BIGINT, dead_lettered BIGINT, "
+           "consumed BIGINT, max_ts TIMESTAMP")
+    LETTERS = (", ".join(f"{n} {t}" for n, t in E.EVENT_TYPES.items())
+               + ", _topic STRING, _event_hash STRING, event_date DATE, _published_at TIMESTAMP, _retry_count INT, "
+                 "_max_retries INT, _last_error STRING, _fatal_error STRING, _dead_lettered_at TIMESTAMP")
+    REDRIVES = "_event_hash STRING, republished BOOLEAN"
     DATES = ("date_key STRING, full_date DATE, year INT, quarter INT, month INT, day INT, day_of_week INT, "
              "is_weekend BOOLEAN")
 
@@ -110,44 +119,47 @@ class LiveJob:
         # A stream's session has it off; the work below is ordinary batch work.
         batch.sparkSession.conf.set("spark.sql.adaptive.enabled", "true")
         enveloped = E.with_envelope(batch, at).withColumn("event_date", F.to_date("timestamp"))
-        checked = E.reject_unknown(E.with_error(enveloped), self.known).persist(StorageLevel.MEMORY_AND_DISK)
-        fresh = None
+        checked = E.reject_unknown(E.with_error(enveloped), self.known()).persist(StorageLevel.MEMORY_AND_DISK)
+        cached = [checked]
         try:
             # One row per distinct date of the batch; prunes the earlier batches to those dates.
             dates = [r[0] for r in checked.select("event_date").distinct().collect()]
             in_dates = F.col("event_date").isin(dates) if dates else F.lit(False)
 
-            seen = self.table("seen", self.SEEN, batch_id).where(in_dates)
-            once = E.drop_copies(checked.where("_error IS NULL"))
-            fresh = once.join(seen.select("_event_hash"), "_event_hash", "left_anti").persist(
-                StorageLevel.MEMORY_AND_DISK)
-            usage = self._new_usage(fresh, in_dates, batch_id)
-            self._write(usage, "fact_usage", batch_id, "event_date")
-
-            # Only product events that became facts change health.
-            stored = self.spark.read.parquet(f"{self.root}/fact_usage/batch_id={batch_id}").select(
-                F.col("usage_id").alias("event_id")) if not usage.isEmpty() else None
-            product = F.col("_topic") == "product.events"
-            counted = fresh.where(~product)
-            if stored is not None:
-                counted = counted.unionByName(fresh.where(product).join(stored, "event_id", "left_semi").select(*fresh.columns))
-            changes = effects.account_effects(effects.event_effects(counted, self.support_penalty))
-            self._write(changes.select("account_id", "d", "lo", "hi", "product_events", "payment_failed", "forced", "last_at"),
-                        "health_effects", batch_id)
+            def unseen(rows: DataFrame, table: str, schema: str) -> DataFrame:
+                earlier = self.table(table, schema, batch_id).where(in_dates).select("_event_hash")
+                kept = E.drop_copies(rows).join(earlier, "_event_hash", "left_anti").persist(StorageLevel.MEMORY_AND_DISK)
+                cached.append(kept)
+                return kept
+
+            fresh = unseen(checked.where("_error IS NULL").drop("_error"), "seen", self.SEEN)
+            failed = unseen(checked.where("_error IS NOT NULL"), "dead_letters", self.LETTERS)
+            letters = E.dead_letters(failed, at)
 
+            self._write(self._new_usage(fresh, in_dates, batch_id), "fact_usage", batch_id, "event_date")
+            self._write(self._effects(fresh, batch_id), "health_effects", batch_id)
             known_dates = self.table("dim_date", self.DATES, batch_id).select("date_key")
             self._write(facts.dim_date(fresh, "timestamp").join(known_dates, "date_key", "left_anti"), "dim_date", batch_id)
-            self._write(E.dead_letters(checked.where("_error IS NOT NULL"), at), "dead_letters", batch_id)
+            self._write(letters, "dead_letters", batch_id, "event_date")
             self._write(self._late(fresh, batch_id), "late_events", batch_id)
-            self._write(self._log(checked, fresh), "batch_log", batch_id)
+            self._write(self._log(checked, fresh, letters), "batch_log", batch_id)
             for subscriber in self.subscribers:
                 subscriber(fresh, batch_id)
             # Last, so an unfinished batch never hides its events from its own retry.
             self._write(fresh.select("_event_hash", "event_date"), "seen", batch_id, "event_date")
         finally:
-            checked.unpersist()
-            if fresh is not None:
-                fresh.unpersist()
+            for frame in cached:
+                frame.unpersist()
+
+    def _effects(self, fresh: DataFrame, batch_id: int) -> DataFrame:
+        """Composed effects; only product events that became facts count."""
+        product = F.col("_topic") == "product.events"
+        stored = self.spark.read.schema(self.USAGE).parquet(f"{self.root}/fact_usage/batch_id={batch_id}").select(
+            F.col("usage_id").alias("event_id"))
+        counted = fresh.where(~product).unionByName(
+            fresh.where(product).join(stored, "event_id", "left_semi").select(*fresh.columns))
+        columns = [c.split(" ")[0] for c in self.EFFECTS.split(", ")]
+        return effects.account_effects(effects.event_effects(counted, self.support_penalty)).select(*columns)
 
     def _new_usage(self, fresh: DataFrame, in_dates, batch_id: int) -> DataFrame:
         product = keep_first(fresh.where(F.col("_topic") == "product.events"), ["event_id"], ["timestamp", "_event_hash"])
@@ -160,15 +172,37 @@ class LiveJob:
         newest = self.table("batch_log", self.LOG, batch_id).agg(F.max("max_ts")).scalar()
         return fresh.where(F.col("timestamp") < newest - F.expr(f"INTERVAL {LATE_AFTER}"))
 
-    def _log(self, checked: DataFrame, fresh: DataFrame) -> DataFrame:
-        received = checked.groupBy(F.col("_topic").alias("topic")).agg(
-            F.count(F.lit(1)).alias("received"), F.count("_error").alias("dead_lettered"))
-        kept = fresh.groupBy(F.col("_topic").alias("topic")).agg(
-            F.count(F.lit(1)).alias("published"), F.max("timestamp").alias("max_ts"))
-        return received.join(kept, "topic", "left").fillna(0, ["published"]).select(
-            "topic", "received", "published",
-            (F.col("received") - F.col("dead_lettered") - F.col("published")).alias("duplicates_dropped"),
-            "dead_lettered", "max_ts")
+    def _log(self, checked: DataFrame, fresh: DataFrame, letters: DataFrame) -> DataFrame:
+        topic = F.col("_topic").alias("topic")
+        received = checked.groupBy(topic).agg(F.count(F.lit(1)).alias("received"))
+        consumed = fresh.groupBy(topic).agg(F.count(F.lit(1)).alias("consumed"), F.max("timestamp").alias("max_ts"))
+        dead = letters.groupBy(topic).agg(F.count(F.lit(1)).alias("dead_lettered"))
+        published = F.col("consumed") + F.col("dead_lettered")
+        return received.join(consumed, "topic", "left").join(dead, "topic", "left").fillna(
+            0, ["consumed", "dead_lettered"]).select(
+            "topic", "received", published.alias("published"),
+            (F.col("received") - published).alias("duplicates_dropped"), "dead_lettered", "consumed", "max_ts")
+
+    # ------------------------------------------------------------- redrive
+    def redrive(self, run: int, topics_root: str) -> DataFrame:
+        """Send dead letters that are valid by now back to their topics.
+
+        Each letter is tried at most ``MAX_RETRIES`` times over the runs; a
+        letter sent back is not tried again.  Returns the log of this run.
+        Running it twice is harmless: the live job drops the copies.
+        """
+        tried = self.table("redrives", self.REDRIVES, run).groupBy("_event_hash").agg(
+            F.count(F.lit(1)).alias("_redrive_count"), F.bool_or("republished").alias("_sent"))
+        pending = self.table("dead_letters", self.LETTERS).join(tried, "_event_hash", "left").fillna(
+            0, ["_redrive_count"]).where("_sent IS NOT TRUE").drop("_sent")
+        valid, kept = E.redrive(pending.where(F.col("_redrive_count") < E.MAX_RETRIES), self.known())
+        for topic in E.TOPICS:
+            (valid.where(F.col("_topic") == topic).select(*E.EVENT_FIELDS).write.mode("append")
+             .option("timestampFormat", "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX").json(f"{topics_root}/{topic}"))
+        log = valid.select("_event_hash", F.lit(True).alias("republished")).unionByName(
+            kept.select("_event_hash", F.lit(False).alias("republished")))
+        self._write(log, "redrives", run)
+        return self.table("redrives", self.REDRIVES).where(F.col("batch_id") == run)
 
     # ------------------------------------------------------------- results
     def current_health(self, mart: DataFrame, after_batch: int = -1) -> DataFrame:
@@ -181,9 +215,16 @@ class LiveJob:
 
     def metrics(self) -> DataFrame:
         """Totals per topic over all batches."""
-        names = ("received", "published", "duplicates_dropped", "dead_lettered")
+        names = ("received", "published", "duplicates_dropped", "dead_lettered", "consumed")
         return self.table("batch_log", self.LOG).groupBy("topic").agg(*[F.sum(n).alias(n) for n in names])
 
+    @staticmethod
+    def backlog(query: StreamingQuery) -> dict[str, str | None]:
+        """Waiting input per source, as reported by the last finished batch."""
+        progress = query.lastProgress or {"sources": []}
+        return {s["description"]: (s.get("metrics") or {}).get("numFilesOutstanding") or s.get("latestOffset")
+                for s in progress["sources"]}
+
     def dates_to_restate(self) -> DataFrame:
         """Dates that late events fell into; their batch figures need a rebuild."""
         return self.table("late_events", "_topic STRING, event_date DATE").select("event_date").distinct()
