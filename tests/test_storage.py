@@ -7,7 +7,7 @@ import pytest
 
 from tidemark import schemas as S
 from tidemark.plans import daily
-from tidemark.session import shared_root
+from tidemark.session import scratch_folder
 from tidemark.sources import bronze, storage
 
 T = datetime(2024, 1, 31, tzinfo=timezone.utc)
@@ -64,8 +64,13 @@ def test_jdbc_options():
         storage.jdbc_options("u", "t", column="id", lower=0, upper=1, partitions=0)
 
 
-def test_shared_root(spark, tmp_path):
-    assert shared_root(spark, str(tmp_path)) == spark.conf.get("spark.checkpoint.dir", str(tmp_path))
+def test_scratch_folder(spark, tmp_path):
+    assert scratch_folder(spark) != scratch_folder(spark)
+    spark.conf.set("spark.checkpoint.dir", str(tmp_path))
+    try:
+        assert scratch_folder(spark).startswith(f"{tmp_path}/tidemark-")
+    finally:
+        spark.conf.unset("spark.checkpoint.dir")
 
 
 def landing(root):

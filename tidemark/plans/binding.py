@@ -7,7 +7,7 @@ so filters and column lists reach the Parquet scan unchanged.
 
 from __future__ import annotations
 
-from functools import cached_property
+from functools import cached_property, reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,6 +16,7 @@ from tidemark import schemas as S
 from tidemark.functions import columns as C
 from tidemark.operators import facts, health, revenue, rules
 from tidemark.operators.keyed import keep_first
+from tidemark.streaming.events import normalise
 
 SCHEMAS = {
     "region": "r_regionkey INT, r_name STRING",
@@ -51,6 +52,10 @@ class Domain:
     def table(self, name: str) -> DataFrame:
         return self.spark.read.schema(SCHEMAS[name]).parquet(f"{self.folder}/{name}.parquet")
 
+    def arriving(self, name: str) -> DataFrame:
+        """The table as a stream of its files (a file or a folder of them)."""
+        return self.spark.readStream.schema(SCHEMAS[name]).parquet(f"{self.folder}/{name}.parque[t]")
+
     # ------------------------------------------------------------ raw inputs
     @cached_property
     def accounts(self) -> DataFrame:
@@ -74,6 +79,10 @@ class Domain:
 
     @cached_property
     def subscriptions(self) -> DataFrame:
+        return self._subscriptions(self.table("customer"))
+
+    @staticmethod
+    def _subscriptions(customers: DataFrame) -> DataFrame:
         key = F.col("c_custkey")
         slot = (key % 4).cast("int")
         plan = F.lit(S.PLANS[3][0])
@@ -81,7 +90,7 @@ class Domain:
         for i, (name, mrr, _, _) in reversed(list(enumerate(S.PLANS[:3]))):
             plan = F.when(slot == i, name).otherwise(plan)
             price = F.when(slot == i, mrr).otherwise(price)
-        return self.table("customer").select(
+        return customers.select(
             key.alias("subscription_id"), key.alias("account_id"), plan.alias("plan"),
             F.timestamp_add("DAY", (key % 365).cast("int"), F.lit("1994-01-01").cast("timestamp")).alias("start_date"),
             F.when(F.col("c_acctbal") < 0, "past_due").otherwise("active").alias("status"),
@@ -102,10 +111,13 @@ class Domain:
     @cached_property
     def ticket_copies(self) -> DataFrame:
         """Tickets as delivered; ids repeat."""
+        return self._ticket_copies(self.table("lineitem"))
+
+    def _ticket_copies(self, lines: DataFrame) -> DataFrame:
         shipped, ordered = F.col("l_shipdate"), F.col("o_orderdate")
         resolved = (F.col("l_linestatus") == "F") & (shipped >= ordered)
         flag, odd = F.col("l_returnflag"), F.col("l_linenumber") % 2 == 1
-        lines = self.table("lineitem").where(F.col("l_quantity") >= TICKET_MIN_QUANTITY).select(
+        lines = lines.where(F.col("l_quantity") >= TICKET_MIN_QUANTITY).select(
             "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice", "l_returnflag",
             "l_linestatus", "l_shipdate")
         return lines.join(
@@ -128,7 +140,11 @@ class Domain:
 
     @cached_property
     def events(self) -> DataFrame:
-        return self.table("events").select(
+        return self._events(self.table("events"))
+
+    @staticmethod
+    def _events(events: DataFrame) -> DataFrame:
+        return events.select(
             "event_id", "user_id", F.expr("user_id DIV 3").alias("account_id"),
             F.col("event_type").alias("feature"), F.col("ts").alias("timestamp"),
         )
@@ -220,33 +236,35 @@ class Domain:
 
     @cached_property
     def stream_events(self) -> DataFrame:
+        return self._topics(self.table)
+
+    @cached_property
+    def arriving_events(self) -> DataFrame:
+        return self._topics(self.arriving)
+
+    def _topics(self, source) -> DataFrame:
         """All four topics in the common event shape; a '4-NOT SPECIFIED' order
         gives a billing event without status."""
-        from tidemark.streaming.events import normalise
-
         unstated = F.col("o_orderpriority") == "4-NOT SPECIFIED"
         failed = (F.col("o_orderstatus") == "P") & (F.col("o_orderpriority") == "1-URGENT")
-        billing = self.table("orders").select(
+        billing = source("orders").select(
             F.concat(F.lit("b"), F.col("o_orderkey")).alias("event_id"), F.col("o_custkey").alias("account_id"),
             F.col("o_orderkey").cast("string").alias("invoice_id"),
             F.col("o_totalprice").cast("decimal(10,2)").alias("amount"),
             F.when(unstated, F.lit(None)).when(failed, "failed").otherwise("paid").alias("status"),
             F.col("o_orderdate").alias("timestamp"))
-        support = self.ticket_copies.select(
+        support = self._ticket_copies(source("lineitem")).select(
             F.concat(F.lit("s"), F.col("ticket_id")).alias("event_id"), "account_id",
             F.col("ticket_id").cast("string").alias("ticket_id"), "severity", "status",
             F.col("created_at").alias("timestamp"))
-        subscription = self.subscriptions.select(
+        subscription = self._subscriptions(source("customer")).select(
             F.concat(F.lit("c"), F.col("account_id")).alias("event_id"), "account_id",
             F.when(F.col("status") == "past_due", "cancelled").otherwise("active").alias("status"),
             F.col("start_date").alias("timestamp"))
-        product = self.events.select(
+        product = self._events(source("events")).select(
             F.concat(F.lit("p"), F.col("event_id")).alias("event_id"), "account_id",
             F.col("user_id").cast("string").alias("user_id"), "feature", "timestamp")
         topics = {"product.events": product, "subscription.events": subscription,
                   "billing.events": billing, "support.events": support}
-        out = None
-        for topic, frame in topics.items():
-            shaped = normalise(frame, topic)
-            out = shaped if out is None else out.unionByName(shaped)
-        return out
+        shaped = [normalise(frame, topic) for topic, frame in topics.items()]
+        return reduce(DataFrame.unionByName, shaped)

@@ -587,6 +587,22 @@ QUERIES = {
         coalesce(last_at, last_updated_at) AS last_updated_at FROM replayed""",
 }
 
+QUERIES |= {
+    "stream_health": QUERIES["health_replay"],
+    "stream_dlq": QUERIES["stream_dead_letters"],
+    "stream_job_metrics": QUERIES["stream_metrics"],
+    "stream_insert_ignore": """SELECT concat('p', usage_id) AS usage_id, account_id, user_id::VARCHAR AS user_id, feature,
+        event_timestamp, strftime(event_date, '%Y-%m-%d') AS event_date FROM usage""",
+    "stream_dim_date": """SELECT strftime(d, '%Y-%m-%d') AS date_key, year(d)::INTEGER AS year, quarter(d)::INTEGER AS quarter,
+        month(d)::INTEGER AS month, day(d)::INTEGER AS day, (isodow(d) - 1)::INTEGER AS day_of_week,
+        isodow(d) >= 6 AS is_weekend FROM (SELECT DISTINCT CAST(ts AS DATE) AS d FROM once)""",
+    # Closed: the end has passed the newest event less the two hours of delay.
+    "stream_windowed_usage": f"""SELECT * FROM ({QUERIES['usage_tumbling']})
+        WHERE window_end <= (SELECT max(ts) FROM events) - INTERVAL 2 HOUR""",
+    "stream_sessions": f"""SELECT user_id, session_start AS window_start, session_end + INTERVAL 1 HOUR AS window_end, event_count
+        FROM ({QUERIES['usage_session']}) WHERE session_end + INTERVAL 1 HOUR <= (SELECT max(ts) FROM events) - INTERVAL 2 HOUR""",
+}
+
 
 def _needed(sql: str) -> list[str]:
     """CTEs the text uses, directly or through others, in definition order."""

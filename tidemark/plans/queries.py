@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -14,7 +15,9 @@ from tidemark.operators import (
 )
 from tidemark.plans import binding as B
 from tidemark.plans.binding import Domain
-from tidemark.streaming import effects, events as stream
+from tidemark.session import scratch_folder
+from tidemark.streaming import effects, events as stream, windows
+from tidemark.streaming.live import LiveJob
 
 _CATALOGUE: dict[str, Callable[[Domain], DataFrame]] = {}
 
@@ -687,3 +690,80 @@ def health_replay(d: Domain) -> DataFrame:
     clean = stream.drop_copies(stream.with_error(_published(d)).where(F.col("_error").isNull()))
     return effects.replay_health(d.health, clean).select(
         "account_id", "health_score", "health_tier", "events_last_30d", "payment_status", "last_updated_at")
+
+
+# ------------------------------------------------------------ live stream job
+
+_LIVE: dict[tuple[str, str], LiveJob] = {}
+
+
+def _live(d: Domain) -> LiveJob:
+    """The live job after draining the tables as streams; run once per session and folder."""
+    key = (d.spark.sparkContext.applicationId, d.folder)
+    if key not in _LIVE:
+        root = scratch_folder(d.spark)
+        accounts = d.dim_account.select(F.col("account_id").cast("string").alias("account_id"))
+        job = LiveJob(d.spark, f"{root}/live", known=lambda: {"account_id": accounts},
+                      clock=lambda: datetime.fromisoformat(B.USAGE_AS_OF).replace(tzinfo=timezone.utc))
+        arriving = d.arriving_events.withColumn("account_id", F.col("account_id").cast("string"))
+        job.start(arriving, f"{root}/checkpoint").awaitTermination()
+        _LIVE[key] = job
+    return _LIVE[key]
+
+
+def _drained(d: Domain, stream_result: DataFrame) -> DataFrame:
+    """Rows a watermarked stream has emitted after draining its input."""
+    root = scratch_folder(d.spark)
+    query = (stream_result.writeStream.format("parquet").outputMode("append").option("path", f"{root}/rows")
+             .option("checkpointLocation", f"{root}/checkpoint").trigger(availableNow=True).start())
+    query.awaitTermination()
+    return d.spark.read.schema(stream_result.schema).parquet(f"{root}/rows")
+
+
+def _long_account(df: DataFrame) -> DataFrame:
+    return df.withColumn("account_id", F.col("account_id").cast("bigint"))
+
+
+@query
+def stream_health(d: Domain) -> DataFrame:
+    """Customer health kept by the live job."""
+    mart = d.health.withColumn("account_id", F.col("account_id").cast("string"))
+    return _long_account(_live(d).current_health(mart)).select(
+        "account_id", "health_score", "health_tier", "events_last_30d", "payment_status", "last_updated_at")
+
+
+@query
+def stream_insert_ignore(d: Domain) -> DataFrame:
+    """Usage facts appended by the live job."""
+    return _date_text(_long_account(_live(d).usage()))
+
+
+@query
+def stream_dlq(d: Domain) -> DataFrame:
+    job = _live(d)
+    return _long_account(job.table("dead_letters", job.LETTERS)).select(
+        "_topic", "event_id", "account_id", "_retry_count", "_fatal_error")
+
+
+@query
+def stream_dim_date(d: Domain) -> DataFrame:
+    job = _live(d)
+    return job.table("dim_date", job.DATES).drop("full_date", "batch_id")
+
+
+@query
+def stream_job_metrics(d: Domain) -> DataFrame:
+    return _live(d).metrics()
+
+
+@query
+def stream_windowed_usage(d: Domain) -> DataFrame:
+    """Hourly counts the watermark has closed."""
+    hourly = windows.windowed_usage(d._events(d.arriving("events")))
+    return _drained(d, hourly).drop("approx_users")
+
+
+@query
+def stream_sessions(d: Domain) -> DataFrame:
+    """User sessions the watermark has closed."""
+    return _drained(d, windows.session_usage(d._events(d.arriving("events"))))

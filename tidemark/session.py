@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from tempfile import mkdtemp
+from uuid import uuid4
+
 from pyspark.sql import SparkSession
 
 # AQE re-plans shuffles from measured sizes: it coalesces small partitions,
@@ -30,14 +33,15 @@ def build_session(app_name: str = "tidemark", master: str | None = None, **setti
     return builder.getOrCreate()
 
 
-def shared_root(spark: SparkSession, fallback: str | None = None) -> str:
-    """Folder all executors can reach, as named by ``spark.checkpoint.dir``.
+def scratch_folder(spark: SparkSession) -> str:
+    """A new folder name in the shared folder that ``spark.checkpoint.dir`` names.
 
-    ``fallback`` is used only where the session names none (tests, local runs).
+    Only a local session, where driver and executors are one machine, falls back
+    to a temporary folder when the session names none.
     """
-    configured = spark.conf.get("spark.checkpoint.dir", None)
-    if configured:
-        return configured
-    if fallback:
-        return fallback
-    raise ValueError("spark.checkpoint.dir is not set and no fallback folder was given")
+    shared = spark.conf.get("spark.checkpoint.dir", None)
+    if shared:
+        return f"{shared.rstrip('/')}/tidemark-{uuid4().hex}"
+    if spark.sparkContext.master.startswith("local"):
+        return mkdtemp(prefix="tidemark-")
+    raise ValueError("spark.checkpoint.dir must name a folder all executors can reach")

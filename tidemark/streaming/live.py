@@ -15,7 +15,7 @@ from datetime import datetime, timezone
 from functools import reduce
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -25,6 +25,7 @@ from tidemark.sources.storage import table_exists
 from tidemark.streaming import effects, events as E
 
 LATE_AFTER = "2 hours"
+MAX_LISTED_DATES = 40
 
 
 # ----------------------------------------------------------------- sources
@@ -85,7 +86,15 @@ class LiveJob:
                 .trigger(**(trigger or {"availableNow": True})).start())
 
     # ------------------------------------------------------------- tables
-    def _write(self, df: DataFrame, table: str, batch_id: int, partition_by: str | None = None) -> None:
+    def _write(self, df: DataFrame, table: str, batch_id: int, partition_by: str | None = None,
+               sort_by: str | None = None) -> None:
+        """Replace the batch's part of a table.
+
+        Rows of one date are brought together first, so a batch that spans many
+        dates still writes few files; sorted files are pruned by their statistics.
+        """
+        if partition_by or sort_by:
+            df = df.hint("rebalance", F.col(partition_by or sort_by)).sortWithinPartitions(partition_by or sort_by)
         writer = df.write.mode("overwrite").option("partitionOverwriteMode", "static")
         if partition_by:
             writer = writer.partitionBy(partition_by)
@@ -122,9 +131,7 @@ class LiveJob:
         checked = E.reject_unknown(E.with_error(enveloped), self.known()).persist(StorageLevel.MEMORY_AND_DISK)
         cached = [checked]
         try:
-            # One row per distinct date of the batch; prunes the earlier batches to those dates.
-            dates = [r[0] for r in checked.select("event_date").distinct().collect()]
-            in_dates = F.col("event_date").isin(dates) if dates else F.lit(False)
+            in_dates = self._dates_of(checked)
 
             def unseen(rows: DataFrame, table: str, schema: str) -> DataFrame:
                 earlier = self.table(table, schema, batch_id).where(in_dates).select("_event_hash")
@@ -140,17 +147,28 @@ class LiveJob:
             self._write(self._effects(fresh, batch_id), "health_effects", batch_id)
             known_dates = self.table("dim_date", self.DATES, batch_id).select("date_key")
             self._write(facts.dim_date(fresh, "timestamp").join(known_dates, "date_key", "left_anti"), "dim_date", batch_id)
-            self._write(letters, "dead_letters", batch_id, "event_date")
+            self._write(letters, "dead_letters", batch_id, sort_by="event_date")
             self._write(self._late(fresh, batch_id), "late_events", batch_id)
             self._write(self._log(checked, fresh, letters), "batch_log", batch_id)
             for subscriber in self.subscribers:
                 subscriber(fresh, batch_id)
             # Last, so an unfinished batch never hides its events from its own retry.
-            self._write(fresh.select("_event_hash", "event_date"), "seen", batch_id, "event_date")
+            self._write(fresh.select("_event_hash", "event_date"), "seen", batch_id, sort_by="event_date")
         finally:
             for frame in cached:
                 frame.unpersist()
 
+    @staticmethod
+    def _dates_of(rows: DataFrame) -> Column:
+        """Filter that prunes earlier batches to the dates of this one: the dates
+        themselves while they are few, else their range."""
+        dates = rows.select("event_date").distinct()
+        few = [r[0] for r in dates.limit(MAX_LISTED_DATES + 1).collect()]
+        if len(few) <= MAX_LISTED_DATES:
+            return F.col("event_date").isin(few) if few else F.lit(False)
+        span = dates.agg(F.min("event_date").alias("low"), F.max("event_date").alias("high")).first()
+        return F.col("event_date").between(span["low"], span["high"])
+
     def _effects(self, fresh: DataFrame, batch_id: int) -> DataFrame:
         """Composed effects; only product events that became facts count."""
         product = F.col("_topic") == "product.events"
