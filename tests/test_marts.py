@@ -88,6 +88,11 @@ def test_anomalies(spark, counts, kind, severity):
         assert (found[0].anomaly_type or "normal", found[0].severity) == (kind, severity)
 
 
+def test_anomaly_of_very_large_counts(spark):
+    row = anomaly.usage_anomalies(daily(spark, [9 * 10**10, 11 * 10**10] * 7 + [6 * 10**10])).first()
+    assert (row.z_score, row.historical_std, row.severity) == (-4.0, 1e10, "high")
+
+
 def test_gap_days(spark):
     counts = [10] * 15
     assert anomaly.usage_anomalies(daily(spark, counts, gaps=(5,)), keep_normal=True).first().historical_std == 0.0

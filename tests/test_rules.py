@@ -111,7 +111,7 @@ def test_churn_training(spark):
     model, report = train_churn_model(features(spark, 100, 40), trees=5)
     assert model is not None and report["roc_auc"] == 1.0 and report["accuracy"] == 1.0
     assert report["tp"] == 8 and report["tn"] == 12
-    assert max(report["feature_importance"], key=report["feature_importance"].get) == FEATURES[0]
+    assert max(report["feature_importances"], key=report["feature_importances"].get) == FEATURES[0]
 
 
 def test_risk_tiers(spark):

@@ -241,6 +241,15 @@ def test_composed_replay_equals_one_by_one(spark, drain_order):
         assert (row.payment_status == S.PAYMENT_TROUBLE) == (expected[3] is not None)
 
 
+def test_more_gain_than_the_scale(spark):
+    """1,500 gains over two days reach the top; what came before them no longer matters."""
+    data = [("product.events", f"e{i:05}", None, "open", T0 + timedelta(minutes=i + 1)) for i in range(1500)]
+    data += [("billing.events", "b1", None, "failed", T0), ("support.events", "s1", "high", "open", T0 + timedelta(days=3))]
+    events = spark.createDataFrame(data, "_topic STRING, event_id STRING, severity STRING, status STRING, timestamp TIMESTAMP")
+    row = effects.replay_health(mart(spark, ("a", 10)), events.withColumn("account_id", E.F.lit("a"))).first()
+    assert (row.health_score, row.events_last_30d) == (85.0, 1510)
+
+
 def test_penalties_can_be_changed(spark):
     df = E.normalise(spark.read.schema(E.EVENT_DDL).json(spark.sparkContext.parallelize([json.dumps(support(1, "critical"))])), "support.events")
     row = effects.replay_health(mart(spark, ("a", 90)), df, support_penalty={"critical": -20.0}).first()

@@ -33,7 +33,8 @@ def usage_anomalies(daily: DataFrame, calendar: bool = False, keep_normal: bool
         dated = daily.withColumn("_age", F.row_number().over(newest_first)).withColumn("_span", F.col("_age"))
     recent = dated.where(F.col("_age") <= BASELINE_DAYS + 1)
 
-    n, age = F.col("daily_events"), F.col("_age")
+    # Decimal, so that squares of very large daily counts do not overflow.
+    n, age = F.col("daily_events").cast("decimal(18,0)"), F.col("_age")
 
     def total(low: int, high: int, value=n):
         return F.coalesce(F.sum(F.when(age.between(low, high), value)), F.lit(0))
@@ -47,9 +48,9 @@ def usage_anomalies(daily: DataFrame, calendar: bool = False, keep_normal: bool
 
     # Whole-number moments: the deviation is exactly zero for a constant baseline.
     days = F.lit(BASELINE_DAYS)
-    mean = F.col("_s1") / days
+    mean = F.col("_s1").cast("double") / days
     deviation = F.sqrt((days * F.col("_s2") - F.col("_s1") * F.col("_s1")).cast("double")) / days
-    gap = F.col("latest_daily_events") - F.col("_mean")
+    gap = F.col("latest_daily_events").cast("double") - F.col("_mean")
     spread = F.when(F.col("_std") > 0, F.col("_std")).otherwise(F.col("_mean"))
     weekly = C.ratio(F.col("_last7") - F.col("_prior7"), F.col("_prior7"))
     measured = (

@@ -72,19 +72,22 @@ def train_churn_model(features: DataFrame, trees: int = 150, depth: int = 6) ->
 
 def _fit(features: DataFrame, rows: int, trees: int, depth: int) -> tuple[PipelineModel, dict]:
     split = stratified_split(features)
-    train = balanced_weights(split.where("is_train"))
+    train = balanced_weights(split.where("is_train")).persist()
     forest = RandomForestClassifier(
         featuresCol="features", labelCol="churn_label", weightCol="weight",
         numTrees=trees, maxDepth=depth, seed=SEED,
     )
     assembler = VectorAssembler(inputCols=list(FEATURES), outputCol="features")
-    model = Pipeline(stages=[assembler, forest]).fit(train)
+    try:
+        model = Pipeline(stages=[assembler, forest]).fit(train)
+    finally:
+        train.unpersist()
     scored = churn_probability(model, split.where("NOT is_train"), keep=["churn_label"])
     quality = evaluation.classification_metrics(scored, "churn_probability", "churn_label", 0.5).first().asDict()
     auc = evaluation.roc_auc(scored, "churn_probability", "churn_label").first()
     importances = model.stages[-1].featureImportances.toArray()
     report = {"status": "trained", "rows": rows, **quality, "roc_auc": auc["roc_auc"],
-              "feature_importance": {f: round(float(v), 4) for f, v in zip(FEATURES, importances)}}
+              "feature_importances": {f: round(float(v), 4) for f, v in zip(FEATURES, importances)}}
     return model, report
 
 

@@ -54,9 +54,10 @@ def roc_auc(scored: DataFrame, score: str, label: str) -> DataFrame:
     """Area under the ROC curve; tied scores count half (null with one class)."""
     ranked = _per_score(scored, score, label)
     # Positives strictly above each negative, plus half of the tied ones.
-    wins = F.sum(F.col("neg") * (F.col("cum_pos") * 2 + F.col("pos")))
+    neg = F.col("neg").cast("decimal(18,0)")  # a product of two counts can pass 64 bits
+    wins = F.sum(neg * (F.col("cum_pos") * 2 + F.col("pos")).cast("decimal(18,0)"))
     sums = ranked.agg(wins.alias("_wins"), F.sum("pos").alias("positives"), F.sum("neg").alias("negatives"))
-    area = C.ratio(F.col("_wins"), F.col("positives") * F.col("negatives") * 2)
+    area = C.ratio(F.col("_wins"), F.col("positives").cast("double") * F.col("negatives") * 2)
     return sums.select("positives", "negatives", F.round(area, 4).alias("roc_auc"))
 
 

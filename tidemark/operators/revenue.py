@@ -38,10 +38,10 @@ def revenue_summary(accounts: DataFrame, subscriptions: DataFrame, billing: Data
     one = stacked.agg(*[F.max(c).alias(c) for c in stacked.columns])
     return one.select(
         F.unix_micros(C.as_timestamp(as_of)).alias("id"),
-        F.col("active_mrr").cast("decimal(12,2)").alias("total_mrr"),
-        (F.col("active_mrr") * 12).cast("decimal(14,2)").alias("total_arr"),
-        F.col("paid").cast("decimal(14,2)").alias("paid_invoices_amount"),
-        F.col("unpaid").cast("decimal(14,2)").alias("unpaid_invoices_amount"),
+        F.col("active_mrr").cast("decimal(20,2)").alias("total_mrr"),
+        (F.col("active_mrr") * 12).cast("decimal(22,2)").alias("total_arr"),
+        F.col("paid").cast("decimal(22,2)").alias("paid_invoices_amount"),
+        F.col("unpaid").cast("decimal(22,2)").alias("unpaid_invoices_amount"),
         "active_accounts", "past_due_accounts",
         C.percent(F.col("active_mrr"), F.col("active_mrr")).alias("net_retention_rate"),
         C.percent(F.col("past_due_accounts"), F.col("accounts")).alias("logo_churn_rate"),

@@ -588,6 +588,30 @@ QUERIES = {
 }
 
 QUERIES |= {
+    "scan_bronze": """SELECT account_id::VARCHAR AS account_id, company_name, industry, company_size AS size, region,
+        csm_owner AS owner, created_at, cohort FROM account""",
+    "scan_bronze_quarantine": """SELECT invoice_id::VARCHAR AS invoice_id, account_id::VARCHAR AS account_id, status,
+        CASE WHEN status <> 'failed' THEN amount::DOUBLE END AS amount,
+        CASE WHEN status = 'failed' THEN 'malformed record' END AS reason FROM invoice""",
+    "bronze_audit_columns": """SELECT c_custkey, TIMESTAMP '2024-01-31' AS _ingested_at, 'crm' AS _source_channel,
+        sha256(concat('{"c_custkey":', c_custkey, ',"c_name":"', c_name, '","c_nationkey":', c_nationkey,
+            ',"c_mktsegment":"', c_mktsegment, '"}')) AS _raw_payload_hash FROM customer""",
+    "sink_overwrite": QUERIES["fact_subscription"] + " WHERE status = 'active'",
+    "sink_csv": """SELECT invoice_id::VARCHAR AS invoice_id, account_id::VARCHAR AS account_id, amount::DOUBLE AS amount,
+        due_date, paid_at, status, is_overdue FROM billing""",
+    "write_partitioned": """SELECT account_id, strftime(event_date, '%Y-%m-%d') AS event_date, count(*) AS daily_events
+        FROM usage WHERE usage.event_date >= DATE '2024-01-20' GROUP BY account_id, usage.event_date""",
+    "publish_snapshot": QUERIES["fact_billing"],
+    "stream_envelope": """SELECT event_id, account_id, TIMESTAMP '2024-01-31' AS _published_at, 0 AS _retry_count,
+        3 AS _max_retries, event_hash AS _event_hash FROM hashed WHERE topic = 'product.events'""",
+    "stream_validate": """SELECT topic AS _topic, CASE WHEN status IS NULL THEN
+        'Billing event missing required field: status' END AS _error, count(*) AS events FROM stream GROUP BY 1, 2""",
+    "stream_dedup": "SELECT DISTINCT topic AS _topic, event_id, account_id FROM stream",
+    "stream_fk_quarantine": """SELECT event_id, account_id, concat('Unknown account_id: ', account_id) AS _error FROM stream
+        WHERE topic = 'billing.events' AND status IS NOT NULL AND account_id NOT IN (SELECT account_id FROM users)""",
+    "dlq_redrive": """SELECT event_id, CASE WHEN s.status = 'active' THEN 'republished' ELSE 'kept' END AS outcome,
+        CASE WHEN s.status = 'active' THEN 0 ELSE 1 END AS attempts FROM stream e JOIN subscription s USING (account_id)
+        WHERE topic = 'billing.events' AND e.status IS NOT NULL AND account_id NOT IN (SELECT account_id FROM users)""",
     "stream_health": QUERIES["health_replay"],
     "stream_dlq": QUERIES["stream_dead_letters"],
     "stream_job_metrics": QUERIES["stream_metrics"],

@@ -16,6 +16,7 @@ from tidemark.operators import (
 from tidemark.plans import binding as B
 from tidemark.plans.binding import Domain
 from tidemark.session import scratch_folder
+from tidemark.sources import bronze, storage
 from tidemark.streaming import effects, events as stream, windows
 from tidemark.streaming.live import LiveJob
 
@@ -183,6 +184,77 @@ def parameterised_lookup(d: Domain) -> DataFrame:
         {"status": "failed", "minimum": 250000}, billing=d.billing)
 
 
+# ------------------------------------------------- files written and read back
+
+_JSON_TIME = "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"
+
+
+@query
+def scan_bronze(d: Domain) -> DataFrame:
+    """Accounts landed as JSON Lines and scanned with the raw schema."""
+    path = f"{scratch_folder(d.spark)}/accounts.jsonl"
+    d.accounts.write.option("timestampFormat", _JSON_TIME).json(path)
+    return bronze.split_quarantine(bronze.read_json_lines(d.spark, path, "accounts"), "account_id")[0].drop("_source_file")
+
+
+@query
+def scan_bronze_quarantine(d: Domain) -> DataFrame:
+    """Invoices landed with an unreadable amount where the payment failed."""
+    path = f"{scratch_folder(d.spark)}/invoices.jsonl"
+    amount = F.when(F.col("status") == "failed", "n/a").otherwise(F.col("amount").cast("string"))
+    d.invoices.withColumn("amount", amount).write.option("timestampFormat", _JSON_TIME).json(path)
+    good, bad = bronze.split_quarantine(bronze.read_json_lines(d.spark, path, "invoices"), "invoice_id")
+    columns = ("invoice_id", "account_id", "status", "amount")
+    rows = good.select(*columns, F.lit(None).cast("string").alias("reason")).unionByName(
+        bad.select(*columns, F.col("_reason").alias("reason")))
+    return _money(rows, "amount")
+
+
+@query
+def bronze_audit_columns(d: Domain) -> DataFrame:
+    rows = d.table("customer").select("c_custkey", "c_name", "c_nationkey", "c_mktsegment")
+    return bronze.with_audit_columns(rows, B.USAGE_AS_OF, "crm").select(
+        "c_custkey", "_ingested_at", "_source_channel", "_raw_payload_hash")
+
+
+@query
+def sink_overwrite(d: Domain) -> DataFrame:
+    """A table written twice; only the second write remains."""
+    path = f"{scratch_folder(d.spark)}/fact_subscription"
+    storage.overwrite(d.subscription_facts, path)
+    storage.overwrite(d.subscription_facts.where(F.col("status") == "active"), path)
+    return _money(d.spark.read.parquet(path), "mrr", "arr")
+
+
+@query
+def sink_csv(d: Domain) -> DataFrame:
+    """Invoices exported for bulk loading and read back by the same rules."""
+    path = f"{scratch_folder(d.spark)}/fact_billing"
+    storage.export_csv(d.billing, path)
+    back = d.spark.read.schema(S.WAREHOUSE["fact_billing"]).option("escape", '"').csv(path)
+    return _money(back, "amount")
+
+
+@query
+def write_partitioned(d: Domain) -> DataFrame:
+    """Usage written by date; the filter reads only the folders it needs."""
+    path = f"{scratch_folder(d.spark)}/fact_usage"
+    storage.overwrite(d.usage, path, "event_date")
+    recent = d.spark.read.parquet(path).where(F.col("event_date") >= F.lit("2024-01-20").cast("date"))
+    return _date_text(usage.daily_usage_by_account(recent))
+
+
+@query
+def publish_snapshot(d: Domain) -> DataFrame:
+    """A published run, and a later one that was never published."""
+    root = scratch_folder(d.spark)
+    storage.stage(d.billing, root, "run1", "fact_billing")
+    at = datetime.fromisoformat(B.USAGE_AS_OF).replace(tzinfo=timezone.utc)
+    storage.publish(d.spark, root, "run1", ["fact_billing"], at)
+    storage.stage(d.billing.where(F.col("is_overdue")), root, "run2", "fact_billing")
+    return _money(storage.read_published(d.spark, root, "fact_billing"), "amount")
+
+
 # --------------------------------------------------------- account aggregates
 
 @query
@@ -684,6 +756,44 @@ def stream_dead_letters(d: Domain) -> DataFrame:
     return letters.select("_topic", "event_id", "account_id", "_retry_count", "_fatal_error")
 
 
+@query
+def stream_envelope(d: Domain) -> DataFrame:
+    product = _published(d).where(F.col("_topic") == "product.events")
+    return product.select("event_id", "account_id", "_published_at", "_retry_count", "_max_retries", "_event_hash")
+
+
+@query
+def stream_validate(d: Domain) -> DataFrame:
+    checked = stream.with_error(_published(d))
+    return checked.groupBy("_topic", "_error").agg(F.count(F.lit(1)).alias("events"))
+
+
+@query
+def stream_dedup(d: Domain) -> DataFrame:
+    return stream.drop_copies(_published(d)).select("_topic", "event_id", "account_id")
+
+
+def _keyless(d: Domain) -> DataFrame:
+    """Valid billing events, checked against the accounts that have users."""
+    billing = stream.with_error(_published(d)).where((F.col("_topic") == "billing.events") & F.col("_error").isNull())
+    return stream.reject_unknown(billing, {"account_id": d.dim_user}, ["billing.events"])
+
+
+@query
+def stream_fk_quarantine(d: Domain) -> DataFrame:
+    return _keyless(d).where(F.col("_error").isNotNull()).select("event_id", "account_id", "_error")
+
+
+@query
+def dlq_redrive(d: Domain) -> DataFrame:
+    """Key failures tried again once the accounts with an active subscription are known."""
+    letters = stream.dead_letters(_keyless(d).where(F.col("_error").isNotNull()), B.USAGE_AS_OF)
+    active = d.subscriptions.where(F.col("status") == "active")
+    valid, kept = stream.redrive(letters, {"account_id": active}, topics=["billing.events"])
+    return valid.select("event_id", F.lit("republished").alias("outcome"), F.lit(0).alias("attempts")).unionByName(
+        kept.select("event_id", F.lit("kept").alias("outcome"), F.col("_redrive_count").alias("attempts")))
+
+
 @query
 def health_replay(d: Domain) -> DataFrame:
     """The health mart after all four topics' valid, deduplicated events."""

@@ -77,8 +77,8 @@ WAREHOUSE = {
         "expansion_score DOUBLE, anomaly_detected BOOLEAN, last_updated_at TIMESTAMP"
     ),
     "mrt_revenue_summary": (
-        "id BIGINT, total_mrr DECIMAL(12,2), total_arr DECIMAL(14,2), "
-        "paid_invoices_amount DECIMAL(14,2), unpaid_invoices_amount DECIMAL(14,2), "
+        "id BIGINT, total_mrr DECIMAL(20,2), total_arr DECIMAL(22,2), "
+        "paid_invoices_amount DECIMAL(22,2), unpaid_invoices_amount DECIMAL(22,2), "
         "active_accounts BIGINT, past_due_accounts BIGINT, net_retention_rate DOUBLE, "
         "logo_churn_rate DOUBLE, revenue_churn_rate DOUBLE, expansion_rate DOUBLE, "
         "calculated_at TIMESTAMP"

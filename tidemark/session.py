@@ -21,6 +21,21 @@ SQL_SETTINGS = {
 }
 
 
+def size_settings(shuffled_gb: float, cores: int) -> dict[str, str]:
+    """Shuffle settings for a job whose largest exchange moves ``shuffled_gb``.
+
+    Starts with partitions of about 128 MB, at least two per core; AQE joins the
+    small ones and splits the skewed ones from there.
+    """
+    partitions = max(2 * cores, int(shuffled_gb * 8))
+    return {
+        "spark.sql.shuffle.partitions": str(partitions),
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(partitions),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
+        "spark.sql.files.maxPartitionBytes": "256m",
+    }
+
+
 def build_session(app_name: str = "tidemark", master: str | None = None, **settings: str) -> SparkSession:
     """Create a session with the settings above; ``settings`` use ``__`` for dots."""
     builder = SparkSession.builder.appName(app_name).config("spark.ui.enabled", "false")

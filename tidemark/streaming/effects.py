@@ -74,7 +74,8 @@ def compose(effects: DataFrame, keys: Sequence[str], order: Sequence[str]) -> Da
     )
 
     def after(f: Column, g: Column) -> Column:
-        return F.struct((f["d"] + g["d"]).alias("d"),
+        # A change of more than the whole scale is the same as the whole scale.
+        return F.struct(_within(f["d"] + g["d"], F.lit(-FULL), F.lit(FULL)).alias("d"),
                         _within(f["lo"] + g["d"], g["lo"], g["hi"]).alias("lo"),
                         _within(f["hi"] + g["d"], g["lo"], g["hi"]).alias("hi"))
 

@@ -24,6 +24,8 @@ REQUIRED = {
 TOPICS = tuple(REQUIRED)
 LABELS = {"product.events": "Product", "subscription.events": "Subscription",
           "billing.events": "Billing", "support.events": "Support"}
+# Topics whose events are stored as facts and must refer to known keys.
+KEYED_TOPICS = ("product.events",)
 MAX_RETRIES = 3
 
 EVENT_TYPES = {
@@ -96,14 +98,14 @@ def dead_letters(failed: DataFrame, at) -> DataFrame:
 
 
 def redrive(letters: DataFrame, known: Mapping[str, DataFrame], max_retries: int = MAX_RETRIES,
-            attempts: str = "_redrive_count") -> tuple[DataFrame, DataFrame]:
+            attempts: str = "_redrive_count", topics: Sequence[str] = KEYED_TOPICS) -> tuple[DataFrame, DataFrame]:
     """Check dead letters again: (events that are valid now, letters to keep).
 
     ``known`` maps a key column to the frame of its present values.  Kept
     letters carry one more attempt; at ``max_retries`` they are not tried again.
     """
     counted = letters if attempts in letters.columns else letters.withColumn(attempts, F.lit(0))
-    checked = reject_unknown(with_error(counted), known)
+    checked = reject_unknown(with_error(counted), known, topics)
     open_again = F.col(attempts) < max_retries
     valid = checked.where(F.col("_error").isNull() & open_again).drop(
         "_error", "_last_error", "_fatal_error", "_dead_lettered_at", attempts)
@@ -113,17 +115,17 @@ def redrive(letters: DataFrame, known: Mapping[str, DataFrame], max_retries: int
     return valid, kept
 
 
-def reject_unknown(events: DataFrame, known: Mapping[str, DataFrame], topic: str = "product.events") -> DataFrame:
-    """Set ``_error`` on ``topic`` rows whose key is not in ``known``.
+def reject_unknown(events: DataFrame, known: Mapping[str, DataFrame], topics: Sequence[str] = KEYED_TOPICS) -> DataFrame:
+    """Set ``_error`` on rows of ``topics`` whose key is not in ``known``.
 
     The check runs on distinct keys; the events are joined only with the unknown
     ones, which are few.
     """
     out = events
     for key, frame in known.items():
-        used = events.where(F.col("_topic") == topic).select(key).where(F.col(key).isNotNull()).distinct()
+        used = events.where(F.col("_topic").isin(*topics)).select(key).where(F.col(key).isNotNull()).distinct()
         unknown = used.join(frame.select(key), key, "left_anti").withColumn("_unknown", F.lit(True))
-        missing = F.when((F.col("_topic") == topic) & F.col("_unknown"),
+        missing = F.when(F.col("_topic").isin(*topics) & F.col("_unknown"),
                          F.concat(F.lit(f"Unknown {key}: "), F.col(key).cast("string")))
         out = out.join(unknown, key, "left").withColumn("_error", F.coalesce("_error", missing)).drop("_unknown")
     return out
