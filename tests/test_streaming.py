@@ -155,6 +155,16 @@ def test_dead_letters_and_redrive(spark, tmp_path):
     assert valid.count() == 0 and kept.count() == 2            # attempts used up
 
 
+@pytest.mark.parametrize("limit", [0, 1, 2, 10])
+def test_unknown_keys_listed_or_joined(spark, rows, limit):
+    data = [("product.events", f"e{i}", a, None) for i, a in enumerate(["a", "x", "y", None, "x"])] + [("billing.events", "b", "x", None)]
+    df = spark.createDataFrame(data, "_topic STRING, event_id STRING, account_id STRING, _error STRING")
+    known = {"account_id": spark.createDataFrame([("a",)], "account_id STRING")}
+    got = rows(E.reject_unknown(df, known, list_up_to=limit), "event_id", "_error")
+    assert got == [("b", None), ("e0", None), ("e1", "Unknown account_id: x"), ("e2", "Unknown account_id: y"),
+                   ("e3", None), ("e4", "Unknown account_id: x")]
+
+
 def test_redrive_job_sends_letters_back_once(spark, tmp_path, rows):
     known = {"accounts": ["a"]}
     feed = Feed(spark, tmp_path, known=lambda: {

@@ -26,6 +26,7 @@ from tidemark.streaming import effects, events as E
 
 LATE_AFTER = "2 hours"
 MAX_LISTED_DATES = 40
+MAX_LISTED_KEYS = 10_000
 
 
 # ----------------------------------------------------------------- sources
@@ -128,7 +129,8 @@ class LiveJob:
         # A stream's session has it off; the work below is ordinary batch work.
         batch.sparkSession.conf.set("spark.sql.adaptive.enabled", "true")
         enveloped = E.with_envelope(batch, at).withColumn("event_date", F.to_date("timestamp"))
-        checked = E.reject_unknown(E.with_error(enveloped), self.known()).persist(StorageLevel.MEMORY_AND_DISK)
+        checked = E.reject_unknown(E.with_error(enveloped), self.known(), list_up_to=MAX_LISTED_KEYS).persist(
+            StorageLevel.MEMORY_AND_DISK)
         cached = [checked]
         try:
             in_dates = self._dates_of(checked)
@@ -143,8 +145,10 @@ class LiveJob:
             failed = unseen(checked.where("_error IS NOT NULL"), "dead_letters", self.LETTERS)
             letters = E.dead_letters(failed, at)
 
-            self._write(self._new_usage(fresh, in_dates, batch_id), "fact_usage", batch_id, "event_date")
-            self._write(self._effects(fresh, batch_id), "health_effects", batch_id)
+            inserted = self._new_product_events(fresh, in_dates, batch_id).persist(StorageLevel.MEMORY_AND_DISK)
+            cached.append(inserted)
+            self._write(facts.fact_usage(inserted), "fact_usage", batch_id, "event_date")
+            self._write(self._effects(fresh, inserted), "health_effects", batch_id)
             known_dates = self.table("dim_date", self.DATES, batch_id).select("date_key")
             self._write(facts.dim_date(fresh, "timestamp").join(known_dates, "date_key", "left_anti"), "dim_date", batch_id)
             self._write(letters, "dead_letters", batch_id, sort_by="event_date")
@@ -169,22 +173,18 @@ class LiveJob:
         span = dates.agg(F.min("event_date").alias("low"), F.max("event_date").alias("high")).first()
         return F.col("event_date").between(span["low"], span["high"])
 
-    def _effects(self, fresh: DataFrame, batch_id: int) -> DataFrame:
+    def _new_product_events(self, fresh: DataFrame, in_dates: Column, batch_id: int) -> DataFrame:
+        """Product events whose id is not a usage fact yet."""
+        product = keep_first(fresh.where(F.col("_topic") == "product.events"), ["event_id"], ["timestamp", "_event_hash"])
+        stored = self.table("fact_usage", self.USAGE, batch_id).where(in_dates).select(F.col("usage_id").alias("event_id"))
+        return product.join(stored, "event_id", "left_anti").select(*fresh.columns)
+
+    def _effects(self, fresh: DataFrame, inserted: DataFrame) -> DataFrame:
         """Composed effects; only product events that became facts count."""
-        product = F.col("_topic") == "product.events"
-        stored = self.spark.read.schema(self.USAGE).parquet(f"{self.root}/fact_usage/batch_id={batch_id}").select(
-            F.col("usage_id").alias("event_id"))
-        counted = fresh.where(~product).unionByName(
-            fresh.where(product).join(stored, "event_id", "left_semi").select(*fresh.columns))
+        counted = fresh.where(F.col("_topic") != "product.events").unionByName(inserted)
         columns = [c.split(" ")[0] for c in self.EFFECTS.split(", ")]
         return effects.account_effects(effects.event_effects(counted, self.support_penalty)).select(*columns)
 
-    def _new_usage(self, fresh: DataFrame, in_dates, batch_id: int) -> DataFrame:
-        product = keep_first(fresh.where(F.col("_topic") == "product.events"), ["event_id"], ["timestamp", "_event_hash"])
-        usage = facts.fact_usage(product)
-        stored = self.table("fact_usage", self.USAGE, batch_id).where(in_dates)
-        return usage.join(stored.select("usage_id"), "usage_id", "left_anti")
-
     def _late(self, fresh: DataFrame, batch_id: int) -> DataFrame:
         """Events older than the newest earlier event by more than the allowed delay."""
         newest = self.table("batch_log", self.LOG, batch_id).agg(F.max("max_ts")).scalar()
