@@ -2,6 +2,7 @@ import csv
 import json
 from datetime import datetime, timedelta, timezone
 from decimal import Decimal
+from types import SimpleNamespace
 
 import pytest
 
@@ -64,13 +65,16 @@ def test_jdbc_options():
         storage.jdbc_options("u", "t", column="id", lower=0, upper=1, partitions=0)
 
 
-def test_scratch_folder(spark, tmp_path):
+def session(shared, master):
+    return SimpleNamespace(conf=SimpleNamespace(get=lambda key, default: shared if key == "spark.checkpoint.dir" else default),
+                           sparkContext=SimpleNamespace(master=master))
+
+
+def test_scratch_folder(spark):
     assert scratch_folder(spark) != scratch_folder(spark)
-    spark.conf.set("spark.checkpoint.dir", str(tmp_path))
-    try:
-        assert scratch_folder(spark).startswith(f"{tmp_path}/tidemark-")
-    finally:
-        spark.conf.unset("spark.checkpoint.dir")
+    assert scratch_folder(session("hdfs://shared/", "yarn")).startswith("hdfs://shared/tidemark-")
+    with pytest.raises(ValueError):
+        scratch_folder(session(None, "yarn"))
 
 
 def landing(root):
