@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterable, Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions import columns as C
@@ -78,8 +78,6 @@ def null_percentages(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 def row_variance(counts: DataFrame, order: str, previous: str = "rows") -> DataFrame:
     """Change of each run's row count against the run before; one row per run."""
-    from pyspark.sql import Window
-
     before = F.lag(previous).over(Window.orderBy(order))  # a run log: one small row per run
     return counts.withColumn("previous_rows", before).withColumn(
         "change_pct", C.percent(F.col(previous) - F.col("previous_rows"), F.col("previous_rows"), default=None))

@@ -8,7 +8,6 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark import schemas as S
 from tidemark.functions import columns as C
 from tidemark.operators.keyed import keep_first, update_columns, with_attributes
 

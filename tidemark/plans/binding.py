@@ -13,7 +13,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark import schemas as S
-from tidemark.functions import columns as C
 from tidemark.operators import facts, health, revenue, rules
 from tidemark.operators.keyed import keep_first
 from tidemark.streaming.events import normalise
