@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import quality
+from tidemark.llm import quality, substring
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -16,6 +16,13 @@ def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def op8_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    """Words removed from every document, and the digest of the words that are left."""
+    left = substring.dedup(_table(spark, folder, "documents"))
+    kept = F.trim(F.regexp_replace(F.coalesce("text", F.lit("")), r"[\x20\x09-\x0D]+", " "))
+    return left.select("doc_id", "n_words", "n_removed", F.sha2(kept, 256).alias("kept_sha256"), "spans")
+
+
 def op9_quality_ledger(spark: SparkSession, folder: str) -> DataFrame:
     """Measurements, failed rules and the verdict of every document."""
     judged = quality.apply_policy(quality.ledger(_table(spark, folder, "documents")))
@@ -26,5 +33,6 @@ def op9_quality_ledger(spark: SparkSession, folder: str) -> DataFrame:
 
 def catalogue() -> dict[str, Query]:
     return {
+        "op8_substring_dedup": op8_substring_dedup,
         "op9_quality_ledger": op9_quality_ledger,
     }
