@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import quality, substring
+from tidemark.llm import ngram_join, quality, substring
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -16,6 +16,11 @@ def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def op4_ngram_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
+    """Set size and component of every document: 3-word shingles, similarity of 0.9 or more."""
+    return ngram_join.near_duplicates(_table(spark, folder, "documents"), size=3, percent=90)
+
+
 def op8_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
     """Words removed from every document, and the digest of the words that are left."""
     left = substring.dedup(_table(spark, folder, "documents"))
@@ -33,6 +38,7 @@ def op9_quality_ledger(spark: SparkSession, folder: str) -> DataFrame:
 
 def catalogue() -> dict[str, Query]:
     return {
+        "op4_ngram_jaccard_join": op4_ngram_jaccard_join,
         "op8_substring_dedup": op8_substring_dedup,
         "op9_quality_ledger": op9_quality_ledger,
     }
