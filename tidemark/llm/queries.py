@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import ngram_join, quality, substring
+from tidemark.llm import hmm, ngram_join, quality, substring
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -21,6 +21,11 @@ def op4_ngram_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
     return ngram_join.near_duplicates(_table(spark, folder, "documents"), size=3, percent=90)
 
 
+def op7_hmm_score(spark: SparkSession, folder: str) -> DataFrame:
+    """Likelihood of every document under word frequencies and under the trained model."""
+    return hmm.score(_table(spark, folder, "documents"))
+
+
 def op8_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
     """Words removed from every document, and the digest of the words that are left."""
     left = substring.dedup(_table(spark, folder, "documents"))
@@ -39,6 +44,7 @@ def op9_quality_ledger(spark: SparkSession, folder: str) -> DataFrame:
 def catalogue() -> dict[str, Query]:
     return {
         "op4_ngram_jaccard_join": op4_ngram_jaccard_join,
+        "op7_hmm_score": op7_hmm_score,
         "op8_substring_dedup": op8_substring_dedup,
         "op9_quality_ledger": op9_quality_ledger,
     }
