@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import hmm, ngram_join, quality, substring
+from tidemark.llm import hmm, ngram_join, quality, substring, token_ids
+from tidemark.session import scratch_folder
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -41,8 +42,17 @@ def op9_quality_ledger(spark: SparkSession, folder: str) -> DataFrame:
                          base.alias("base_failed"), "kept", "fail_mask", "n_lines", "n_upper")
 
 
+def op10_token_ids(spark: SparkSession, folder: str) -> DataFrame:
+    """Place, length and checksum of every document's ids, read back from the files."""
+    import public_tokenizers
+
+    shared = scratch_folder(spark)
+    return token_ids.read(token_ids.write(_table(spark, folder, "documents"), shared, public_tokenizers.path("byte_bpe_50k.json")), shared)
+
+
 def catalogue() -> dict[str, Query]:
     return {
+        "op10_token_ids": op10_token_ids,
         "op4_ngram_jaccard_join": op4_ngram_jaccard_join,
         "op7_hmm_score": op7_hmm_score,
         "op8_substring_dedup": op8_substring_dedup,
