@@ -3,5 +3,47 @@
 from __future__ import annotations
 
 
+def _share(parent: str, child: str, nodes: str) -> str:
+    """What each child gets of its parent's budget: weights are equal."""
+    by = f"PARTITION BY {parent}" if parent else ""
+    before = f"OVER ({by} ORDER BY lim, {child} ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)"
+    return f"""
+        SELECT *, CASE WHEN lim <= rate THEN CAST(lim AS DOUBLE)
+                       ELSE max(CASE WHEN NOT lim <= rate THEN rate END) OVER ({by}) END AS given
+        FROM (SELECT *, (budget - coalesce(sum(lim) {before}, 0)) / (count(*) OVER ({by}) - coalesce(count(*) {before}, 0)) AS rate
+              FROM ({nodes}))"""
+
+
+OP5 = f"""
+WITH docs AS (
+    SELECT doc_id, text, lang, source,
+           CASE WHEN regexp_extract(source, '\\d+') <> ''
+                THEN 'domain' || CAST(CAST(regexp_extract(source, '\\d+') AS BIGINT) // 5 AS VARCHAR) END AS domain,
+           CAST(coalesce(len(regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+')), 0) AS BIGINT) AS n_tokens
+    FROM documents),
+named AS (
+    SELECT *, coalesce('v' || domain, 'n') AS p0, coalesce('v' || lang, 'n') AS p1, coalesce('v' || source, 'n') AS p2 FROM docs),
+leaves AS (SELECT p0, p1, p2, CAST(sum(n_tokens) AS BIGINT) AS tokens FROM named GROUP BY ALL),
+l0 AS ({_share("", "p0", "SELECT p0, 2 * sum(tokens) AS lim, (SELECT CAST(sum(tokens) AS DOUBLE) FROM leaves) AS budget FROM leaves GROUP BY p0")}),
+l1 AS ({_share("p0", "p1", "SELECT a.p0, p1, lim, given AS budget FROM (SELECT p0, p1, 2 * sum(tokens) AS lim FROM leaves GROUP BY p0, p1) a "
+                          "JOIN (SELECT p0, given FROM l0) b ON a.p0 = b.p0")}),
+l2 AS ({_share("p0, p1", "p2", "SELECT a.p0, a.p1, p2, tokens, lim, given AS budget FROM (SELECT p0, p1, p2, tokens, 2 * tokens AS lim FROM leaves) a "
+                              "JOIN (SELECT p0, p1, given FROM l1) b ON a.p0 = b.p0 AND a.p1 = b.p1")}),
+quotas AS (
+    SELECT p0, p1, p2, CASE WHEN tokens > 0 THEN CAST(floor(given) AS BIGINT) // tokens ELSE 0 END AS epochs,
+           CAST(floor(given) AS BIGINT) AS quota, tokens FROM l2),
+placed AS (
+    SELECT d.*, epochs, quota - epochs * tokens AS rest,
+           sum(n_tokens) OVER (PARTITION BY d.p0, d.p1, d.p2 ORDER BY md5('1:' || CAST(epochs AS VARCHAR) || ':' || coalesce(CAST(doc_id AS VARCHAR), '')), text
+                               ROWS UNBOUNDED PRECEDING) AS running
+    FROM named d JOIN quotas q ON d.p0 = q.p0 AND d.p1 = q.p1 AND d.p2 = q.p2)
+SELECT doc_id, domain, lang, source, n_tokens,
+       CAST(epochs + CASE WHEN rest > 0 AND running <= rest THEN 1 ELSE 0 END AS BIGINT) AS copies
+FROM placed
+"""
+
+
 def statements() -> dict[str, str]:
-    return {}
+    return {
+        "op5_source_mixing": OP5,
+    }

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import hmm, ngram_join, quality, substring, token_ids
+from tidemark.llm import hmm, mixing, ngram_join, pieces, quality, substring, token_ids
 from tidemark.session import scratch_folder
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -22,6 +22,26 @@ def op4_ngram_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
     return ngram_join.near_duplicates(_table(spark, folder, "documents"), size=3, percent=90)
 
 
+def op5_source_mixing(spark: SparkSession, folder: str) -> DataFrame:
+    """How often every document stands in a mixture with equal weights and as many tokens as there are."""
+    mixed = mixing.mix(mixing.with_domain(_table(spark, folder, "documents")))
+    return mixed.select("doc_id", "domain", "lang", "source", F.col("mix_tokens").alias("n_tokens"),
+                        F.col("mix_copies").cast("long").alias("copies"))
+
+
+def op6_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
+    """Pieces of every document, and whether decoding them returns the text."""
+    import public_tokenizers
+
+    vocabulary = pieces.load(public_tokenizers.path("piece_bpe_32k.model"))
+    coded = pieces.encode(_table(spark, folder, "documents"), vocabulary, carry=("doc_id", "text"))
+    both = pieces.decode(coded, vocabulary, carry=("doc_id", "text", "ids"))
+    low, high = int(vocabulary.byte_ids.min()), int(vocabulary.byte_ids.max())
+    return both.select("doc_id", F.size("ids").cast("long").alias("n_tokens"),
+                       F.size(F.filter("ids", lambda i: i.between(low, high))).cast("long").alias("n_byte_tokens"),
+                       F.xxhash64("ids").alias("ids_hash"), (F.col("decoded") == F.coalesce("text", F.lit(""))).alias("round_trip"))
+
+
 def op7_hmm_score(spark: SparkSession, folder: str) -> DataFrame:
     """Likelihood of every document under word frequencies and under the trained model."""
     return hmm.score(_table(spark, folder, "documents"))
@@ -54,6 +74,8 @@ def catalogue() -> dict[str, Query]:
     return {
         "op10_token_ids": op10_token_ids,
         "op4_ngram_jaccard_join": op4_ngram_jaccard_join,
+        "op5_source_mixing": op5_source_mixing,
+        "op6_sentencepiece": op6_sentencepiece,
         "op7_hmm_score": op7_hmm_score,
         "op8_substring_dedup": op8_substring_dedup,
         "op9_quality_ledger": op9_quality_ledger,
