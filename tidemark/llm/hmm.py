@@ -141,7 +141,8 @@ class Symbols:
 def _symbols(answered: DataFrame, ends: int) -> Symbols:
     rows = answered.where("chunk = -1").select("n", "answer").mapInArrow(_summaries, "word long, kind int, total long, types long")
     by_class = {r.kind: r for r in rows.where("word IS NULL").groupBy("kind").agg(F.sum("total").alias("total"), F.sum("types").alias("types")).collect()}
-    top = rows.where("word IS NOT NULL").orderBy(F.desc("total"), "word").limit(FREQUENT).collect()  # a fixed number of words
+    # from 32 tasks, so that what they send grows no further with the input
+    top = rows.where("word IS NOT NULL").coalesce(32).orderBy(F.desc("total"), "word").limit(FREQUENT).collect()  # a fixed number of words
     totals, types = (np.array([getattr(by_class[k], f) if k in by_class else 0 for k in range(CLASSES)], np.int64) for f in ("total", "types"))
     tokens, vocabulary = int(totals.sum()) + ends, int(types.sum()) + (ends > 0)
     for r in top:

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import hmm, mixing, ngram_join, pieces, quality, substring, token_ids
+from tidemark.llm import ann, hmm, mixing, ngram_join, pieces, quality, substring, token_ids
 from tidemark.session import scratch_folder
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -17,6 +17,11 @@ def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def op1_nearest_vectors(spark: SparkSession, folder: str) -> DataFrame:
+    """The five nearest vectors of every 50th."""
+    return ann.neighbours(_table(spark, folder, "embeddings"), F.col("id") % 50 == 0)
+
+
 def op4_ngram_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
     """Set size and component of every document: 3-word shingles, similarity of 0.9 or more."""
     return ngram_join.near_duplicates(_table(spark, folder, "documents"), size=3, percent=90)
@@ -72,6 +77,7 @@ def op10_token_ids(spark: SparkSession, folder: str) -> DataFrame:
 
 def catalogue() -> dict[str, Query]:
     return {
+        "op1_nearest_vectors": op1_nearest_vectors,
         "op10_token_ids": op10_token_ids,
         "op4_ngram_jaccard_join": op4_ngram_jaccard_join,
         "op5_source_mixing": op5_source_mixing,
