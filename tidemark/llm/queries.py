@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import ann, hmm, mixing, ngram_join, pieces, quality, substring, token_ids
+from tidemark.llm import ann, hmm, mixing, ngram_join, pieces, quality, substring, token_ids, warc
 from tidemark.session import scratch_folder
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -22,6 +22,13 @@ def op1_nearest_vectors(spark: SparkSession, folder: str) -> DataFrame:
     return ann.neighbours(_table(spark, folder, "embeddings"), F.col("id") % 50 == 0)
 
 
+def op2_warc_archives(spark: SparkSession, folder: str) -> DataFrame:
+    """Every page as it is read back from the archives."""
+    shared = scratch_folder(spark)
+    found = warc.read(warc.write(_table(spark, folder, "pages"), shared), shared)
+    return found.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "url", "file")
+
+
 def op4_ngram_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
     """Set size and component of every document: 3-word shingles, similarity of 0.9 or more."""
     return ngram_join.near_duplicates(_table(spark, folder, "documents"), size=3, percent=90)
@@ -79,6 +86,7 @@ def catalogue() -> dict[str, Query]:
     return {
         "op1_nearest_vectors": op1_nearest_vectors,
         "op10_token_ids": op10_token_ids,
+        "op2_warc_archives": op2_warc_archives,
         "op4_ngram_jaccard_join": op4_ngram_jaccard_join,
         "op5_source_mixing": op5_source_mixing,
         "op6_sentencepiece": op6_sentencepiece,
