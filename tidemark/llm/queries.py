@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import ann, hmm, mixing, ngram_join, pieces, quality, substring, token_ids, warc
+from tidemark.llm import ann, hmm, html, mixing, ngram_join, pieces, quality, substring, token_ids, warc
 from tidemark.session import scratch_folder
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -29,6 +29,11 @@ def op2_warc_archives(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "url", "file")
 
 
+def op3_main_text(spark: SparkSession, folder: str) -> DataFrame:
+    """The article text of every page."""
+    return html.extract(_table(spark, folder, "pages"))
+
+
 def op4_ngram_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
     """Set size and component of every document: 3-word shingles, similarity of 0.9 or more."""
     return ngram_join.near_duplicates(_table(spark, folder, "documents"), size=3, percent=90)
@@ -87,6 +92,7 @@ def catalogue() -> dict[str, Query]:
         "op1_nearest_vectors": op1_nearest_vectors,
         "op10_token_ids": op10_token_ids,
         "op2_warc_archives": op2_warc_archives,
+        "op3_main_text": op3_main_text,
         "op4_ngram_jaccard_join": op4_ngram_jaccard_join,
         "op5_source_mixing": op5_source_mixing,
         "op6_sentencepiece": op6_sentencepiece,
