@@ -292,3 +292,11 @@ def decode(coded: DataFrame, vocabulary: Vocabulary, carry: tuple[str, ...] = ("
     types = dict(source.dtypes)
     texts = source.mapInArrow(run, ", ".join([*(f"{c} {types[c]}" for c in names), "decoded string"]))
     return texts.select(*(F.col(a).alias(c) for a, c in names.items()), "decoded")
+
+
+def tokenized(docs: DataFrame, vocabulary: Vocabulary) -> DataFrame:
+    """The documents with ``ids``, ``n_tokens`` and ``round_trip``: does decoding return the text?"""
+    kept = tuple(c for c in docs.columns if c not in ("ids", "n_tokens", "round_trip", "decoded"))
+    both = decode(encode(docs, vocabulary, carry=kept), vocabulary, carry=(*kept, "ids"))
+    return both.select(*kept, "ids", F.size("ids").cast("long").alias("n_tokens"),
+                       (F.col("decoded") == F.coalesce("text", F.lit(""))).alias("round_trip"))
