@@ -128,30 +128,19 @@ def failures(rules: tuple[Rule, ...] = RULES) -> Column:
     return mask
 
 
-def ledger(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", carry: tuple[str, ...] = ()) -> DataFrame:
-    """Id, measurements and ``fail_mask`` of every document, in one pass without a shuffle.
-
-    ``carry`` names columns to hand on, for a filter that keeps the documents.
-    """
-    kept = dict.fromkeys((doc_id, *carry))
-    source = docs.select(*(F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(kept)), F.col(f"`{text}`").alias("text"))
-    hand_on = [f"c{i}" for i in range(len(kept))]
+def ledger(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """Id, measurements and ``fail_mask`` of every document, in one pass without a shuffle."""
+    source = docs.select(F.col(f"`{doc_id}`").alias("id"), F.col(f"`{text}`").alias("text"))
 
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in W.slices(batch):
                 measured = measure(part.column("text"))
                 yield pa.RecordBatch.from_arrays(
-                    [part.column(c) for c in hand_on] + [pa.array(measured[m].astype(np.int64)) for m in MEASURES],
-                    names=[*hand_on, *(f"m_{m}" for m in MEASURES)])
+                    [part.column("id"), *(pa.array(measured[m].astype(np.int64)) for m in MEASURES)], names=["id", *MEASURES])
 
-    types = dict(source.dtypes)
-    schema = ", ".join([f"{c} {types[c]}" for c in hand_on] + [f"m_{m} long" for m in MEASURES])
-    measured = source.mapInArrow(judge, schema)
-    named = measured.select(*(F.col(f"m_{m}").alias(m) for m in MEASURES), *hand_on)
-    return named.select(
-        *(F.col(c).alias(name) for c, name in zip(hand_on, kept)),
-        *(m for m in MEASURES if m not in kept), failures().alias("fail_mask"))
+    schema = ", ".join([f"id {dict(source.dtypes)['id']}", *(f"{m} long" for m in MEASURES)])
+    return source.mapInArrow(judge, schema).select(F.col("id").alias(doc_id), *MEASURES, failures().alias("fail_mask"))
 
 
 def apply_policy(entries: DataFrame, policy: str = DEFAULT_POLICY) -> DataFrame:
@@ -180,5 +169,5 @@ def ablation(entries: DataFrame, policy: str = DEFAULT_POLICY) -> DataFrame:
 
 def keep_good(docs: DataFrame, policy: str = DEFAULT_POLICY) -> DataFrame:
     """The documents that the policy keeps, with their columns."""
-    judged = apply_policy(ledger(docs, carry=tuple(docs.columns)).select(*docs.columns, "fail_mask"), policy)
-    return judged.where("kept").select(*docs.columns)
+    whole = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("document"), "text")
+    return apply_policy(ledger(whole, doc_id="document"), policy).where("kept").select("document.*")

@@ -184,6 +184,10 @@ def dedup(docs: DataFrame, window: int = WINDOW, doc_id: str = "doc_id", text: s
 
 def remove_repeats(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     """The documents with repeated passages cut out and ``n_chars`` to match; same columns."""
-    others = tuple(c for c in docs.columns if c not in ("doc_id", "text"))
-    clean = dedup(docs, window, carry=others).select(*docs.columns)
-    return clean.withColumn("n_chars", F.length("text").cast("long")) if "n_chars" in docs.columns else clean
+    others = {c: f"keep_{i}" for i, c in enumerate(docs.columns) if c not in ("doc_id", "text")}
+    named = docs.select("doc_id", "text", *(F.col(f"`{c}`").alias(k) for c, k in others.items()))
+    clean = dedup(named, window, carry=tuple(others.values()))
+    fields = {c: F.col(others.get(c, c)) for c in docs.columns}
+    if "n_chars" in fields:
+        fields["n_chars"] = F.length("text").cast("long")
+    return clean.select(*(value.alias(name) for name, value in fields.items()))
