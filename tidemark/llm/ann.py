@@ -184,8 +184,11 @@ def index(rows: DataFrame, spares: int, folder: str, shard_size: int = SHARD) ->
     size = F.size("vector")
     shards = F.ceil(F.col("n") / shard_size).cast("int")
     count = nodes.groupBy(size.alias("size")).agg(F.count(F.lit(1)).alias("n"))
+    # a shard is little data and much work, so each is a task of its own
+    tasks = max(1, count.agg(F.sum(shards)).first()[0] or 0)
     dealt = (nodes.withColumn("size", size).join(count, "size")
-             .select("size", F.pmod(F.xxhash64(F.element_at("ids", 1)), shards).alias("shard"), "vector", "ids"))
+             .select("size", F.pmod(F.xxhash64(F.element_at("ids", 1)), shards).alias("shard"), "vector", "ids")
+             .repartition(tasks, "size", "shard"))
 
     def of_shard(key: tuple, rows: pa.Table) -> pa.Table:
         order = np.argsort(rows.column("ids").combine_chunks().flatten().to_numpy()[rows.column("ids").combine_chunks().offsets.to_numpy()[:-1]], kind="stable")
@@ -241,7 +244,7 @@ def search(graphs: DataFrame, queries: DataFrame, k: int, spares: int, beam: int
                     best = order[place < k]
                     yield pa.RecordBatch.from_arrays([pa.array(x[best]) for x in result], names=["query_id", "vec_id", "score"])
 
-    hits = pairs.repartition("size", "shard", "block").mapInArrow(run, FOUND)
+    hits = pairs.repartition(max(1, graphs.count() * blocks), "size", "shard", "block").mapInArrow(run, FOUND)
     rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
     return hits.withColumn("rank", rank).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
 
