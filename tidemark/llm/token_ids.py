@@ -29,6 +29,8 @@ from tidemark.llm import words as W
 
 END_ID = 2  # fixed by the contract
 SHARD_BYTES = 32 << 20  # of text
+KNOWN = 1 << 20  # different pieces a worker keeps
+ENCODED_TOGETHER = 1 << 14
 SAMPLE = 512  # documents between sampled positions
 
 
@@ -94,7 +96,46 @@ _CUT_BEFORE[0x21:0x7F] = True
 _CUT_BEFORE[0xC3:0xE0] = True
 
 
-def encode_texts(tokenizer, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+class _Known:
+    """Ids of the pieces that this worker has met, by hash; forgotten when there are too many."""
+
+    def __init__(self, tokenizer):
+        self.tokenizer = tokenizer
+        self.forget()
+
+    def forget(self) -> None:
+        self.hashes, self.bounds, self.ids = np.empty(0, np.uint64), np.zeros(1, np.int64), np.empty(0, np.uint32)
+
+    def encode(self, hashes: np.ndarray, raw: bytes, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Ids, and where each piece's begin and how many they are, for pieces ascending by hash."""
+        if len(self.hashes) > KNOWN:
+            self.forget()
+        at = np.searchsorted(self.hashes, hashes)
+        new = np.flatnonzero(self.hashes[np.minimum(at, len(self.hashes) - 1)] != hashes) if len(self.hashes) else np.arange(len(hashes))
+        if len(new):
+            lists = []
+            for i in range(0, len(new), ENCODED_TOGETHER):
+                part = new[i:i + ENCODED_TOGETHER]
+                pieces = [raw[s:e].decode("utf-8", "replace") for s, e in zip(starts[part].tolist(), ends[part].tolist())]
+                lists += [np.array(e.ids, np.uint32) for e in self.tokenizer.encode_batch_fast(pieces, add_special_tokens=False)]
+            both = np.concatenate([self.hashes, hashes[new]])
+            lengths = np.concatenate([np.diff(self.bounds), np.fromiter(map(len, lists), np.int64, len(lists))])
+            begins = W.sums(lengths)[:-1]
+            flat = np.concatenate([self.ids, *lists])
+            order = np.argsort(both, kind="stable")
+            self.hashes, size = both[order], lengths[order]
+            self.bounds = W.sums(size)
+            self.ids = flat[np.arange(len(flat)) + np.repeat(begins[order] - self.bounds[:-1], size)]
+            at = np.searchsorted(self.hashes, hashes)
+        return self.ids, self.bounds[at], self.bounds[at + 1] - self.bounds[at]
+
+
+@lru_cache(maxsize=2)
+def _known(path: str) -> _Known:
+    return _Known(_tokenizer(path))
+
+
+def encode_texts(known: _Known, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """Ids of all texts one after another, and their offsets.
 
     Each different piece between cuts is encoded once.
@@ -107,15 +148,11 @@ def encode_texts(tokenizer, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     cut[offsets] = True
     starts = np.flatnonzero(cut[:-1])
     ends = np.append(starts[1:], len(data))
-    _, first, group = np.unique(W.segment_hashes(data, starts, ends), return_index=True, return_inverse=True)
-    raw = data.tobytes()
-    pieces = [raw[s:e].decode("utf-8", "replace") for s, e in zip(starts[first].tolist(), ends[first].tolist())]
-    encoded = [e.ids for e in tokenizer.encode_batch_fast(pieces, add_special_tokens=False)]
-    lengths = np.fromiter(map(len, encoded), np.int64, len(encoded))
-    flat = np.fromiter((i for ids in encoded for i in ids), np.uint32, int(lengths.sum()))
+    hashes, first, group = np.unique(W.segment_hashes(data, starts, ends), return_index=True, return_inverse=True)
+    flat, begins, lengths = known.encode(hashes, data.tobytes(), starts[first], ends[first])
     size = lengths[group]
     at = W.sums(size)
-    ids = flat[np.arange(at[-1]) + np.repeat(W.sums(lengths)[:-1][group] - at[:-1], size)]
+    ids = flat[np.arange(at[-1]) + np.repeat(begins[group] - at[:-1], size)]
     return ids, at[np.searchsorted(starts, offsets)]
 
 
@@ -131,10 +168,10 @@ def write(docs: DataFrame, folder: str, tokenizer_path: str, end_id: int = END_I
     width = id_width(_tokenizer(tokenizer_path))
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokenizer = _tokenizer(tokenizer_path)
+        known = _known(tokenizer_path)
         for batch in batches:
             for part in W.slices(batch, size=2 * W.SLICE):
-                ids, offsets = encode_texts(tokenizer, part.column("text"))
+                ids, offsets = encode_texts(known, part.column("text"))
                 n = len(part)
                 full = np.full(len(ids) + n, end_id, f"<u{width}")
                 word = np.ones(len(full), bool)
