@@ -14,9 +14,9 @@ this one is put in order.
 
 Defined results: a null in a path column is a value of its own; an unnamed value has
 weight 1, and one with a weight of 0 or less gets nothing; a null text has no tokens;
-documents with equal order keys are taken in the order of their texts; repeated rows
-count each; an empty table gives an empty result; other columns pass through, but must
-not begin with ``mix_``.
+documents with equal ids are taken in the order of their texts' hashes; repeated rows
+count each and are taken or left together; an empty table gives an empty result; other
+columns pass through, but must not begin with ``mix_``.
 """
 
 from __future__ import annotations
@@ -26,7 +26,11 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidemark.session import scratch_folder
+
 WORD = r"[^\x20\x09-\x0D]+"
+LEVELS = ("domain", "lang", "source")
+SALTS = 64
 RANGE_DIGITS = 3  # hex digits of the order key: 4096 ranges a leaf
 
 Weights = Mapping[str, Mapping[str, float]]
@@ -80,41 +84,46 @@ def budgets(leaves: DataFrame, levels: Sequence[str], paths: Sequence[str], tota
     return leaves.join(given.select(*paths, F.floor("given").alias("quota")), list(paths))
 
 
-def mix(docs: DataFrame, levels: Sequence[str] = ("domain", "lang", "source"), total: float | None = None, max_epochs: float = 2.0,
-        weights: Weights | None = None, seed: int = 1, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """All rows of ``docs`` with ``mix_tokens`` (words) and ``mix_copies``, how often the mixture holds them.
+def ledger(docs: DataFrame, levels: Sequence[str] = LEVELS, total: float | None = None, max_epochs: float = 2.0,
+           weights: Weights | None = None, seed: int = 1, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """By row of ``docs``: id, levels, ``mix_text`` (hash), ``mix_tokens`` (words) and ``mix_copies``, how often the mixture holds it.
 
-    ``total`` defaults to the tokens of all documents.
+    ``total`` defaults to the tokens of all documents.  Texts are read once, to count
+    their words; all else happens on this narrow table, written to the shared folder.
     """
+    spark, folder = docs.sparkSession, scratch_folder(docs.sparkSession)
     paths = [f"mix_{i}" for i in range(len(levels))]
-    named = docs.withColumns({p: _name(level) for p, level in zip(paths, levels)} | {
-        "mix_tokens": F.coalesce(F.regexp_count(F.col(text), F.lit(WORD)), F.lit(0)).cast("long")})
-    epoch_key = lambda epoch: F.md5(F.concat_ws(":", F.lit(str(seed)), epoch.cast("string"), F.coalesce(F.col(doc_id).cast("string"), F.lit("")))
-                                    .cast("binary"))
-    leaves = named.groupBy(*paths).agg(F.sum("mix_tokens").alias("tokens"))
+    narrow = docs.select(
+        F.col(doc_id).alias("mix_id"), *(F.col(c).alias(f"mix_level{i}") for i, c in enumerate(levels)), *(_name(c).alias(p) for p, c in zip(paths, levels)),
+        F.xxhash64(text).alias("mix_text"), F.coalesce(F.regexp_count(F.col(text), F.lit(WORD)), F.lit(0)).cast("long").alias("mix_tokens"))
+    narrow.withColumn("mix_salt", F.pmod(F.xxhash64("mix_id", "mix_text"), F.lit(SALTS))).write.parquet(f"{folder}/rows")
+    rows = spark.read.parquet(f"{folder}/rows")
+    rows.groupBy(*paths).agg(F.sum("mix_tokens").alias("tokens")).write.parquet(f"{folder}/leaves")
+    leaves = spark.read.parquet(f"{folder}/leaves")
     if total is None:
         total = float(leaves.agg(F.sum("tokens")).first()[0] or 0)
-    quotas = budgets(leaves, levels, paths, total, max_epochs, weights or {})
     epochs = F.when(F.col("tokens") > 0, F.floor(F.col("quota") / F.col("tokens"))).otherwise(0).cast("int")
-    quotas = quotas.select(*paths, epochs.alias("mix_epochs"), (F.col("quota") - epochs * F.col("tokens")).alias("mix_rest"))
-    keyed = (named.join(quotas, paths).withColumn("mix_key", epoch_key(F.col("mix_epochs")))
-             .withColumn("mix_range", F.substring("mix_key", 1, RANGE_DIGITS)))
+    budgets(leaves, levels, paths, total, max_epochs, weights or {}).select(
+        *paths, epochs.alias("mix_epochs"), (F.col("quota") - epochs * F.col("tokens")).alias("mix_rest")).write.parquet(f"{folder}/quotas")
+    quotas = spark.read.parquet(f"{folder}/quotas")
+    # a leaf may hold a third of all rows: it meets its quota under many salts
+    salted = quotas.withColumn("mix_salt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long"))))
+    key = F.md5(F.concat_ws(":", F.lit(str(seed)), F.col("mix_epochs").cast("string"), F.coalesce(F.col("mix_id").cast("string"), F.lit(""))).cast("binary"))
+    keyed = rows.join(salted, [*paths, "mix_salt"]).withColumn("mix_key", key).withColumn("mix_range", F.substring("mix_key", 1, RANGE_DIGITS))
     sums = keyed.groupBy(*paths, "mix_range").agg(F.sum("mix_tokens").alias("tokens"), F.first("mix_rest").alias("rest"))
     running = F.sum("tokens").over(Window.partitionBy(*paths).orderBy("mix_range"))
-    # the range in which the rest runs out: the first whose running total is beyond it
-    edge = (sums.withColumn("after", running).where("after > rest").groupBy(*paths)
-            .agg(F.min(F.struct("mix_range", (F.col("after") - F.col("tokens")).alias("before"))).alias("edge"))
-            .select(*paths, F.col("edge.mix_range").alias("mix_edge"), F.col("edge.before").alias("mix_before")))
-    placed = keyed.join(edge, paths, "left")
-    within = Window.partitionBy(*paths).orderBy("mix_key", text).rowsBetween(Window.unboundedPreceding, 0)
-    ended = placed.where("mix_range = mix_edge").withColumn(
-        "mix_extra", (F.col("mix_before") + F.sum("mix_tokens").over(within) <= F.col("mix_rest")).cast("int"))
-    others = placed.where("mix_edge IS NULL OR mix_range <> mix_edge").withColumn(
-        "mix_extra", (F.col("mix_edge").isNull() | (F.col("mix_range") < F.col("mix_edge"))).cast("int"))
+    # in a range that ends within the rest all are taken, in one that begins beyond it none
+    ranges = sums.withColumn("after", running).select(
+        *paths, "mix_range", (F.col("after") - F.col("tokens")).alias("mix_before"), (F.col("after") <= F.col("rest")).alias("mix_whole"))
+    placed = keyed.join(ranges, [*paths, "mix_range"])
+    within = Window.partitionBy(*paths, "mix_range").orderBy("mix_key", "mix_text").rangeBetween(Window.unboundedPreceding, 0)
+    edge = ~F.col("mix_whole") & (F.col("mix_before") <= F.col("mix_rest"))
+    ended = placed.where(edge).withColumn("mix_extra", F.col("mix_before") + F.sum("mix_tokens").over(within) <= F.col("mix_rest"))
+    both = ended.unionByName(placed.where(~edge).withColumn("mix_extra", F.col("mix_whole")))
     # a leaf whose quota is a number of whole passes has nothing left for one more
-    extra = F.when(F.col("mix_rest") > 0, F.col("mix_extra")).otherwise(0)
-    both = ended.unionByName(others)
-    return both.select(*docs.columns, "mix_tokens", (F.col("mix_epochs") + extra).alias("mix_copies"))
+    extra = (F.col("mix_extra") & (F.col("mix_rest") > 0)).cast("int")
+    return both.select(F.col("mix_id").alias(doc_id), *(F.col(f"mix_level{i}").alias(c) for i, c in enumerate(levels)), "mix_text", "mix_tokens",
+                       (F.col("mix_epochs") + extra).alias("mix_copies"))
 
 
 def with_domain(docs: DataFrame, sources_per_domain: int = 5) -> DataFrame:
@@ -126,6 +135,9 @@ def with_domain(docs: DataFrame, sources_per_domain: int = 5) -> DataFrame:
 
 def mixture(docs: DataFrame, **settings) -> DataFrame:
     """The documents of the mixture, each as often as it holds them; same columns."""
-    mixed = mix(with_domain(docs), **settings)
-    repeated = mixed.where("mix_copies > 0").withColumn("mix_copy", F.explode(F.sequence(F.lit(1), F.col("mix_copies"))))
-    return repeated.select(*docs.columns)
+    held = ledger(with_domain(docs), **settings).where("mix_copies > 0")
+    held = held.select(F.col("doc_id").alias("mix_id"), F.col("lang").alias("mix_lang"), F.col("source").alias("mix_source"), "mix_text", "mix_copies").distinct()
+    same = (F.col("doc_id").eqNullSafe(F.col("mix_id")) & F.col("lang").eqNullSafe(F.col("mix_lang")) & F.col("source").eqNullSafe(F.col("mix_source"))
+            & (F.col("mix_hash") == F.col("mix_text")))
+    joined = docs.withColumn("mix_hash", F.xxhash64("text")).join(held, same)
+    return joined.withColumn("mix_copy", F.explode(F.sequence(F.lit(1), F.col("mix_copies")))).select(*docs.columns)

@@ -41,7 +41,7 @@ def op4_ngram_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
 
 def op5_source_mixing(spark: SparkSession, folder: str) -> DataFrame:
     """How often every document stands in a mixture with equal weights and as many tokens as there are."""
-    mixed = mixing.mix(mixing.with_domain(_table(spark, folder, "documents")))
+    mixed = mixing.ledger(mixing.with_domain(_table(spark, folder, "documents")))
     return mixed.select("doc_id", "domain", "lang", "source", F.col("mix_tokens").alias("n_tokens"),
                         F.col("mix_copies").cast("long").alias("copies"))
 
