@@ -34,7 +34,8 @@ from pyspark.sql import functions as F
 from tidemark.llm import words as W
 
 MARKER = "▁"
-CELLS = 2 << 20  # positions worked on side by side
+CELLS = 1 << 20  # positions worked on side by side
+DECODED_TOGETHER = 1 << 19  # ids
 UNKNOWN_PENALTY = 10.0
 
 
@@ -265,7 +266,7 @@ def encode(docs: DataFrame, vocabulary: Vocabulary, text: str = "text", carry: t
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in W.slices(batch, size=2 * W.SLICE):
+            for part in W.slices(batch):
                 ids, offsets = encode_texts(vocabulary, part.column("text"))
                 lists = pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), pa.array(ids.astype(np.int32)))
                 yield pa.RecordBatch.from_arrays([*(part.column(c) for c in names), lists], names=[*names, "ids"])
@@ -285,9 +286,15 @@ def decode(coded: DataFrame, vocabulary: Vocabulary, carry: tuple[str, ...] = ("
             lists = batch.column("ids")
             lists = lists.fill_null([]) if lists.null_count else lists
             offsets = lists.offsets.to_numpy().astype(np.int64)
-            ids = lists.flatten().to_numpy(zero_copy_only=False).astype(np.int64)
-            texts = decode_ids(vocabulary, ids, offsets - offsets[0])
-            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in names), pa.array(texts, pa.string())], names=[*names, "decoded"])
+            ids = lists.flatten().to_numpy(zero_copy_only=False)
+            i = 0
+            while i < len(batch):
+                j = max(i + 1, int(np.searchsorted(offsets, offsets[i] + DECODED_TOGETHER, "right")) - 1)
+                some = ids[offsets[i] - offsets[0]:offsets[j] - offsets[0]].astype(np.int64)
+                texts = decode_ids(vocabulary, some, offsets[i:j + 1] - offsets[i])
+                part = batch.slice(i, j - i)
+                yield pa.RecordBatch.from_arrays([*(part.column(c) for c in names), pa.array(texts, pa.string())], names=[*names, "decoded"])
+                i = j
 
     types = dict(source.dtypes)
     texts = source.mapInArrow(run, ", ".join([*(f"{c} {types[c]}" for c in names), "decoded string"]))
