@@ -76,10 +76,10 @@ def test_empty(frame):
 def test_divide_skip_counts_exactly():
     rng = np.random.default_rng(3)
     lists = [np.flatnonzero(rng.random(60) < p) for p in rng.random(25)]
-    starts, postings = np.concatenate([[0], np.cumsum([len(x) for x in lists])]), np.concatenate(lists)
-    times = np.bincount(postings, minlength=60)
+    starts, postings = np.concatenate([[0], np.cumsum([len(x) for x in lists])]), np.concatenate([60 * i + x for i, x in enumerate(lists)])
+    times = np.bincount(np.concatenate(lists), minlength=60)
     for need in range(1, 26):
-        which, count = ngram_join.divide_skip(np.arange(25), starts, postings, need)
+        which, count = ngram_join.divide_skip(np.arange(25), starts, postings, 60, need)
         assert which.tolist() == np.flatnonzero(times >= need).tolist()
         assert (count == times[which]).all()
 

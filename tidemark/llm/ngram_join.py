@@ -198,12 +198,15 @@ def _unsqueeze(data: bytes) -> bytes:
     return pa.decompress(data[4:], int.from_bytes(data[:4], "little"), codec="zstd", asbytes=True)
 
 
-def divide_skip(tokens: np.ndarray, starts: np.ndarray, postings: np.ndarray, need: int) -> tuple[np.ndarray, np.ndarray]:
+def divide_skip(tokens: np.ndarray, starts: np.ndarray, postings: np.ndarray, n_docs: int, need: int,
+                plausible: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
     """Documents on at least ``need`` of a query's inverted lists, and on how many.
 
-    ``tokens`` names the query's lists; list i is ``postings[starts[i]:starts[i + 1]]``,
-    ascending.  The longest lists are only probed: with L of them set aside, a document
-    must be on ``need - L`` of the short ones.
+    ``tokens`` names the query's lists.  List i is ``postings[starts[i]:starts[i + 1]]``;
+    an entry is ``i * n_docs`` plus the document, so all lists together ascend and a
+    probe of any of them is one binary search.  The longest lists are only probed: with
+    L of them set aside, a document must be on ``need - L`` of the short ones.
+    ``plausible`` marks the documents that may be found at all.
     """
     lengths = starts[tokens + 1] - starts[tokens]
     order = np.argsort(-lengths, kind="stable")
@@ -212,23 +215,25 @@ def divide_skip(tokens: np.ndarray, starts: np.ndarray, postings: np.ndarray, ne
     long = max(0, min(need - 1, int(need / (0.0085 * math.log2(max(longest, 1)) + 1))))
     short, sizes = tokens[long:], lengths[long:]
     at = np.arange(int(sizes.sum())) + np.repeat(starts[short] - W.sums(sizes)[:-1], sizes)
-    merged = np.sort(postings[at], kind="stable")  # a merge of ascending runs
+    merged = postings[at] - np.repeat(short, sizes) * n_docs
+    if plausible is not None:
+        merged = merged[plausible[merged]]
+    merged = np.sort(merged, kind="stable")  # a merge of ascending runs
     if not len(merged):
         return np.empty(0, np.int64), np.empty(0, np.int64)
     first = np.flatnonzero(np.append(True, merged[1:] != merged[:-1]))
     found, count = merged[first], np.diff(np.append(first, len(merged)))
     alive = count >= need - long
     found, count = found[alive], count[alive]
-    for i in range(long - 1, -1, -1):  # from the shortest of the long lists
-        if not len(found):
-            break
-        postlist = postings[starts[tokens[i]]:starts[tokens[i] + 1]]
-        if len(postlist):
-            place = np.searchsorted(postlist, found)
-            count = count + (postlist[np.minimum(place, len(postlist) - 1)] == found)
-        alive = count >= need - i  # i lists are still to come
-        if not alive.all():
-            found, count = found[alive], count[alive]
+    step, high = 16, long
+    while high and len(found):  # from the shortest of the long lists, ever more at a time
+        low = max(0, high - step)
+        probes = (tokens[low:high, None] * n_docs + found).ravel()
+        place = np.minimum(np.searchsorted(postings, probes), len(postings) - 1)
+        count = count + (postings[place] == probes).reshape(high - low, -1).sum(0)
+        alive = count >= need - low  # as many lists are still to come
+        found, count = found[alive], count[alive]
+        step, high = 4 * step if len(found) < 64 else step, low
     return found, count
 
 
@@ -238,9 +243,8 @@ def _search(nodes: np.ndarray, indexed: np.ndarray, gram: np.ndarray, offsets: n
     _, token = np.unique(gram, return_inverse=True)
     owner = np.repeat(np.arange(len(sizes)), sizes)
     listed = indexed[owner]
-    order = np.argsort(token[listed], kind="stable")  # by token, then by document
-    postings = owner[listed][order]
-    starts = np.searchsorted(token[listed][order], np.arange(int(token.max()) + 2))
+    postings = np.sort(token[listed] * len(sizes) + owner[listed])  # by token, then by document
+    starts = np.searchsorted(postings, np.arange(int(token.max()) + 2) * len(sizes))
     root = list(range(len(sizes)))
 
     def find(x: int) -> int:
@@ -252,7 +256,9 @@ def _search(nodes: np.ndarray, indexed: np.ndarray, gram: np.ndarray, offsets: n
     links = []
     for q in range(len(sizes)):
         n = int(sizes[q])
-        found, overlap = divide_skip(token[offsets[q]:offsets[q + 1]], starts, postings, -(-n * percent // 100))
+        plausible = (100 * sizes >= percent * n) & (100 * n >= percent * sizes)
+        plausible[q] = False
+        found, overlap = divide_skip(token[offsets[q]:offsets[q + 1]], starts, postings, len(sizes), -(-n * percent // 100), plausible)
         near = 100 * overlap >= percent * (n + sizes[found] - overlap)
         for other in found[near].tolist():
             a, b = find(q), find(other)
