@@ -102,11 +102,20 @@ def flag_anomalies(health: DataFrame, anomalies: DataFrame) -> DataFrame:
 
 # -------------------------------------------------------------- daily history
 
-def health_daily(usage: DataFrame, support: DataFrame, first_day: str, last_day: str) -> DataFrame:
-    """Health per account and calendar day between two dates (inclusive).
+def account_standing(accounts: DataFrame, subscriptions: DataFrame, billing: DataFrame) -> DataFrame:
+    """Payment and subscription status of every account; the sources keep no history of them."""
+    plan = keep_latest(subscriptions, ["account_id"], "start_date", ["subscription_id"]).select(
+        "account_id", F.col("status").alias("subscription_status"))
+    paid = billing_by_account(billing).select("account_id", "payment_status")
+    return (accounts.select("account_id").join(plan, "account_id", "left").join(paid, "account_id", "left")
+            .fillna({"payment_status": S.GOOD_STANDING}))
+
+
+def health_daily(usage: DataFrame, support: DataFrame, standing: DataFrame, first_day: str, last_day: str) -> DataFrame:
+    """Health per account of ``standing`` and calendar day between two dates (inclusive).
 
-    Covers the accounts with usage in the range.  Events, user presence, ticket
-    backlog and the calendar itself are all expressed as changes on an
+    An account without usage has a row for every day as well.  Events, user presence,
+    ticket backlog and the calendar itself are all expressed as changes on an
     (account, day); one aggregation sums them and one window accumulates them,
     so nothing is joined day by day.
     """
@@ -115,7 +124,7 @@ def health_daily(usage: DataFrame, support: DataFrame, first_day: str, last_day:
     in_range = usage.where(F.col("event_date").between(first, last)).select(
         "account_id", "user_id", F.unix_date("event_date").alias("_day"))
     events = in_range.groupBy("account_id", "_day").agg(F.count(F.lit(1)).alias("events"))
-    accounts = events.select("account_id").distinct()
+    accounts = standing.select("account_id")
     users = presence_changes(in_range, ["account_id"], "user_id", "_day",
                              {"active_users_7d": 7, "active_users_30d": 30}).drop("members")
     calendar = accounts.select("account_id", F.explode(F.sequence(first_no, last_no)).alias("_day"))
@@ -136,7 +145,7 @@ def health_daily(usage: DataFrame, support: DataFrame, first_day: str, last_day:
     stacked = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
     summed = ("events", "active_users_7d", "active_users_30d", "open_tickets_count", "unresolved_p1_tickets")
     daily = stacked.where(F.col("_day") <= last_no).groupBy("account_id", "_day").agg(
-        *[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in summed])
+        *[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in summed]).join(standing, "account_id")
 
     by_day = Window.partitionBy("account_id").orderBy("_day")
     upto = by_day.rowsBetween(Window.unboundedPreceding, 0)
@@ -147,12 +156,14 @@ def health_daily(usage: DataFrame, support: DataFrame, first_day: str, last_day:
         "_events_30d": F.sum("events").over(by_day.rowsBetween(-29, 0)),
     })
     score = C.health_score(F.col("_events_30d"), F.col("open_tickets_count"), F.col("unresolved_p1_tickets"),
-                           F.lit(S.GOOD_STANDING), F.lit("active"))
+                           F.col("payment_status"), F.col("subscription_status"))
+    shown = F.round(score, 1)
     growth = C.ratio(F.col("total_events_7d") - F.col("_prior_7d"), F.col("_prior_7d"))
     return daily.select(
         "account_id", F.date_from_unix_date("_day").alias("date_key"), "active_users_7d", "active_users_30d",
         "total_events_7d", F.round(growth, 4).alias("event_growth_wow"),
-        "open_tickets_count", "unresolved_p1_tickets", F.round(score, 1).alias("health_score"),
+        "open_tickets_count", "unresolved_p1_tickets", "payment_status", shown.alias("health_score"),
+        F.round(F.greatest(F.lit(0.02), (100.0 - shown) / 100.0), 3).alias("churn_risk_score"),
     )
 
 

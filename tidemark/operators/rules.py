@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions import columns as C
-from tidemark.operators.keyed import keep_first, update_columns, with_attributes
+from tidemark.operators.keyed import update_columns, with_attributes
 
 # Fixed values.
 HEALTH_ALERT_BELOW = 50.0
@@ -125,21 +125,23 @@ def upsert_alerts(stored: DataFrame, fired: DataFrame) -> DataFrame:
 def acknowledge(stored: DataFrame, requests: DataFrame, as_of) -> DataFrame:
     """Apply a batch of (alert_id, acknowledged_by, notes) to the alert table.
 
-    Each alert takes one request per batch (the first by name and notes);
-    acknowledging again in a later batch adds another history entry.
+    Every request adds a history entry, in the order of their times; a request
+    without ``requested_at`` counts as made at ``as_of``.  Requests of one time
+    follow by name and notes.
     """
     at = C.as_timestamp(as_of)
-    chosen = keep_first(requests, ["alert_id"], ["acknowledged_by", "notes"]).select(
-        "alert_id", F.coalesce(C.blank_to_null(F.col("acknowledged_by")), F.lit("CSM Agent")).alias("_by"),
-        C.blank_to_null(F.col("notes")).alias("_notes"), F.lit(True).alias("_hit"))
-    entry = _history_entry("ACKNOWLEDGED", at, F.col("_by"),
-                           F.concat(F.lit("Alert acknowledged by "), F.col("_by")), F.col("_notes"))
+    made = F.coalesce(C.as_timestamp(F.col("requested_at")), at) if "requested_at" in requests.columns else at
+    by = F.coalesce(C.blank_to_null(F.col("acknowledged_by")), F.lit("CSM Agent"))
+    single = requests.select("alert_id", F.struct(made.alias("at"), by.alias("by"), C.blank_to_null(F.col("notes")).alias("notes")).alias("_one"))
+    grouped = single.groupBy("alert_id").agg(F.sort_array(F.collect_list("_one")).alias("_requests"))
+    entries = F.transform("_requests", lambda r: _history_entry(
+        "ACKNOWLEDGED", r["at"], r["by"], F.concat(F.lit("Alert acknowledged by "), r["by"]), r["notes"]))
     history = F.coalesce(F.col("audit_history"), F.array().cast(f"array<{_ENTRY}>"))
-    hit = F.col("_hit").isNotNull()
-    return stored.join(chosen, "alert_id", "left").select(*[
+    hit = F.col("_requests").isNotNull()
+    return stored.join(grouped, "alert_id", "left").select(*[
         F.when(hit, F.lit("acknowledged")).otherwise(F.col("status")).alias("status") if c == "status"
-        else F.when(hit, at).otherwise(F.col(c)).alias(c) if c == "acknowledged_at"
-        else F.when(hit, F.array_append(history, entry)).otherwise(F.col(c)).alias(c) if c == "audit_history"
+        else F.when(hit, F.element_at("_requests", -1)["at"]).otherwise(F.col(c)).alias(c) if c == "acknowledged_at"
+        else F.when(hit, F.concat(history, entries)).otherwise(F.col(c)).alias(c) if c == "audit_history"
         else F.col(c)
         for c in stored.columns
     ])

@@ -1,6 +1,6 @@
 """The subscription domain, read from the general-purpose driver tables.
 
-Customers are accounts, orders are invoices, large line items are support
+Customers are accounts, orders are invoices, line items are support
 tickets and ``events`` is product telemetry.  Schemas are given, not inferred,
 so filters and column lists reach the Parquet scan unchanged.
 """
@@ -32,7 +32,8 @@ SCHEMAS = {
 USAGE_AS_OF = "2024-01-31 00:00:00"
 BILLING_AS_OF = "1995-07-01 00:00:00"
 SUPPORT_AS_OF = "2001-12-31 00:00:00"
-TICKET_MIN_QUANTITY = 49
+# Line items of this quantity are grave tickets, which may stay open; smaller ones are always resolved.
+GRAVE_FROM_QUANTITY = 49
 
 # Quotas low enough for the telemetry at hand to reach them.
 SMALL_QUOTAS = (
@@ -114,11 +115,12 @@ class Domain:
 
     def _ticket_copies(self, lines: DataFrame) -> DataFrame:
         shipped, ordered = F.col("l_shipdate"), F.col("o_orderdate")
-        resolved = (F.col("l_linestatus") == "F") & (shipped >= ordered)
-        flag, odd = F.col("l_returnflag"), F.col("l_linenumber") % 2 == 1
-        lines = lines.where(F.col("l_quantity") >= TICKET_MIN_QUANTITY).select(
+        grave = F.col("l_quantity") >= GRAVE_FROM_QUANTITY
+        resolved = ~grave | (F.col("l_linestatus") == "F") & (shipped >= ordered)
+        flag, odd = F.when(grave, F.col("l_returnflag")), F.col("l_linenumber") % 2 == 1
+        lines = lines.select(
             "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice", "l_returnflag",
-            "l_linestatus", "l_shipdate")
+            "l_linestatus", "l_shipdate", "l_quantity")
         return lines.join(
             self.table("orders").select("o_orderkey", "o_custkey", "o_orderdate"),
             F.col("l_orderkey") == F.col("o_orderkey"),
@@ -127,7 +129,7 @@ class Domain:
             F.when(flag == "A", "critical").when(flag == "R", "high").when(odd, "medium").otherwise("low")
             .alias("severity"),
             F.when(resolved, "resolved").otherwise("open").alias("status"), ordered.alias("created_at"),
-            F.when(resolved, shipped).alias("resolved_at"),
+            F.when(resolved, F.greatest(shipped, ordered)).alias("resolved_at"),
             "l_partkey", "l_suppkey", "l_extendedprice", "l_shipdate",
         )
 
@@ -198,6 +200,10 @@ class Domain:
         return health.customer_health(
             self.dim_account, self.subscription_facts, self.usage, self.support, self.billing, USAGE_AS_OF)
 
+    @cached_property
+    def standing(self) -> DataFrame:
+        return health.account_standing(self.dim_account, self.subscription_facts, self.billing)
+
     @cached_property
     def revenue(self) -> DataFrame:
         return revenue.revenue_summary(self.dim_account, self.subscription_facts, self.billing, USAGE_AS_OF)

@@ -33,7 +33,7 @@ def run_daily(spark: SparkSession, raw: dict[str, DataFrame], root: str, run_id:
         summary = _build(run, raw, as_of, recipients, train_churn)
     except Exception as problem:
         storage.append_run_audit(spark, root, run_id=run_id, layer="gold", status="FAILED", records=0,
-                                 started_at=started, completed_at=datetime.now(timezone.utc), error=str(problem)[:2000])
+                                 started_at=started, completed_at=datetime.now(timezone.utc), error=str(problem))
         raise
     # Counted from the file footers of the written tables.
     records = sum(spark.read.parquet(f"{root}/run_id={run_id}/{name}").count() for name in COUNTED_TABLES)

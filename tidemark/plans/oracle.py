@@ -20,16 +20,20 @@ def _health_daily(usage: str, first: str, last: str) -> str:
 
     return f"""SELECT account_id, strftime(d, '%Y-%m-%d') AS date_key, u7 AS active_users_7d, u30 AS active_users_30d,
         e7 AS total_events_7d, CASE WHEN prior7 > 0 THEN round((e7 - prior7) / prior7, 4) END AS event_growth_wow,
-        open_now AS open_tickets_count, p1_now AS unresolved_p1_tickets,
+        open_now AS open_tickets_count, p1_now AS unresolved_p1_tickets, payment_status, health_score,
+        round(greatest(0.02, (100.0 - health_score) / 100.0)::DOUBLE, 3) AS churn_risk_score FROM
+        (SELECT x.*, payment_status,
         round(greatest(0.0, 100.0 - CASE WHEN e30 < 50 THEN 30.0 WHEN e30 < 200 THEN 15.0 ELSE 0.0 END
-            - least(25.0, open_now * 5.0) - least(30.0, p1_now * 15.0))::DOUBLE, 1) AS health_score
+            - least(25.0, open_now * 5.0) - least(30.0, p1_now * 15.0)
+            - CASE WHEN payment_status <> 'Good Standing' THEN 25.0 ELSE 0.0 END
+            - CASE WHEN status = 'past_due' THEN 20.0 ELSE 0.0 END)::DOUBLE, 1) AS health_score
         FROM (SELECT account_id, d, {days_before('DISTINCT user_id', 0, 6)} AS u7,
             {days_before('DISTINCT user_id', 0, 29)} AS u30, {days_before('*', 0, 6)} AS e7,
             {days_before('*', 7, 13)} AS prior7, {days_before('*', 0, 29)} AS e30,
             {open_tickets('')} AS open_now, {open_tickets(" AND severity = 'critical'")} AS p1_now
             FROM (SELECT account_id, CAST(unnest(generate_series(DATE '{first}', DATE '{last}', INTERVAL 1 DAY)) AS DATE) AS d
-                FROM (SELECT DISTINCT account_id FROM {usage}
-                    WHERE event_date BETWEEN DATE '{first}' AND DATE '{last}')) x)"""
+                FROM account) x) x JOIN (SELECT account_id, payment_status FROM health) USING (account_id)
+            JOIN (SELECT account_id, status FROM subscription) USING (account_id))"""
 
 
 # Name -> SQL; a CTE may use those above it.
@@ -60,13 +64,13 @@ CTES = {
         CASE WHEN status = 'paid' THEN o_orderdate + INTERVAL 10 DAY END AS paid_at, status,
         status = 'failed' OR (status = 'open' AND due_date < TIMESTAMP '1995-07-01') AS is_overdue FROM invoice""",
     "ticket_copy": """SELECT l_orderkey * 10 + l_linenumber AS ticket_id, o_custkey AS account_id,
-        CASE WHEN l_returnflag = 'A' THEN 'critical' WHEN l_returnflag = 'R' THEN 'high'
+        CASE WHEN l_quantity >= 49 AND l_returnflag = 'A' THEN 'critical' WHEN l_quantity >= 49 AND l_returnflag = 'R' THEN 'high'
              WHEN l_linenumber % 2 = 1 THEN 'medium' ELSE 'low' END AS severity,
-        CASE WHEN l_linestatus = 'F' AND l_shipdate >= o_orderdate THEN 'resolved' ELSE 'open' END AS status,
+        CASE WHEN l_quantity < 49 OR (l_linestatus = 'F' AND l_shipdate >= o_orderdate) THEN 'resolved' ELSE 'open' END AS status,
         o_orderdate AS created_at,
-        CASE WHEN l_linestatus = 'F' AND l_shipdate >= o_orderdate THEN l_shipdate END AS resolved_at,
+        CASE WHEN l_quantity < 49 OR (l_linestatus = 'F' AND l_shipdate >= o_orderdate) THEN greatest(l_shipdate, o_orderdate) END AS resolved_at,
         l_partkey, l_suppkey, l_extendedprice, l_shipdate
-        FROM lineitem JOIN orders ON l_orderkey = o_orderkey WHERE l_quantity >= 49""",
+        FROM lineitem JOIN orders ON l_orderkey = o_orderkey""",
     "ticket": """SELECT ticket_id, account_id, severity, status, created_at, resolved_at FROM ticket_copy
         QUALIFY row_number() OVER (PARTITION BY ticket_id
             ORDER BY l_partkey, l_suppkey, l_extendedprice, l_shipdate) = 1""",
@@ -324,7 +328,7 @@ QUERIES = {
     "feature_share_of_max": """SELECT feature, count(*) AS event_count,
         round(count(*) * 100.0 / max(count(*)) OVER ())::INTEGER AS share_of_max FROM usage GROUP BY 1""",
     "daily_usage_trend": """SELECT strftime(event_date, '%Y-%m-%d') AS event_date, count(*) AS daily_events FROM usage
-        GROUP BY usage.event_date ORDER BY usage.event_date DESC LIMIT 20""",
+        GROUP BY usage.event_date ORDER BY usage.event_date DESC LIMIT 30""",
     "daily_usage_by_account": """SELECT account_id, strftime(event_date, '%Y-%m-%d') AS event_date,
         count(*) AS daily_events FROM usage GROUP BY account_id, usage.event_date""",
     "usage_tumbling": """SELECT feature, date_trunc('hour', event_timestamp) AS window_start,
@@ -341,9 +345,9 @@ QUERIES = {
         GROUP BY 1, 2""",
     "dau_mau": """SELECT strftime(d, '%Y-%m-%d') AS event_date, dau, mau, round(dau / mau, 4) AS stickiness FROM
         (SELECT event_date AS d, count(DISTINCT user_id) AS dau, (SELECT count(DISTINCT user_id) FROM user_day x
-            WHERE x.event_date BETWEEN user_day.event_date - 6 AND user_day.event_date) AS mau
+            WHERE x.event_date BETWEEN user_day.event_date - 29 AND user_day.event_date) AS mau
          FROM user_day GROUP BY event_date)""",
-    "feature_adoption": """WITH r AS (SELECT * FROM usage WHERE event_timestamp >= TIMESTAMP '2024-01-28')
+    "feature_adoption": """WITH r AS (SELECT * FROM usage WHERE event_timestamp >= TIMESTAMP '2024-01-01')
         SELECT feature, count(DISTINCT account_id) AS adopting_accounts,
         (SELECT count(DISTINCT account_id) FROM r) AS active_accounts,
         round(count(DISTINCT account_id) / (SELECT count(DISTINCT account_id) FROM r) * 100.0, 2) AS adoption_pct
@@ -453,7 +457,7 @@ QUERIES = {
         round(sum(label) FILTER (p <= 0.1) / sum(label), 4) AS recall
         FROM (SELECT label, percent_rank() OVER (ORDER BY score DESC) AS p FROM labelled)""",
     "out_of_time_split": """SELECT CASE WHEN event_timestamp < TIMESTAMP '2024-01-22' THEN 'train' ELSE 'test' END AS split,
-        feature, count(*) AS rows FROM usage WHERE event_timestamp < TIMESTAMP '2024-01-29' GROUP BY 1, 2""",
+        feature, count(*) AS rows FROM usage GROUP BY 1, 2""",
     "drift_psi": """WITH b AS (SELECT event_type, (value >= 2)::INT + (value >= 5)::INT + (value >= 10)::INT
             + (value >= 15)::INT + (value >= 20)::INT + (value >= 30)::INT + (value >= 50)::INT + (value >= 80)::INT AS bin,
             ts >= TIMESTAMP '2024-01-16' AS now FROM events WHERE value IS NOT NULL),
@@ -469,12 +473,13 @@ QUERIES = {
     "rule_critical_backlog": """SELECT account_id, count(*) AS critical_backlog, company_name, csm_owner
         FROM support JOIN account USING (account_id) WHERE severity = 'critical' AND resolved_at IS NULL
         AND support.created_at < TIMESTAMP '2001-12-31' - INTERVAL 48 HOUR
-        GROUP BY account_id, company_name, csm_owner HAVING count(*) > 1""",
+        GROUP BY account_id, company_name, csm_owner HAVING count(*) > 3""",
     "all_alerts": f"SELECT {_ALERT} FROM alert",
-    "alerts_acknowledge": """SELECT alert_id, status, acknowledged_at, CASE WHEN hit THEN 2 ELSE 1 END AS entries,
+    "alerts_acknowledge": """SELECT alert_id, status, acknowledged_at, CASE WHEN hit THEN 3 ELSE 1 END AS entries,
+        CASE WHEN hit THEN '- > Account team > Finance' ELSE '-' END AS actors,
         CASE WHEN hit THEN 'ACKNOWLEDGED' ELSE 'TRIGGERED' END AS last_action,
         CASE WHEN hit THEN 'Finance' END AS last_by, notes AS last_notes FROM acked""",
-    "alerts_acknowledge_errors": """SELECT alert_id, 'Alert not found' AS error FROM request
+    "alerts_acknowledge_errors": """SELECT alert_id, 'Alert not found' AS error FROM request, (VALUES (1), (2)) v(n)
         WHERE alert_id NOT IN (SELECT alert_id FROM alert)""",
     "alerts_upsert": """WITH fired AS (SELECT concat('alt_health_', account_id) AS alert_id, 'critical' AS severity,
             concat('Account health score deteriorated to ', health_score, ' (Critical tier).') AS trigger_reason
@@ -621,6 +626,17 @@ QUERIES |= {
         month(d)::INTEGER AS month, day(d)::INTEGER AS day, (isodow(d) - 1)::INTEGER AS day_of_week,
         isodow(d) >= 6 AS is_weekend FROM (SELECT DISTINCT CAST(ts AS DATE) AS d FROM once)""",
     # Closed: the end has passed the newest event less the two hours of delay.
+    "stream_malformed": """SELECT CASE WHEN o_orderpriority = '4-NOT SPECIFIED' THEN 'Billing event missing required field: status'
+            ELSE 'Malformed record' END AS reason,
+        CASE WHEN o_orderpriority = '4-NOT SPECIFIED' THEN CAST(o_orderkey AS VARCHAR)
+             ELSE concat('{"event_id":"b', o_orderkey, '","account_id":"', o_custkey, '","invoice_id":"', o_orderkey, '","amount":',
+                CAST(CAST(o_totalprice AS DECIMAL(10,2)) AS VARCHAR), ',"status":"paid","timestamp":"',
+                CASE WHEN o_orderpriority = '3-MEDIUM' THEN 'noon"}' ELSE strftime(o_orderdate, '%Y-%m-%dT%H:%M:%S') || '"' END) END AS record
+        FROM orders WHERE o_orderpriority IN ('3-MEDIUM', '4-NOT SPECIFIED', '5-LOW')""",
+    "stream_malformed_metrics": """SELECT 'billing.events' AS topic, count(*) + count(*) FILTER (o_orderkey % 10 = 0) AS received,
+        count(*) AS published, count(*) FILTER (o_orderkey % 10 = 0) AS duplicates_dropped,
+        count(*) FILTER (o_orderpriority IN ('3-MEDIUM', '4-NOT SPECIFIED', '5-LOW')) AS dead_lettered,
+        count(*) FILTER (o_orderpriority NOT IN ('3-MEDIUM', '4-NOT SPECIFIED', '5-LOW')) AS consumed FROM orders""",
     "stream_windowed_usage": f"""SELECT * FROM ({QUERIES['usage_tumbling']})
         WHERE window_end <= (SELECT max(ts) FROM events) - INTERVAL 2 HOUR""",
     "stream_sessions": f"""SELECT user_id, session_start AS window_start, session_end + INTERVAL 1 HOUR AS window_end, event_count

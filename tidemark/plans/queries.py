@@ -18,7 +18,7 @@ from tidemark.plans.binding import Domain
 from tidemark.session import scratch_folder
 from tidemark.sources import bronze, storage
 from tidemark.streaming import effects, events as stream, windows
-from tidemark.streaming.live import LiveJob
+from tidemark.streaming.live import LiveJob, read_topics
 
 _CATALOGUE: dict[str, Callable[[Domain], DataFrame]] = {}
 
@@ -314,7 +314,7 @@ def _date_text(df: DataFrame, column: str = "event_date") -> DataFrame:
 
 @query
 def daily_usage_trend(d: Domain) -> DataFrame:
-    return _date_text(usage.daily_usage_trend(d.usage, 20))
+    return _date_text(usage.daily_usage_trend(d.usage))
 
 
 @query
@@ -339,12 +339,12 @@ def usage_session(d: Domain) -> DataFrame:
 
 @query
 def dau_mau(d: Domain) -> DataFrame:
-    return _date_text(usage.dau_mau(d.usage, 7))
+    return _date_text(usage.dau_mau(d.usage))
 
 
 @query
 def feature_adoption(d: Domain) -> DataFrame:
-    return usage.feature_adoption(d.usage, B.USAGE_AS_OF, 3)
+    return usage.feature_adoption(d.usage, B.USAGE_AS_OF)
 
 
 @query
@@ -359,13 +359,13 @@ def sla_breach_rate(d: Domain) -> DataFrame:
 
 @query
 def health_daily(d: Domain) -> DataFrame:
-    return _date_text(health.health_daily(d.usage, d.support, "2024-01-01", "2024-01-30"), "date_key")
+    return _date_text(health.health_daily(d.usage, d.support, d.standing, "2024-01-01", "2024-01-30"), "date_key")
 
 
 @query
 def rule_health_drop_wow(d: Domain) -> DataFrame:
     """Weekly falls in a quarter with tickets; orders stand in for usage there."""
-    daily = health.health_daily(d.order_usage, d.support, "1998-01-01", "1998-03-31")
+    daily = health.health_daily(d.order_usage, d.support, d.standing, "1998-01-01", "1998-03-31")
     return _date_text(health.health_drops(daily), "date_key")
 
 
@@ -475,7 +475,7 @@ def churn_risk_tiers(d: Domain) -> DataFrame:
 
 @query
 def churn_model_scores(d: Domain) -> DataFrame:
-    model, _ = churn.train_churn_model(churn.churn_features(d.health), trees=20)
+    model, _ = churn.train_churn_model(churn.churn_features(d.health))
     return churn.score_accounts(model, d.health)
 
 
@@ -506,7 +506,7 @@ def recall_top_decile(d: Domain) -> DataFrame:
 
 @query
 def out_of_time_split(d: Domain) -> DataFrame:
-    split = evaluation.out_of_time_split(d.usage, "event_timestamp", "2024-01-22 00:00:00", "2024-01-29 00:00:00")
+    split = evaluation.out_of_time_split(d.usage, "event_timestamp", "2024-01-22 00:00:00")
     return split.groupBy("split", "feature").agg(F.count(F.lit(1)).alias("rows"))
 
 
@@ -542,7 +542,7 @@ def rule_support(d: Domain) -> DataFrame:
 
 @query
 def rule_critical_backlog(d: Domain) -> DataFrame:
-    return rules.rule_critical_backlog(d.support, d.dim_account, B.SUPPORT_AS_OF, more_than=1)
+    return rules.rule_critical_backlog(d.support, d.dim_account, B.SUPPORT_AS_OF)
 
 
 @query
@@ -555,11 +555,14 @@ def _acknowledged(d: Domain) -> DataFrame:
 
 
 def _requests(d: Domain) -> DataFrame:
-    """Finance acknowledges every urgent invoice; most of them never raised an alert."""
+    """Finance acknowledges every urgent invoice, the account team before it; most never raised an alert."""
     urgent = d.table("orders").where(F.col("o_orderpriority") == "1-URGENT")
-    return urgent.select(
-        F.concat(F.lit("alt_bill_"), F.col("o_orderkey")).alias("alert_id"), F.lit("Finance").alias("acknowledged_by"),
-        F.when(F.col("o_totalprice") > 100000, "call first").alias("notes"))
+    finance = F.struct(F.lit("Finance").alias("acknowledged_by"), F.when(F.col("o_totalprice") > 100000, "call first").alias("notes"),
+                       F.lit("2024-02-01 00:00:00").cast("timestamp").alias("requested_at"))
+    team = F.struct(F.lit("Account team").alias("acknowledged_by"), F.lit(None).cast("string").alias("notes"),
+                    F.lit("2024-01-31 18:00:00").cast("timestamp").alias("requested_at"))
+    both = urgent.select(F.concat(F.lit("alt_bill_"), F.col("o_orderkey")).alias("alert_id"), F.explode(F.array(finance, team)).alias("r"))
+    return both.select("alert_id", "r.*")
 
 
 @query
@@ -567,6 +570,7 @@ def alerts_acknowledge(d: Domain) -> DataFrame:
     last = F.element_at("audit_history", -1)
     return _acknowledged(d).select(
         "alert_id", "status", "acknowledged_at", F.size("audit_history").alias("entries"),
+        F.array_join(F.transform("audit_history", lambda e: F.coalesce(e["acknowledged_by"], F.lit("-"))), " > ").alias("actors"),
         last["action"].alias("last_action"), last["acknowledged_by"].alias("last_by"),
         last["notes"].alias("last_notes"))
 
@@ -866,6 +870,38 @@ def stream_job_metrics(d: Domain) -> DataFrame:
     return _live(d).metrics()
 
 
+def _feed(d: Domain) -> LiveJob:
+    """Billing events as lines of text, in three files and a fourth with a tenth of
+    them again, drained one file a batch.  Some lines are cut off, some have a
+    time that is none, some no status."""
+    root, at = scratch_folder(d.spark), F.date_format("o_orderdate", "yyyy-MM-dd'T'HH:mm:ss")
+    priority, amount = F.col("o_orderpriority"), F.col("o_totalprice").cast("decimal(10,2)").cast("string")
+    status = F.when(priority == "4-NOT SPECIFIED", "").otherwise('"status":"paid",')
+    time = F.when(priority == "3-MEDIUM", "noon").otherwise(at)
+    line = F.concat(F.lit('{"event_id":"b'), "o_orderkey", F.lit('","account_id":"'), "o_custkey", F.lit('","invoice_id":"'), "o_orderkey",
+                    F.lit('","amount":'), amount, F.lit(","), status, F.lit('"timestamp":"'), time, F.lit('"'))
+    lines = d.table("orders").select("o_orderkey", F.concat(line, F.when(priority == "5-LOW", "").otherwise("}")).alias("value"))
+    lines.select("value").repartition(3).write.text(f"{root}/in/billing.events")
+    lines.where("o_orderkey % 10 = 0").select("value").coalesce(1).write.mode("append").text(f"{root}/in/billing.events")
+    job = LiveJob(d.spark, f"{root}/live", clock=lambda: datetime.fromisoformat(B.USAGE_AS_OF).replace(tzinfo=timezone.utc))
+    job.start(read_topics(d.spark, f"{root}/in", 1, ["billing.events"]), f"{root}/checkpoint").awaitTermination()
+    return job
+
+
+@query
+def stream_malformed(d: Domain) -> DataFrame:
+    """Dead letters of a feed with unreadable lines, with their text."""
+    job = _feed(d)
+    return job.table("dead_letters", job.LETTERS).select(
+        F.col("_fatal_error").alias("reason"), F.coalesce("_raw", "invoice_id").alias("record"))
+
+
+@query
+def stream_malformed_metrics(d: Domain) -> DataFrame:
+    """What became of every line of that feed."""
+    return _feed(d).metrics()
+
+
 @query
 def stream_windowed_usage(d: Domain) -> DataFrame:
     """Hourly counts the watermark has closed."""

@@ -38,12 +38,18 @@ EVENT_FIELDS = tuple(EVENT_TYPES)
 COPY_ORDER = ("_topic", "severity", "status", "amount", "invoice_id", "ticket_id", "user_id")
 EVENT_DDL = ", ".join(f"{name} {kind}" for name, kind in EVENT_TYPES.items()) + (
     ", payload STRUCT<session_duration_ms: INT, client_ip: STRING>")
+# A line that does not parse, or a field that does not have its type, is kept whole.
+READ_DDL = f"{EVENT_DDL}, _corrupt_record STRING"
 
 
 def normalise(events: DataFrame, topic: str) -> DataFrame:
-    """Bring one topic to the common shape; fields it lacks become null."""
+    """Bring one topic to the common shape; fields it lacks become null.
+
+    ``_raw`` is the text of a record that could not be read as such, else null.
+    """
+    raw = F.col("_corrupt_record") if "_corrupt_record" in events.columns else F.lit(None).cast("string")
     return events.select(
-        F.lit(topic).alias("_topic"),
+        F.lit(topic).alias("_topic"), raw.alias("_raw"),
         *[(F.col(f) if f in events.columns else F.lit(None).cast(kind)).alias(f) for f, kind in EVENT_TYPES.items()],
     )
 
@@ -51,14 +57,14 @@ def normalise(events: DataFrame, topic: str) -> DataFrame:
 def with_envelope(events: DataFrame, published_at, max_retries: int = MAX_RETRIES) -> DataFrame:
     """Fill a missing id and timestamp and add the delivery columns.
 
-    The id is derived from the content, so delivering an event twice gives the
-    same id and the copy is recognised.
+    The id is derived from the content, the text of an unreadable record included,
+    so delivering an event twice gives the same id and the copy is recognised.
     """
     at = C.as_timestamp(published_at)
-    content = F.sha2(F.to_json(F.struct("_topic", *EVENT_FIELDS)), 256)
+    content = F.sha2(F.to_json(F.struct("_topic", "_raw", *EVENT_FIELDS)), 256)
     return (
         events.withColumn("event_id", F.coalesce(
-            F.col("event_id").cast("string"), F.concat(F.lit("evt_"), F.substring(content, 1, 24))))
+            F.col("event_id").cast("string"), F.concat(F.lit("evt_"), content)))
         .withColumn("timestamp", F.coalesce("timestamp", at))
         .withColumn("_published_at", at)
         .withColumn("_retry_count", F.lit(0))
@@ -69,9 +75,10 @@ def with_envelope(events: DataFrame, published_at, max_retries: int = MAX_RETRIE
 
 
 def with_error(events: DataFrame) -> DataFrame:
-    """Add ``_error``: unknown topic, or the first required field that is missing."""
+    """Add ``_error``: unknown topic, unreadable record, or the first required field that is missing."""
     error = F.when(~F.col("_topic").isin(*TOPICS) | F.col("_topic").isNull(),
                    F.concat(F.lit("Unknown topic: "), F.coalesce("_topic", F.lit(""))))
+    error = error.when(F.col("_raw").isNotNull(), "Malformed record")
     for topic, fields in REQUIRED.items():
         missing = C.first_missing(fields)
         error = error.when((F.col("_topic") == topic) & missing.isNotNull(),

@@ -25,38 +25,45 @@ from tidemark.sources.storage import table_exists
 from tidemark.streaming import effects, events as E
 
 LATE_AFTER = "2 hours"
+FILES_PER_BATCH = 1_000
+OFFSETS_PER_BATCH = 10_000_000
 MAX_LISTED_DATES = 40
 MAX_LISTED_KEYS = 10_000
 
 
 # ----------------------------------------------------------------- sources
 
-def read_topics(spark: SparkSession, root: str, files_per_batch: int | None = None) -> DataFrame:
-    """The four topics as one stream, from ``<root>/<topic>`` folders of JSON Lines."""
+def read_topics(spark: SparkSession, root: str, files_per_batch: int = FILES_PER_BATCH,
+                topics: Sequence[str] = E.TOPICS) -> DataFrame:
+    """The topics as one stream, from ``<root>/<topic>`` folders of JSON Lines.
+
+    A batch takes up to ``files_per_batch`` files of each topic, so a backlog is
+    worked off in batches of bounded size.
+    """
     def topic(name: str) -> DataFrame:
-        reader = spark.readStream.schema(E.EVENT_DDL)
-        if files_per_batch:
-            reader = reader.option("maxFilesPerTrigger", files_per_batch)
+        reader = spark.readStream.schema(E.READ_DDL).option("columnNameOfCorruptRecord", "_corrupt_record")
+        reader = reader.option("maxFilesPerTrigger", files_per_batch)
         return E.normalise(reader.json(f"{root}/{name}"), name)
 
-    return reduce(DataFrame.unionByName, [topic(name) for name in E.TOPICS])
+    return reduce(DataFrame.unionByName, [topic(name) for name in topics])
 
 
-def kafka_options(servers: str, topics: Sequence[str] = E.TOPICS, max_offsets: int | None = None) -> dict[str, str]:
+def kafka_options(servers: str, topics: Sequence[str] = E.TOPICS, max_offsets: int = OFFSETS_PER_BATCH) -> dict[str, str]:
     """Options of ``spark.readStream.format("kafka")``; parse with ``from_kafka``."""
     unknown = set(topics) - set(E.TOPICS)
     if unknown:
         raise ValueError(f"Unknown topic: {sorted(unknown)}")
     options = {"kafka.bootstrap.servers": servers, "subscribe": ",".join(topics), "failOnDataLoss": "true"}
-    if max_offsets:
-        options["maxOffsetsPerTrigger"] = str(max_offsets)
+    options["maxOffsetsPerTrigger"] = str(max_offsets)
     return options
 
 
 def from_kafka(records: DataFrame) -> DataFrame:
     """Kafka records (topic, value) to the common event shape."""
-    parsed = records.select(F.col("topic").alias("_topic"), F.from_json(F.col("value").cast("string"), E.EVENT_DDL).alias("e"))
-    return parsed.select("_topic", *[F.col(f"e.{f}").alias(f) for f in E.EVENT_FIELDS])
+    text = F.col("value").cast("string")
+    parsed = records.select(F.col("topic").alias("_topic"), F.from_json(
+        text, E.READ_DDL, {"columnNameOfCorruptRecord": "_corrupt_record"}).alias("e"))
+    return parsed.select("_topic", F.col("e._corrupt_record").alias("_raw"), *[F.col(f"e.{f}").alias(f) for f in E.EVENT_FIELDS])
 
 
 # ---------------------------------------------------------------- the job
@@ -117,7 +124,7 @@ class LiveJob:
     LOG = ("topic STRING, received BIGINT, published BIGINT, duplicates_dropped BIGINT, dead_lettered BIGINT, "
            "consumed BIGINT, max_ts TIMESTAMP")
     LETTERS = (", ".join(f"{n} {t}" for n, t in E.EVENT_TYPES.items())
-               + ", _topic STRING, _event_hash STRING, event_date DATE, _published_at TIMESTAMP, _retry_count INT, "
+               + ", _topic STRING, _raw STRING, _event_hash STRING, event_date DATE, _published_at TIMESTAMP, _retry_count INT, "
                  "_max_retries INT, _last_error STRING, _fatal_error STRING, _dead_lettered_at TIMESTAMP")
     REDRIVES = "_event_hash STRING, republished BOOLEAN"
     DATES = ("date_key STRING, full_date DATE, year INT, quarter INT, month INT, day INT, day_of_week INT, "
