@@ -159,6 +159,10 @@ def test_frames(frame, odd, clash, vocabulary):
     rows = [*odd, odd[6]]
     docs = clash(frame(rows))
     got = pieces.tokenized(docs, vocabulary)
-    assert got.columns == [c for c in docs.columns if c not in ("ids", "decoded")] + ["ids", "n_tokens", "round_trip"]
+    assert got.columns == [c for c in docs.columns if c != "ids"] + ["ids", "n_tokens", "round_trip"]
     assert got.count() == len(rows) and got.where("NOT round_trip").count() == 0
     assert pieces.tokenized(frame([]), vocabulary).count() == 0
+    texts = pieces.decode(got, vocabulary, carry=("doc_id", "text", "decoded"))
+    assert texts.columns[:2] == ["doc_id", "text"] and texts.drop("decoded").count() == len(rows)
+    plain = pieces.decode(pieces.encode(frame(rows), vocabulary, carry=("doc_id", "text")), vocabulary, carry=("doc_id", "text"))
+    assert plain.where("decoded <> coalesce(text, '')").count() == 0

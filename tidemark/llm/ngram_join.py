@@ -11,7 +11,8 @@ The join is exact.  Two steps cut it into searches of bounded size:
    documents; for a query, the short lists are merged and counted, the long ones are
    probed by binary search for the few documents still able to reach the overlap.
 
-Large gatherings are searched in blocks: every member queries every block.
+Large gatherings are cut into blocks and searched by pairs of blocks, so that no search
+holds more than two.
 
 Defined results: words are folded from A-Z to a-z; with fewer words than ``size`` the
 whole sequence is the only n-gram; a text without words (or null) has an empty set and
@@ -39,8 +40,8 @@ from tidemark.session import scratch_folder
 SIZE = 5  # words
 PERCENT = 80  # similarity
 BAND = 1.5  # largest set by smallest of a band
-BLOCK = 1_000_000  # n-grams in the inverted lists of one search
-BATCH = 2_000_000  # n-grams of the searches that a task call makes
+BLOCK = 400_000  # n-grams in the inverted lists of one search
+BATCH = 400_000  # n-grams of the searches that a task call makes
 
 
 def sets_of(w: W.Words, size: int) -> tuple[np.ndarray, np.ndarray]:
@@ -238,7 +239,10 @@ def divide_skip(tokens: np.ndarray, starts: np.ndarray, postings: np.ndarray, n_
 
 
 def _search(nodes: np.ndarray, indexed: np.ndarray, gram: np.ndarray, offsets: np.ndarray, percent: int) -> list[tuple[int, int]]:
-    """Links that join the documents of one search; those that join nothing new are left out."""
+    """Links that join the documents of one search; those that join nothing new are left out.
+
+    Where some are not indexed, these query the indexed ones, else all query all.
+    """
     sizes = np.diff(offsets)
     _, token = np.unique(gram, return_inverse=True)
     owner = np.repeat(np.arange(len(sizes)), sizes)
@@ -254,7 +258,7 @@ def _search(nodes: np.ndarray, indexed: np.ndarray, gram: np.ndarray, offsets: n
         return x
 
     links = []
-    for q in range(len(sizes)):
+    for q in np.flatnonzero(~indexed) if not indexed.all() else range(len(sizes)):
         n = int(sizes[q])
         plausible = (100 * sizes >= percent * n) & (100 * n >= percent * sizes)
         plausible[q] = False
@@ -274,21 +278,23 @@ def _links(members: DataFrame, texts: DataFrame, size: int, percent: int) -> Dat
     weight = members.join(blocks, "center").agg(F.sum(F.col("n") * F.col("blocks"))).first()[0] or 0
     batches = max(1, math.ceil(weight / BATCH))
     searches = (members.join(blocks, "center")
-                .withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-                .select("center", "block", "node",
-                        (F.pmod(F.xxhash64("node"), F.col("blocks")) == F.col("block")).alias("indexed"),
-                        F.pmod(F.xxhash64("center", "block"), F.lit(batches)).cast("int").alias("batch")))
+                .withColumn("own", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
+                .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+                .withColumns({"block": F.least("own", "other"), "against": F.greatest("own", "other")})
+                .select("center", "block", "against", "node", (F.col("own") == F.col("block")).alias("indexed"),
+                        F.pmod(F.xxhash64("center", "block", "against"), F.lit(batches)).cast("int").alias("batch")))
 
     def of_batch(rows: pa.Table) -> pa.Table:
-        rows = rows.sort_by([("center", "ascending"), ("block", "ascending"), ("node", "ascending"), ("squeezed", "ascending")])
-        center, block = (rows.column(c).to_numpy() for c in ("center", "block"))
+        search = ("center", "block", "against")
+        rows = rows.sort_by([(c, "ascending") for c in (*search, "node", "squeezed")])
+        named = [rows.column(c).to_numpy() for c in search]
         node, indexed = (rows.column(c).to_numpy() for c in ("node", "indexed"))
-        first = np.flatnonzero(np.append(True, (center[1:] != center[:-1]) | (block[1:] != block[:-1])))
+        first = np.flatnonzero(np.append(True, np.any([c[1:] != c[:-1] for c in named], axis=0)))
         known: dict[bytes, int] = {}
         which = np.array([known.setdefault(s, len(known)) for s in rows.column("squeezed").to_pylist()])
         gram, offsets = sets_of(W.split(pa.array(map(_unsqueeze, known), pa.binary())), size)
         links: set[tuple[int, int]] = set()
-        for low, high in zip(first, [*first[1:], len(center)]):
+        for low, high in zip(first, [*first[1:], len(node)]):
             texts_here = which[low:high]
             length = offsets[texts_here + 1] - offsets[texts_here]
             bounds = W.sums(length)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from tidemark.llm.quality import BASE, DEFAULT_POLICY, POLICIES, RULES, mask_of
+
 
 def _share(parent: str, child: str, nodes: str) -> str:
     """What each child gets of its parent's budget: weights are equal."""
@@ -43,7 +45,46 @@ FROM placed
 """
 
 
+WORDS = "SELECT doc_id, coalesce(text, '') AS text, regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS w FROM documents"
+
+
+def _windows(size: int) -> str:
+    """Every window of words, as its text (words have no spaces in them)."""
+    return f"""SELECT doc_id, s, array_to_string(w[s:s + {size - 1}], ' ') AS k
+        FROM (SELECT doc_id, w, unnest(range(1, len(w) - {size - 2})) AS s FROM docs)"""
+
+
+OP8 = f"""
+WITH docs AS ({WORDS}),
+later AS (
+    SELECT doc_id, s FROM ({_windows(20)}) QUALIFY row_number() OVER (PARTITION BY k ORDER BY doc_id, s) > 1),
+gone AS (SELECT DISTINCT doc_id, s + unnest(range(0, 20)) AS p FROM later),
+placed AS (SELECT doc_id, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS p FROM docs),
+kept AS (
+    SELECT doc_id, string_agg(word, ' ' ORDER BY p) AS text FROM placed ANTI JOIN gone USING (doc_id, p) GROUP BY doc_id)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n, 0) AS n_removed, sha256(coalesce(kept.text, '')) AS kept_sha256
+FROM docs LEFT JOIN kept USING (doc_id) LEFT JOIN (SELECT doc_id, count(*) AS n FROM gone GROUP BY doc_id) USING (doc_id)
+"""
+
+OP9 = f"""
+WITH docs AS ({WORDS}),
+twice AS (SELECT doc_id, s FROM ({_windows(8)}) QUALIFY count(*) OVER (PARTITION BY doc_id, k) > 1),
+repeated AS (SELECT doc_id, count(DISTINCT p) AS n FROM (SELECT doc_id, s + unnest(range(0, 8)) AS p FROM twice) GROUP BY doc_id),
+measured AS (
+    SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(length(array_to_string(w, '')) AS BIGINT) AS word_chars,
+           CAST(length(regexp_replace(text, '[^#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols,
+           CAST(len(lines) - len(list_distinct(lines)) AS BIGINT) AS n_dup_lines, coalesce(n, 0) AS n_repeat_words,
+           CAST(len(lines) AS BIGINT) AS n_lines, CAST(length(regexp_replace(text, '[^A-Z]', '', 'g')) AS BIGINT) AS n_upper
+    FROM (SELECT *, list_filter(string_split(text, chr(10)), lambda x: regexp_matches(x, '[^\\x20\\x09-\\x0D]')) AS lines FROM docs)
+    LEFT JOIN repeated USING (doc_id)),
+ruled AS (SELECT *, CAST({" + ".join(f"CASE WHEN {r.fails} THEN {1 << r.bit} ELSE 0 END" for r in RULES)} AS BIGINT) AS fail_mask FROM measured)
+SELECT *, fail_mask & {mask_of(BASE)} <> 0 AS base_failed, fail_mask & {mask_of(POLICIES[DEFAULT_POLICY])} = 0 AS kept FROM ruled
+"""
+
+
 def statements() -> dict[str, str]:
     return {
         "op5_source_mixing": OP5,
+        "op8_substring_dedup": OP8,
+        "op9_quality_ledger": OP9,
     }

@@ -260,7 +260,7 @@ def _carried(docs: DataFrame, columns: dict[str, str]) -> DataFrame:
 
 
 def encode(docs: DataFrame, vocabulary: Vocabulary, text: str = "text", carry: tuple[str, ...] = ("doc_id",)) -> DataFrame:
-    """The carried columns and ``ids``, the pieces of ``text``; no shuffle."""
+    """The carried columns, ``ids`` (the pieces of ``text``) and ``round_trip`` (decoding them returns it); no shuffle."""
     names = {f"c{i}": c for i, c in enumerate(carry)}
     source = _carried(docs, names | {"text": text})
 
@@ -269,11 +269,13 @@ def encode(docs: DataFrame, vocabulary: Vocabulary, text: str = "text", carry: t
             for part in W.slices(batch):
                 ids, offsets = encode_texts(vocabulary, part.column("text"))
                 lists = pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), pa.array(ids.astype(np.int32)))
-                yield pa.RecordBatch.from_arrays([*(part.column(c) for c in names), lists], names=[*names, "ids"])
+                back = decode_ids(vocabulary, ids.astype(np.int64), offsets)
+                same = [a == (b or "") for a, b in zip(back, part.column("text").to_pylist())]
+                yield pa.RecordBatch.from_arrays([*(part.column(c) for c in names), lists, pa.array(same, pa.bool_())], names=[*names, "ids", "same"])
 
     types = dict(source.dtypes)
-    coded = source.mapInArrow(run, ", ".join([*(f"{c} {types[c]}" for c in names), "ids array<int>"]))
-    return coded.select(*(F.col(a).alias(c) for a, c in names.items()), "ids")
+    coded = source.mapInArrow(run, ", ".join([*(f"{c} {types[c]}" for c in names), "ids array<int>", "same boolean"]))
+    return coded.select(*(F.col(a).alias(c) for a, c in names.items()), "ids", F.col("same").alias("round_trip"))
 
 
 def decode(coded: DataFrame, vocabulary: Vocabulary, carry: tuple[str, ...] = ("doc_id",)) -> DataFrame:
@@ -303,7 +305,5 @@ def decode(coded: DataFrame, vocabulary: Vocabulary, carry: tuple[str, ...] = ("
 
 def tokenized(docs: DataFrame, vocabulary: Vocabulary) -> DataFrame:
     """The documents with ``ids``, ``n_tokens`` and ``round_trip``: does decoding return the text?"""
-    kept = tuple(c for c in docs.columns if c not in ("ids", "n_tokens", "round_trip", "decoded"))
-    both = decode(encode(docs, vocabulary, carry=kept), vocabulary, carry=(*kept, "ids"))
-    return both.select(*kept, "ids", F.size("ids").cast("long").alias("n_tokens"),
-                       (F.col("decoded") == F.coalesce("text", F.lit(""))).alias("round_trip"))
+    kept = tuple(c for c in docs.columns if c not in ("ids", "n_tokens", "round_trip"))
+    return encode(docs, vocabulary, carry=kept).select(*kept, "ids", F.size("ids").cast("long").alias("n_tokens"), "round_trip")

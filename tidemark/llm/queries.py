@@ -67,7 +67,7 @@ def op8_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
     """Words removed from every document, and the digest of the words that are left."""
     left = substring.dedup(_table(spark, folder, "documents"))
     kept = F.trim(F.regexp_replace(F.coalesce("text", F.lit("")), r"[\x20\x09-\x0D]+", " "))
-    return left.select("doc_id", "n_words", "n_removed", F.sha2(kept, 256).alias("kept_sha256"), "spans")
+    return left.select("doc_id", "n_words", "n_removed", F.sha2(kept, 256).alias("kept_sha256"))
 
 
 def op9_quality_ledger(spark: SparkSession, folder: str) -> DataFrame:
