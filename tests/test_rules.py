@@ -120,3 +120,14 @@ def test_risk_tiers(spark):
     assert got == {"a": ("High", "Schedule Executive Retention Review"), "b": ("Medium", "Schedule Customer Success Check-in"),
                    "c": ("Medium", "Schedule Customer Success Check-in"), "d": ("Low", "Continue Monitoring"),
                    "e": ("Unknown", "Train churn model first")}
+
+
+def test_every_request_for_an_alert_is_kept(spark):
+    from datetime import datetime
+    stored = spark.createDataFrame([("alt_1", "open", None, None), ("alt_2", "open", None, None)],
+                                   f"alert_id STRING, status STRING, acknowledged_at TIMESTAMP, audit_history ARRAY<{rules._ENTRY}>")
+    batch = spark.createDataFrame([("alt_1", "Lee", "second", datetime(2024, 2, 1, 9)), ("alt_1", "Kim", "first", datetime(2024, 2, 1, 8)),
+                                   ("alt_1", None, None, None)], "alert_id STRING, acknowledged_by STRING, notes STRING, requested_at TIMESTAMP")
+    got = {r.alert_id: r for r in rules.acknowledge(stored, batch, "2024-02-01 08:30:00").collect()}
+    assert [(e.acknowledged_by, e.notes) for e in got["alt_1"].audit_history] == [("Kim", "first"), ("CSM Agent", None), ("Lee", "second")]
+    assert got["alt_1"].acknowledged_at == datetime(2024, 2, 1, 9) and got["alt_2"].status == "open"

@@ -126,9 +126,26 @@ def test_daily_run_end_to_end(spark, tmp_path, rows):
     state = {r.alert_id: (r.status, len(r.audit_history)) for r in published("automation_alerts").collect()}
     assert state["alt_bill_i0"] == ("acknowledged", 2) and state["alt_health_acc_0"] == ("open", 1)
 
+    # a change made from alerts that are no longer the published ones is made again from those
+    more = spark.createDataFrame([("alt_bill_i0", "Lee", None)], "alert_id STRING, acknowledged_by STRING, notes STRING")
+    daily._publish_alerts(spark, root, "ack2", ["automation_alerts"], lambda x: daily.rules.acknowledge(x, more, "2024-02-02 00:00:00"), "run1")
+    state = {r.alert_id: [e.acknowledged_by for e in r.audit_history] for r in published("automation_alerts").collect()}
+    assert state["alt_bill_i0"] == [None, "Kim", "Lee"] and storage.current_runs(spark, root)["automation_alerts"] == "ack2"
+
     broken = {**raw, "accounts": raw["accounts"].drop("cohort")}
     with pytest.raises(Exception):
         daily.run_daily(spark, broken, root, "run3", "2024-02-02 00:00:00")
-    assert set(storage.current_runs(spark, root).values()) == {"run1", "run2"}
+    assert set(storage.current_runs(spark, root).values()) == {"run1", "run2", "ack2"}
     audit = {r.run_id: (r.status, r.records_processed) for r in spark.read.parquet(f"{root}/{storage.RUN_AUDIT}").collect()}
     assert audit["run1"] == ("SUCCESS", 2776) and audit["run3"][0] == "FAILED"
+
+
+def test_publishes_of_different_tables_do_not_undo_each_other(spark, tmp_path):
+    root, at = str(tmp_path), datetime(2024, 1, 1, tzinfo=timezone.utc)
+    storage.publish(spark, root, "a", ["x", "y"], at)
+    storage.publish(spark, root, "b", ["y"], at + timedelta(hours=2), {"y": "a"})
+    storage.publish(spark, root, "c", ["x"], at + timedelta(hours=1))
+    assert storage.current_runs(spark, root) == {"x": "c", "y": "b"}
+    with pytest.raises(storage.PublishConflict):
+        storage.publish(spark, root, "d", ["y"], at + timedelta(hours=3), {"y": "a"})
+    assert storage.current_runs(spark, root)["y"] == "b"

@@ -305,3 +305,19 @@ def test_kafka_shapes(spark):
     records = spark.createDataFrame([("billing.events", bytearray(json.dumps(billing(1)).encode()))], "topic STRING, value BINARY")
     row = live.from_kafka(records).first()
     assert (row["_topic"], row.event_id, row.amount) == ("billing.events", "b1", Decimal("5.00"))
+
+
+def test_unreadable_lines_are_letters_of_their_own(spark, tmp_path):
+    good = {"event_id": "b1", "account_id": "a", "invoice_id": "i", "amount": 5, "status": "paid", "timestamp": "2024-01-02T00:00:00Z"}
+    bad = ["{not json", "{neither", json.dumps({**good, "event_id": "b2", "timestamp": "31/01/2024 noon"}), json.dumps({**good, "event_id": "b3", "amount": "five"})]
+    folder = tmp_path / "in" / "billing.events"
+    folder.mkdir(parents=True)
+    (folder / "1.json").write_text("\n".join([json.dumps(good), *bad, bad[0]]))
+    job = live.LiveJob(spark, str(tmp_path / "live"), clock=lambda: NOW)
+    job.start(live.read_topics(spark, str(tmp_path / "in"), 1, ["billing.events"]), str(tmp_path / "cp")).awaitTermination()
+    letters = job.table("dead_letters", job.LETTERS).collect()
+    assert sorted(r["_raw"] for r in letters) == sorted(bad) and {r["_fatal_error"] for r in letters} == {"Malformed record"}
+    totals = job.metrics().first()
+    assert (totals.received, totals.consumed, totals.dead_lettered, totals.duplicates_dropped) == (6, 1, 4, 1)
+    records = spark.createDataFrame([("billing.events", x.encode()) for x in (json.dumps(good), *bad)], "topic string, value binary")
+    assert sorted(r["_raw"] for r in live.from_kafka(records).where("_raw IS NOT NULL").collect()) == sorted(bad)

@@ -37,10 +37,9 @@ def run_daily(spark: SparkSession, raw: dict[str, DataFrame], root: str, run_id:
         raise
     # Counted from the file footers of the written tables.
     records = sum(spark.read.parquet(f"{root}/run_id={run_id}/{name}").count() for name in COUNTED_TABLES)
-    completed = datetime.now(timezone.utc)
     storage.append_run_audit(spark, root, run_id=run_id, layer="gold", status="SUCCESS", records=records,
-                             started_at=started, completed_at=completed)
-    storage.publish(spark, root, run_id, run.tables, completed)
+                             started_at=started, completed_at=datetime.now(timezone.utc))
+    _publish_alerts(spark, root, run_id, run.tables, lambda stored: rules.upsert_alerts(stored, run.fired), run.alerts_from)
     return {"run_id": run_id, "records_processed": records, **summary}
 
 
@@ -50,6 +49,8 @@ class _Run:
     def __init__(self, spark: SparkSession, root: str, run_id: str):
         self.spark, self.root, self.run_id = spark, root, run_id
         self.tables: list[str] = []
+        self.fired: DataFrame | None = None
+        self.alerts_from: str | None = None
 
     def put(self, name: str, df: DataFrame, partition_by: str | None = None) -> DataFrame:
         written = storage.stage(df, self.root, self.run_id, name, partition_by)
@@ -78,10 +79,8 @@ def _build(run: _Run, raw: dict[str, DataFrame], as_of, recipients: dict | None,
     put("usage_anomalies", anomaly.usage_anomalies(usage.daily_usage_by_account(events)))
     put("revenue_forecast", forecast.revenue_forecast(summary))
 
-    fired = rules.evaluate(mart, billing, accounts, plans, as_of)
-    stored = storage.read_published(spark, root, "automation_alerts")
-    if stored is None:
-        stored = spark.createDataFrame([], S.struct(S.WAREHOUSE["automation_alerts"]))
+    run.fired = fired = put("alerts_fired", rules.evaluate(mart, billing, accounts, plans, as_of))
+    run.alerts_from, stored = _stored_alerts(spark, root)
     put("automation_alerts", rules.upsert_alerts(stored, fired))
     put("notification_outbox", rules.notification_outbox(fired, recipients))
 
@@ -103,9 +102,27 @@ def acknowledge(spark: SparkSession, root: str, requests: DataFrame, run_id: str
 
     Returns the requests for alerts that do not exist.
     """
-    stored = storage.read_published(spark, root, "automation_alerts")
-    if stored is None:
+    seen, stored = _stored_alerts(spark, root)
+    if seen is None:
         raise ValueError("no published alerts")
     storage.stage(rules.acknowledge(stored, requests, as_of), root, run_id, "automation_alerts")
-    storage.publish(spark, root, run_id, ["automation_alerts"], datetime.now(timezone.utc))
-    return rules.acknowledge_errors(stored, requests)
+    _publish_alerts(spark, root, run_id, ["automation_alerts"], lambda alerts: rules.acknowledge(alerts, requests, as_of), seen)
+    return rules.acknowledge_errors(_stored_alerts(spark, root)[1], requests)
+
+
+def _stored_alerts(spark: SparkSession, root: str) -> tuple[str | None, DataFrame]:
+    """The published alerts and the run they are from."""
+    seen = storage.current_runs(spark, root).get("automation_alerts")
+    if seen is None:
+        return None, spark.createDataFrame([], S.struct(S.WAREHOUSE["automation_alerts"]))
+    return seen, spark.read.parquet(f"{root}/run_id={seen}/automation_alerts")
+
+
+def _publish_alerts(spark: SparkSession, root: str, run_id: str, tables: list[str], change, seen: str | None) -> None:
+    """Publish a run; where the alerts were published anew meanwhile, apply ``change`` to those first."""
+    while True:
+        try:
+            return storage.publish(spark, root, run_id, tables, datetime.now(timezone.utc), {"automation_alerts": seen})
+        except storage.PublishConflict:
+            seen, stored = _stored_alerts(spark, root)
+            storage.stage(change(stored), root, run_id, "automation_alerts")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
@@ -66,25 +66,35 @@ def stage(df: DataFrame, root: str, run_id: str, name: str, partition_by: str |
     return df.sparkSession.read.parquet(path)
 
 
-def publish(spark: SparkSession, root: str, run_id: str, tables: Sequence[str], published_at: datetime) -> None:
+class PublishConflict(RuntimeError):
+    """A table that a run was built from has been published anew meanwhile."""
+
+
+def publish(spark: SparkSession, root: str, run_id: str, tables: Sequence[str], published_at: datetime,
+            based_on: Mapping[str, str | None] | None = None) -> None:
     """Make fully written tables of a run the current ones.
 
-    One log entry names the run of every table; tables not in ``tables`` stay at
-    the run they were.  Readers follow only the latest entry, so either all
-    tables of the run become visible or none does.
+    One log entry names the tables of the run; all others stay at the run they
+    were, whoever publishes them meanwhile.  Either all tables of the run become
+    visible or none does.  ``based_on`` names the runs that published tables were
+    read from; if one has changed since, nothing is published.
     """
-    runs = {**current_runs(spark, root), **{name: run_id for name in tables}}
-    entry = spark.createDataFrame([(run_id, published_at, runs)], PUBLISH_DDL)
+    now = current_runs(spark, root) if based_on else {}
+    changed = sorted(name for name, run in (based_on or {}).items() if now.get(name) != run)
+    if changed:
+        raise PublishConflict(f"published anew meanwhile: {', '.join(changed)}")
+    entry = spark.createDataFrame([(run_id, published_at, {name: run_id for name in tables})], PUBLISH_DDL)
     append(entry.coalesce(1), f"{root}/{PUBLISH_LOG}")
 
 
 def current_runs(spark: SparkSession, root: str) -> dict[str, str]:
-    """Run of each published table."""
+    """Run of each published table: that of the latest entry which names it."""
     if not table_exists(spark, f"{root}/{PUBLISH_LOG}"):
         return {}
     log = spark.read.schema(PUBLISH_DDL).parquet(f"{root}/{PUBLISH_LOG}")
-    latest = log.orderBy(F.col("published_at").desc(), F.col("run").desc()).first()
-    return dict(latest["runs"]) if latest else {}
+    named = log.select("published_at", "run", F.explode("runs").alias("table", "in_run"))
+    latest = named.groupBy("table").agg(F.max_by("in_run", F.struct("published_at", "run")).alias("in_run"))
+    return {r["table"]: r["in_run"] for r in latest.collect()}  # a row a table
 
 
 def read_published(spark: SparkSession, root: str, name: str) -> DataFrame | None:
