@@ -1,6 +1,7 @@
 from datetime import date, datetime, timedelta, timezone
 from decimal import Decimal
 
+import __spark_entry__ as contract
 import pytest
 
 from tidemark import schemas as S
@@ -193,3 +194,12 @@ def test_anomaly_flag_from_detection(spark):
     mart = plan_health(spark, cohort="churn_risk")
     found = spark.createDataFrame([], "account_id STRING, anomaly_type STRING")
     assert mart.first().anomaly_detected and not health.flag_anomalies(mart, found).first().anomaly_detected
+
+
+@pytest.mark.parametrize("last, mrr", [(datetime(2003, 12, 31), 121.0), (datetime(2003, 8, 1), 125.0)])
+def test_forecast_starts_from_the_last_complete_year(spark, tmp_path, last, mrr):
+    paid = [(datetime(2001, 3, 1), 80.0), (datetime(2002, 3, 1), 100.0), (last, 110.0)]
+    orders = [(i, 7, amount, at) for i, (at, amount) in enumerate(paid)]
+    spark.createDataFrame(orders, "o_orderkey long, o_custkey long, o_totalprice double, o_orderdate timestamp").write.parquet(f"{tmp_path}/orders.parquet")
+    got = contract.queries()["forecast_from_movements"](spark, str(tmp_path)).where("scenario = 'base'").collect()
+    assert [r.mrr for r in got] == [mrr]

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions import columns as C
@@ -38,9 +38,16 @@ def forecast_scenarios(summaries: DataFrame) -> DataFrame:
     )
 
 
-def summary_from_movements(movements: DataFrame) -> DataFrame:
+def summary_from_movements(movements: DataFrame, last_day: Column | None = None) -> DataFrame:
     """Revenue summary of the latest period, with the churn and expansion that
-    were observed, as input of the forecast."""
+    were observed, as input of the forecast.
+
+    With ``last_day``, the newest day of the payments, periods are years and the
+    latest is the last that is over by then: revenue of a part of a year against
+    a whole one would count as contraction and churn.
+    """
+    if last_day is not None:
+        movements = movements.where(F.col("period") < F.year(F.date_add(last_day, 1)))
     totals = movements.where(F.col("change_type") != "opening").groupBy("period").agg(
         *[F.sum(f"{c}_mrr").alias(c) for c in ("beginning", "expansion", "churn", "ending")])
     return totals.orderBy(F.col("period").desc()).limit(1).select(

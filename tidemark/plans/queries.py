@@ -458,8 +458,9 @@ def forecast_at_month(d: Domain) -> DataFrame:
 
 @query
 def forecast_from_movements(d: Domain) -> DataFrame:
-    """Twelve periods ahead at the observed churn and expansion of the years up to 2000."""
-    observed = forecast.summary_from_movements(_movements(d).where("period <= 2000"))
+    """Twelve periods ahead at the observed churn and expansion of the last complete year."""
+    last_day = d.table("orders").agg(F.max(F.to_date("o_orderdate"))).scalar()
+    observed = forecast.summary_from_movements(_movements(d), last_day)
     return forecast.forecast_at_month(observed, 12)
 
 
