@@ -2,10 +2,14 @@ from datetime import date, datetime, timedelta, timezone
 from decimal import Decimal
 
 import __spark_entry__ as contract
+import duckdb
 import pytest
+from pyspark.sql import functions as F
 
+from tests.conftest import SF
 from tidemark import schemas as S
 from tidemark.operators import anomaly, expansion, facts, forecast, health, revenue, serving, usage
+from tidemark.plans.binding import Domain
 
 AS_OF = "2024-01-31 00:00:00"
 UTC = timezone.utc
@@ -203,3 +207,17 @@ def test_forecast_starts_from_the_last_complete_year(spark, tmp_path, last, mrr)
     spark.createDataFrame(orders, "o_orderkey long, o_custkey long, o_totalprice double, o_orderdate timestamp").write.parquet(f"{tmp_path}/orders.parquet")
     got = contract.queries()["forecast_from_movements"](spark, str(tmp_path)).where("scenario = 'base'").collect()
     assert [r.mrr for r in got] == [mrr]
+
+
+def test_health_drops_over_the_whole_table(spark):
+    d = Domain(spark, SF)
+    drops = health.health_drops(health.health_daily(d.order_usage, d.support, d.standing))
+    sql = contract.oracle_sql()["rule_health_drop_wow"].replace("1998-01-01", "1995-01-01").replace("1998-03-31", "2001-08-01")
+    duck = duckdb.connect()
+    for name in ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events"):
+        duck.execute(f"CREATE VIEW {name} AS SELECT * FROM '{SF}/{name}.parquet'")
+    want = duck.execute(sql)
+    columns = [c[0] for c in want.description]
+    got = drops.withColumn("date_key", F.date_format("date_key", "yyyy-MM-dd")).select(*columns).collect()
+    assert sorted(tuple(r) for r in got) == sorted(want.fetchall())
+    assert any(r.date_key < "1998" for r in got) and any(r.date_key > "1998-03-31" for r in got)

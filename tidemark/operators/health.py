@@ -111,15 +111,18 @@ def account_standing(accounts: DataFrame, subscriptions: DataFrame, billing: Dat
             .fillna({"payment_status": S.GOOD_STANDING}))
 
 
-def health_daily(usage: DataFrame, support: DataFrame, standing: DataFrame, first_day: str, last_day: str) -> DataFrame:
+def health_daily(usage: DataFrame, support: DataFrame, standing: DataFrame,
+                 first_day: str | None = None, last_day: str | None = None) -> DataFrame:
     """Health per account of ``standing`` and calendar day between two dates (inclusive).
 
+    Without a date, the range begins or ends with the days of ``usage``.
     An account without usage has a row for every day as well.  Events, user presence,
     ticket backlog and the calendar itself are all expressed as changes on an
     (account, day); one aggregation sums them and one window accumulates them,
     so nothing is joined day by day.
     """
-    first, last = F.lit(first_day).cast("date"), F.lit(last_day).cast("date")
+    first = F.lit(first_day).cast("date") if first_day else usage.agg(F.min("event_date")).scalar()
+    last = F.lit(last_day).cast("date") if last_day else usage.agg(F.max("event_date")).scalar()
     first_no, last_no = F.unix_date(first), F.unix_date(last)
     in_range = usage.where(F.col("event_date").between(first, last)).select(
         "account_id", "user_id", F.unix_date("event_date").alias("_day"))
