@@ -4,8 +4,10 @@ from datetime import datetime, timedelta, timezone
 from decimal import Decimal
 from types import SimpleNamespace
 
+import __spark_entry__ as contract
 import pytest
 
+from tests.conftest import SF
 from tidemark import schemas as S
 from tidemark.plans import daily
 from tidemark.session import scratch_folder
@@ -149,3 +151,10 @@ def test_publishes_of_different_tables_do_not_undo_each_other(spark, tmp_path):
     with pytest.raises(storage.PublishConflict):
         storage.publish(spark, root, "d", ["y"], at + timedelta(hours=3), {"y": "a"})
     assert storage.current_runs(spark, root)["y"] == "b"
+
+
+def test_partitioned_write_is_checked_on_every_date(spark, monkeypatch):
+    whole = storage.overwrite
+    monkeypatch.setattr(storage, "overwrite", lambda df, path, by: whole(df.where("event_date <> DATE'2024-01-03'"), path, by))
+    with pytest.raises(ValueError, match="is not what was written"):
+        contract.queries()["write_partitioned"](spark, SF)

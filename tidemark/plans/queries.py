@@ -237,10 +237,12 @@ def sink_csv(d: Domain) -> DataFrame:
 
 @query
 def write_partitioned(d: Domain) -> DataFrame:
-    """Usage written by date; the filter reads only the folders it needs."""
+    """Usage written by date, with every date checked; the filter reads only the folders it needs."""
     path = f"{scratch_folder(d.spark)}/fact_usage"
     storage.overwrite(d.usage, path, "event_date")
-    recent = d.spark.read.parquet(path).where(F.col("event_date") >= F.lit("2024-01-20").cast("date"))
+    back = d.spark.read.parquet(path)
+    storage.check_same(usage.daily_usage_by_account(d.usage), usage.daily_usage_by_account(back), path)
+    recent = back.where(F.col("event_date") >= F.lit("2024-01-20").cast("date"))
     return _date_text(usage.daily_usage_by_account(recent))
 
 

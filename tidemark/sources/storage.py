@@ -39,6 +39,15 @@ def overwrite(df: DataFrame, path: str, partition_by: str | None = None) -> None
     (writer.partitionBy(partition_by) if partition_by else writer).parquet(path)
 
 
+def check_same(written: DataFrame, back: DataFrame, path: str) -> None:
+    """Stop where what was read back differs from what was written (a row per key on both sides)."""
+    by = lambda df, n: df.withColumn("_side", F.lit(n))
+    differ = by(written, 1).unionByName(by(back, 2)).groupBy(*written.columns).agg(F.sum("_side").alias("_sides")).where("_sides <> 3")
+    found = differ.drop("_sides").limit(5).collect()
+    if found:
+        raise ValueError(f"{path} is not what was written: {found}")
+
+
 def append(df: DataFrame, path: str) -> None:
     df.write.mode("append").parquet(path)
 
