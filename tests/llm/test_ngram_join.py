@@ -60,6 +60,12 @@ def test_rows_of_one_id_are_one_document(frame):
     assert sorted((r.doc_id, r.component_id) for r in got.collect()) == [(3, 3), (3, 3), (4, 3), (5, 3), (6, 6)]
 
 
+def test_an_id_joins_its_sets_wherever_it_stands(frame):
+    a, b, c, d = (" ".join(f"{x}{i}" for i in range(30)) for x in "abcd")
+    got = ngram_join.near_duplicates(frame([(3, a), (5, a), (5, b), (7, b), (7, c), (8, d), (9, d), (9, d)]), 3, 90)
+    assert sorted((r.doc_id, r.component_id) for r in got.collect()) == [(3, 3), (5, 3), (5, 3), (7, 3), (7, 3), (8, 8), (9, 8), (9, 8)]
+
+
 def test_one_of_each_group_stays(frame, texts, clash):
     docs = clash(frame(variants(5, texts)))
     kept = ngram_join.keep_one(docs)

@@ -305,6 +305,21 @@ def _links(members: DataFrame, texts: DataFrame, size: int, percent: int) -> Dat
     return searches.join(texts, "node").groupBy("batch").applyInArrow(of_batch, "a long, b long")
 
 
+def _several(profile: DataFrame) -> DataFrame:
+    """The rows of ids that have several different sets."""
+    name = F.xxhash64("key")
+    ids = (profile.where("doc IS NOT NULL AND key IS NOT NULL").groupBy("doc").agg(F.min(name).alias("_low"), F.max(name).alias("_high"))
+           .where("_low < _high").select("doc"))
+    return profile.where("key IS NOT NULL").select("doc", "key", "n", "parts").join(ids, "doc")
+
+
+def _same_id(several: DataFrame, nodes: DataFrame) -> DataFrame:
+    """Links ``a``, ``b`` from the node of each set that an id has to the smallest of them."""
+    of = several.select("doc", "key").distinct().join(nodes.select("key", "node"), "key").select("doc", "node")
+    least = of.groupBy("doc").agg(F.min("node").alias("b"))
+    return of.join(least, "doc").where("node > b").select(F.col("node").alias("a"), "b").distinct()
+
+
 def near_duplicates(docs: DataFrame, size: int = SIZE, percent: int = PERCENT, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """``doc_id``, ``n_shingles`` and ``component_id`` of every row of ``docs``.
 
@@ -315,7 +330,11 @@ def near_duplicates(docs: DataFrame, size: int = SIZE, percent: int = PERCENT, d
     profile = spark.read.parquet(f"{folder}/profile")
     sharing = profile.where("size(parts) > 0")
     # one node for each different set: its smallest id
-    nodes = sharing.groupBy("key").agg(F.min("doc").alias("node"), F.first("n").alias("n"), F.first("parts").alias("parts"))
+    several = _several(profile)
+    several.write.parquet(f"{folder}/several")
+    several = spark.read.parquet(f"{folder}/several")
+    known = sharing.select("key", "doc", "n", "parts").unionByName(several.where("size(parts) = 0").select("key", "doc", "n", "parts"))
+    nodes = known.groupBy("key").agg(F.min("doc").alias("node"), F.first("n").alias("n"), F.first("parts").alias("parts"))
     nodes.write.parquet(f"{folder}/nodes")
     nodes = spark.read.parquet(f"{folder}/nodes")
     parts = nodes.select("node", "n", F.explode("parts").alias("part"))
@@ -325,7 +344,7 @@ def near_duplicates(docs: DataFrame, size: int = SIZE, percent: int = PERCENT, d
     members = spark.read.parquet(f"{folder}/members")
     texts = (sharing.select("key", F.col("doc").alias("node"), "squeezed")
              .join(nodes.select("key", "node"), ["key", "node"]).select("node", "squeezed"))
-    _links(members, texts, size, percent).write.parquet(f"{folder}/links")
+    _links(members, texts, size, percent).unionByName(_same_id(several, nodes)).write.parquet(f"{folder}/links")
     labels = components(spark.read.parquet(f"{folder}/links"), f"{folder}/components")
     named = nodes.select("key", "node").join(labels, "node", "left").select("key", F.coalesce("label", "node").alias("label"))
     # rows with one id are one document, also where their texts differ
