@@ -5,7 +5,8 @@ from tests.conftest import SF
 
 # every name that an operator uses inside
 CLASHING = ("chunk", "doc", "c0", "key", "bucket", "n", "label", "answer", "ids", "parts", "batch", "node", "shard", "rank", "host", "tag",
-            "digest", "fail_mask", "n_words", "word", "row", "decoded", "score", "weight", "limit")
+            "digest", "fail_mask", "n_words", "word", "row", "decoded", "score", "weight", "limit", "block", "piece", "length", "start", "nth",
+            "conv", "copies", "pos", "said", "read", "fault", "initial", "phrase", "candidate")
 
 
 @pytest.fixture(scope="session")

@@ -19,7 +19,8 @@ from tidemark.llm import oracle
 @pytest.mark.parametrize("name", sorted(oracle.statements()))
 def test_matches_sql(spark, name):
     con = duckdb.connect()
-    con.execute(f"CREATE VIEW documents AS SELECT * FROM '{SF}/documents.parquet'")
+    for table in ("documents", "conversations"):
+        con.execute(f"CREATE VIEW {table} AS SELECT * FROM '{SF}/{table}.parquet'")
     result = con.execute(contract.oracle_sql()[name])
     columns = [c[0] for c in result.description]
     got = contract.queries()[name](spark, SF)
@@ -29,7 +30,7 @@ def test_matches_sql(spark, name):
 
 def test_one_query_per_operator():
     names = [n for n in contract.queries() if re.match(r"op\d+_", n)]
-    assert sorted(int(re.match(r"op(\d+)_", n)[1]) for n in names) == list(range(1, 11))
+    assert sorted(int(re.match(r"op(\d+)_", n)[1]) for n in names) == list(range(1, 14))
     assert "pipeline" in contract.queries()
 
 

@@ -81,9 +81,105 @@ ruled AS (SELECT *, CAST({" + ".join(f"CASE WHEN {r.fails} THEN {1 << r.bit} ELS
 SELECT *, fail_mask & {mask_of(BASE)} <> 0 AS base_failed, fail_mask & {mask_of(POLICIES[DEFAULT_POLICY])} = 0 AS kept FROM ruled
 """
 
+OP12 = """
+WITH spoken AS (
+    SELECT coalesce(lang, 'und') AS lang, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS text FROM documents),
+pieces AS (SELECT lang, unnest(regexp_split_to_array(text, '[.,;:!?\\x0A-\\x0D]')) AS piece FROM spoken),
+parts AS (SELECT lang, regexp_extract_all(piece, '[^\\x20\\x09]+') AS w FROM pieces),
+totals AS (SELECT lang, CAST(sum(len(w)) AS BIGINT) AS n FROM parts GROUP BY lang),
+grams AS (
+    SELECT lang, k, array_to_string(w[i:i + k - 1], ' ') AS phrase, count(*) AS f
+    FROM (SELECT lang, w, k, unnest(range(1, len(w) - k + 2)) AS i FROM parts, (VALUES (1), (2), (3)) AS sizes(k)) GROUP BY ALL),
+candidates AS (SELECT lang, k, phrase, f AS a, string_split(phrase, ' ') AS w FROM grams WHERE k > 1 AND f >= 10),
+cuts AS (
+    SELECT lang, k, phrase, a, w, cut, array_to_string(w[:cut], ' ') AS head, array_to_string(w[cut + 1:], ' ') AS rest
+    FROM (SELECT *, unnest(range(1, k)) AS cut FROM candidates)),
+scored AS (
+    SELECT c.lang, c.phrase, c.a, x.f AS l, y.f AS r, cut,
+           (CAST(1000000 AS HUGEINT) * c.a * c.a) // (CAST(x.f AS HUGEINT) * y.f) AS score
+    FROM cuts c JOIN grams x ON x.lang = c.lang AND x.phrase = head AND x.k = cut JOIN grams y ON y.lang = c.lang AND y.phrase = rest AND y.k = c.k - cut
+    QUALIFY row_number() OVER (PARTITION BY c.lang, c.phrase ORDER BY score, cut) = 1),
+absorbed AS (
+    SELECT DISTINCT inner_.lang, inner_.phrase
+    FROM (SELECT lang, a, array_to_string(w[i:i + 1], ' ') AS part FROM (SELECT *, unnest([1, 2]) AS i FROM candidates WHERE k = 3)) outer_
+    JOIN candidates inner_ ON inner_.lang = outer_.lang AND inner_.phrase = part AND inner_.k = 2 AND 100 * outer_.a >= 50 * inner_.a)
+SELECT lang, CAST(row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS INTEGER) AS rank, phrase, a, l, r, n,
+       CAST(score AS BIGINT) AS score
+FROM scored ANTI JOIN absorbed USING (lang, phrase) JOIN totals USING (lang)
+QUALIFY rank <= 2000
+"""
+
+
+def _edits() -> str:
+    """Backward over the turns: cost, edits and lines of the cheapest way on from each of four states."""
+    def on(way: str, cost: str, edit: str, line: str | None = None) -> str:
+        lines = f"list_prepend({line}, {way}.t)" if line else f"{way}.t"
+        return f"{{c: {way}.c + {cost}, a: '{edit}' || {way}.a, t: {lines}}}"
+
+    def least(*ways: str) -> str:
+        return f"list_sort([{', '.join(ways)}])[1]"
+
+    never = "{c: 1000000000, a: '~', t: CAST([] AS VARCHAR[])}"
+    extra = "CASE WHEN fault = 'truncated' THEN 3 ELSE 0 END"
+
+    def way(state: str) -> str:
+        to, name = ("x", "assistant") if state == "u" else ("u", "user")
+        stays = {"e": [("s", "s"), ("u", "u")], "s": [("u", "u")], "u": [("a", "x")], "x": [("u", "u")]}[state]
+        keep = "".join(f" WHEN initial = '{i}' THEN {on(b, extra, 'K', 'role || chr(58) || text')}" for i, b in stays)
+        free = f"fault IS NULL OR fault = 'truncated'"
+        return least(on(state, "4", "D"), f"CASE WHEN {free} THEN CASE{keep} ELSE {never} END ELSE {never} END",
+                     f"CASE WHEN {free} THEN {on(to, f'3 + {extra}', 'R', f'{chr(39)}{name}:{chr(39)} || text')} ELSE {never} END")
+
+    user, assistant = "'user:'", "'assistant:'"
+    return f"""
+WITH RECURSIVE named AS (
+    SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+           coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' ') AS name FROM conversations),
+fates AS (
+    SELECT *, xor(list_reduce(list_prepend(4294967295, list_transform(string_split(name, ''), lambda ch: CAST(ascii(ch) AS BIGINT))),
+                  lambda c, b: list_reduce([xor(c, b), 0, 0, 0, 0, 0, 0, 0, 0],
+                  lambda x, y: CASE WHEN x & 1 = 1 THEN xor(x >> 1, 3988292384) ELSE x >> 1 END)), 4294967295) % 20 AS fate FROM named),
+damaged AS (
+    SELECT conv_id AS conv, turn, CASE WHEN fate = 4 THEN 'user' ELSE role END AS role,
+           CASE fate WHEN 1 THEN '' WHEN 2 THEN translate(text, '.!?', '') ELSE text END AS text,
+           unnest(range(CASE fate WHEN 0 THEN 0 WHEN 3 THEN 2 ELSE 1 END)) AS copy FROM fates),
+placed AS (
+    SELECT *, row_number() OVER (PARTITION BY conv ORDER BY turn NULLS FIRST, role, sha256(CAST(length(role) AS VARCHAR) || ':' || role || text)) AS i,
+           rtrim(text, chr(9) || chr(10) || chr(11) || chr(12) || chr(13) || ' ') AS said, role[1:1] AS initial FROM damaged),
+turns AS (
+    SELECT *, CASE WHEN said = '' THEN 'blank' WHEN row_number() OVER (PARTITION BY conv, role, text ORDER BY i) > 1 THEN 'duplicate'
+                   WHEN said[-1:] NOT IN ('.', '!', '?') THEN 'truncated' END AS fault,
+           i > 1 AND lag(initial) OVER (PARTITION BY conv ORDER BY i) || initial NOT IN ('su', 'ua', 'au') AS illegal FROM placed),
+counted AS (
+    SELECT conv, count(*) AS n, CAST(coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS BIGINT) AS gaps,
+           count(*) FILTER (fault = 'blank') AS blank, count(*) FILTER (fault = 'duplicate') AS duplicate,
+           count(*) FILTER (fault = 'truncated') AS truncated, count(*) FILTER (illegal) AS illegal FROM turns GROUP BY conv),
+every AS (
+    SELECT DISTINCT k.conv_id AS conv, coalesce(n, 0) AS n, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate,
+           coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal
+    FROM conversations k LEFT JOIN counted c ON k.conv_id IS NOT DISTINCT FROM c.conv),
+ways AS (
+    SELECT conv, n + 1 AS i, {{c: 0, a: '', t: CAST([] AS VARCHAR[])}} AS e, {{c: 6, a: 'II', t: [{user}, {assistant}]}} AS s,
+           {{c: 3, a: 'I', t: [{assistant}]}} AS u, {{c: 0, a: '', t: CAST([] AS VARCHAR[])}} AS x FROM every
+    UNION ALL
+    SELECT conv, i, {least('e', on('v', '3', 'I', user))} AS e, {least('s', on('v', '3', 'I', user))} AS s, v AS u,
+           {least('x', on('u', '3', 'I', user))} AS x
+    FROM (SELECT *, {least('u', on('x', '3', 'I', assistant))} AS v
+          FROM (SELECT w.conv, t.i, {way('e')} AS e, {way('s')} AS s, {way('u')} AS u, {way('x')} AS x
+                FROM ways w JOIN turns t ON t.conv IS NOT DISTINCT FROM w.conv AND t.i = w.i - 1)))
+SELECT q.conv AS conv_id, gaps, blank, duplicate, truncated, illegal, CAST(e.c AS BIGINT) AS cost, e.a AS audit,
+       sha256(array_to_string(e.t, chr(10))) AS repaired_sha256
+FROM every q JOIN ways w ON w.conv IS NOT DISTINCT FROM q.conv AND w.i = 1
+"""
+
+
+OP13 = _edits()
+
 
 def statements() -> dict[str, str]:
     return {
+        "op12_collocations": OP12,
+        "op13_conversation_repair": OP13,
         "op5_source_mixing": OP5,
         "op8_substring_dedup": OP8,
         "op9_quality_ledger": OP9,

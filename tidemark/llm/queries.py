@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import ann, hmm, html, mixing, ngram_join, pieces, quality, substring, token_ids, warc
+from tidemark.llm import ann, collocations, conversations, hmm, html, mixing, ngram_join, packing, pieces, quality, substring, token_ids, warc
 from tidemark.session import scratch_folder
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -86,10 +86,33 @@ def op10_token_ids(spark: SparkSession, folder: str) -> DataFrame:
     return token_ids.read(token_ids.write(_table(spark, folder, "documents"), shared, public_tokenizers.path("byte_bpe_50k.json")), shared)
 
 
+def op11_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
+    """Every piece of every document with its place in a sequence of 2,048 tokens."""
+    import public_tokenizers
+
+    pieces_ = packing.cut(_table(spark, folder, "documents"), scratch_folder(spark), public_tokenizers.path("byte_bpe_50k.json"))
+    placed = packing.place(pieces_.withColumn("ids_crc32", F.crc32("ids")).drop("ids"))
+    return placed.select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
+
+
+def op12_collocations(spark: SparkSession, folder: str) -> DataFrame:
+    """The best 2,000 collocations of two or three words of each language."""
+    return collocations.collocations(_table(spark, folder, "documents"))
+
+
+def op13_conversation_repair(spark: SparkSession, folder: str) -> DataFrame:
+    """Faults and cheapest edits of every conversation, after damage."""
+    found = conversations.repair(conversations.damage(_table(spark, folder, "conversations")), scratch_folder(spark))
+    return found.withColumnRenamed("conv", "conv_id")
+
+
 def catalogue() -> dict[str, Query]:
     return {
         "op1_nearest_vectors": op1_nearest_vectors,
         "op10_token_ids": op10_token_ids,
+        "op11_best_fit_packing": op11_best_fit_packing,
+        "op12_collocations": op12_collocations,
+        "op13_conversation_repair": op13_conversation_repair,
         "op2_warc_archives": op2_warc_archives,
         "op3_main_text": op3_main_text,
         "op4_ngram_jaccard_join": op4_ngram_jaccard_join,
