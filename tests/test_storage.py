@@ -1,6 +1,7 @@
 import csv
 import json
-from datetime import datetime, timedelta, timezone
+from concurrent.futures import ThreadPoolExecutor
+from datetime import date, datetime, timedelta, timezone
 from decimal import Decimal
 from types import SimpleNamespace
 
@@ -153,6 +154,52 @@ def test_publishes_of_different_tables_do_not_undo_each_other(spark, tmp_path):
     assert storage.current_runs(spark, root)["y"] == "b"
 
 
+def test_of_two_writers_of_one_entry_one_publishes_again(spark, tmp_path, monkeypatch):
+    """The second writer has read the log before the first one's entry; both are kept."""
+    root = str(tmp_path)
+    storage.publish(spark, root, "a", ["x", "y"], T, marks={"live": 1})
+    create, other = storage.create_new, []
+
+    def interleaved(spark, path, text):
+        if not other:
+            other.append(True)
+            storage.publish(spark, root, "first", ["x"], T, {"x": "a"}, {"live": 2})
+        return create(spark, path, text)
+
+    monkeypatch.setattr(storage, "create_new", interleaved)
+    assert storage.publish(spark, root, "second", ["y"], T, {"y": "a"}) == 2
+    assert storage.published(spark, root) == storage.Published(2, {"x": "first", "y": "second"}, {"live": "2"})
+    with pytest.raises(storage.PublishConflict):                      # both change the same table
+        storage.publish(spark, root, "third", ["x"], T, {"x": "a"})
+    assert storage.current_runs(spark, root)["x"] == "first"
+
+
+def test_an_entry_is_created_once(spark, tmp_path):
+    path = f"{tmp_path}/log/0.json"
+    with ThreadPoolExecutor(8) as pool:
+        made = list(pool.map(lambda i: storage.create_new(spark, path, f"writer {i}"), range(8)))
+    assert made.count(True) == 1 and (tmp_path / "log" / "0.json").read_text() == f"writer {made.index(True)}"
+    assert [p.name for p in (tmp_path / "log").iterdir() if not p.name.startswith(".")] == ["0.json"]
+
+
+def test_dated_tables_write_their_dates_only(spark, tmp_path, rows):
+    root, schema = str(tmp_path), "id BIGINT, event_date DATE"
+    frame = lambda *r: spark.createDataFrame([(i, date.fromisoformat(d)) for i, d in r], schema)
+    assert storage.read_dates(spark, root, "t", schema).count() == 0
+    names = storage.stage_dates(frame((1, "2024-01-01"), (2, "2024-01-02")), root, "r1", "t")
+    assert names == ["t/2024-01-01", "t/2024-01-02"]
+    storage.publish(spark, root, "r1", names, T)
+    names = storage.stage_dates(frame((2, "2024-01-02"), (3, "2024-01-02")), root, "r2", "t")
+    assert rows(storage.read_dates(spark, root, "t", schema), "id") == [(1,), (2,)]   # not published yet
+    storage.publish(spark, root, "r2", names, T)
+    assert rows(storage.read_dates(spark, root, "t", schema), "id") == [(1,), (2,), (3,)]
+    assert rows(storage.read_dates(spark, root, "t", schema, ["2024-01-02", "2024-01-09"]), "id") == [(2,), (3,)]
+    files = storage.read_dates(spark, root, "t", schema, ["2024-01-02"]).inputFiles()
+    assert files and all("run_id=r2/event_date=2024-01-02" in f for f in files)
+    storage.publish(spark, root, "r3", [], T, removed=["t/2024-01-01"])
+    assert storage.published_dates(storage.published(spark, root), "t") == ["2024-01-02"]
+
+
 def test_partitioned_write_is_checked_on_every_date(spark, monkeypatch):
     whole = storage.overwrite
     monkeypatch.setattr(storage, "overwrite", lambda df, path, by: whole(df.where("event_date <> DATE'2024-01-03'"), path, by))
