@@ -7,6 +7,7 @@ from decimal import Decimal
 import pytest
 
 from tidemark import schemas as S
+from tidemark.sources import storage
 from tidemark.streaming import effects, events as E, live, windows
 from tidemark.streaming.live import LiveJob
 
@@ -155,12 +156,11 @@ def test_dead_letters_and_redrive(spark, tmp_path):
     assert valid.count() == 0 and kept.count() == 2            # attempts used up
 
 
-@pytest.mark.parametrize("limit", [0, 1, 2, 10])
-def test_unknown_keys_listed_or_joined(spark, rows, limit):
+def test_unknown_keys(spark, rows):
     data = [("product.events", f"e{i}", a, None) for i, a in enumerate(["a", "x", "y", None, "x"])] + [("billing.events", "b", "x", None)]
     df = spark.createDataFrame(data, "_topic STRING, event_id STRING, account_id STRING, _error STRING")
     known = {"account_id": spark.createDataFrame([("a",)], "account_id STRING")}
-    got = rows(E.reject_unknown(df, known, list_up_to=limit), "event_id", "_error")
+    got = rows(E.reject_unknown(df, known), "event_id", "_error")
     assert got == [("b", None), ("e0", None), ("e1", "Unknown account_id: x"), ("e2", "Unknown account_id: y"),
                    ("e3", None), ("e4", "Unknown account_id: x")]
 
@@ -200,7 +200,7 @@ def test_late_events_dates_and_subscribers(spark, tmp_path):
     feed = Feed(spark, tmp_path, subscribers=[lambda df, n: received.append((n, df.count()))])
     feed.send(product=[product(1, seconds=4 * 3600)])
     feed.send(product=[product(2, seconds=2 * 3600), product(3, seconds=2 * 3600 - 1), product(4, seconds=-86400)])
-    late = {r.event_id for r in spark.read.parquet(f"{tmp_path}/out/late_events").collect()}
+    late = {r.event_id for r in feed.job.late_events().collect()}
     assert late == {"p3", "p4"} and feed.job.usage().count() == 4
     assert [str(r[0]) for r in feed.job.dates_to_restate().orderBy("event_date").collect()] == ["2024-01-30", "2024-01-31"]
     dates = spark.read.parquet(f"{tmp_path}/out/dim_date")
@@ -321,3 +321,53 @@ def test_unreadable_lines_are_letters_of_their_own(spark, tmp_path):
     assert (totals.received, totals.consumed, totals.dead_lettered, totals.duplicates_dropped) == (6, 1, 4, 1)
     records = spark.createDataFrame([("billing.events", x.encode()) for x in (json.dumps(good), *bad)], "topic string, value binary")
     assert sorted(r["_raw"] for r in live.from_kafka(records).where("_raw IS NOT NULL").collect()) == sorted(bad)
+
+
+def test_no_earlier_key_is_lost_when_batches_are_compacted(spark, tmp_path):
+    """Copies of every earlier batch are dropped, before and after its keys are gathered."""
+    feed = Feed(spark, tmp_path, compact_every=2)
+    day = 86400
+    for n in range(4):
+        feed.send(product=[product(n, seconds=n * day), product(100 + n, seconds=0), product(200 + n, feature=None, seconds=0)],
+                  billing=[billing(n)])
+    state = storage.published(spark, f"{feed.job.root}/keys")
+    assert int(state.marks["compacted"]) == 1 and len(storage.published_dates(state, "keys")) == 2
+    feed.send(product=[product(n, seconds=n * day) for n in range(4)] + [product(100 + n, seconds=0) for n in range(4)]
+              + [product(200 + n, feature=None, seconds=0) for n in range(4)], billing=[billing(n) for n in range(4)])
+    totals = {r.topic: (r.received, r.consumed, r.dead_lettered, r.duplicates_dropped) for r in feed.job.metrics().collect()}
+    assert totals == {"product.events": (24, 8, 4, 12), "billing.events": (8, 4, 0, 4)}
+    assert feed.job.usage().count() == 8
+
+
+def test_files_opened_for_a_batch_do_not_grow(spark, tmp_path):
+    """Same dates again and again: what a batch reads of earlier ones is bounded by the compaction."""
+    feed, opened = Feed(spark, tmp_path, compact_every=1), []
+    for n in range(6):
+        feed.send(product=[product(n, seconds=n)])
+        opened.append(len(feed.job.keys("event", ["2024-01-31"], n + 1).inputFiles()))
+    assert max(opened[3:]) <= max(opened[:3]) <= 3
+    assert feed.job.keys("event", ["2024-01-31"], 6).count() == 6
+    assert feed.job.keys("event", ["2023-01-01"], 6).count() == 0
+    feed.job.compact(6)
+    feed.job.compact(6)                                              # once more changes nothing
+    assert [feed.job.keys(kind, None, 6).count() for kind in ("event", "usage", "letter")] == [6, 6, 0]
+
+
+def test_no_job_only_counts(spark, tmp_path):
+    """The log follows from rows observed while they are written."""
+    feed = Feed(spark, tmp_path)
+    feed.send(product=[product(1), product(1), product(2, feature=None)], support=[support(3, "low")])
+    log = {r.topic: r for r in feed.job.table("batch_log", feed.job.LOG).collect()}
+    assert (log["product.events"].received, log["product.events"].consumed, log["product.events"].dead_lettered) == (3, 1, 1)
+    assert log["support.events"].max_ts == (T0 + timedelta(seconds=3)).replace(tzinfo=None) and set(log) == {"product.events", "support.events"}
+
+
+def test_effects_of_batches_the_mart_holds_do_not_count_again(spark, tmp_path):
+    root = str(tmp_path / "wh")
+    feed = Feed(spark, tmp_path, warehouse=root)
+    feed.send(billing=[billing(1)])
+    feed.send(billing=[billing(2)])
+    assert feed.health(mart(spark, ("a", 90)))["a"].health_score == 40.0
+    storage.publish(spark, root, "r", [], NOW, marks={"live_batch": 0})
+    assert feed.health(mart(spark, ("a", 65)))["a"].health_score == 40.0
+    assert feed.job.finished() == 1 and feed.job.included() == 0

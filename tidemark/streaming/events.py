@@ -122,14 +122,12 @@ def redrive(letters: DataFrame, known: Mapping[str, DataFrame], max_retries: int
     return valid, kept
 
 
-def reject_unknown(events: DataFrame, known: Mapping[str, DataFrame], topics: Sequence[str] = KEYED_TOPICS,
-                   list_up_to: int = 0) -> DataFrame:
+def reject_unknown(events: DataFrame, known: Mapping[str, DataFrame], topics: Sequence[str] = KEYED_TOPICS) -> DataFrame:
     """Set ``_error`` on rows of ``topics`` whose key is not in ``known``.
 
     The check runs on distinct keys; the events are then joined with the unknown
-    ones, each key spread over several tasks.  With ``list_up_to`` the unknown
-    keys are counted first (one Spark job per key column): up to that many are
-    broadcast, so a healthy batch is not shuffled for this check.
+    ones, which Spark broadcasts while their measured size allows it, each key
+    spread over several tasks.
     """
     out = events
     for key, frame in known.items():
@@ -137,12 +135,7 @@ def reject_unknown(events: DataFrame, known: Mapping[str, DataFrame], topics: Se
         unknown = used.join(frame.select(key), key, "left_anti").withColumn("_unknown", F.lit(True))
         missing = F.when(F.col("_topic").isin(*topics) & F.col("_unknown"),
                          F.concat(F.lit(f"Unknown {key}: "), F.col(key).cast("string")))
-        few = unknown.limit(list_up_to + 1).collect() if list_up_to else []
-        if list_up_to and len(few) <= list_up_to:
-            listed = events.sparkSession.createDataFrame(few, unknown.schema)
-            joined = out.join(F.broadcast(listed), key, "left") if few else out.withColumn("_unknown", F.lit(None).cast("boolean"))
-        else:
-            joined = with_attributes(out, unknown, key, ["event_id"], "left")
+        joined = with_attributes(out, unknown, key, ["event_id"], "left")
         out = joined.withColumn("_error", F.coalesce("_error", missing)).drop("_unknown")
     return out
 

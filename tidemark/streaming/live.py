@@ -5,6 +5,13 @@ batches before it, so a batch that is run again after a failure replaces its own
 output and changes nothing else.  Customer health is the published mart plus the
 composed effects of the batches since (``current_health``): a batch writes one
 small row per account it touched and never rewrites the mart.
+
+What a batch must know of earlier ones are keys: idempotency keys and ids of stored
+facts, by date.  Keys of finished batches are gathered every ``compact_every`` batches,
+one version a date (a dated table with its own log), so a batch opens the files of its
+own dates and of a bounded number of recent batches, however old the job is.
+
+Counts are observed on the rows while they are written; no job runs only to count.
 """
 
 from __future__ import annotations
@@ -14,21 +21,20 @@ from dataclasses import dataclass, field
 from datetime import datetime, timezone
 from functools import reduce
 
-from pyspark import StorageLevel
-from pyspark.sql import Column, DataFrame, SparkSession
+from py4j.protocol import Py4JJavaError
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tidemark.operators import facts
 from tidemark.operators.keyed import keep_first
-from tidemark.sources.storage import table_exists
+from tidemark.sources import storage
 from tidemark.streaming import effects, events as E
 
 LATE_AFTER = "2 hours"
 FILES_PER_BATCH = 1_000
 OFFSETS_PER_BATCH = 10_000_000
-MAX_LISTED_DATES = 40
-MAX_LISTED_KEYS = 10_000
+COMPACT_EVERY = 16
 
 
 # ----------------------------------------------------------------- sources
@@ -68,16 +74,43 @@ def from_kafka(records: DataFrame) -> DataFrame:
 
 # ---------------------------------------------------------------- the job
 
+NO_DATE = "__HIVE_DEFAULT_PARTITION__"  # the folder of rows without a date
+_LOGGED = (*E.TOPICS, "unknown")
+
+
 def _utc_now() -> datetime:
     return datetime.now(timezone.utc)
 
 
+def _by_topic(name: str, greatest: str | None = None) -> list[Column]:
+    """Observed counts, or the greatest time in microseconds, of each topic and of rows of no known one."""
+    topic = F.coalesce("_topic", F.lit(""))
+    is_topic = [*(topic == t for t in E.TOPICS), ~topic.isin(*E.TOPICS)]
+    return [(F.max(F.when(here, F.unix_micros(greatest))) if greatest else F.count_if(here)).alias(f"{name}_{i}") for i, here in enumerate(is_topic)]
+
+
+def _upto(gathered: storage.Published) -> int:
+    """The batches up to this one have their keys in the dated table."""
+    return int(gathered.marks.get("compacted", -1))
+
+
+def _observed(counts: Observation) -> dict:
+    """What was observed of rows that have been written; nothing where Spark found beforehand that there are none."""
+    try:
+        return counts.get
+    except Py4JJavaError as problem:
+        if "AssertionError" not in str(problem):
+            raise
+        return {}
+
+
 @dataclass
 class LiveJob:
     """The live tables and how a batch is applied to them.
 
     ``known`` returns, per key column, the frame of values product events may
     refer to; it is called for every batch, so new accounts count at once.
+    ``warehouse`` is the root whose daily run takes the live facts in.
     """
 
     spark: SparkSession
@@ -86,6 +119,8 @@ class LiveJob:
     support_penalty: dict[str, float] = field(default_factory=lambda: dict(effects.SUPPORT_PENALTY))
     clock: Callable[[], datetime] = _utc_now
     subscribers: list[Callable[[DataFrame, int], None]] = field(default_factory=list)
+    warehouse: str | None = None
+    compact_every: int = COMPACT_EVERY
 
     def start(self, stream: DataFrame, checkpoint: str, trigger: dict | None = None) -> StreamingQuery:
         """``trigger`` defaults to draining what is there (``availableNow``);
@@ -111,102 +146,137 @@ class LiveJob:
     def table(self, name: str, schema: str, before: int | None = None) -> DataFrame:
         """Rows of the finished batches, of those before ``before`` if given."""
         path = f"{self.root}/{name}"
-        if not table_exists(self.spark, path):
+        if not storage.table_exists(self.spark, path):
             return self.spark.createDataFrame([], f"{schema}, batch_id BIGINT")
         rows = self.spark.read.schema(f"{schema}, batch_id BIGINT").parquet(path)
         return rows if before is None else rows.where(F.col("batch_id") < before)
 
-    SEEN = "_event_hash STRING, event_date DATE"
+    def _part(self, name: str, schema: str, batch_id: int) -> DataFrame:
+        return self.spark.read.schema(schema).parquet(f"{self.root}/{name}/batch_id={batch_id}")
+
     USAGE = ("usage_id STRING, account_id STRING, user_id STRING, feature STRING, event_timestamp TIMESTAMP, "
              "event_date DATE")
     EFFECTS = ("account_id STRING, d INT, lo INT, hi INT, product_events BIGINT, payment_failed BOOLEAN, "
                "forced BOOLEAN, last_at BIGINT")
     LOG = ("topic STRING, received BIGINT, published BIGINT, duplicates_dropped BIGINT, dead_lettered BIGINT, "
            "consumed BIGINT, max_ts TIMESTAMP")
-    LETTERS = (", ".join(f"{n} {t}" for n, t in E.EVENT_TYPES.items())
-               + ", _topic STRING, _raw STRING, _event_hash STRING, event_date DATE, _published_at TIMESTAMP, _retry_count INT, "
-                 "_max_retries INT, _last_error STRING, _fatal_error STRING, _dead_lettered_at TIMESTAMP")
+    ENVELOPED = (", ".join(f"{n} {t}" for n, t in E.EVENT_TYPES.items())
+                 + ", _topic STRING, _raw STRING, _event_hash STRING, event_date DATE, _published_at TIMESTAMP, _retry_count INT, "
+                   "_max_retries INT")
+    CHECKED = f"{ENVELOPED}, _error STRING"
+    ACCEPTED = f"{ENVELOPED}, late BOOLEAN"
+    LETTERS = f"{ENVELOPED}, _last_error STRING, _fatal_error STRING, _dead_lettered_at TIMESTAMP"
     REDRIVES = "_event_hash STRING, republished BOOLEAN"
     DATES = ("date_key STRING, full_date DATE, year INT, quarter INT, month INT, day INT, day_of_week INT, "
              "is_weekend BOOLEAN")
+    KEYS = "kind STRING, key STRING, event_date DATE"
+    # Where the keys of recent batches are: table, its schema and the column that is the key.
+    KEYED = {"event": ("accepted", ACCEPTED, "_event_hash"), "letter": ("dead_letters", LETTERS, "_event_hash"),
+             "usage": ("fact_usage", USAGE, "usage_id")}
 
     # -------------------------------------------------------------- batch
     def process(self, batch: DataFrame, batch_id: int) -> None:
         at = self.clock()
         # A stream's session has it off; the work below is ordinary batch work.
         batch.sparkSession.conf.set("spark.sql.adaptive.enabled", "true")
+        gathered = storage.published(self.spark, self._keys_root())
+        if batch_id - _upto(gathered) > self.compact_every:
+            gathered = self.compact(batch_id, gathered)
+
         enveloped = E.with_envelope(batch, at).withColumn("event_date", F.to_date("timestamp"))
-        checked = E.reject_unknown(E.with_error(enveloped), self.known(), list_up_to=MAX_LISTED_KEYS).persist(
-            StorageLevel.MEMORY_AND_DISK)
-        cached = [checked]
-        try:
-            in_dates = self._dates_of(checked)
-
-            def unseen(rows: DataFrame, table: str, schema: str) -> DataFrame:
-                earlier = self.table(table, schema, batch_id).where(in_dates).select("_event_hash")
-                kept = E.drop_copies(rows).join(earlier, "_event_hash", "left_anti").persist(StorageLevel.MEMORY_AND_DISK)
-                cached.append(kept)
-                return kept
-
-            fresh = unseen(checked.where("_error IS NULL").drop("_error"), "seen", self.SEEN)
-            failed = unseen(checked.where("_error IS NOT NULL"), "dead_letters", self.LETTERS)
-            letters = E.dead_letters(failed, at)
-
-            inserted = self._new_product_events(fresh, in_dates, batch_id).persist(StorageLevel.MEMORY_AND_DISK)
-            cached.append(inserted)
-            self._write(facts.fact_usage(inserted), "fact_usage", batch_id, "event_date")
-            self._write(self._effects(fresh, inserted), "health_effects", batch_id)
-            known_dates = self.table("dim_date", self.DATES, batch_id).select("date_key")
-            self._write(facts.dim_date(fresh, "timestamp").join(known_dates, "date_key", "left_anti"), "dim_date", batch_id)
-            self._write(letters, "dead_letters", batch_id, sort_by="event_date")
-            self._write(self._late(fresh, batch_id), "late_events", batch_id)
-            self._write(self._log(checked, fresh, letters), "batch_log", batch_id)
-            for subscriber in self.subscribers:
-                subscriber(fresh, batch_id)
-            # Last, so an unfinished batch never hides its events from its own retry.
-            self._write(fresh.select("_event_hash", "event_date"), "seen", batch_id, sort_by="event_date")
-        finally:
-            for frame in cached:
-                frame.unpersist()
+        checked = E.reject_unknown(E.with_error(enveloped), self.known())
+        arrived = Observation()
+        days = F.sort_array(F.collect_set(F.coalesce(F.col("event_date").cast("string"), F.lit(NO_DATE))))  # the calendar's at most
+        self._write(checked.observe(arrived, days.alias("days"), *_by_topic("received")), "inbox", batch_id)
+        inbox = self._part("inbox", self.CHECKED, batch_id)
+        days = _observed(arrived).get("days", [])
+
+        newest = self.table("batch_log", self.LOG, batch_id).agg(F.max("max_ts")).first()[0]  # a few rows a batch
+        late = F.col("timestamp") < F.lit(newest) - F.expr(f"INTERVAL {LATE_AFTER}") if newest else F.lit(False)
+        fresh = self._unseen(E.drop_copies(inbox.where("_error IS NULL").drop("_error")), "event", "_event_hash", days, batch_id, gathered)
+        consumed = Observation()
+        self._write(fresh.withColumn("late", late).observe(consumed, *_by_topic("consumed"), *_by_topic("max_ts", "timestamp")),
+                    "accepted", batch_id, sort_by="event_date")
+        fresh = self._part("accepted", self.ACCEPTED, batch_id)
+
+        failed = self._unseen(E.drop_copies(inbox.where("_error IS NOT NULL")), "letter", "_event_hash", days, batch_id, gathered)
+        dead = Observation()
+        self._write(E.dead_letters(failed, at).observe(dead, *_by_topic("dead_lettered")), "dead_letters", batch_id, sort_by="event_date")
 
-    @staticmethod
-    def _dates_of(rows: DataFrame) -> Column:
-        """Filter that prunes earlier batches to the dates of this one: the dates
-        themselves while they are few, else their range."""
-        dates = rows.select("event_date").distinct()
-        few = [r[0] for r in dates.limit(MAX_LISTED_DATES + 1).collect()]
-        if len(few) <= MAX_LISTED_DATES:
-            return F.col("event_date").isin(few) if few else F.lit(False)
-        span = dates.agg(F.min("event_date").alias("low"), F.max("event_date").alias("high")).first()
-        return F.col("event_date").between(span["low"], span["high"])
-
-    def _new_product_events(self, fresh: DataFrame, in_dates: Column, batch_id: int) -> DataFrame:
-        """Product events whose id is not a usage fact yet."""
         product = keep_first(fresh.where(F.col("_topic") == "product.events"), ["event_id"], ["timestamp", "_event_hash"])
-        stored = self.table("fact_usage", self.USAGE, batch_id).where(in_dates).select(F.col("usage_id").alias("event_id"))
-        return product.join(stored, "event_id", "left_anti").select(*fresh.columns)
-
-    def _effects(self, fresh: DataFrame, inserted: DataFrame) -> DataFrame:
+        inserted = self._unseen(product, "usage", "event_id", days, batch_id, gathered)
+        self._write(facts.fact_usage(inserted), "fact_usage", batch_id, "event_date")
+        stored = self._part("fact_usage", self.USAGE, batch_id).select(
+            F.col("usage_id").alias("event_id"), "account_id", F.lit("product.events").alias("_topic"),
+            F.lit(None).cast("string").alias("severity"), F.lit(None).cast("string").alias("status"), F.col("event_timestamp").alias("timestamp"))
+        self._write(self._effects(fresh, stored), "health_effects", batch_id)
+        known_dates = self.table("dim_date", self.DATES, batch_id).select("date_key")
+        self._write(facts.dim_date(fresh, "timestamp").join(known_dates, "date_key", "left_anti"), "dim_date", batch_id)
+        for subscriber in self.subscribers:
+            subscriber(fresh.drop("late"), batch_id)
+        # Last: a batch is finished when it is logged.
+        self._write(self._log(*map(_observed, (arrived, consumed, dead))), "batch_log", batch_id)
+
+    def _unseen(self, rows: DataFrame, kind: str, key: str, days: Sequence[str], batch_id: int, gathered: storage.Published) -> DataFrame:
+        """Rows whose key is not among those of the earlier batches, which are read for the dates of this one."""
+        earlier = self.keys(kind, days, batch_id, gathered).select(F.col("key").alias(key))
+        return rows.join(earlier, key, "left_anti").select(*rows.columns)
+
+    def _effects(self, fresh: DataFrame, stored: DataFrame) -> DataFrame:
         """Composed effects; only product events that became facts count."""
-        counted = fresh.where(F.col("_topic") != "product.events").unionByName(inserted)
+        needed = ("event_id", "account_id", "_topic", "severity", "status", "timestamp")
+        counted = fresh.where(F.col("_topic") != "product.events").select(*needed).unionByName(stored)
         columns = [c.split(" ")[0] for c in self.EFFECTS.split(", ")]
         return effects.account_effects(effects.event_effects(counted, self.support_penalty)).select(*columns)
 
-    def _late(self, fresh: DataFrame, batch_id: int) -> DataFrame:
-        """Events older than the newest earlier event by more than the allowed delay."""
-        newest = self.table("batch_log", self.LOG, batch_id).agg(F.max("max_ts")).scalar()
-        return fresh.where(F.col("timestamp") < newest - F.expr(f"INTERVAL {LATE_AFTER}"))
-
-    def _log(self, checked: DataFrame, fresh: DataFrame, letters: DataFrame) -> DataFrame:
-        topic = F.col("_topic").alias("topic")
-        received = checked.groupBy(topic).agg(F.count(F.lit(1)).alias("received"))
-        consumed = fresh.groupBy(topic).agg(F.count(F.lit(1)).alias("consumed"), F.max("timestamp").alias("max_ts"))
-        dead = letters.groupBy(topic).agg(F.count(F.lit(1)).alias("dead_lettered"))
-        published = F.col("consumed") + F.col("dead_lettered")
-        return received.join(consumed, "topic", "left").join(dead, "topic", "left").fillna(
-            0, ["consumed", "dead_lettered"]).select(
-            "topic", "received", published.alias("published"),
-            (F.col("received") - published).alias("duplicates_dropped"), "dead_lettered", "consumed", "max_ts")
+    def _log(self, arrived: dict, consumed: dict, dead: dict) -> DataFrame:
+        rows = []
+        for i, topic in enumerate(_LOGGED):
+            received, taken, lost = (counts.get(f"{name}_{i}") or 0 for counts, name in (
+                (arrived, "received"), (consumed, "consumed"), (dead, "dead_lettered")))
+            if received:
+                rows.append((topic, received, taken + lost, received - taken - lost, lost, taken, consumed.get(f"max_ts_{i}")))
+        logged = self.spark.createDataFrame(rows, self.LOG.replace("TIMESTAMP", "BIGINT")).coalesce(1)
+        return logged.withColumn("max_ts", F.timestamp_micros("max_ts"))
+
+    # --------------------------------------------------------------- keys
+    def _keys_root(self) -> str:
+        return f"{self.root}/keys"
+
+    def keys(self, kind: str, days: Sequence[str] | None, before: int, gathered: storage.Published | None = None) -> DataFrame:
+        """``key`` and ``event_date`` of a kind in the batches before ``before``; ``days`` leaves out other dates."""
+        state = gathered or storage.published(self.spark, self._keys_root())
+        older = storage.read_dates(self.spark, self._keys_root(), "keys", self.KEYS, days, state).where(F.col("kind") == kind)
+        recent = self._recent(kind, _upto(state), before)
+        if days is not None:
+            real = [F.lit(d).cast("date") for d in days if d != NO_DATE]
+            in_days = F.col("event_date").isin(*real) if real else F.lit(False)
+            recent = recent.where(in_days | F.col("event_date").isNull() if NO_DATE in days else in_days)
+        return older.unionByName(recent).select("key", "event_date")
+
+    def _recent(self, kind: str, after: int, before: int) -> DataFrame:
+        """Keys of the batches between two; only their folders are listed."""
+        name, schema, key = self.KEYED[kind]
+        folders = [f"{self.root}/{name}/batch_id={n}" for n in range(after + 1, before)]
+        folders = [f for f in folders if storage.table_exists(self.spark, f)]
+        rows = self.spark.read.schema(schema).option("basePath", f"{self.root}/{name}").parquet(*folders) if folders else (
+            self.spark.createDataFrame([], schema))
+        return rows.select(F.lit(kind).alias("kind"), F.col(key).alias("key"), "event_date")
+
+    def compact(self, before: int, gathered: storage.Published | None = None) -> storage.Published:
+        """Gather the keys of the batches before ``before`` in the dated table: their dates are written anew, no others."""
+        root = self._keys_root()
+        state = gathered or storage.published(self.spark, root)
+        if before - 1 <= _upto(state):
+            return state
+        recent = reduce(DataFrame.unionByName, [self._recent(kind, _upto(state), before) for kind in self.KEYED])
+        day = F.coalesce(F.col("event_date").cast("string"), F.lit(NO_DATE))
+        days = [r[0] for r in recent.select(day).distinct().collect()]  # the calendar's at most
+        older = storage.read_dates(self.spark, root, "keys", self.KEYS, days, state)
+        run = f"upto{before - 1}"
+        names = storage.stage_dates(older.unionByName(recent), root, run, "keys")
+        storage.publish(self.spark, root, run, names, self.clock(), {n: state.runs.get(n) for n in names}, {"compacted": before - 1})
+        return storage.published(self.spark, root)
 
     # ------------------------------------------------------------- redrive
     def redrive(self, run: int, topics_root: str) -> DataFrame:
@@ -230,13 +300,24 @@ class LiveJob:
         return self.table("redrives", self.REDRIVES).where(F.col("batch_id") == run)
 
     # ------------------------------------------------------------- results
-    def current_health(self, mart: DataFrame, after_batch: int = -1) -> DataFrame:
-        """The mart with the effects of the batches after ``after_batch``."""
-        since = self.table("health_effects", self.EFFECTS).where(F.col("batch_id") > after_batch)
+    def included(self) -> int:
+        """The last batch whose facts the published warehouse holds."""
+        return int(storage.published(self.spark, self.warehouse).marks.get("live_batch", -1)) if self.warehouse else -1
+
+    def finished(self) -> int:
+        """The last batch that is logged."""
+        newest = self.table("batch_log", self.LOG).agg(F.max("batch_id")).first()[0]
+        return -1 if newest is None else newest
+
+    def current_health(self, mart: DataFrame, after_batch: int | None = None) -> DataFrame:
+        """The mart with the effects of the batches after ``after_batch``: by default those it does not hold yet."""
+        after = self.included() if after_batch is None else after_batch
+        since = self.table("health_effects", self.EFFECTS).where(F.col("batch_id") > after)
         return effects.apply_effects(mart, effects.compose(since, ["account_id"], ["batch_id"]))
 
-    def usage(self) -> DataFrame:
-        return self.table("fact_usage", self.USAGE).drop("batch_id")
+    def usage(self, after_batch: int = -1, upto: int | None = None) -> DataFrame:
+        rows = self.table("fact_usage", self.USAGE, None if upto is None else upto + 1)
+        return rows.where(F.col("batch_id") > after_batch).drop("batch_id")
 
     def metrics(self) -> DataFrame:
         """Totals per topic over all batches."""
@@ -250,6 +331,12 @@ class LiveJob:
         return {s["description"]: (s.get("metrics") or {}).get("numFilesOutstanding") or s.get("latestOffset")
                 for s in progress["sources"]}
 
-    def dates_to_restate(self) -> DataFrame:
-        """Dates that late events fell into; their batch figures need a rebuild."""
-        return self.table("late_events", "_topic STRING, event_date DATE").select("event_date").distinct()
+    def late_events(self) -> DataFrame:
+        """Events older than the newest earlier event by more than the allowed delay."""
+        return self.table("accepted", self.ACCEPTED).where("late")
+
+    def dates_to_restate(self, after_batch: int | None = None) -> DataFrame:
+        """Dates that late events fell into since ``after_batch``, by default since the published warehouse;
+        ``incremental.run_increment`` builds them anew."""
+        after = self.included() if after_batch is None else after_batch
+        return self.late_events().where(F.col("batch_id") > after).select("event_date").distinct()
