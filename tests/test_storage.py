@@ -131,7 +131,9 @@ def test_daily_run_end_to_end(spark, tmp_path, rows):
 
     # a change made from alerts that are no longer the published ones is made again from those
     more = spark.createDataFrame([("alt_bill_i0", "Lee", None)], "alert_id STRING, acknowledged_by STRING, notes STRING")
-    daily._publish_alerts(spark, root, "ack2", ["automation_alerts"], lambda x: daily.rules.acknowledge(x, more, "2024-02-02 00:00:00"), "run1")
+    late = daily.Run(spark, root, "ack2")
+    late.tables.append("automation_alerts")
+    daily._publish_alerts(late, lambda x: daily.rules.acknowledge(x, more, "2024-02-02 00:00:00"), "run1")
     state = {r.alert_id: [e.acknowledged_by for e in r.audit_history] for r in published("automation_alerts").collect()}
     assert state["alt_bill_i0"] == [None, "Kim", "Lee"] and storage.current_runs(spark, root)["automation_alerts"] == "ack2"
 

@@ -82,6 +82,8 @@ def _fit(features: DataFrame, rows: int, trees: int, depth: int) -> tuple[Pipeli
         model = Pipeline(stages=[assembler, forest]).fit(train)
     finally:
         train.unpersist()
+    # The training summary holds the session, which cannot be sent to tasks once metrics were observed in it.
+    model.stages[-1]._java_obj.setSummary(features.sparkSession._jvm.scala.Option.empty())
     scored = churn_probability(model, split.where("NOT is_train"), keep=["churn_label"])
     quality = evaluation.classification_metrics(scored, "churn_probability", "churn_label", 0.5).first().asDict()
     auc = evaluation.roc_auc(scored, "churn_probability", "churn_label").first()

@@ -14,23 +14,36 @@ from tidemark.operators.ranking import presence_changes
 from tidemark.operators.usage import trailing_usage
 
 
-def support_by_account(support: DataFrame) -> DataFrame:
-    """Ticket counts per account.
+TICKET_COUNTS = ("total_tickets", "open_tickets", "critical_tickets", "critical_open_tickets", "sla_breached_count", "unresolved")
+
+
+def ticket_counts(support: DataFrame, *keys: str) -> DataFrame:
+    """Ticket counts by ``keys``; counts of parts add up.
 
     ``critical_tickets`` counts them whatever their status, which is what health
     and the support rule use; ``critical_open_tickets`` only those still open.
     """
-    counts = support.groupBy("account_id").agg(
+    critical = F.col("severity") == "critical"
+    return support.groupBy(*keys).agg(
         F.count("ticket_id").alias("total_tickets"),
         F.count_if(F.col("status") == "open").alias("open_tickets"),
-        F.count_if(F.col("severity") == "critical").alias("critical_tickets"),
-        F.count_if((F.col("severity") == "critical") & (F.col("status") == "open")).alias("critical_open_tickets"),
+        F.count_if(critical).alias("critical_tickets"),
+        F.count_if(critical & (F.col("status") == "open")).alias("critical_open_tickets"),
         F.count_if("sla_breached").alias("sla_breached_count"),
+        F.count_if(F.col("resolved_at").isNull()).alias("unresolved"),
     )
+
+
+def with_compliance(counts: DataFrame) -> DataFrame:
     breached_pct = C.ratio(F.col("sla_breached_count"), F.col("total_tickets"), 0.0) * 100.0
     return counts.withColumn("sla_compliance_rate", F.round(100.0 - breached_pct, 2))
 
 
+def support_by_account(support: DataFrame) -> DataFrame:
+    """Ticket counts and SLA compliance per account."""
+    return with_compliance(ticket_counts(support, "account_id").drop("unresolved"))
+
+
 def billing_by_account(billing: DataFrame) -> DataFrame:
     flags = billing.groupBy("account_id").agg(
         F.coalesce(F.bool_or(F.col("status") == "failed"), F.lit(False)).alias("has_failed"),
@@ -52,19 +65,25 @@ def sla_breach_rate(support: DataFrame) -> DataFrame:
 
 def customer_health(accounts: DataFrame, subscriptions: DataFrame, usage: DataFrame,
                     support: DataFrame, billing: DataFrame, as_of) -> DataFrame:
-    """The health mart: one row per account.
+    """The health mart: one row per account."""
+    return assemble_health(accounts, subscriptions, trailing_usage(usage, as_of), support_by_account(support),
+                           billing_by_account(billing), as_of)
+
+
+def assemble_health(accounts: DataFrame, subscriptions: DataFrame, usage_30d: DataFrame,
+                    tickets: DataFrame, payments: DataFrame, as_of) -> DataFrame:
+    """The health mart from inputs of one row per account.
 
-    Every input is reduced to one row per account before the joins; an account
-    with several subscriptions is represented by the latest one.
+    An account with several subscriptions is represented by the latest one.
     """
     plan = keep_latest(subscriptions, ["account_id"], "start_date", ["subscription_id"]).select(
         "account_id", F.col("plan_name").alias("plan"), "mrr", F.col("status").alias("subscription_status")
     )
     joined = (
         accounts.join(plan, "account_id", "left")
-        .join(trailing_usage(usage, as_of), "account_id", "left")
-        .join(support_by_account(support), "account_id", "left")
-        .join(billing_by_account(billing).select("account_id", "payment_status"), "account_id", "left")
+        .join(usage_30d, "account_id", "left")
+        .join(tickets, "account_id", "left")
+        .join(payments.select("account_id", "payment_status"), "account_id", "left")
         .fillna({
             "events_last_30d": 0, "active_users_30d": 0, "open_tickets": 0, "critical_tickets": 0,
             "sla_compliance_rate": 100.0, "payment_status": S.GOOD_STANDING,

@@ -105,6 +105,32 @@ def rule_critical_backlog(support: DataFrame, accounts: DataFrame, as_of, more_t
     return counts.join(accounts.select("account_id", "company_name", "csm_owner"), "account_id")
 
 
+def backlog_alerts(support: DataFrame, accounts: DataFrame, as_of, more_than: int = 3, hours: float = 48.0) -> DataFrame:
+    """An alert for every account with such a backlog."""
+    count = F.col("critical_backlog").cast("string")
+    return _alerts(
+        rule_critical_backlog(support, accounts, as_of, more_than, hours), as_of,
+        alert_id=F.concat(F.lit("alt_backlog_"), F.col("account_id")),
+        alert_type="Support Deterioration", severity="critical",
+        reason=F.concat(F.lit("Account has "), count, F.lit(f" critical tickets unresolved for over {hours:g} hours.")),
+        owner=F.col("csm_owner"), detail=F.concat(count, F.lit(" critical tickets in the backlog")),
+    )
+
+
+def drop_alerts(drops: DataFrame, accounts: DataFrame, as_of) -> DataFrame:
+    """An alert for every account day of ``health.health_drops``."""
+    named = drops.join(accounts.select("account_id", "company_name", "csm_owner"), "account_id")
+    day = F.date_format("date_key", "yyyy-MM-dd")
+    return _alerts(
+        named, as_of,
+        alert_id=F.concat(F.lit("alt_drop_"), F.col("account_id"), F.lit("_"), day),
+        alert_type="CSM Alert", severity="high",
+        reason=F.concat(F.lit("Account health score fell by "), F.col("drop_pct").cast("string"), F.lit("% within a week to "),
+                        F.col("health_score").cast("string"), F.lit(".")),
+        owner=F.col("csm_owner"), detail=F.concat(F.lit("Weekly fall seen on "), day),
+    )
+
+
 def evaluate(health: DataFrame, billing: DataFrame, accounts: DataFrame, plans: DataFrame, as_of) -> DataFrame:
     """Alerts of all four rules."""
     return reduce(DataFrame.unionByName, [

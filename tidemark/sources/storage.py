@@ -9,7 +9,8 @@ from dataclasses import dataclass, field
 from datetime import datetime
 from uuid import uuid4
 
-from pyspark.sql import DataFrame, SparkSession
+from py4j.protocol import Py4JJavaError
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark import schemas as S
@@ -70,6 +71,16 @@ def export_csv(df: DataFrame, path: str) -> None:
      .option("escape", '"').option("timestampFormat", "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX").csv(path))
 
 
+def observed(counts: Observation) -> dict:
+    """What was observed of rows that have been written; nothing where Spark found beforehand that there are none."""
+    try:
+        return counts.get
+    except Py4JJavaError as problem:
+        if "AssertionError" not in str(problem):
+            raise
+        return {}
+
+
 # ------------------------------------------------------------ snapshot publish
 
 def stage(df: DataFrame, root: str, run_id: str, name: str, partition_by: str | None = None) -> DataFrame:

@@ -21,7 +21,6 @@ from dataclasses import dataclass, field
 from datetime import datetime, timezone
 from functools import reduce
 
-from py4j.protocol import Py4JJavaError
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -94,16 +93,6 @@ def _upto(gathered: storage.Published) -> int:
     return int(gathered.marks.get("compacted", -1))
 
 
-def _observed(counts: Observation) -> dict:
-    """What was observed of rows that have been written; nothing where Spark found beforehand that there are none."""
-    try:
-        return counts.get
-    except Py4JJavaError as problem:
-        if "AssertionError" not in str(problem):
-            raise
-        return {}
-
-
 @dataclass
 class LiveJob:
     """The live tables and how a batch is applied to them.
@@ -189,7 +178,7 @@ class LiveJob:
         days = F.sort_array(F.collect_set(F.coalesce(F.col("event_date").cast("string"), F.lit(NO_DATE))))  # the calendar's at most
         self._write(checked.observe(arrived, days.alias("days"), *_by_topic("received")), "inbox", batch_id)
         inbox = self._part("inbox", self.CHECKED, batch_id)
-        days = _observed(arrived).get("days", [])
+        days = storage.observed(arrived).get("days", [])
 
         newest = self.table("batch_log", self.LOG, batch_id).agg(F.max("max_ts")).first()[0]  # a few rows a batch
         late = F.col("timestamp") < F.lit(newest) - F.expr(f"INTERVAL {LATE_AFTER}") if newest else F.lit(False)
@@ -215,7 +204,7 @@ class LiveJob:
         for subscriber in self.subscribers:
             subscriber(fresh.drop("late"), batch_id)
         # Last: a batch is finished when it is logged.
-        self._write(self._log(*map(_observed, (arrived, consumed, dead))), "batch_log", batch_id)
+        self._write(self._log(*map(storage.observed, (arrived, consumed, dead))), "batch_log", batch_id)
 
     def _unseen(self, rows: DataFrame, kind: str, key: str, days: Sequence[str], batch_id: int, gathered: storage.Published) -> DataFrame:
         """Rows whose key is not among those of the earlier batches, which are read for the dates of this one."""
