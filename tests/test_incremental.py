@@ -70,7 +70,7 @@ def same(spark, rows, root, whole, drop=("calculated_at",)):
     columns = facts.columns
     assert rows(storage.read_dates(spark, root, "fact_usage", incremental.USAGE), *columns) == rows(facts, *columns)
     tickets = storage.read_published(spark, whole, "fact_support")
-    assert rows(storage.read_dates(spark, root, "fact_support", incremental.SUPPORT, by="created_date"), *tickets.columns) == rows(tickets, *tickets.columns)
+    assert rows(storage.read_dates(spark, root, "fact_support", incremental.SUPPORT, by="created_month"), *tickets.columns) == rows(tickets, *tickets.columns)
     hours = ("feature", "window_start", "window_end", "event_count")
     assert rows(storage.read_dates(spark, root, "usage_hours", incremental.HOURS), *hours) == rows(usage.tumbling(facts), *hours)
     spans = ("user_id", "session_start", "session_end", "event_count")
@@ -109,7 +109,7 @@ def test_second_day_writes_its_dates_and_equals_a_rebuild(spark, tmp_path, rows)
     same(spark, rows, root, rebuilt(spark, tmp_path, one, two))
     # nothing new: no date is written
     incremental.run_increment(spark, both, root, "day3", "2024-01-31 00:00:00")
-    assert "day3" not in {r for n, r in storage.published(spark, root).runs.items() if "/" in n and not n.startswith(("fact_support", "support_days"))}
+    assert "day3" not in {r for n, r in storage.published(spark, root).runs.items() if "/" in n and not n.startswith(("fact_support", "support_counts"))}
 
 
 def test_late_live_events_restate_their_dates(spark, tmp_path, rows):

@@ -130,6 +130,37 @@ def account_standing(accounts: DataFrame, subscriptions: DataFrame, billing: Dat
             .fillna({"payment_status": S.GOOD_STANDING}))
 
 
+STANDING = ("payment_status", "subscription_status")
+
+
+def standing_history(snapshots: DataFrame) -> DataFrame:
+    """Validity intervals of successive daily snapshots (``day`` and the standing of every account on it).
+
+    ``valid_to`` is the day of the next change, null where it still holds.  A snapshot equal to the one
+    before adds nothing.
+    """
+    by_day = Window.partitionBy("account_id").orderBy("day")
+    standing = F.struct(*STANDING)
+    before = F.lag(standing).over(by_day)
+    changes = snapshots.withColumn("_new", before.isNull() | ~standing.eqNullSafe(before)).where("_new")
+    return changes.select("account_id", *STANDING, F.col("day").alias("valid_from"), F.lead("day").over(by_day).alias("valid_to"))
+
+
+def extend_history(history: DataFrame, snapshot: DataFrame, day) -> DataFrame:
+    """The history after one more snapshot, taken on a day not before the last; running it again changes nothing."""
+    day = F.lit(day).cast("date")
+    # a run that is repeated takes its own day back first
+    earlier = history.where(F.col("valid_from") < day).withColumn("valid_to", F.when(F.col("valid_to") < day, F.col("valid_to")))
+    now = snapshot.select("account_id", *[F.col(c).alias(f"_{c}") for c in STANDING], F.lit(True).alias("_seen"))
+    current = earlier.where("valid_to IS NULL").join(now, "account_id", "full_outer")
+    same = F.struct(*STANDING).eqNullSafe(F.struct(*[F.col(f"_{c}") for c in STANDING]))
+    changed = F.col("_seen") & (F.col("valid_from").isNull() | ~same)
+    old = current.where("valid_from IS NOT NULL").select("account_id", *STANDING, "valid_from", F.when(changed, day).alias("valid_to"))
+    new = current.where(changed).select("account_id", *[F.col(f"_{c}").alias(c) for c in STANDING], day.alias("valid_from"),
+                                        F.lit(None).cast("date").alias("valid_to"))
+    return earlier.where("valid_to IS NOT NULL").unionByName(old).unionByName(new)
+
+
 def health_daily(usage: DataFrame, support: DataFrame, standing: DataFrame,
                  first_day: str | None = None, last_day: str | None = None) -> DataFrame:
     """Health per account of ``standing`` and calendar day between two dates (inclusive).
@@ -139,6 +170,9 @@ def health_daily(usage: DataFrame, support: DataFrame, standing: DataFrame,
     ticket backlog and the calendar itself are all expressed as changes on an
     (account, day); one aggregation sums them and one window accumulates them,
     so nothing is joined day by day.
+
+    ``standing`` is a history (``standing_history``), whose state of each day counts, or one row an
+    account, which counts for every day.  Before an account's first known state it is in good standing.
     """
     first = F.lit(first_day).cast("date") if first_day else usage.agg(F.min("event_date")).scalar()
     last = F.lit(last_day).cast("date") if last_day else usage.agg(F.max("event_date")).scalar()
@@ -146,7 +180,8 @@ def health_daily(usage: DataFrame, support: DataFrame, standing: DataFrame,
     in_range = usage.where(F.col("event_date").between(first, last)).select(
         "account_id", "user_id", F.unix_date("event_date").alias("_day"))
     events = in_range.groupBy("account_id", "_day").agg(F.count(F.lit(1)).alias("events"))
-    accounts = standing.select("account_id")
+    dated = "valid_from" in standing.columns
+    accounts = standing.select("account_id").distinct() if dated else standing.select("account_id")
     users = presence_changes(in_range, ["account_id"], "user_id", "_day",
                              {"active_users_7d": 7, "active_users_30d": 30}).drop("members")
     calendar = accounts.select("account_id", F.explode(F.sequence(first_no, last_no)).alias("_day"))
@@ -163,11 +198,15 @@ def health_daily(usage: DataFrame, support: DataFrame, standing: DataFrame,
         .select("account_id", F.greatest(F.unix_date(F.to_date("m.at")), first_no).alias("_day"),
                 F.col("m.n").alias("open_tickets_count"), (F.col("m.n") * F.col("_p1")).alias("unresolved_p1_tickets"))
     )
-    parts = [calendar, events, users, tickets]
+    # A state begins on its first day; of those before the range the newest holds on the first.
+    begun = F.unix_date("valid_from") if dated else first_no
+    states = standing.where(begun <= last_no).groupBy("account_id", F.greatest(begun, first_no).alias("_day")).agg(
+        F.max_by(F.struct(*STANDING), begun).alias("_standing"))
+    parts = [calendar, events, users, tickets, states]
     stacked = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
     summed = ("events", "active_users_7d", "active_users_30d", "open_tickets_count", "unresolved_p1_tickets")
     daily = stacked.where(F.col("_day") <= last_no).groupBy("account_id", "_day").agg(
-        *[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in summed]).join(standing, "account_id")
+        *[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in summed], F.any_value("_standing", True).alias("_standing"))
 
     by_day = Window.partitionBy("account_id").orderBy("_day")
     upto = by_day.rowsBetween(Window.unboundedPreceding, 0)
@@ -176,7 +215,9 @@ def health_daily(usage: DataFrame, support: DataFrame, standing: DataFrame,
         "total_events_7d": F.sum("events").over(by_day.rowsBetween(-6, 0)),
         "_prior_7d": F.sum("events").over(by_day.rowsBetween(-13, -7)),
         "_events_30d": F.sum("events").over(by_day.rowsBetween(-29, 0)),
-    })
+        "_standing": F.last("_standing", True).over(upto),
+    }).withColumns({"payment_status": F.coalesce("_standing.payment_status", F.lit(S.GOOD_STANDING)),
+                    "subscription_status": F.col("_standing.subscription_status")})
     score = C.health_score(F.col("_events_30d"), F.col("open_tickets_count"), F.col("unresolved_p1_tickets"),
                            F.col("payment_status"), F.col("subscription_status"))
     shown = F.round(score, 1)

@@ -34,6 +34,7 @@ BILLING_AS_OF = "1995-07-01 00:00:00"
 SUPPORT_AS_OF = "2001-12-31 00:00:00"
 # Line items of this quantity are grave tickets, which may stay open; smaller ones are always resolved.
 GRAVE_FROM_QUANTITY = 49
+BACKLOG_FROM_QUANTITY = 40
 
 # Quotas low enough for the telemetry at hand to reach them.
 SMALL_QUOTAS = (
@@ -113,9 +114,9 @@ class Domain:
         """Tickets as delivered; ids repeat."""
         return self._ticket_copies(self.table("lineitem"))
 
-    def _ticket_copies(self, lines: DataFrame) -> DataFrame:
+    def _ticket_copies(self, lines: DataFrame, grave_from: int = GRAVE_FROM_QUANTITY) -> DataFrame:
         shipped, ordered = F.col("l_shipdate"), F.col("o_orderdate")
-        grave = F.col("l_quantity") >= GRAVE_FROM_QUANTITY
+        grave = F.col("l_quantity") >= grave_from
         resolved = ~grave | (F.col("l_linestatus") == "F") & (shipped >= ordered)
         flag, odd = F.when(grave, F.col("l_returnflag")), F.col("l_linenumber") % 2 == 1
         lines = lines.select(
@@ -139,6 +140,12 @@ class Domain:
     def tickets(self) -> DataFrame:
         return keep_first(self.ticket_copies, ["ticket_id"], self.TICKET_ORDER).drop(*self.TICKET_ORDER)
 
+    @cached_property
+    def backlog(self) -> DataFrame:
+        """Support facts with more grave tickets, so that accounts have backlogs."""
+        copies = self._ticket_copies(self.table("lineitem"), BACKLOG_FROM_QUANTITY)
+        return facts.fact_support(keep_first(copies, ["ticket_id"], self.TICKET_ORDER), SUPPORT_AS_OF)
+
     @cached_property
     def events(self) -> DataFrame:
         return self._events(self.table("events"))
@@ -247,6 +254,31 @@ class Domain:
     def arriving_events(self) -> DataFrame:
         return self._topics(self.arriving)
 
+    @cached_property
+    def raw(self) -> dict[str, DataFrame]:
+        """The six raw datasets with ids as text, as a landing has them."""
+        frames = {"accounts": self.accounts, "users": self.users, "subscriptions": self.subscriptions, "invoices": self.invoices,
+                  "support_tickets": self.tickets, "product_events": self.events}
+        return {name: df.withColumns({c: F.col(c).cast("string") for c in df.columns if c.endswith("_id")}).select(
+            *S.struct(S.BRONZE[name]).fieldNames()) for name, df in frames.items()}
+
+    @cached_property
+    def month_ends(self) -> DataFrame:
+        """Standing of every account at the end of each month of orders, from the invoices known by then."""
+        first, last = self.order_usage.agg(F.min("event_date")).scalar(), self.order_usage.agg(F.max("event_date")).scalar()
+        months = F.sequence(F.trunc(first, "month"), F.trunc(last, "month"), F.expr("INTERVAL 1 MONTH"))
+        known = self.table("orders").select("o_orderkey", F.to_date("o_orderdate").alias("_known")).join(
+            self.invoices, F.col("o_orderkey") == F.col("invoice_id"))
+        # the first day an account is in trouble: a failed invoice at once, an open one after it is due
+        trouble = known.select("account_id", F.when(F.col("status") == "failed", F.col("_known")).when(
+            F.col("status") == "open", F.greatest("_known", F.date_add(F.to_date("due_date"), 1))).alias("_since")).groupBy(
+            "account_id").agg(F.min("_since").alias("_since"))
+        status = self.subscriptions.select("account_id", F.col("status").alias("_status"), F.to_date("start_date").alias("_start"))
+        per_account = self.dim_account.select("account_id").join(trouble, "account_id", "left").join(status, "account_id")
+        return per_account.withColumn("month", F.explode(months)).withColumn("day", F.last_day("month")).select(
+            "account_id", "day", F.when(F.col("_since") <= F.col("day"), S.PAYMENT_TROUBLE).otherwise(S.GOOD_STANDING).alias("payment_status"),
+            F.when(F.col("_start") <= F.col("day"), F.col("_status")).alias("subscription_status"))
+
     def _topics(self, source) -> DataFrame:
         """All four topics in the common event shape; a '4-NOT SPECIFIED' order
         gives a billing event without status."""

@@ -9,8 +9,8 @@ job, and merges them into dated tables:
   feature and hour, and a sketch of the users of a day), built anew for the same dates;
 * ``usage_sessions`` by the date they begin; sessions are summaries that merge, so new
   events are made to sessions of their own and joined with those they touch;
-* ``fact_support`` by the date of creation, with the newest version of a ticket, and
-  ``support_days``; dates with unresolved tickets are refreshed too, because a breach
+* ``fact_support`` by the month of creation, with the newest version of a ticket, and
+  ``support_counts``; months with unresolved tickets are refreshed too, because a breach
   depends on the time of the run.
 
 Accounts, users, subscriptions and invoices are replaced by key.  The marts follow from
@@ -37,9 +37,9 @@ from tidemark.sources import storage
 from tidemark.streaming.live import LiveJob
 
 USAGE = S.WAREHOUSE["fact_usage"]
-SUPPORT = S.WAREHOUSE["fact_support"] + ", created_date DATE"
-SUPPORT_DAYS = ("account_id STRING, total_tickets BIGINT, open_tickets BIGINT, critical_tickets BIGINT, critical_open_tickets BIGINT, "
-                "sla_breached_count BIGINT, unresolved BIGINT, created_date DATE")
+SUPPORT = S.WAREHOUSE["fact_support"] + ", created_month DATE"
+SUPPORT_COUNTS = ("account_id STRING, total_tickets BIGINT, open_tickets BIGINT, critical_tickets BIGINT, critical_open_tickets BIGINT, "
+                "sla_breached_count BIGINT, unresolved BIGINT, created_month DATE")
 DAYS = "account_id STRING, daily_events BIGINT, event_date DATE"
 HOURS = "feature STRING, window_start TIMESTAMP, window_end TIMESTAMP, event_count BIGINT, event_date DATE"
 USERS = "events BIGINT, users BINARY, event_date DATE"
@@ -127,14 +127,14 @@ class Increment(Run):
         since = (_as_datetime(self.as_of) - timedelta(days=30)).date().isoformat()
         window = [d for d in storage.published_dates(self.now(), "fact_usage") if d >= since]
         recent = self.dated("fact_usage", USAGE, dates=window)
-        days = self.dated("support_days", SUPPORT_DAYS, "created_date")
+        days = self.dated("support_counts", SUPPORT_COUNTS, "created_month")
         tickets = days.groupBy("account_id").agg(*[F.sum(c).alias(c) for c in health.TICKET_COUNTS])
         mart = health.assemble_health(accounts, subscriptions, usage.trailing_usage(recent, self.as_of),
                                       health.with_compliance(tickets), health.billing_by_account(billing), self.as_of)
         return build_marts(
             self, mart, accounts=accounts, users=users, plans=plans, subscriptions=subscriptions, billing=billing,
             daily_usage=self.dated("usage_days", DAYS), checked_usage=self.dated("fact_usage", USAGE, dates=touched) if touched else recent,
-            open_tickets=self.dated("fact_support", SUPPORT, "created_date", dates=self._unresolved_dates()),
+            open_tickets=self.dated("fact_support", SUPPORT, "created_month", dates=self._unresolved_months()),
             as_of=self.as_of, recipients=recipients, train_churn=train_churn)
 
     def _replaced(self, name: str, key: str, new: DataFrame | None) -> DataFrame:
@@ -152,30 +152,30 @@ class Increment(Run):
             rows = replace_rows(rows, invoices.select(*base), ["invoice_id"])
         return self.put("fact_billing", facts.fact_billing(rows, self.as_of))
 
-    def _unresolved_dates(self) -> list[str]:
-        """Dates with unresolved tickets, from the summaries: the calendar's at most."""
-        days = self.dated("support_days", SUPPORT_DAYS, "created_date")
-        return [str(r[0]) for r in days.where("unresolved > 0").select("created_date").distinct().collect()]
+    def _unresolved_months(self) -> list[str]:
+        """Months with unresolved tickets, from the summaries: the calendar's at most."""
+        days = self.dated("support_counts", SUPPORT_COUNTS, "created_month")
+        return [str(r[0]) for r in days.where("unresolved > 0").select("created_month").distinct().collect()]
 
     def _support(self, tickets: DataFrame | None) -> None:
         base = [c for c in S.struct(S.WAREHOUSE["fact_support"]).fieldNames() if c not in ("resolution_time_hours", "sla_breached")]
-        dates = set(self._unresolved_dates())
+        dates = set(self._unresolved_months())
         new = None
         if tickets is not None:
-            fresh = tickets.withColumn("severity", F.lower("severity")).select(*base, F.to_date("created_at").alias("created_date"))
-            names = storage.stage_dates(fresh, self.root, self.run_id, "changed_tickets", "created_date")
+            fresh = tickets.withColumn("severity", F.lower("severity")).select(*base, _month("created_at").alias("created_month"))
+            names = storage.stage_dates(fresh, self.root, self.run_id, "changed_tickets", "created_month")
             dates |= {n.split("/", 1)[1] for n in names}
             new = storage.read_dates(self.spark, self.root, "changed_tickets", SUPPORT, None,
-                                     storage.Published(runs=dict.fromkeys(names, self.run_id)), "created_date").select(*base)
+                                     storage.Published(runs=dict.fromkeys(names, self.run_id)), "created_month").select(*base)
         if not dates:
             return
-        rows = self.dated("fact_support", SUPPORT, "created_date", dates).select(*base)
+        rows = self.dated("fact_support", SUPPORT, "created_month", dates).select(*base)
         if new is not None:
             rows = replace_rows(rows, new, ["ticket_id"])
-        judged = facts.fact_support(rows, self.as_of).withColumn("created_date", F.to_date("created_at"))
-        written = self.put_dates(judged, "fact_support", "created_date")
-        counted = health.ticket_counts(self.dated("fact_support", SUPPORT, "created_date", written), "account_id", "created_date")
-        self.put_dates(counted, "support_days", "created_date")
+        judged = facts.fact_support(rows, self.as_of).withColumn("created_month", _month("created_at"))
+        written = self.put_dates(judged, "fact_support", "created_month")
+        counted = health.ticket_counts(self.dated("fact_support", SUPPORT, "created_month", written), "account_id", "created_month")
+        self.put_dates(counted, "support_counts", "created_month")
 
     def _usage(self, events: DataFrame | None) -> list[str]:
         """Merge new events, from the landing and the live job; the dates that changed."""
@@ -263,6 +263,10 @@ def _newest(df: DataFrame, name: str) -> DataFrame:
     return keep_latest(df, [key], "_ingested_at", rest)
 
 
+def _month(time: str):
+    return F.trunc(F.to_date(time), "month")
+
+
 def _as_datetime(as_of) -> datetime:
     return datetime.fromisoformat(as_of) if isinstance(as_of, str) else as_of
 

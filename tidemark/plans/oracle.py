@@ -8,32 +8,46 @@ from __future__ import annotations
 
 import re
 
-def _health_daily(usage: str, first: str, last: str) -> str:
-    """Health per account and day, each figure counted straight from its days."""
-    def days_before(what: str, newest: int, oldest: int) -> str:
-        return (f"(SELECT count({what}) FROM {usage} u WHERE u.account_id = x.account_id AND u.event_date "
-                f"BETWEEN greatest(d - {oldest}, DATE '{first}') AND d - {newest})")
+def _health_daily(usage: str, standing: str | None = None) -> str:
+    """Health per account and day of the usage; each figure is a plain window over the days.
 
-    def open_tickets(extra: str) -> str:
-        return (f"(SELECT count(*) FROM ticket t WHERE t.account_id = x.account_id AND CAST(created_at AS DATE) <= d "
-                f"AND (resolved_at IS NULL OR CAST(resolved_at AS DATE) > d){extra})")
+    ``standing`` names intervals of payment_status and status; without it those of today count for every day.
+    """
+    first, last = f"(SELECT min(event_date) FROM {usage})", f"(SELECT max(event_date) FROM {usage})"
+    frame = "OVER (PARTITION BY account_id ORDER BY d ROWS BETWEEN {} PRECEDING AND {})".format
+    near = "OVER (PARTITION BY s.account_id ORDER BY s.d RANGE BETWEEN INTERVAL {} DAY PRECEDING AND CURRENT ROW)".format
 
-    return f"""SELECT account_id, strftime(d, '%Y-%m-%d') AS date_key, u7 AS active_users_7d, u30 AS active_users_30d,
+    def moved(column: str) -> str:
+        return (f"SELECT account_id, greatest(CAST({column} AS DATE), {first}) AS d, count(*) AS n, count(*) FILTER (severity = 'critical') AS p "
+                f"FROM ticket WHERE CAST({column} AS DATE) <= {last} GROUP BY ALL")
+
+    upto = frame("UNBOUNDED", "CURRENT ROW")
+    known = """JOIN (SELECT account_id, payment_status FROM health) USING (account_id)
+            JOIN (SELECT account_id, status FROM subscription) USING (account_id)""" if standing is None else f"""
+            LEFT JOIN {standing} h ON h.account_id = x.account_id AND h.valid_from <= x.d AND (h.valid_to IS NULL OR h.valid_to > x.d)"""
+    account = "account_id" if standing is None else "x.account_id"
+    payment = "payment_status" if standing is None else "coalesce(payment_status, 'Good Standing')"
+    return f"""WITH spine AS (SELECT account_id, CAST(unnest(generate_series({first}, {last}, INTERVAL 1 DAY)) AS DATE) AS d FROM account),
+        used AS (SELECT account_id, event_date AS d, count(*) AS e FROM {usage} GROUP BY ALL),
+        seen AS (SELECT account_id, d, max(u7) AS u7, max(u30) AS u30 FROM (
+            SELECT s.account_id, s.d, count(DISTINCT user_id) {near(6)} AS u7, count(DISTINCT user_id) {near(29)} AS u30
+            FROM spine s LEFT JOIN (SELECT DISTINCT account_id, user_id, event_date FROM {usage}) u
+                ON u.account_id = s.account_id AND u.event_date = s.d) GROUP BY ALL),
+        opened AS ({moved('created_at')}), closed AS ({moved('resolved_at')}),
+        days AS (SELECT account_id, d, coalesce(e, 0) AS e, coalesce(o.n, 0) - coalesce(c.n, 0) AS n, coalesce(o.p, 0) - coalesce(c.p, 0) AS p
+            FROM spine LEFT JOIN used USING (account_id, d) LEFT JOIN opened o USING (account_id, d) LEFT JOIN closed c USING (account_id, d)),
+        summed AS (SELECT account_id, d, coalesce(sum(e) {frame(6, 'CURRENT ROW')}, 0)::BIGINT AS e7, coalesce(sum(e) {frame(13, '7 PRECEDING')}, 0)::BIGINT AS prior7,
+            sum(e) {frame(29, 'CURRENT ROW')} AS e30, (sum(n) {upto})::BIGINT AS open_now, (sum(p) {upto})::BIGINT AS p1_now FROM days)
+        SELECT account_id, strftime(d, '%Y-%m-%d') AS date_key, u7 AS active_users_7d, u30 AS active_users_30d,
         e7 AS total_events_7d, CASE WHEN prior7 > 0 THEN round((e7 - prior7) / prior7, 4) END AS event_growth_wow,
         open_now AS open_tickets_count, p1_now AS unresolved_p1_tickets, payment_status, health_score,
         round(greatest(0.02, (100.0 - health_score) / 100.0)::DOUBLE, 3) AS churn_risk_score FROM
-        (SELECT x.*, payment_status,
+        (SELECT {account} AS account_id, x.* EXCLUDE (account_id), {payment} AS payment_status,
         round(greatest(0.0, 100.0 - CASE WHEN e30 < 50 THEN 30.0 WHEN e30 < 200 THEN 15.0 ELSE 0.0 END
             - least(25.0, open_now * 5.0) - least(30.0, p1_now * 15.0)
-            - CASE WHEN payment_status <> 'Good Standing' THEN 25.0 ELSE 0.0 END
+            - CASE WHEN {payment} <> 'Good Standing' THEN 25.0 ELSE 0.0 END
             - CASE WHEN status = 'past_due' THEN 20.0 ELSE 0.0 END)::DOUBLE, 1) AS health_score
-        FROM (SELECT account_id, d, {days_before('DISTINCT user_id', 0, 6)} AS u7,
-            {days_before('DISTINCT user_id', 0, 29)} AS u30, {days_before('*', 0, 6)} AS e7,
-            {days_before('*', 7, 13)} AS prior7, {days_before('*', 0, 29)} AS e30,
-            {open_tickets('')} AS open_now, {open_tickets(" AND severity = 'critical'")} AS p1_now
-            FROM (SELECT account_id, CAST(unnest(generate_series(DATE '{first}', DATE '{last}', INTERVAL 1 DAY)) AS DATE) AS d
-                FROM account) x) x JOIN (SELECT account_id, payment_status FROM health) USING (account_id)
-            JOIN (SELECT account_id, status FROM subscription) USING (account_id))"""
+        FROM (SELECT * FROM summed JOIN seen USING (account_id, d)) x {known})"""
 
 
 # Name -> SQL; a CTE may use those above it.
@@ -204,8 +218,31 @@ CTES = {
     "user_day": "SELECT DISTINCT account_id, user_id, event_date FROM usage",
     "order_usage": """SELECT o_custkey AS account_id, o_custkey AS user_id, CAST(o_orderdate AS DATE) AS event_date
         FROM orders""",
-    "health_daily_2024": _health_daily("usage", "2024-01-01", "2024-01-30"),
-    "health_daily_1998": _health_daily("order_usage", "1998-01-01", "1998-03-31"),
+    "health_daily_usage": _health_daily("usage"),
+    "health_daily_orders": _health_daily("order_usage"),
+    "health_drop": """SELECT account_id, date_key, previous_score, health_score,
+        round((previous_score - health_score) / previous_score * 100.0, 2) AS drop_pct FROM
+        (SELECT *, lag(health_score, 7) OVER (PARTITION BY account_id ORDER BY date_key) AS previous_score FROM health_daily_orders)
+        WHERE previous_score > 0 AND (previous_score - health_score) / previous_score > 0.20""",
+    "month_end": """SELECT account_id, last_day(m) AS day,
+            CASE WHEN EXISTS (SELECT 1 FROM invoice WHERE invoice.account_id = a.account_id
+                AND CAST(o_orderdate AS DATE) <= last_day(m) AND (invoice.status = 'failed'
+                    OR (invoice.status = 'open' AND CAST(due_date AS DATE) < last_day(m)))) THEN 'Failed / Overdue' ELSE 'Good Standing' END AS payment_status,
+            CASE WHEN CAST(start_date AS DATE) <= last_day(m) THEN status END AS status
+        FROM (SELECT account_id, unnest(generate_series((SELECT min(o_orderdate) FROM orders), (SELECT max(o_orderdate) FROM orders), INTERVAL 1 MONTH)) AS m
+            FROM account) a JOIN subscription USING (account_id)""",
+    "standing": """SELECT account_id, payment_status, status, day AS valid_from, lead(day) OVER (PARTITION BY account_id ORDER BY day) AS valid_to
+        FROM (SELECT *, lag((payment_status, coalesce(status, ''))) OVER (PARTITION BY account_id ORDER BY day) AS before FROM month_end)
+        WHERE before IS NULL OR before <> (payment_status, coalesce(status, ''))""",
+    "health_daily_known": _health_daily("order_usage", "standing"),
+    "backlog": """SELECT ticket_id, account_id, created_at FROM (
+            SELECT l_orderkey * 10 + l_linenumber AS ticket_id, o_custkey AS account_id, o_orderdate AS created_at, l_returnflag, l_quantity,
+                l_linestatus = 'F' AND l_shipdate >= o_orderdate AS resolved, l_partkey, l_suppkey, l_extendedprice, l_shipdate
+            FROM lineitem JOIN orders ON l_orderkey = o_orderkey
+            QUALIFY row_number() OVER (PARTITION BY ticket_id ORDER BY l_partkey, l_suppkey, l_extendedprice, l_shipdate) = 1)
+        WHERE l_quantity >= 40 AND l_returnflag = 'A' AND NOT resolved AND created_at < TIMESTAMP '2001-12-31' - INTERVAL 48 HOUR""",
+    "backlogs": """SELECT account_id, count(*) AS critical_backlog, company_name, csm_owner FROM backlog JOIN account USING (account_id)
+        GROUP BY account_id, company_name, csm_owner HAVING count(*) > 3""",
     "stream": """SELECT 'product.events' AS topic, 0 AS rank, concat('p', event_id) AS event_id, user_id // 3 AS account_id,
             event_type AS feature, NULL AS severity, 'x' AS status, ts FROM events
         UNION ALL SELECT 'subscription.events', 1, concat('c', account_id), account_id, NULL, NULL,
@@ -359,11 +396,15 @@ QUERIES = {
         FROM r JOIN (SELECT w, count(DISTINCT account_id) AS a FROM r GROUP BY 1) USING (w) GROUP BY w, feature""",
     "sla_breach_rate": """SELECT severity, count(*) AS tickets, count(*) FILTER (sla_breached) AS breached,
         round(count(*) FILTER (sla_breached) / count(*) * 100.0, 2) AS breach_rate_pct FROM support GROUP BY 1""",
-    "health_daily": "SELECT * FROM health_daily_2024",
-    "rule_health_drop_wow": """SELECT account_id, date_key, previous_score, health_score,
-        round((previous_score - health_score) / previous_score * 100.0, 2) AS drop_pct FROM
-        (SELECT *, lag(health_score, 7) OVER (PARTITION BY account_id ORDER BY date_key) AS previous_score FROM health_daily_1998)
-        WHERE previous_score > 0 AND (previous_score - health_score) / previous_score > 0.20""",
+    "health_daily": "SELECT * FROM health_daily_usage",
+    "rule_health_drop_wow": "SELECT * FROM health_drop",
+    "health_drop_alerts": """SELECT concat('alt_drop_', account_id, '_', date_key) AS alert_id, account_id, 'CSM Alert' AS alert_type, 'high' AS severity,
+        concat('Account health score fell by ', drop_pct::VARCHAR, '% within a week to ', health_score::VARCHAR, '.') AS trigger_reason,
+        'open' AS status, csm_owner AS owner, TIMESTAMP '2001-12-31' AS created_at FROM health_drop JOIN account USING (account_id)""",
+    "standing_history": """SELECT account_id, payment_status, status AS subscription_status, strftime(valid_from, '%Y-%m-%d') AS valid_from,
+        strftime(valid_to, '%Y-%m-%d') AS valid_to FROM standing""",
+    "health_daily_as_of": """SELECT date_key, payment_status, count(*) AS accounts, sum(health_score::DECIMAL(10,1))::DOUBLE AS score_sum,
+        sum(open_tickets_count)::BIGINT AS open_tickets FROM health_daily_known GROUP BY 1, 2""",
     "account_health_lookup": "SELECT * FROM health WHERE account_id = 7",
     "customer_search": """SELECT account_id, company_name, csm_owner, health_tier FROM health WHERE health_tier = 'At Risk'
         AND (contains(lower(company_name), 'r#00000004') OR contains(account_id::VARCHAR, 'r#00000004')
@@ -470,10 +511,10 @@ QUERIES = {
     "rule_payment_failure": f"SELECT {_ALERT}, detail FROM fired_billing",
     "rule_upsell": f"SELECT {_ALERT} FROM fired_upsell",
     "rule_support": f"SELECT {_ALERT} FROM fired_support",
-    "rule_critical_backlog": """SELECT account_id, count(*) AS critical_backlog, company_name, csm_owner
-        FROM support JOIN account USING (account_id) WHERE severity = 'critical' AND resolved_at IS NULL
-        AND support.created_at < TIMESTAMP '2001-12-31' - INTERVAL 48 HOUR
-        GROUP BY account_id, company_name, csm_owner HAVING count(*) > 3""",
+    "rule_critical_backlog": "SELECT * FROM backlogs",
+    "backlog_alerts": """SELECT concat('alt_backlog_', account_id) AS alert_id, account_id, 'Support Deterioration' AS alert_type, 'critical' AS severity,
+        concat('Account has ', critical_backlog, ' critical tickets unresolved for over 48 hours.') AS trigger_reason, 'open' AS status,
+        csm_owner AS owner, TIMESTAMP '2001-12-31' AS created_at FROM backlogs""",
     "all_alerts": f"SELECT {_ALERT} FROM alert",
     "alerts_acknowledge": """SELECT alert_id, status, acknowledged_at, CASE WHEN hit THEN 3 ELSE 1 END AS entries,
         CASE WHEN hit THEN '- > Account team > Finance' ELSE '-' END AS actors,
@@ -625,7 +666,6 @@ QUERIES |= {
     "stream_dim_date": """SELECT strftime(d, '%Y-%m-%d') AS date_key, year(d)::INTEGER AS year, quarter(d)::INTEGER AS quarter,
         month(d)::INTEGER AS month, day(d)::INTEGER AS day, (isodow(d) - 1)::INTEGER AS day_of_week,
         isodow(d) >= 6 AS is_weekend FROM (SELECT DISTINCT CAST(ts AS DATE) AS d FROM once)""",
-    # Closed: the end has passed the newest event less the two hours of delay.
     "stream_malformed": """SELECT CASE WHEN o_orderpriority = '4-NOT SPECIFIED' THEN 'Billing event missing required field: status'
             ELSE 'Malformed record' END AS reason,
         CASE WHEN o_orderpriority = '4-NOT SPECIFIED' THEN CAST(o_orderkey AS VARCHAR)
@@ -637,10 +677,14 @@ QUERIES |= {
         count(*) AS published, count(*) FILTER (o_orderkey % 10 = 0) AS duplicates_dropped,
         count(*) FILTER (o_orderpriority IN ('3-MEDIUM', '4-NOT SPECIFIED', '5-LOW')) AS dead_lettered,
         count(*) FILTER (o_orderpriority NOT IN ('3-MEDIUM', '4-NOT SPECIFIED', '5-LOW')) AS consumed FROM orders""",
-    "stream_windowed_usage": f"""SELECT * FROM ({QUERIES['usage_tumbling']})
-        WHERE window_end <= (SELECT max(ts) FROM events) - INTERVAL 2 HOUR""",
+    "stream_windowed_usage": f"SELECT *, true AS users_close FROM ({QUERIES['usage_tumbling']})",
     "stream_sessions": f"""SELECT user_id, session_start AS window_start, session_end + INTERVAL 1 HOUR AS window_end, event_count
-        FROM ({QUERIES['usage_session']}) WHERE session_end + INTERVAL 1 HOUR <= (SELECT max(ts) FROM events) - INTERVAL 2 HOUR""",
+        FROM ({QUERIES['usage_session']})""",
+    "stream_state_health": QUERIES["health_replay"],
+    "stream_late_events": QUERIES["usage_tumbling"],
+    "daily_incremental": "SELECT account_id, plan, events_last_30d, active_users_30d, open_tickets, critical_tickets FROM health",
+    "usage_sketches": "SELECT feature, count(*) AS events, true AS close FROM usage GROUP BY 1",
+    "dau_mau_sketches": "SELECT DISTINCT strftime(event_date, '%Y-%m-%d') AS event_date, true AS dau_close, true AS mau_close FROM usage",
 }
 
 

@@ -11,14 +11,15 @@ from pyspark.sql import functions as F
 from tidemark import schemas as S
 from tidemark.functions import columns as C
 from tidemark.operators import (
-    anomaly, churn, evaluation, expansion, facts, forecast, health, keyed, quality, revenue, rules, serving, usage,
+    anomaly, churn, evaluation, expansion, facts, forecast, health, keyed, quality, revenue, rules, serving, sketches, usage,
 )
-from tidemark.plans import binding as B
+from tidemark.plans import binding as B, incremental
 from tidemark.plans.binding import Domain
 from tidemark.session import scratch_folder
 from tidemark.sources import bronze, storage
 from tidemark.streaming import effects, events as stream, windows
 from tidemark.streaming.live import LiveJob, read_topics
+from tidemark.streaming.state import HealthState
 
 _CATALOGUE: dict[str, Callable[[Domain], DataFrame]] = {}
 
@@ -361,14 +362,28 @@ def sla_breach_rate(d: Domain) -> DataFrame:
 
 @query
 def health_daily(d: Domain) -> DataFrame:
-    return _date_text(health.health_daily(d.usage, d.support, d.standing, "2024-01-01", "2024-01-30"), "date_key")
+    return _date_text(health.health_daily(d.usage, d.support, d.standing), "date_key")
 
 
 @query
 def rule_health_drop_wow(d: Domain) -> DataFrame:
-    """Weekly falls in a quarter with tickets; orders stand in for usage there."""
-    daily = health.health_daily(d.order_usage, d.support, d.standing, "1998-01-01", "1998-03-31")
-    return _date_text(health.health_drops(daily), "date_key")
+    """Weekly falls on all days of the orders, which stand in for usage in the years of the tickets."""
+    return _date_text(health.health_drops(health.health_daily(d.order_usage, d.support, d.standing)), "date_key")
+
+
+@query
+def standing_history(d: Domain) -> DataFrame:
+    """Intervals of payment and subscription status, from month-end snapshots."""
+    return _date_text(_date_text(health.standing_history(d.month_ends), "valid_from"), "valid_to")
+
+
+@query
+def health_daily_as_of(d: Domain) -> DataFrame:
+    """Accounts and summed health by day and standing, each day with the standing known then."""
+    daily = health.health_daily(d.order_usage, d.support, health.standing_history(d.month_ends))
+    return _date_text(daily.groupBy("date_key", "payment_status").agg(
+        F.count(F.lit(1)).alias("accounts"), F.sum(F.col("health_score").cast("decimal(10,1)")).cast("double").alias("score_sum"),
+        F.sum("open_tickets_count").alias("open_tickets")), "date_key")
 
 
 # ------------------------------------------------------------------- serving
@@ -545,7 +560,19 @@ def rule_support(d: Domain) -> DataFrame:
 
 @query
 def rule_critical_backlog(d: Domain) -> DataFrame:
-    return rules.rule_critical_backlog(d.support, d.dim_account, B.SUPPORT_AS_OF)
+    return rules.rule_critical_backlog(d.backlog, d.dim_account, B.SUPPORT_AS_OF)
+
+
+@query
+def backlog_alerts(d: Domain) -> DataFrame:
+    return rules.backlog_alerts(d.backlog, d.dim_account, B.SUPPORT_AS_OF).select(*_ALERT_VIEW)
+
+
+@query
+def health_drop_alerts(d: Domain) -> DataFrame:
+    """Alerts of the weekly falls."""
+    drops = health.health_drops(health.health_daily(d.order_usage, d.support, d.standing))
+    return rules.drop_alerts(drops, d.dim_account, B.SUPPORT_AS_OF).select(*_ALERT_VIEW)
 
 
 @query
@@ -811,42 +838,83 @@ def health_replay(d: Domain) -> DataFrame:
 
 # ------------------------------------------------------------ live stream job
 
-_LIVE: dict[tuple[str, str], LiveJob] = {}
+PARTS = 3  # micro-batches
+_DRAINED: dict[tuple, LiveJob] = {}
 
 
-def _live(d: Domain) -> LiveJob:
-    """The live job after draining the tables as streams; run once per session and folder."""
-    key = (d.spark.sparkContext.applicationId, d.folder)
-    if key not in _LIVE:
-        root = scratch_folder(d.spark)
-        accounts = d.dim_account.select(F.col("account_id").cast("string").alias("account_id"))
-        job = LiveJob(d.spark, f"{root}/live", known=lambda: {"account_id": accounts},
-                      clock=lambda: datetime.fromisoformat(B.USAGE_AS_OF).replace(tzinfo=timezone.utc))
-        arriving = d.arriving_events.withColumn("account_id", F.col("account_id").cast("string"))
+def _clock() -> datetime:
+    return datetime.fromisoformat(B.USAGE_AS_OF).replace(tzinfo=timezone.utc)
+
+
+def _as_events(events: DataFrame) -> DataFrame:
+    return events.withColumn("account_id", F.col("account_id").cast("string"))
+
+
+def _in_parts(events: DataFrame, n: int = PARTS) -> list[DataFrame]:
+    """Events in ``n`` parts of about equal size, one time after another."""
+    at = F.unix_micros("timestamp")
+    cuts = events.agg(F.percentile_approx(at, [i / n for i in range(1, n)], 1000)).first()[0]
+    part = sum(((at > F.lit(c)).cast("int") for c in cuts), F.lit(0))
+    return [events.where(part == i) for i in range(n)]
+
+
+def _drain(d: Domain, parts: list[DataFrame], **options) -> LiveJob:
+    """A live job that has taken ``parts`` in, a micro-batch each."""
+    root = scratch_folder(d.spark)
+    accounts = d.dim_account.select(F.col("account_id").cast("string").alias("account_id"))
+    job = LiveJob(d.spark, f"{root}/live", known=lambda: {"account_id": accounts}, clock=_clock, **options)
+    for part in parts:
+        part.write.mode("append").parquet(f"{root}/in")
+        arriving = d.spark.readStream.schema(part.schema).parquet(f"{root}/in")
         job.start(arriving, f"{root}/checkpoint").awaitTermination()
-        _LIVE[key] = job
-    return _LIVE[key]
+    return job
+
+
+def _live(d: Domain) -> LiveJob:
+    """The live job after three micro-batches of all topics; drained once for a state of the tables' files."""
+    files = [tuple(sorted(d.table(name).select("_metadata.file_path", "_metadata.file_size", F.unix_micros("_metadata.file_modification_time"))
+                          .distinct().collect())) for name in ("customer", "orders", "lineitem", "events")]
+    key = (d.spark.sparkContext.applicationId, *files)
+    if key not in _DRAINED:
+        _DRAINED[key] = _drain(d, _in_parts(_as_events(d.stream_events)))
+    return _DRAINED[key]
 
 
-def _drained(d: Domain, stream_result: DataFrame) -> DataFrame:
-    """Rows a watermarked stream has emitted after draining its input."""
+def _drained(d: Domain, stream_result: DataFrame) -> tuple[DataFrame, str]:
+    """Rows a watermarked stream has emitted after draining its input, and its watermark."""
     root = scratch_folder(d.spark)
     query = (stream_result.writeStream.format("parquet").outputMode("append").option("path", f"{root}/rows")
              .option("checkpointLocation", f"{root}/checkpoint").trigger(availableNow=True).start())
     query.awaitTermination()
-    return d.spark.read.schema(stream_result.schema).parquet(f"{root}/rows")
+    return d.spark.read.schema(stream_result.schema).parquet(f"{root}/rows"), windows.watermark_of(query)
 
 
 def _long_account(df: DataFrame) -> DataFrame:
     return df.withColumn("account_id", F.col("account_id").cast("bigint"))
 
 
+def _written_mart(d: Domain) -> DataFrame:
+    """The health mart with ids as text, written once."""
+    mart = d.health.withColumn("account_id", F.col("account_id").cast("string"))
+    return storage.stage(mart, scratch_folder(d.spark), "mart", "mrt_customer_health")
+
+
+_HEALTH_VIEW = ("account_id", "health_score", "health_tier", "events_last_30d", "payment_status", "last_updated_at")
+
+
 @query
 def stream_health(d: Domain) -> DataFrame:
     """Customer health kept by the live job."""
     mart = d.health.withColumn("account_id", F.col("account_id").cast("string"))
-    return _long_account(_live(d).current_health(mart)).select(
-        "account_id", "health_score", "health_tier", "events_last_30d", "payment_status", "last_updated_at")
+    return _long_account(_live(d).current_health(mart)).select(*_HEALTH_VIEW)
+
+
+@query
+def stream_state_health(d: Domain) -> DataFrame:
+    """Customer health as keyed state of a stream that follows the live job."""
+    mart, state = _written_mart(d), HealthState(d.spark, _live(d), scratch_folder(d.spark))
+    state.start(mart).awaitTermination()
+    return _long_account(state.current_health(mart)).select(*_HEALTH_VIEW)
 
 
 @query
@@ -873,6 +941,46 @@ def stream_job_metrics(d: Domain) -> DataFrame:
     return _live(d).metrics()
 
 
+def _landing(d: Domain, keep: dict, at: str) -> dict[str, DataFrame]:
+    """The rows of the raw datasets that ``keep`` names a filter for, ingested at a time."""
+    return {name: d.raw[name].where(rows).withColumn("_ingested_at", F.lit(at).cast("timestamp")) for name, rows in keep.items()}
+
+
+@query
+def daily_incremental(d: Domain) -> DataFrame:
+    """Health figures after three incremental runs: a first load with half of the tickets unresolved, more
+    events, and the rest with late events and the resolved tickets."""
+    root, day = scratch_folder(d.spark), F.dayofmonth("timestamp")
+    late, even = F.crc32("event_id") % 40 == 0, F.crc32("ticket_id") % 2 == 0
+    first = _landing(d, dict(accounts="true", users="true", subscriptions="true", invoices="true", support_tickets="true",
+                             product_events=~late & (day <= 10)), "2024-01-11 00:00:00")
+    tickets = first["support_tickets"]
+    first["support_tickets"] = tickets.withColumns({
+        "status": F.when(even, "open").otherwise(F.col("status")), "resolved_at": F.when(~even, F.col("resolved_at"))})
+    incremental.run_increment(d.spark, first, root, "day1", "2024-01-11 00:00:00")
+    incremental.run_increment(d.spark, _landing(d, dict(product_events=~late & day.between(11, 20)), "2024-01-21 00:00:00"), root, "day2", "2024-01-21 00:00:00")
+    rest = dict(product_events=late | (day > 20), support_tickets=even)
+    incremental.run_increment(d.spark, _landing(d, rest, B.USAGE_AS_OF), root, "day3", B.USAGE_AS_OF)
+    mart = storage.read_published(d.spark, root, "mrt_customer_health")
+    return _long_account(mart).select("account_id", "plan", "events_last_30d", "active_users_30d", "open_tickets", "critical_tickets")
+
+
+@query
+def stream_late_events(d: Domain) -> DataFrame:
+    """Hourly usage of a warehouse that has taken in a first load, two micro-batches and the late events of a third."""
+    root, usage_events = scratch_folder(d.spark), _as_events(d.stream_events).where(F.col("_topic") == "product.events")
+    day, late = F.dayofmonth("timestamp"), F.crc32("event_id") % 25 == 0
+    loaded = dict(accounts="true", users="true", subscriptions="true", invoices="true", support_tickets="true",
+                  product_events=(F.crc32(F.concat(F.lit("p"), F.col("event_id"))) % 25 != 0) & (day <= 10))
+    first = _landing(d, loaded, "2024-01-11 00:00:00")
+    first["product_events"] = first["product_events"].withColumn("event_id", F.concat(F.lit("p"), F.col("event_id")))
+    incremental.run_increment(d.spark, first, root, "day1", "2024-01-11 00:00:00")
+    parts = [usage_events.where(~late & day.between(8, 20)), usage_events.where(~late & (day > 20)), usage_events.where(late)]
+    job = _drain(d, parts, warehouse=root)
+    incremental.run_increment(d.spark, {}, root, "day2", B.USAGE_AS_OF, live=job)
+    return storage.read_dates(d.spark, root, "usage_hours", incremental.HOURS).drop("event_date")
+
+
 def _feed(d: Domain) -> LiveJob:
     """Billing events as lines of text, in three files and a fourth with a tenth of
     them again, drained one file a batch.  Some lines are cut off, some have a
@@ -886,7 +994,7 @@ def _feed(d: Domain) -> LiveJob:
     lines = d.table("orders").select("o_orderkey", F.concat(line, F.when(priority == "5-LOW", "").otherwise("}")).alias("value"))
     lines.select("value").repartition(3).write.text(f"{root}/in/billing.events")
     lines.where("o_orderkey % 10 = 0").select("value").coalesce(1).write.mode("append").text(f"{root}/in/billing.events")
-    job = LiveJob(d.spark, f"{root}/live", clock=lambda: datetime.fromisoformat(B.USAGE_AS_OF).replace(tzinfo=timezone.utc))
+    job = LiveJob(d.spark, f"{root}/live", clock=_clock)
     job.start(read_topics(d.spark, f"{root}/in", 1, ["billing.events"]), f"{root}/checkpoint").awaitTermination()
     return job
 
@@ -907,12 +1015,39 @@ def stream_malformed_metrics(d: Domain) -> DataFrame:
 
 @query
 def stream_windowed_usage(d: Domain) -> DataFrame:
-    """Hourly counts the watermark has closed."""
-    hourly = windows.windowed_usage(d._events(d.arriving("events")))
-    return _drained(d, hourly).drop("approx_users")
+    """Hourly counts: those the watermark has closed, and the open ones; whether the users are counted closely enough."""
+    hourly, mark = _drained(d, windows.windowed_usage(d._events(d.arriving("events"))))
+    complete = windows.with_open_windows(hourly, d.events, mark)
+    exact = d.events.groupBy("feature", F.window("timestamp", "1 hour").alias("w")).agg(F.count_distinct("user_id").alias("users"))
+    both = complete.join(exact.select("feature", F.col("w.start").alias("window_start"), "users"), ["feature", "window_start"])
+    off = F.abs(F.col("approx_users") - F.col("users"))
+    return both.select("feature", "window_start", "window_end", "event_count",
+                       (off <= F.greatest(F.lit(1.0), 4 * windows.USERS_ERROR * F.col("users"))).alias("users_close"))
 
 
 @query
 def stream_sessions(d: Domain) -> DataFrame:
-    """User sessions the watermark has closed."""
-    return _drained(d, windows.session_usage(d._events(d.arriving("events"))))
+    """User sessions: those the watermark has closed, and the open ones."""
+    sessions, _ = _drained(d, windows.session_usage(d._events(d.arriving("events"))))
+    return windows.with_open_sessions(sessions, d.events)
+
+
+# ------------------------------------------------------------------- sketches
+
+@query
+def usage_sketches(d: Domain) -> DataFrame:
+    """Users of every feature from one stored sketch a day, and whether each estimate is within its error."""
+    path = f"{scratch_folder(d.spark)}/usage_users"
+    storage.overwrite(sketches.daily_users(d.usage, ["feature"]), path)
+    found = sketches.united(d.spark.read.parquet(path), ["feature"])
+    exact = d.usage.groupBy("feature").agg(F.count_distinct("user_id").alias("users"))
+    return found.join(exact, "feature").select("feature", "events", sketches.close_to(F.col("approx_users"), F.col("users")).alias("close"))
+
+
+@query
+def dau_mau_sketches(d: Domain) -> DataFrame:
+    """Daily and trailing active users from one sketch a day, against the exact numbers."""
+    found = sketches.active_users(sketches.daily_users(d.usage)).join(usage.dau_mau(d.usage), "event_date")
+    return _date_text(found.select(
+        "event_date", sketches.close_to(F.col("approx_dau"), F.col("dau")).alias("dau_close"),
+        sketches.close_to(F.col("approx_mau"), F.col("mau")).alias("mau_close")))
