@@ -70,3 +70,25 @@ def test_pruning_keeps_diverse_edges():
     unit /= np.sqrt((unit * unit).sum(1, keepdims=True))
     kept = ann.robust_prune(unit, np.array([0]), np.array([[1, 2, 3, 4, 0, -1]]), 3)
     assert kept[0].tolist()[:2] == [1, 3] and 2 not in kept
+
+
+def test_a_third_of_the_vectors_are_multiples_of_one(spark):
+    """Multiples have the cosine 1 (to rounding): a query among them finds only them."""
+    r = np.random.default_rng(5)
+    base = r.normal(size=16)
+    rows = [(i, (r.normal(size=16)).tolist()) for i in range(300)]
+    rows += [(1000 + i, (base * (i + 1) * 0.37).tolist()) for i in range(150)] + [(5000, (base * 1e200).tolist()), (5001, (base * 1e-200).tolist())]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = ann.neighbours(df, F.col("id") % 50 == 0, shard_size=64).collect()
+    vectors = {i: ann.units(np.array(v)) for i, v in rows}
+    found = {}
+    for x in got:
+        found.setdefault(x.query_id, []).append(x)
+        assert abs(x.score - vectors[x.query_id] @ vectors[x.vec_id]) < 1e-12
+    for q, hits in found.items():
+        exact = sorted((-(vectors[q] @ v) for i, v in vectors.items() if i != q))[:5]
+        assert len(hits) == 5 and len({h.vec_id for h in hits}) == 5
+        if q >= 1000:
+            assert all(h.score > 1 - 1e-9 and h.vec_id >= 1000 for h in hits)
+        close = sum(-e <= h.score + 1e-9 for e, h in zip(exact, sorted(hits, key=lambda h: h.rank)))
+        assert close >= 4

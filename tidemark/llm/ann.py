@@ -1,11 +1,12 @@
 """Approximate nearest neighbours by cosine in robust-pruned directed graphs.
 
-Different vectors are dealt to shards of bounded size.  In a shard, batches of vectors
+Different directions are dealt to shards of bounded size.  In a shard, batches of vectors
 enter a graph: a greedy search from fixed entry points proposes neighbours; pruning
 keeps a neighbour only if no kept one is closer to it by the factor ``ALPHA`` than the
 vector itself, so edges stay diverse; and every edge is offered to its other end.  A
 query walks the graph of every shard with a beam, in blocks of queries, and the best of
-all shards are its answer.  Equal vectors are one node that carries its smallest ids.
+all shards are its answer.  Vectors of one direction (equal ones and multiples) are one
+node that carries those with the smallest ids; each is scored by its own vector.
 
 Defined results: null, zero and non-finite vectors, those with null components, and
 rows with a null id take no part; vectors of different lengths are never compared; rows
@@ -155,8 +156,20 @@ def _offer(graph: Graph, batch: np.ndarray, degree: int) -> None:
         graph.neighbours[part] = robust_prune(graph.unit, part, np.concatenate([graph.neighbours[part], offered[i:i + BATCH]], 1), degree)
 
 
+def scaled(vectors: np.ndarray) -> np.ndarray:
+    """Vectors times powers of two, so that no square overflows or vanishes; their directions are the same to the last bit."""
+    largest = np.abs(vectors).max(-1, keepdims=True)
+    return np.ldexp(vectors, -np.frexp(largest)[1])
+
+
+def units(vectors: np.ndarray) -> np.ndarray:
+    near_one = scaled(vectors)
+    return near_one / np.sqrt((near_one * near_one).sum(-1, keepdims=True))
+
+
 def cosines(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """Cosines of the rows of two arrays in double precision."""
+    a, b = scaled(a), scaled(b)
     return (a * b).sum(-1) / (np.sqrt((a * a).sum(-1)) * np.sqrt((b * b).sum(-1)))
 
 
@@ -171,36 +184,49 @@ def vectors_of(rows: DataFrame, vec_id: str, vector: str) -> DataFrame:
     return chosen.where(F.col("id").isNotNull() & usable("vector"))
 
 
+def direction(vector: str) -> Column:
+    """Components of the unit vector to nine digits: the same for a vector and its multiples."""
+    largest = F.array_max(F.transform(vector, F.abs))
+    near_one = F.transform(vector, lambda x: x / largest)
+    norm = F.sqrt(F.aggregate(near_one, F.lit(0.0), lambda total, x: total + x * x))
+    return F.transform(near_one, lambda x: F.round(x / norm, 9) + F.lit(0.0))  # no negative zeros
+
+
 def index(rows: DataFrame, spares: int, folder: str, shard_size: int = SHARD) -> DataFrame:
     """One row per shard with its vectors, ids and graph; written to ``folder``.
 
-    ``spares`` ids are kept for each different vector, the smallest.
+    ``spares`` members are kept of each direction, those with the smallest ids.
     """
     spark = rows.sparkSession
-    # equal vectors: the limit by rank is applied before the shuffle as well
-    ranked = rows.distinct().withColumn("rank", F.row_number().over(Window.partitionBy("vector").orderBy("id"))).where(F.col("rank") <= spares)
-    ranked.groupBy("vector").agg(F.sort_array(F.collect_list("id")).alias("ids")).write.parquet(f"{folder}/vectors")
+    # members of a direction: the limit by rank is applied before the shuffle as well
+    ranked = rows.distinct().withColumn("direction", direction("vector")).withColumn(
+        "rank", F.row_number().over(Window.partitionBy("direction").orderBy("id", "vector"))).where(F.col("rank") <= spares)
+    ranked.groupBy("direction").agg(F.sort_array(F.collect_list(F.struct("id", "vector"))).alias("members")).select("members").write.parquet(f"{folder}/vectors")
     nodes = spark.read.parquet(f"{folder}/vectors")
-    size = F.size("vector")
+    first = F.element_at("members", 1)
+    size = F.size(first["vector"])
     shards = F.ceil(F.col("n") / shard_size).cast("int")
     count = nodes.groupBy(size.alias("size")).agg(F.count(F.lit(1)).alias("n"))
     # a shard is little data and much work, so each is a task of its own
     tasks = max(1, count.agg(F.sum(shards)).first()[0] or 0)
     dealt = (nodes.withColumn("size", size).join(count, "size")
-             .select("size", F.pmod(F.xxhash64(F.element_at("ids", 1)), shards).alias("shard"), "vector", "ids")
+             .select("size", F.pmod(F.xxhash64(first["id"]), shards).alias("shard"), "members")
              .repartition(tasks, "size", "shard"))
 
     def of_shard(key: tuple, rows: pa.Table) -> pa.Table:
-        order = np.argsort(rows.column("ids").combine_chunks().flatten().to_numpy()[rows.column("ids").combine_chunks().offsets.to_numpy()[:-1]], kind="stable")
-        ids = rows.column("ids").to_pylist()
-        flat = rows.column("vector").combine_chunks().flatten().to_numpy(zero_copy_only=False)
-        vectors = flat.reshape(len(rows), key[0].as_py())[order]
-        held = np.array([(ids[i] + [-1] * spares)[:spares] for i in order], np.int64)
-        many = np.array([len(ids[i]) for i in order], np.int32)
-        graph = build(vectors / np.sqrt((vectors * vectors).sum(1, keepdims=True)))
+        members = rows.column("members").combine_chunks()
+        many = np.diff(members.offsets.to_numpy())
+        flat = members.flatten()
+        ids = flat.field("id").to_numpy(zero_copy_only=False)
+        vectors = flat.field("vector").flatten().to_numpy(zero_copy_only=False).reshape(len(ids), key[0].as_py())
+        begins = np.cumsum(many) - many
+        order = np.argsort(ids[begins], kind="stable")  # the same whatever the order of the rows
+        many = many[order]
+        which = np.repeat(begins[order], many) + np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many)
+        graph = build(units(vectors[begins[order]]))
         return pa.table({
             "size": pa.array([key[0].as_py()], pa.int32()), "shard": pa.array([key[1].as_py()], pa.int32()), "n": pa.array([len(order)], pa.int32()),
-            "vectors": [vectors.tobytes()], "ids": [held.tobytes()], "many": [many.tobytes()],
+            "vectors": [vectors[which].tobytes()], "ids": [ids[which].astype(np.int64).tobytes()], "many": [many.astype(np.int32).tobytes()],
             "neighbours": [graph.neighbours.astype(np.int32).tobytes()], "entries": [graph.entries.astype(np.int32).tobytes()]})
 
     dealt.groupBy("size", "shard").applyInArrow(
@@ -223,22 +249,23 @@ def search(graphs: DataFrame, queries: DataFrame, k: int, spares: int, beam: int
         for batch in batches:
             for row in batch.to_pylist():
                 n, size = row["n"], row["size"]
-                vectors = np.frombuffer(row["vectors"]).reshape(n, size)
-                ids = np.frombuffer(row["ids"], np.int64).reshape(n, spares)
-                graph = Graph(vectors / np.sqrt((vectors * vectors).sum(1, keepdims=True)), np.frombuffer(row["neighbours"], np.int32).reshape(n, -1),
+                ids, many = np.frombuffer(row["ids"], np.int64), np.frombuffer(row["many"], np.int32).astype(np.int64)
+                vectors = np.frombuffer(row["vectors"]).reshape(len(ids), size)
+                begins = np.cumsum(many) - many
+                member = np.where(np.arange(spares) < many[:, None], begins[:, None] + np.arange(spares), -1)  # of node and place
+                graph = Graph(units(vectors[begins]), np.frombuffer(row["neighbours"], np.int32).reshape(n, -1),
                               np.frombuffer(row["entries"], np.int32))
                 asked = sorted(row["queries"], key=lambda x: x["id"])
                 for i in range(0, len(asked), BATCH):
                     part = asked[i:i + BATCH]
                     own = np.array([x["id"] for x in part])
                     exact = np.array([x["vector"] for x in part])
-                    found, _ = beam_search(graph, exact / np.sqrt((exact * exact).sum(1, keepdims=True)), beam)
-                    found = found[:, :2 * k + 2]
-                    score = cosines(exact[:, None, :], vectors[np.maximum(found, 0)])
-                    names = ids[np.maximum(found, 0)]  # query x node x spare
-                    ok = (found >= 0)[:, :, None] & (names >= 0) & (names != own[:, None, None])
-                    q, f, s = np.nonzero(ok)
-                    result = (own[q], names[q, f, s], score[q, f])
+                    found, _ = beam_search(graph, units(exact), beam)
+                    held = np.where((found >= 0)[:, :, None], member[np.maximum(found, 0)], -1)  # query x node x place
+                    q, f, p = np.nonzero((held >= 0) & (ids[held] != own[:, None, None]))
+                    at = held[q, f, p]
+                    score = cosines(exact[q], vectors[at])
+                    result = (own[q], ids[at], score)
                     order = np.lexsort((result[1], -result[2], q))
                     place = np.arange(len(order)) - np.searchsorted(q[order], q[order])
                     best = order[place < k]
