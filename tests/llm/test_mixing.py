@@ -75,3 +75,22 @@ def test_empty(spark):
     empty = spark.createDataFrame([], SCHEMA)
     assert mixing.ledger(mixing.with_domain(empty)).count() == 0
     assert mixing.mixture(empty).columns == empty.columns and mixing.mixture(empty).count() == 0
+
+
+@pytest.mark.parametrize("source", ["src99999999999999999999", "src" + "9" * 60, "no number"])
+def test_any_source_name(spark, source):
+    docs = spark.createDataFrame([(1, "a b", "en", source), (2, "d e", "en", "src1")], "doc_id long, text string, lang string, source string")
+    assert {r.doc_id for r in mixing.mixture(docs).collect()} == {1, 2}
+    assert mixing.with_domain(docs).where("doc_id = 2").first().domain == "domain0"
+
+
+def test_any_column_name(spark):
+    rows = [(i, f"w{i} x y", "en", f"src{i % 3}", "a", "b", "c", "d", "e", "own") for i in range(9)]
+    names = ["doc_id", "text", "lang", "source", "mix_copies", "mix_id", "a.b", "mix_hash", "row", "domain"]
+    docs = spark.createDataFrame(rows, names)
+    mixed = mixing.mixture(docs)
+    assert mixed.columns == names and {tuple(r) for r in mixed.collect()} <= set(rows)
+    plain = mixing.mixture(docs.select(*names[:4]))
+    assert sorted(r.doc_id for r in mixed.collect()) == sorted(r.doc_id for r in plain.collect())
+    own = mixing.mixture(docs, domain="domain", weights={"domain": {"own": 1.0}})
+    assert own.columns == names and own.count() > 0

@@ -16,7 +16,8 @@ Defined results: a null in a path column is a value of its own; an unnamed value
 weight 1, and one with a weight of 0 or less gets nothing; a null text has no tokens;
 documents with equal ids are taken in the order of their texts' hashes; repeated rows
 count each and are taken or left together; an empty table gives an empty result; other
-columns pass through, but must not begin with ``mix_``.
+columns pass through, whatever their names.  A source whose number has more than 38 digits
+has no domain.
 """
 
 from __future__ import annotations
@@ -36,8 +37,12 @@ RANGE_DIGITS = 3  # hex digits of the order key: 4096 ranges a leaf
 Weights = Mapping[str, Mapping[str, float]]
 
 
+def _col(name: str) -> Column:
+    return F.col("`" + name.replace("`", "``") + "`")
+
+
 def _name(column: str) -> Column:
-    return F.when(F.col(column).isNull(), "n").otherwise(F.concat(F.lit("v"), F.col(column).cast("string")))
+    return F.when(_col(column).isNull(), "n").otherwise(F.concat(F.lit("v"), _col(column).cast("string")))
 
 
 def _weight(level: str, path: str, weights: Weights) -> Column:
@@ -94,8 +99,8 @@ def ledger(docs: DataFrame, levels: Sequence[str] = LEVELS, total: float | None
     spark, folder = docs.sparkSession, scratch_folder(docs.sparkSession)
     paths = [f"mix_{i}" for i in range(len(levels))]
     narrow = docs.select(
-        F.col(doc_id).alias("mix_id"), *(F.col(c).alias(f"mix_level{i}") for i, c in enumerate(levels)), *(_name(c).alias(p) for p, c in zip(paths, levels)),
-        F.xxhash64(text).alias("mix_text"), F.coalesce(F.regexp_count(F.col(text), F.lit(WORD)), F.lit(0)).cast("long").alias("mix_tokens"))
+        _col(doc_id).alias("mix_id"), *(_col(c).alias(f"mix_level{i}") for i, c in enumerate(levels)), *(_name(c).alias(p) for p, c in zip(paths, levels)),
+        F.xxhash64(_col(text)).alias("mix_text"), F.coalesce(F.regexp_count(_col(text), F.lit(WORD)), F.lit(0)).cast("long").alias("mix_tokens"))
     narrow.withColumn("mix_salt", F.pmod(F.xxhash64("mix_id", "mix_text"), F.lit(SALTS))).write.parquet(f"{folder}/rows")
     rows = spark.read.parquet(f"{folder}/rows")
     rows.groupBy(*paths).agg(F.sum("mix_tokens").alias("tokens")).write.parquet(f"{folder}/leaves")
@@ -126,18 +131,29 @@ def ledger(docs: DataFrame, levels: Sequence[str] = LEVELS, total: float | None
                        (F.col("mix_epochs") + extra).alias("mix_copies"))
 
 
-def with_domain(docs: DataFrame, sources_per_domain: int = 5) -> DataFrame:
+def with_domain(docs: DataFrame, sources_per_domain: int = 5, source: str = "source") -> DataFrame:
     """``domain`` from the number in the source's name: neighbours belong together."""
-    number = F.regexp_extract("source", r"\d+", 0)
+    number = F.regexp_extract(_col(source), r"\d+", 0)
     return docs.withColumn("domain", F.when(number != "", F.concat(
-        F.lit("domain"), F.floor(number.cast("long") / sources_per_domain).cast("string"))))
+        F.lit("domain"), F.floor(number.try_cast("decimal(38,0)") / sources_per_domain).cast("string"))))
 
 
-def mixture(docs: DataFrame, **settings) -> DataFrame:
-    """The documents of the mixture, each as often as it holds them; same columns."""
-    held = ledger(with_domain(docs), **settings).where("mix_copies > 0")
-    held = held.select(F.col("doc_id").alias("mix_id"), F.col("lang").alias("mix_lang"), F.col("source").alias("mix_source"), "mix_text", "mix_copies").distinct()
-    same = (F.col("doc_id").eqNullSafe(F.col("mix_id")) & F.col("lang").eqNullSafe(F.col("mix_lang")) & F.col("source").eqNullSafe(F.col("mix_source"))
-            & (F.col("mix_hash") == F.col("mix_text")))
-    joined = docs.withColumn("mix_hash", F.xxhash64("text")).join(held, same)
-    return joined.withColumn("mix_copy", F.explode(F.sequence(F.lit(1), F.col("mix_copies")))).select(*docs.columns)
+def mixture(docs: DataFrame, domain: str | None = None, lang: str = "lang", source: str = "source", doc_id: str = "doc_id", text: str = "text",
+            **settings) -> DataFrame:
+    """The documents of the mixture, each as often as it holds them; same columns.
+
+    ``domain`` names the column of the domains; without it they come from the sources' numbers.
+    """
+    key = {"doc_id": doc_id, "text": text, "lang": lang, "source": source} | ({"domain": domain} if domain else {})
+    plain = docs.select(*(_col(c).alias(n) for n, c in key.items()))
+    held = ledger(plain if domain else with_domain(plain), **settings).where("mix_copies > 0")
+    levels = ("lang", "source", "domain") if domain else ("lang", "source")
+    held = held.select(F.col("doc_id").alias("held_id"), *(F.col(c).alias(f"held_{c}") for c in levels), "mix_text", "mix_copies").distinct()
+    # the documents under names of their own, so that none of theirs is met again
+    given = docs.select(F.struct(*(_col(c).alias(f"c{i}") for i, c in enumerate(docs.columns))).alias("row"), _col(doc_id).alias("own_id"),
+                        *(_col(key[c]).alias(f"own_{c}") for c in levels), F.xxhash64(_col(text)).alias("own_text"))
+    same = F.col("own_id").eqNullSafe(F.col("held_id")) & (F.col("own_text") == F.col("mix_text"))
+    for c in levels:
+        same &= F.col(f"own_{c}").eqNullSafe(F.col(f"held_{c}"))
+    copies = given.join(held, same).select("row", F.explode(F.sequence(F.lit(1), F.col("mix_copies"))))
+    return copies.select(*(F.col(f"row.c{i}").alias(c) for i, c in enumerate(docs.columns)))
