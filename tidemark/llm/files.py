@@ -73,7 +73,8 @@ def edges(rows: DataFrame, target: int) -> list[int]:
     """Smallest keys of the shards 1, 2, ... that cut ``rows`` (``key``, ``weight``) into about ``target`` each.
 
     They follow from the rows alone, whatever their order or partitions.  The weights are
-    summed in equal bins of the key range; a bin beyond the target is divided again.
+    summed in equal bins of the key range; a bin beyond the target is divided again, some
+    bins in each round, until none is left but bins of one key.
     """
     rows = rows.where("key IS NOT NULL").select(F.col("key").cast("decimal(20,0)").alias("key"), "weight")
     low, high = rows.agg(F.min("key"), F.max("key")).first()
@@ -81,7 +82,8 @@ def edges(rows: DataFrame, target: int) -> list[int]:
         return []
     heavy, found = [(int(low), int(high) + 1)], {}
     while heavy:
-        spans = {i: (lo, hi, max(1, -(-(hi - lo) // BINS))) for i, (lo, hi) in enumerate(heavy)}
+        now, heavy = heavy[:BINS // 64], heavy[BINS // 64:]
+        spans = {i: (lo, hi, max(1, -(-(hi - lo) // BINS))) for i, (lo, hi) in enumerate(now)}
         bin_of, within = F.lit(None).cast("decimal(20,0)"), F.lit(None).cast("int")
         for i, (lo, hi, width) in spans.items():
             here = (F.col("key") >= F.lit(lo).cast("decimal(20,0)")) & (F.col("key") < F.lit(hi).cast("decimal(20,0)"))
@@ -89,11 +91,10 @@ def edges(rows: DataFrame, target: int) -> list[int]:
             bin_of = F.when(here, F.floor((F.col("key") - F.lit(lo).cast("decimal(20,0)")) / F.lit(width).cast("decimal(20,0)"))).otherwise(bin_of)
         sums = (rows.select(within.alias("span"), bin_of.cast("int").alias("bin"), "weight").where("span IS NOT NULL")
                 .groupBy("span", "bin").agg(F.sum("weight").alias("weight")).collect())  # BINS rows a span at most
-        heavy = []
-        for span, part, weight in sums:
+        for span, part, weight in sorted(map(tuple, sums)):
             lo, hi, width = spans[span]
             begin, end = lo + part * width, min(hi, lo + (part + 1) * width)
-            if weight > target and end - begin > 1 and len(heavy) < BINS // 64:
+            if weight > target and end - begin > 1:
                 heavy.append((begin, end))
             else:
                 found[begin] = weight
