@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions import columns as C
+from tidemark.operators.scans import blocks_of_blocks, in_blocks
 
 
 def _sum_if(condition: Column, value: str) -> Column:
@@ -169,11 +170,34 @@ def linear_trend(series: DataFrame, group: str, x: str, y: str) -> DataFrame:
 
 def exponential_smoothing(series: DataFrame, group: str, order: str, value: str, alpha: float = 0.3,
                           digits: int = 2) -> DataFrame:
-    """Last smoothed level per group; the series has one row per period."""
-    points = F.array_sort(F.collect_list(F.struct(F.col(order), F.col(value).cast("double").alias("_v"))))
-    ordered = series.groupBy(group).agg(F.count(F.lit(1)).alias("points"), points.alias("_points"))
-    level = F.aggregate(
-        F.slice("_points", F.lit(2), F.size("_points")), F.col("_points")[0]["_v"],
-        lambda level, p: level * F.lit(1 - alpha) + p["_v"] * F.lit(alpha),
-    )
-    return ordered.select(group, "points", F.round(level, digits).alias("smoothed"))
+    """Last smoothed level per group; the series has one row per period.
+
+    A point changes the level x to a + b x, and such changes compose: a block of consecutive points is
+    one change, runs of blocks are one, and no task holds a whole series.
+    """
+    keep, take = F.lit(1.0 - alpha), F.lit(alpha)
+    points = in_blocks(series.select(group, order, F.col(value).cast("double").alias("_v")), [group], [order])
+    sorted_points = F.array_sort(F.collect_list(F.struct(F.col(order), "_v")))
+
+    def smooth(start: Column, ps: Column) -> Column:
+        return F.aggregate(ps, start, lambda level, p: level * keep + p["_v"] * take)
+
+    def rest(xs: Column) -> Column:
+        return F.slice(xs, F.lit(2), F.size(xs))
+
+    blocks = points.groupBy(group, "_block").agg(sorted_points.alias("_p")).select(
+        group, "_block", F.size("_p").cast("bigint").alias("n"), smooth(F.col("_p")[0]["_v"], rest(F.col("_p"))).alias("own"),
+        smooth(F.lit(0.0), F.col("_p")).alias("a"), F.pow(keep, F.size("_p")).alias("b"))
+
+    def composed(parts: DataFrame, *keys: str) -> DataFrame:
+        """``own`` begins at the first point of the parts, ``a`` and ``b`` are the change they make together."""
+        first = F.col("_s")[0]
+        state = F.struct(first["own"].alias("own"), first["a"].alias("a"), first["b"].alias("b"))
+        after = F.aggregate(rest(F.col("_s")), state, lambda s, p: F.struct(
+            (p["a"] + p["b"] * s["own"]).alias("own"), (p["a"] + p["b"] * s["a"]).alias("a"), (p["b"] * s["b"]).alias("b")))
+        steps = F.array_sort(F.collect_list(F.struct("_block", "own", "a", "b")))
+        return parts.groupBy(*keys).agg(F.min("_block").alias("_block"), F.sum("n").alias("n"), steps.alias("_s")).withColumn(
+            "_f", after).select(*keys, "_block", "n", "_f.own", "_f.a", "_f.b")
+
+    runs = composed(blocks.withColumn("_run", blocks_of_blocks()), group, "_run")
+    return composed(runs.drop("_run"), group).select(group, F.col("n").alias("points"), F.round("own", digits).alias("smoothed"))

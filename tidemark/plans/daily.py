@@ -136,7 +136,7 @@ def build_marts(run: Run, mart: DataFrame, *, accounts: DataFrame, users: DataFr
         if model is not None:
             model.write().overwrite().save(f"{root}/run_id={run.run_id}/churn_model")
 
-    checks = quality.run_checks(spark, quality.standard_checks(accounts, users, checked_usage, mart))
+    checks = quality.run_passes(spark, quality.standard_passes(accounts, users, checked_usage, mart))
     put("data_quality_checks", checks)
     report = quality.report(checks, as_of).first().asDict()
     return {"quality": report, "training": training}

@@ -562,6 +562,7 @@ QUERIES = {
         _check("billing_range", "Business Rules", "'Invoices up to 400,000'",
                "SELECT count(*) AS n FROM billing WHERE amount > 400000")]),
     "dq_volume": _CHECKS["telemetry_volume_threshold"],
+    "dq_checks": " UNION ALL ".join(_CHECKS.values()),
     "dq_report": f"""SELECT CASE WHEN bool_and(passed) THEN 'PASSED' ELSE 'WARNING' END AS status, count(*) AS total_checks,
         count(*) FILTER (passed) AS passed_checks, count(*) FILTER (NOT passed) AS failed_checks,
         TIMESTAMP '2024-01-31' AS executed_at FROM ({' UNION ALL '.join(_CHECKS.values())})""",
@@ -613,7 +614,7 @@ QUERIES = {
         round(regr_intercept(y, m), 2) AS intercept FROM (SELECT CAST(year(o_orderdate) * 12 + month(o_orderdate) - 1 AS BIGINT) AS m,
             sum(CAST(o_totalprice AS DECIMAL(18,2)))::DOUBLE AS y FROM orders GROUP BY 1) GROUP BY 1""",
     "exp_smoothing": """SELECT account_id, count(*) AS points,
-        round(list_reduce(list(paid::DOUBLE ORDER BY period), lambda x, y: x * 0.7::DOUBLE + y * 0.3::DOUBLE), 9) AS smoothed
+        round(list_reduce(list(paid::DOUBLE ORDER BY period), lambda x, y: x * 0.7::DOUBLE + y * 0.3::DOUBLE), 8) AS smoothed
         FROM yearly GROUP BY 1""",
     "event_hash_dedup": """SELECT event_id, account_id, event_hash AS _event_hash, severity, status FROM hashed
         WHERE topic = 'support.events'

@@ -672,8 +672,14 @@ def dq_volume(d: Domain) -> DataFrame:
 
 @query
 def dq_report(d: Domain) -> DataFrame:
-    checks = quality.standard_checks(d.dim_account, d.dim_user, d.usage, d.health)
-    return quality.report(quality.check_results(checks), B.USAGE_AS_OF)
+    passes = quality.standard_passes(d.dim_account, d.dim_user, d.usage, d.health)
+    return quality.report(quality.pass_results(passes), B.USAGE_AS_OF)
+
+
+@query
+def dq_checks(d: Domain) -> DataFrame:
+    """All standard checks, each table read once."""
+    return quality.pass_results(quality.standard_passes(d.dim_account, d.dim_user, d.usage, d.health)).select(*_CHECK)
 
 
 @query
@@ -762,7 +768,7 @@ def linear_trend(d: Domain) -> DataFrame:
 
 @query
 def exp_smoothing(d: Domain) -> DataFrame:
-    return revenue.exponential_smoothing(_yearly_by_account(d), "account_id", "year", "amount", digits=9)
+    return revenue.exponential_smoothing(_yearly_by_account(d), "account_id", "year", "amount", digits=8)
 
 
 # -------------------------------------------------------------- stream twins

@@ -2,9 +2,9 @@
 
 An event changes a score x to clamp(x + d, 0, 100).  Such functions compose to
 functions of the same form, clamp(x + d, lo, hi), so the events of one account
-can be combined in parts - per second, then per day, then in total - and no
-task has to hold all events of a busy account.  Scores are kept in whole tenths,
-which makes the result exact and the same whatever the parts.
+can be combined in parts - blocks of consecutive events, runs of blocks, then in
+total - and no task has to hold all events of a busy account or second.  Scores are
+kept in whole tenths, which makes the result exact and the same whatever the parts.
 """
 
 from __future__ import annotations
@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from tidemark import schemas as S
 from tidemark.functions import columns as C
+from tidemark.operators.scans import blocks_of_blocks, in_blocks
 from tidemark.streaming.events import TOPICS
 
 FULL = 1000  # 100.0 in tenths
@@ -27,9 +28,6 @@ LOST_SUBSCRIPTION = -30.0
 SUPPORT_PENALTY = {"high": -15.0, "medium": -5.0}
 LOST_STATUSES = ("cancelled", "churned")
 
-SECOND, DAY = 1_000_000, 86_400_000_000
-
-
 def _tenths(points: float) -> int:
     scaled = round(points * 10)
     if abs(scaled - points * 10) > 1e-9:
@@ -91,11 +89,11 @@ def account_effects(effects: DataFrame, drain_order: bool = False) -> DataFrame:
     event-time order.
     """
     topic = ["topic_rank"] if drain_order else []
-    timed = effects.withColumns({"second": C.slot_start(F.col("at"), SECOND), "last_at": F.col("at")})
-    per_second = compose(timed, ["account_id", *topic, "second"], ["at", "topic_rank", "event_id"])
-    dated = per_second.withColumn("day", C.slot_start(F.col("second"), DAY))
-    per_day = compose(dated, ["account_id", *topic, "day"], ["second"])
-    return compose(per_day, ["account_id"], [*topic, "day"])
+    order = ["at", "topic_rank", "event_id"]
+    blocked = in_blocks(effects.withColumn("last_at", F.col("at")), ["account_id", *topic], order)
+    per_block = compose(blocked, ["account_id", *topic, "_block"], order)
+    per_run = compose(per_block.withColumn("_run", blocks_of_blocks()), ["account_id", *topic, "_run"], ["_block"])
+    return compose(per_run, ["account_id"], [*topic, "_run"])
 
 
 def apply_effects(health: DataFrame, effects: DataFrame) -> DataFrame:
