@@ -107,7 +107,7 @@ def test_daily_run_end_to_end(spark, tmp_path, rows):
     raw_dir, root = tmp_path / "raw", str(tmp_path / "wh")
     raw_dir.mkdir()
     landing(raw_dir)
-    raw, rejected = bronze.read_landing(spark, str(raw_dir))
+    raw, rejected = bronze.read_landing(spark, str(raw_dir), lines=False)
     out = daily.run_daily(spark, raw, root, "run1", "2024-01-31 00:00:00", rejected)
     assert out["records_processed"] == 12 + 12 + 2 + 2750
     assert out["quality"]["status"] == "PASSED" and out["training"]["status"] == "trained"

@@ -8,14 +8,16 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def running_totals(df: DataFrame, order: str, totals: Sequence[str], buckets: int = 64) -> DataFrame:
+def running_totals(df: DataFrame, order: str, totals: Sequence[str], buckets: int | None = None) -> DataFrame:
     """Add ``cum_<c>``: the sum of ``c`` over rows with ``order`` strictly above.
 
     ``df`` has one row per non-null ``order`` value.  Rows are cut into value ranges at
     approximate quantiles, each range is accumulated on its own, and the totals
     of the ranges above are added.  The cut points only balance the work; the
-    result is exact wherever they fall.
+    result is exact wherever they fall.  By default there are as many ranges as
+    the session has shuffle partitions, which follow the size of the job.
     """
+    buckets = buckets or max(2, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     steps = [i / buckets for i in range(1, buckets)]
     cuts = df.agg(F.percentile_approx(order, steps, 1000)).scalar()
     value = F.col(order)

@@ -649,6 +649,30 @@ QUERIES |= {
     "write_partitioned": """SELECT account_id, strftime(event_date, '%Y-%m-%d') AS event_date, count(*) AS daily_events
         FROM usage WHERE usage.event_date >= DATE '2024-01-20' GROUP BY account_id, usage.event_date""",
     "publish_snapshot": QUERIES["fact_billing"],
+    "sink_audit_append": """SELECT run_id, layer, 'SUCCESS' AS status, n AS records_processed, 90000::BIGINT AS duration_ms, NULL::VARCHAR AS error_message
+        FROM (SELECT 'run0' AS run_id, 'bronze' AS layer, count(*) AS n FROM orders UNION ALL SELECT 'run1', 'silver', count(*) FROM customer
+            UNION ALL SELECT 'run2', 'gold', count(*) FROM events)""",
+    "create_tables": """SELECT subscription_id::VARCHAR AS subscription_id, account_id::VARCHAR AS account_id, plan_name, start_date, status,
+        mrr::DOUBLE AS mrr, (mrr * 12)::DOUBLE AS arr FROM subscription""",
+    "alert_history_json": """SELECT alert_id, CASE WHEN spoilt THEN 0 ELSE 1 END::INTEGER AS entries, CASE WHEN NOT spoilt THEN 'TRIGGERED' END AS action,
+        CASE WHEN NOT spoilt THEN created_at END AS at
+        FROM (SELECT *, xor(list_reduce(list_prepend(4294967295, list_transform(string_split(alert_id, ''), lambda ch: CAST(ascii(ch) AS BIGINT))),
+                  lambda c, b: list_reduce([xor(c, b), 0, 0, 0, 0, 0, 0, 0, 0],
+                  lambda x, y: CASE WHEN x & 1 = 1 THEN xor(x >> 1, 3988292384) ELSE x >> 1 END)), 4294967295) % 3 = 0 AS spoilt FROM alert)""",
+    "health_replay_drain_order": """SELECT h.account_id, CASE WHEN ds IS NULL THEN h.health_score ELSE
+            list_reduce(list_prepend(CAST(round(h.health_score * 10) AS INTEGER), ds), lambda x, y: greatest(0, least(1000, x + y))) / 10 END AS health_score,
+        (events_last_30d + coalesce(products, 0))::BIGINT AS events_last_30d,
+        CASE WHEN failed THEN 'Failed / Overdue' ELSE payment_status END AS payment_status
+        FROM health h LEFT JOIN (SELECT account_id, list(d ORDER BY rank, ts, event_id) AS ds, count(*) FILTER (topic = 'product.events') AS products,
+            bool_or(topic = 'billing.events') AS failed FROM step WHERE d <> 0 GROUP BY account_id) USING (account_id)""",
+    "stream_unknown_topic": """SELECT CASE WHEN topic = 'support.events' THEN 'tickets' ELSE topic END AS _topic,
+        CASE WHEN topic = 'support.events' THEN 'Unknown topic: tickets' WHEN status IS NULL THEN 'Billing event missing required field: status' END AS _error,
+        count(*) AS events FROM stream GROUP BY 1, 2""",
+    "dq_error_isolation": f"""SELECT test_name, passed AND test_name NOT IN ('fact_usage_uniqueness', 'telemetry_volume_threshold') AS passed,
+        CASE WHEN test_name NOT IN ('fact_usage_uniqueness', 'telemetry_volume_threshold') THEN failed_count END AS failed_count,
+        test_name IN ('fact_usage_uniqueness', 'telemetry_volume_threshold') AS has_error FROM ({' UNION ALL '.join(_CHECKS.values())})
+        WHERE test_name IN ('dim_account_uniqueness', 'dim_user_account_referential_integrity', 'fact_usage_uniqueness',
+            'telemetry_volume_threshold', 'mrt_customer_health_not_null', 'health_score_and_mrr_range')""",
     "stream_envelope": """SELECT event_id, account_id, TIMESTAMP '2024-01-31' AS _published_at, 0 AS _retry_count,
         3 AS _max_retries, event_hash AS _event_hash FROM hashed WHERE topic = 'product.events'""",
     "stream_validate": """SELECT topic AS _topic, CASE WHEN status IS NULL THEN

@@ -3,9 +3,9 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from datetime import datetime, timezone
+from datetime import datetime, timedelta, timezone
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark import schemas as S
@@ -258,6 +258,30 @@ def publish_snapshot(d: Domain) -> DataFrame:
     return _money(storage.read_published(d.spark, root, "fact_billing"), "amount")
 
 
+@query
+def sink_audit_append(d: Domain) -> DataFrame:
+    """The run audit after three runs; every run adds a row with the records that it wrote."""
+    root, at = scratch_folder(d.spark), datetime.fromisoformat(B.USAGE_AS_OF).replace(tzinfo=timezone.utc)
+    for run, (layer, df) in enumerate((("bronze", d.invoices), ("silver", d.subscriptions), ("gold", d.usage))):
+        written = Observation()
+        storage.overwrite(df.observe(written, F.count(F.lit(1)).alias("rows")), f"{root}/{layer}")
+        storage.append_run_audit(d.spark, root, run_id=f"run{run}", layer=layer, status="SUCCESS", records=storage.observed(written).get("rows", 0),
+                                 started_at=at, completed_at=at + timedelta(seconds=90))
+    audit = d.spark.read.schema(S.WAREHOUSE[storage.RUN_AUDIT]).parquet(f"{root}/{storage.RUN_AUDIT}")
+    return audit.select("run_id", "layer", "status", "records_processed", "duration_ms", "error_message")
+
+
+@query
+def create_tables(d: Domain) -> DataFrame:
+    """Subscriptions appended to the typed empty table of the warehouse."""
+    root = scratch_folder(d.spark)
+    storage.create_tables(d.spark, root)
+    path = f"{root}/fact_subscription"
+    empty = d.spark.read.parquet(path)
+    storage.append(d.subscription_facts.select(*[F.col(f.name).cast(f.dataType) for f in empty.schema]), path)
+    return _money(d.spark.read.parquet(path), "mrr", "arr")
+
+
 # --------------------------------------------------------- account aggregates
 
 @query
@@ -580,6 +604,16 @@ def all_alerts(d: Domain) -> DataFrame:
     return d.alerts.select(*_ALERT_VIEW)
 
 
+@query
+def alert_history_json(d: Domain) -> DataFrame:
+    """Alert histories as JSON text and back; every third text is spoilt and becomes an empty history."""
+    spoilt = F.crc32("alert_id") % 3 == 0
+    stored = rules.history_to_json(d.alerts).withColumn("audit_history", F.when(spoilt, F.lit("[{")).otherwise(F.col("audit_history")))
+    return rules.history_from_json(stored).select(
+        "alert_id", F.size("audit_history").alias("entries"), F.get("audit_history", F.lit(0))["action"].alias("action"),
+        F.get("audit_history", F.lit(0))["timestamp"].alias("at"))
+
+
 def _acknowledged(d: Domain) -> DataFrame:
     return rules.acknowledge(d.alerts.select(*rules.ALERT_COLUMNS), _requests(d), "2024-02-01 00:00:00")
 
@@ -682,6 +716,13 @@ def dq_checks(d: Domain) -> DataFrame:
     return quality.pass_results(quality.standard_passes(d.dim_account, d.dim_user, d.usage, d.health)).select(*_CHECK)
 
 
+@query
+def dq_error_isolation(d: Domain) -> DataFrame:
+    """The checks where one table lacks a column: its checks fail with an error, all others run."""
+    passes = quality.standard_passes(d.dim_account, d.dim_user, d.usage.drop("usage_id"), d.health)
+    return quality.run_passes(d.spark, passes).select("test_name", "passed", "failed_count", F.col("error").isNotNull().alias("has_error"))
+
+
 @query
 def dq_freshness(d: Domain) -> DataFrame:
     return quality.freshness_minutes(d.usage, "event_timestamp", B.USAGE_AS_OF)
@@ -842,6 +883,20 @@ def health_replay(d: Domain) -> DataFrame:
         "account_id", "health_score", "health_tier", "events_last_30d", "payment_status", "last_updated_at")
 
 
+@query
+def health_replay_drain_order(d: Domain) -> DataFrame:
+    """The health mart after the events of whole topics, one topic after another."""
+    clean = stream.drop_copies(stream.with_error(_published(d)).where(F.col("_error").isNull()))
+    return effects.replay_health(d.health, clean, drain_order=True).select("account_id", "health_score", "events_last_30d", "payment_status")
+
+
+@query
+def stream_unknown_topic(d: Domain) -> DataFrame:
+    """Events of a topic that is none are rejected, those of the others are not."""
+    renamed = _published(d).withColumn("_topic", F.when(F.col("_topic") == "support.events", "tickets").otherwise(F.col("_topic")))
+    return stream.with_error(renamed).groupBy("_topic", "_error").agg(F.count(F.lit(1)).alias("events"))
+
+
 # ------------------------------------------------------------ live stream job
 
 PARTS = 3  # micro-batches

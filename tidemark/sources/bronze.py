@@ -69,11 +69,11 @@ def with_audit_columns(df: DataFrame, ingested_at, channel: str) -> DataFrame:
         "_raw_payload_hash": F.sha2(F.to_json(F.struct(*df.columns)), 256)})
 
 
-def read_landing(spark: SparkSession, root: str, lines: bool = False) -> tuple[dict[str, DataFrame], dict[str, DataFrame]]:
+def read_landing(spark: SparkSession, root: str, lines: bool = True) -> tuple[dict[str, DataFrame], dict[str, DataFrame]]:
     """All six datasets under ``root``: (usable rows, quarantined rows) by name.
 
-    Reads ``<name>.json`` array files, or with ``lines`` the splittable
-    ``<name>.jsonl``.
+    Reads the splittable ``<name>.jsonl``; without ``lines`` array files ``<name>.json``,
+    each of which is one task.
     """
     usable, quarantined = {}, {}
     for name, key in S.BRONZE_KEYS.items():
