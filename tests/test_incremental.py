@@ -107,7 +107,12 @@ def test_second_day_writes_its_dates_and_equals_a_rebuild(spark, tmp_path, rows)
     assert after.runs["dim_user"] == "day2" and out["quality"]["total_checks"] == 6
     assert spark.read.parquet(f"{root}/run_id=day2/arrived_product_events").count() == 29
     same(spark, rows, root, rebuilt(spark, tmp_path, one, two))
-    # nothing new: no date is written
+    # nothing new: no date is written; and a run that began before another one ended is not published over it
+    late = incremental.Increment(spark, root, "late", "2024-01-31 00:00:00", None)
+    late.state = before
+    late.tables = ["fact_usage/2024-01-24"]
+    with pytest.raises(storage.PublishConflict):
+        late.finish(T, {})
     incremental.run_increment(spark, both, root, "day3", "2024-01-31 00:00:00")
     assert "day3" not in {r for n, r in storage.published(spark, root).runs.items() if "/" in n and not n.startswith(("fact_support", "support_counts"))}
 

@@ -56,6 +56,7 @@ class Run:
         self.spark, self.root, self.run_id = spark, root, run_id
         self.tables: list[str] = []  # written; of dated tables, name/date
         self.removed: list[str] = []
+        self.based_on: dict[str, str | None] = {}  # runs of the published tables that were merged into
         self.marks: dict[str, object] = {}
         self.counts: dict[str, Observation] = {}
         self.fired: DataFrame | None = None
@@ -165,12 +166,18 @@ def _stored_alerts(spark: SparkSession, root: str) -> tuple[str | None, DataFram
 
 
 def _publish_alerts(run: Run, change, seen: str | None) -> None:
-    """Publish a run; where the alerts were published anew meanwhile, apply ``change`` to those first."""
+    """Publish a run; where the alerts were published anew meanwhile, apply ``change`` to those first.
+
+    A conflict on any other table that the run was merged into is passed on: the run has to be made again.
+    """
     while True:
         try:
-            storage.publish(run.spark, run.root, run.run_id, run.tables, datetime.now(timezone.utc), {"automation_alerts": seen},
-                            run.marks, run.removed)
+            storage.publish(run.spark, run.root, run.run_id, run.tables, datetime.now(timezone.utc),
+                            {**run.based_on, "automation_alerts": seen}, run.marks, run.removed)
             return
         except storage.PublishConflict:
+            now = storage.current_runs(run.spark, run.root)
+            if any(now.get(name) != found for name, found in run.based_on.items()):
+                raise
             seen, stored = _stored_alerts(run.spark, run.root)
             storage.stage(change(stored), run.root, run.run_id, "automation_alerts")

@@ -45,6 +45,7 @@ HOURS = "feature STRING, window_start TIMESTAMP, window_end TIMESTAMP, event_cou
 USERS = "events BIGINT, users BINARY, event_date DATE"
 SESSIONS = "user_id STRING, session_start TIMESTAMP, session_end TIMESTAMP, event_count BIGINT, start_date DATE"
 SESSION_GAP = 3600  # seconds
+MERGED = ("dim_account", "dim_user", "fact_subscription", "fact_billing")  # whole tables that new rows are merged into
 
 
 def run_increment(spark: SparkSession, raw: dict[str, DataFrame], root: str, run_id: str, as_of, live: LiveJob | None = None,
@@ -72,6 +73,11 @@ class Increment(Run):
         self.state = storage.published(spark, root)
         self.marks = {}
 
+    def finish(self, started: datetime, summary: dict) -> dict:
+        """Publish, unless another run has changed meanwhile what this one was merged into."""
+        self.based_on = {n: self.state.runs.get(n) for n in (*self.tables, *self.removed) if "/" in n or n in MERGED}
+        return super().finish(started, summary)
+
     # ------------------------------------------------------------ tables
     def stored(self, name: str, schema: str | None = None) -> DataFrame:
         """A whole table as published, or empty."""
