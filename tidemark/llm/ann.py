@@ -184,12 +184,21 @@ def vectors_of(rows: DataFrame, vec_id: str, vector: str) -> DataFrame:
     return chosen.where(F.col("id").isNotNull() & usable("vector"))
 
 
-def direction(vector: str) -> Column:
-    """Components of the unit vector to nine digits: the same for a vector and its multiples."""
-    largest = F.array_max(F.transform(vector, F.abs))
-    near_one = F.transform(vector, lambda x: x / largest)
-    norm = F.sqrt(F.aggregate(near_one, F.lit(0.0), lambda total, x: total + x * x))
-    return F.transform(near_one, lambda x: F.round(x / norm, 9) + F.lit(0.0))  # no negative zeros
+def with_direction(rows: DataFrame) -> DataFrame:
+    """Adds the components of the unit vector to nine digits: the same for a vector and its multiples."""
+    def of_batch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            vectors = batch.column("vector")
+            bounds = vectors.offsets.to_numpy().astype(np.int64)
+            flat = vectors.values.to_numpy(zero_copy_only=False)
+            found, sizes = np.empty(len(flat)), np.diff(bounds)
+            for size in np.unique(sizes):
+                at = bounds[:-1][sizes == size][:, None] + np.arange(size)
+                found[at] = np.round(units(flat[at]), 9) + 0.0  # no negative zeros
+            yield pa.RecordBatch.from_arrays([batch.column("id"), vectors, pa.ListArray.from_arrays(vectors.offsets, pa.array(found))],
+                                             names=["id", "vector", "direction"])
+
+    return rows.select("id", "vector").mapInArrow(of_batch, "id long, vector array<double>, direction array<double>")
 
 
 def index(rows: DataFrame, spares: int, folder: str, shard_size: int = SHARD) -> DataFrame:
@@ -199,7 +208,7 @@ def index(rows: DataFrame, spares: int, folder: str, shard_size: int = SHARD) ->
     """
     spark = rows.sparkSession
     # members of a direction: the limit by rank is applied before the shuffle as well
-    ranked = rows.distinct().withColumn("direction", direction("vector")).withColumn(
+    ranked = with_direction(rows.distinct()).withColumn(
         "rank", F.row_number().over(Window.partitionBy("direction").orderBy("id", "vector"))).where(F.col("rank") <= spares)
     ranked.groupBy("direction").agg(F.sort_array(F.collect_list(F.struct("id", "vector"))).alias("members")).select("members").write.parquet(f"{folder}/vectors")
     nodes = spark.read.parquet(f"{folder}/vectors")
