@@ -238,8 +238,8 @@ class LiveJob:
         older = storage.read_dates(self.spark, self._keys_root(), "keys", self.KEYS, days, state).where(F.col("kind") == kind)
         recent = self._recent(kind, _upto(state), before)
         if days is not None:
-            real = [F.lit(d).cast("date") for d in days if d != NO_DATE]
-            in_days = F.col("event_date").isin(*real) if real else F.lit(False)
+            real = ", ".join(f"DATE'{d}'" for d in days if d != NO_DATE)  # one expression, however many they are
+            in_days = F.expr(f"event_date IN ({real})") if real else F.lit(False)
             recent = recent.where(in_days | F.col("event_date").isNull() if NO_DATE in days else in_days)
         return older.unionByName(recent).select("key", "event_date")
 
