@@ -71,12 +71,44 @@ def test_expected_counts_are_those_of_all_paths():
     assert starts == pytest.approx(a) and steps == pytest.approx(b) and emitted == pytest.approx(c)
 
 
-def test_segments(monkeypatch):
-    m = random_model(2, 4, 3)
-    tokens = np.random.default_rng(0).integers(0, 4, 50)
-    monkeypatch.setattr(hmm, "SEGMENT", 7)
-    starts, steps, emitted = hmm.expected_counts(tokens, np.array([0, 50]), m)
-    assert starts.sum() == pytest.approx(1) and steps.sum() == pytest.approx(50 - 8) and emitted.sum() == pytest.approx(50)
+def unsegmented(tokens, m):
+    """The textbook recursions over one text."""
+    n, states = len(tokens), len(m.start)
+    a, b = np.empty((n, states)), np.ones((n, states))
+    for t, x in enumerate(tokens):
+        a[t] = (m.start if t == 0 else a[t - 1] @ m.step) * m.emit[x]
+        a[t] /= a[t].sum()
+    steps, emitted = np.zeros_like(m.step), np.zeros_like(m.emit)
+    for t in range(n - 2, -1, -1):
+        b[t] = m.step @ (m.emit[tokens[t + 1]] * b[t + 1])
+        b[t] /= b[t].sum()
+        pair = a[t][:, None] * m.step * (m.emit[tokens[t + 1]] * b[t + 1])
+        steps += pair / pair.sum()
+    gamma = a * b / (a * b).sum(1, keepdims=True)
+    np.add.at(emitted, tokens, gamma)
+    return gamma[0], steps, emitted
+
+
+@pytest.mark.parametrize("segment,batch", [(7, 10), (128, 300), (1024, 400_000), (1000, 5)])
+def test_segments_pass_their_rows_on(monkeypatch, segment, batch):
+    m = random_model(3, 6, 3)
+    monkeypatch.setattr(hmm, "SEGMENT", segment)
+    monkeypatch.setattr(hmm, "BATCH_TOKENS", batch)
+    rng = np.random.default_rng(0)
+    texts = [rng.integers(0, 6, n) for n in (1000, 1, 7, 512, 513, 1024, 50)]
+    got = hmm.expected_counts(np.concatenate(texts), np.concatenate([[0], np.cumsum([len(t) for t in texts])]), m)
+    for have, want in zip(got, map(sum, zip(*(unsegmented(t, m) for t in texts)))):
+        assert have == pytest.approx(want, rel=1e-9)
+
+
+def test_frequent_words_merge_as_a_tree(frame, texts, spark, monkeypatch):
+    _, whole = hmm.encode(frame(texts), "doc_id", "text", scratch_folder(spark))
+    for together in (1 << 20, 2):
+        monkeypatch.setattr(hmm, "FREQUENT", 50)
+        monkeypatch.setattr(hmm, "TOP_TOGETHER", together)
+        _, few = hmm.encode(frame(texts), "doc_id", "text", scratch_folder(spark))
+        assert set(few.frequent) <= set(whole.frequent)
+        assert sorted(few.weights[1:51]) == sorted(whole.weights[1:len(whole.frequent) + 1])[-50:]
 
 
 def test_training_raises_the_likelihood(frame, texts, spark):

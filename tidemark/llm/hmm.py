@@ -9,9 +9,11 @@ documents ask buckets of words for them (see ``chunks``).
 
 An iteration of Baum-Welch runs over all training documents; each task sums its
 expected counts, Spark adds them up by symbol, and the driver gets the model alone.
-The forward-backward pass works on segments of ``SEGMENT`` tokens (a later segment
-starts from the mean use of the states); the score of a document is the exact scaled
-forward recursion over all its tokens and one end.
+The forward-backward pass is exact over every text.  Long texts are worked on in segments
+of ``SEGMENT`` tokens side by side: a segment is a product of matrices, and the products of
+a text give the forward row that enters each of its segments and the backward row that
+enters it from behind, so memory is bounded however long a text is.  The score of a document
+is the exact scaled forward recursion over all its tokens and one end.
 
 Defined results: words are folded from A-Z to a-z; a null or empty text is the end
 alone; a null id counts as the empty text in the choice of the held-out fold; repeated
@@ -40,7 +42,9 @@ STATES = 8
 FREQUENT = 8192  # words with a symbol of their own
 CLASSES = 255
 ITERATIONS = 5
-SEGMENT = 128
+SEGMENT = 1024
+RESCALED = 16  # tokens between two rescalings of a segment's product
+TOP_TOGETHER = 32  # lists of frequent words merged by one task
 PRIOR = 50.0  # counts of the corpus-wide distribution mixed into each state's
 BATCH_TOKENS = 400_000
 END = 0
@@ -119,6 +123,25 @@ def _summaries(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 names=["word", "kind", "total", "types"])
 
 
+_TOP = "word long, kind int, total long"
+
+
+def _most_frequent(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The ``FREQUENT`` words with the largest totals of a partition."""
+    best = None
+    for batch in batches:
+        rows = pa.Table.from_batches([batch])
+        rows = rows if best is None else pa.concat_tables([best, rows])
+        best = rows.take(_ranked(rows)[:FREQUENT]).combine_chunks()
+    if best is not None:
+        yield from best.to_batches()
+
+
+def _ranked(rows: pa.Table) -> np.ndarray:
+    """Rows in the order of descending total, then word."""
+    return np.lexsort((rows.column("word").to_numpy(), -rows.column("total").to_numpy()))
+
+
 @dataclass
 class Symbols:
     """The alphabet of the states: the end, the frequent words, the classes."""
@@ -141,8 +164,12 @@ class Symbols:
 def _symbols(answered: DataFrame, ends: int) -> Symbols:
     rows = answered.where("chunk = -1").select("n", "answer").mapInArrow(_summaries, "word long, kind int, total long, types long")
     by_class = {r.kind: r for r in rows.where("word IS NULL").groupBy("kind").agg(F.sum("total").alias("total"), F.sum("types").alias("types")).collect()}
-    # from 32 tasks, so that what they send grows no further with the input
-    top = rows.where("word IS NOT NULL").coalesce(32).orderBy(F.desc("total"), "word").limit(FREQUENT).collect()  # a fixed number of words
+    best = rows.where("word IS NOT NULL").drop("types").mapInArrow(_most_frequent, _TOP)
+    lists = answered.rdd.getNumPartitions()
+    while lists > TOP_TOGETHER:  # a tree, so that no task reads more than a fixed number of lists
+        lists = -(-lists // TOP_TOGETHER)
+        best = best.repartition(lists).mapInArrow(_most_frequent, _TOP)
+    top = best.orderBy(F.desc("total"), "word").limit(FREQUENT).collect()  # a fixed number of words
     totals, types = (np.array([getattr(by_class[k], f) if k in by_class else 0 for k in range(CLASSES)], np.int64) for f in ("total", "types"))
     tokens, vocabulary = int(totals.sum()) + ends, int(types.sum()) + (ends > 0)
     for r in top:
@@ -213,14 +240,6 @@ class Model:
     step: np.ndarray  # S x S
     emit: np.ndarray  # symbols x S
 
-    @property
-    def use(self) -> np.ndarray:
-        """The distribution over states that the steps lead to."""
-        p = np.full(len(self.start), 1 / len(self.start))
-        for _ in range(64):
-            p = p @ self.step
-        return p / p.sum()
-
 
 def first_model(weights: np.ndarray, states: int, seed: int) -> Model:
     """Sticky states whose emissions scatter around the corpus's own distribution."""
@@ -231,24 +250,72 @@ def first_model(weights: np.ndarray, states: int, seed: int) -> Model:
     return Model(np.full(states, 1 / states), step, emit / emit.sum(0))
 
 
-def expected_counts(tokens: np.ndarray, offsets: np.ndarray, model: Model) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Expected starts, steps and emissions of the texts' tokens, by segments."""
+def _transfers(tokens: np.ndarray, begin: np.ndarray, size: np.ndarray, model: Model) -> np.ndarray:
+    """Of each segment (longest first): emission and step of every token multiplied, up to a factor."""
     states = len(model.start)
-    lengths = np.diff(offsets)
+    out = np.broadcast_to(np.eye(states), (len(size), states, states)).copy()
+    for t in range(int(size[0]) if len(size) else 0):
+        n = int(np.searchsorted(-size, -t, "left"))
+        part = (out[:n] * model.emit[tokens[begin[:n] + t]][:, None, :]).reshape(-1, states) @ model.step
+        out[:n] = part.reshape(n, states, states)
+        if t % RESCALED == RESCALED - 1:
+            out[:n] /= out[:n].sum((1, 2), keepdims=True)
+    return out / out.sum((1, 2), keepdims=True)
+
+
+def _segments(tokens: np.ndarray, offsets: np.ndarray, model: Model) -> tuple[np.ndarray, ...]:
+    """Begin, size, first and last of its text, and the rows that enter from before and behind, of every segment."""
+    states, lengths = len(model.start), np.diff(offsets)
     pieces = -(-lengths // SEGMENT)
     text = np.repeat(np.arange(len(lengths)), pieces)
     turn = np.arange(len(text)) - np.repeat(W.sums(pieces)[:-1], pieces)
     begin = offsets[text] + turn * SEGMENT
     size = np.minimum(SEGMENT, offsets[text + 1] - begin)
-    order = np.argsort(-size, kind="stable")
-    begin, size, opening = begin[order], size[order], (turn == 0)[order]
-    longest = int(size[0]) if len(size) else 0
+    opening, closing = turn == 0, turn == pieces[text] - 1
+    before = np.broadcast_to(model.start, (len(text), states)).copy()
+    behind = np.ones((len(text), states))
+    many = np.flatnonzero(pieces[text] > 1)
+    if len(many):
+        order = many[np.argsort(-size[many], kind="stable")]
+        product = np.empty((len(text), states, states))
+        product[order] = _transfers(tokens, begin[order], size[order], model)
+        by_turn = many[np.argsort(turn[many], kind="stable")]
+        ends = np.cumsum(np.bincount(turn[many]))
+        turns = [by_turn[a:b] for a, b in zip([0, *ends[:-1]], ends)]
+        for at in turns[1:]:
+            row = (before[at - 1][:, None, :] @ product[at - 1])[:, 0]
+            before[at] = row / row.sum(1, keepdims=True)
+        for at in turns[:0:-1]:  # what comes behind a segment is its successor's product with what is behind that
+            row = (product[at] @ behind[at][:, :, None])[:, :, 0]
+            behind[at - 1] = row / row.sum(1, keepdims=True)
+    return begin, size, opening, closing, before, behind
+
+
+def expected_counts(tokens: np.ndarray, offsets: np.ndarray, model: Model) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Expected starts, steps and emissions of the texts' tokens."""
+    states = len(model.start)
+    total = np.zeros(states), np.zeros((states, states)), np.zeros_like(model.emit)
+    found = _segments(tokens, offsets, model)
+    together = W.sums(found[1])
+    i = 0
+    while i < len(found[0]):  # segments of a bounded number of tokens
+        j = max(i + 1, int(np.searchsorted(together, together[i] + BATCH_TOKENS, "right")) - 1)
+        order = i + np.argsort(-found[1][i:j], kind="stable")
+        for have, more in zip(total, _segment_counts(tokens, model, *(x[order] for x in found))):
+            have += more
+        i = j
+    return total
+
+
+def _segment_counts(tokens: np.ndarray, model: Model, begin: np.ndarray, size: np.ndarray, opening: np.ndarray, closing: np.ndarray,
+                    before: np.ndarray, behind: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Expected counts of segments, longest first, with the steps that lead out of them."""
+    states, longest = len(model.start), int(size[0])
     running = [int(np.searchsorted(-size, -t, "left")) for t in range(longest + 1)]  # segments longer than t
     forward, seen = [], []
-    alpha = np.where(opening[:, None], model.start, model.use)
     for t in range(longest):
         n = running[t]
-        alpha = alpha[:n] if t == 0 else forward[-1][:n] @ model.step
+        alpha = before if t == 0 else forward[-1][:n] @ model.step
         e = model.emit[tokens[begin[:n] + t]]
         alpha = alpha * e
         alpha /= alpha.sum(1, keepdims=True)
@@ -259,24 +326,27 @@ def expected_counts(tokens: np.ndarray, offsets: np.ndarray, model: Model) -> tu
     beta = np.empty((0, states))
     for t in range(longest - 1, -1, -1):
         n, later = running[t], running[t + 1]
-        full = np.ones((n, states))
+        ahead = behind[:n]
         if later:
-            ahead = seen[t + 1] * beta
-            full[:later] = ahead @ model.step.T
-            both = (forward[t][:later] * full[:later]).sum(1, keepdims=True)
-            steps += (forward[t][:later] / both).T @ ahead * model.step
+            ahead = ahead.copy()
+            ahead[:later] = seen[t + 1] * beta
+        full = ahead @ model.step.T
         gamma = forward[t] * full
-        gamma /= gamma.sum(1, keepdims=True)
+        both = gamma.sum(1, keepdims=True)
+        weight = forward[t] / both
+        if later < n:
+            weight[later:][closing[later:n]] = 0  # nothing follows the end of a text
+        steps += weight.T @ ahead * model.step
+        gamma /= both
         gammas.append(gamma)
         symbols.append(tokens[begin[:n] + t])
         beta = full / full.sum(1, keepdims=True)
         if t == 0:
-            starts = gamma[opening[:n]].sum(0)
+            starts = gamma[opening].sum(0)
     emitted = np.zeros_like(model.emit)
-    if gammas:
-        gamma, symbol = np.concatenate(gammas), np.concatenate(symbols)
-        for s in range(states):
-            emitted[:, s] = np.bincount(symbol, gamma[:, s], len(emitted))
+    gamma, symbol = np.concatenate(gammas), np.concatenate(symbols)
+    for s in range(states):
+        emitted[:, s] = np.bincount(symbol, gamma[:, s], len(emitted))
     return starts, steps, emitted
 
 
