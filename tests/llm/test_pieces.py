@@ -1,6 +1,7 @@
 import math
 import random
 import struct
+import time
 
 import __spark_entry__ as contract
 import numpy as np
@@ -44,7 +45,9 @@ def best(text, scores):
     return table[-1]
 
 
-def test_viterbi_is_optimal():
+@pytest.mark.parametrize("count", [0, 64, 1 << 30])
+def test_viterbi_is_optimal(monkeypatch, count):
+    monkeypatch.setattr(pieces, "FEW", count)
     rng = random.Random(5)
     letters = "abcé"
     scores = {c: -9 - rng.random() for c in "▁ab"}
@@ -60,6 +63,31 @@ def test_viterbi_is_optimal():
         assert got == pytest.approx(best(marked, scores))
 
 
+def few(monkeypatch, count, window=1 << 18):
+    monkeypatch.setattr(pieces, "FEW", count)
+    monkeypatch.setattr(pieces, "WINDOW", window)
+
+
+def test_one_unit_finds_what_many_side_by_side_find(vocabulary, texts, odd, monkeypatch):
+    rng = random.Random(3)
+    some = [t for _, t in texts][:12] + [t for _, t in odd if len(t or "") < 2000] + ["x" * 90, "你好世界" * 20, "é\U0001F468" * 9, "\u2581" * 5]
+    some += ["".join(rng.choice("aetins你的é=/") for _ in range(rng.randint(1, 150))) for _ in range(15)]
+    few(monkeypatch, 0)
+    side_by_side = encode(vocabulary, some)
+    for window in (1 << 18, 7):
+        few(monkeypatch, 1 << 30, window)
+        assert encode(vocabulary, some) == side_by_side
+
+
+def test_long_text_without_spaces(vocabulary):
+    rng = random.Random(4)
+    for letters in ("x", "abcdefghij", "的一是不了人我在有他这"):
+        text = "".join(rng.choice(letters) for _ in range(80_000))
+        start = time.process_time()
+        encode(vocabulary, [text])
+        assert time.process_time() - start < 4  # 30 s with one round per position and depth
+
+
 def _fields(data):
     i = 0
 

@@ -5,7 +5,8 @@ the space, stands for the white-space marker.  A Viterbi pass finds the segmenta
 with the largest sum of log scores; characters that no piece covers become byte pieces.
 No piece has a marker after another character (checked on loading), so a text falls into
 units that begin with spaces, and each different unit is segmented once, many units side
-by side.
+by side.  Where few units have a length, as in text without spaces, the trie is walked from
+all positions of a unit side by side instead, and one pass over its positions follows.
 
 The scores are the file's own if it holds a unigram model.  A merge-ranked file holds
 ranks instead; they become log probabilities by Zipf's law, p proportional to
@@ -18,11 +19,13 @@ in the text itself is encoded in bytes and comes back as it was.
 Defined results: a null or empty text has no ids and decodes to an empty text; equal
 scores prefer the longer last piece; bytes that are no UTF-8 after decoding become U+FFFD;
 repeated rows are encoded each; an empty table gives an empty result; other columns pass
-through by ``carry``, whatever their names.
+through by ``carry``; ``tokenized`` replaces those that have the names of its three results.
 """
 
 from __future__ import annotations
 
+import math
+from array import array
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -35,6 +38,8 @@ from tidemark.llm import words as W
 
 MARKER = "▁"
 CELLS = 1 << 20  # positions worked on side by side
+FEW = 64  # fewer units than these are segmented one after another
+WINDOW = 1 << 18  # positions of a unit whose matches are held at once
 DECODED_TOGETHER = 1 << 19  # ids
 UNKNOWN_PENALTY = 10.0
 
@@ -144,7 +149,11 @@ def segment(v: Vocabulary, data: np.ndarray, starts: np.ndarray, ends: np.ndarra
         while j > i + 1 and (j - i) * int(lengths[order[j - 1]]) > 2 * CELLS:
             j -= 1
         units = order[i:j]
-        ids, n = _viterbi(v, data, starts[units], lengths[units])
+        if len(units) < FEW:
+            each = [_one_unit(v, data[starts[u]:ends[u]]) for u in units]
+            ids, n = np.concatenate(each), np.array([len(x) for x in each])
+        else:
+            ids, n = _viterbi(v, data, starts[units], lengths[units])
         counts[units] = n
         found.append((units, ids))
         i = j
@@ -222,6 +231,62 @@ def _viterbi(v: Vocabulary, data: np.ndarray, starts: np.ndarray, lengths: np.nd
     return out, counts
 
 
+def _matches(v: Vocabulary, data: np.ndarray, low: int, high: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Start (from ``low``), length and id of every piece that begins in a window, by start and length."""
+    live, node, depth = np.arange(low, high), np.zeros(high - low, np.int64), 0
+    found = [(np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0, np.int32))]
+    while len(live):
+        step = v.base[node] + data[live + depth].astype(np.int64) + 1
+        ok = (v.check[step] == node) & (step > 0)
+        live, node, depth = live[ok], step[ok], depth + 1
+        hit = v.value[node] >= 0
+        found.append((live[hit] - low, np.full(int(hit.sum()), depth), v.value[node[hit]]))
+        more = live + depth < len(data)
+        live, node = live[more], node[more]
+    at, size, ids = (np.concatenate(x) for x in zip(*found))
+    order = np.argsort(at, kind="stable")
+    return at[order], size[order], ids[order]
+
+
+def _one_unit(v: Vocabulary, data: np.ndarray) -> np.ndarray:
+    """Ids of one unit, as ``_viterbi`` finds them."""
+    n, widest = len(data), max(4, int(np.diff(v.bounds).max()))
+    back, piece = array("i", bytes(4 * (n + 1))), array("i", bytes(4 * (n + 1)))
+    unknown, nothing = float(v.scores[v.unknown]), -math.inf
+    best = [0.0] + [nothing] * widest
+    for low in range(0, n, WINDOW):
+        high = min(n, low + WINDOW)
+        best += [nothing] * (high - low)
+        at, size, ids = _matches(v, data, low, high)
+        first = np.searchsorted(at, np.arange(high - low + 1)).tolist()
+        scores, size, ids, character = v.scores[ids].tolist(), size.tolist(), ids.tolist(), _CHARACTER[data[low:high]].tolist()
+        for i in range(high - low):
+            here = best[i]
+            if here == nothing:
+                continue
+            covered = False
+            for k in range(first[i], first[i + 1]):
+                covered = covered or size[k] == character[i]
+                to, total = i + size[k], here + scores[k]
+                if total > best[to]:
+                    best[to], back[low + to], piece[low + to] = total, size[k], ids[k]
+            if not covered:
+                to = min(i + character[i], n - low)
+                if here + unknown > best[to]:
+                    best[to] = here + unknown
+                    if len(v.byte_ids):  # one byte after another
+                        for k in range(low + i + 1, low + to + 1):
+                            back[k], piece[k] = 1, -1
+                    else:
+                        back[low + to], piece[low + to] = to - i, v.unknown
+        best = best[high - low:]
+    taken, end = [], n
+    while end:
+        taken.append(piece[end] if piece[end] >= 0 else int(v.byte_ids[data[end - 1]]))
+        end -= back[end]
+    return np.array(taken[::-1], np.uint32)
+
+
 def encode_texts(v: Vocabulary, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """Ids of all texts one after another, and their offsets."""
     raw, offsets = W.buffers(column)
@@ -304,6 +369,6 @@ def decode(coded: DataFrame, vocabulary: Vocabulary, carry: tuple[str, ...] = ("
 
 
 def tokenized(docs: DataFrame, vocabulary: Vocabulary) -> DataFrame:
-    """The documents with ``ids``, ``n_tokens`` and ``round_trip``: does decoding return the text?"""
+    """The documents with ``ids``, ``n_tokens`` and ``round_trip`` (does decoding return the text?) in place of any such columns."""
     kept = tuple(c for c in docs.columns if c not in ("ids", "n_tokens", "round_trip"))
     return encode(docs, vocabulary, carry=kept).select(*kept, "ids", F.size("ids").cast("long").alias("n_tokens"), "round_trip")
