@@ -1,7 +1,9 @@
 import random
+import time
 
 import __spark_entry__ as contract
 import pytest
+from pyspark.sql import functions as F
 
 from tests.conftest import SF
 from tidemark.llm import html
@@ -109,6 +111,44 @@ def test_empty_and_long(spark):
     assert {r.page_id: r.n_chars for r in got}[1] == 5 * 200_000 - 1 + 5
 
 
+def test_what_is_left_decides_where_articles_are_unmarked(spark, table):
+    pages = table("pages").select("page_id", "url", "html")
+    marked = {r.page_id: r.text for r in html.extract(pages).collect()}
+    renamed = pages.withColumn("html", F.regexp_replace("html", "(</?)article>", "$1div>"))
+    assert {r.page_id: r.text for r in html.extract(renamed).collect()} == marked
+
+
+@pytest.mark.parametrize("page,want", [
+    ("<article><h2>Teaser</h2></article><div><p>The real story...</p><p>It goes on.</p></div>", "The real story...\nIt goes on."),
+    ("<article><h2>Teaser</h2></article><div><p>The real story...</div>", "The real story..."),
+    ("<article><p>a</p><div class='share-story'>b</div><section class='comments-on-policy'>c</section><div class='share-links'>d</div></article>", "a\nb\nc"),
+    ("<article><p>in</p><div id='ad_slot-3'>buy</div><div class='big sidebar-left'>s</div><p class='related-work'>w</p></article>", "in\nw"),
+    ("<div><p>one line</p><p>another line</p><p>and a third line</p><div>fourth</div></div><div>x</div>", "one line\nanother line\nand a third line\nfourth"),
+])
+def test_content(page, want):
+    assert text(page) == want
+
+
+def test_content_keeps_its_shared_lines():
+    page = "<div><ul><li>Site<li>Home</ul><h1>Title</h1><p>quoted</p><p>a long line of its own</p><div>said</div><p>another long line</p></div><p>x</p>"
+    assert text(page, [0, 1, 3, 5]) == "Title\nquoted\na long line of its own\nanother long line"
+    assert html.main_text(page, [0, 1, 3, 5], [0, 1]) == "Title\nquoted\na long line of its own\nsaid\nanother long line"
+    assert text("<div>Site</div><p>y</p>", [0, 1]) == "Site\ny"
+    assert text("<article><p>a</p></article>", [0]) == "a"
+
+
+@pytest.mark.parametrize("page", [
+    "<b>" * 20_000 + "</i>" * 20_000 + "x",
+    "<p>" + "<b>" * 20_000 + "<em></em>" * 20_000,
+    "<li><ul>" + "<b>" * 20_000 + "<li></li>" * 20_000,
+    "<div>" * 20_000 + "x",
+])
+def test_parsing_is_linear(page):
+    start = time.process_time()
+    html.main_text(page, [])
+    assert time.process_time() - start < 3
+
+
 def longest(a, b):
     best = [[0] * (len(b) + 1) for _ in range(len(a) + 1)]
     for i, x in enumerate(a):
