@@ -176,6 +176,17 @@ FROM every q JOIN ways w ON w.conv IS NOT DISTINCT FROM q.conv AND w.i = 1
 OP13 = _edits()
 
 
+ABLATION = f"""
+WITH ledger AS ({OP9}),
+policies (policy, whole) AS (VALUES ('base-1', 3), ('web-1', 127)),
+rules (rule, bit) AS (VALUES ('too_few_words', 1), ('repeated_words', 2), ('short_words', 4), ('long_words', 8),
+  ('symbols', 16), ('repeated_lines', 32), ('shouting', 64))
+SELECT policy, rule, count(*) FILTER (fail_mask & bit <> 0) AS failed, count(*) FILTER (fail_mask & whole = bit) AS only_this,
+  count(*) FILTER (fail_mask & whole & ~bit = 0) AS kept_without
+FROM policies JOIN rules ON whole & bit <> 0 CROSS JOIN ledger GROUP BY policy, rule
+"""
+
+
 def statements() -> dict[str, str]:
     return {
         "op12_collocations": OP12,
@@ -183,4 +194,5 @@ def statements() -> dict[str, str]:
         "op5_source_mixing": OP5,
         "op8_substring_dedup": OP8,
         "op9_quality_ledger": OP9,
+        "quality_ablation": ABLATION,
     }

@@ -1,7 +1,7 @@
 """Quality rules kept as a ledger: every rule judged once, one bit each.
 
-``ledger`` measures a text once and stores the measurements beside a mask of the
-rules it fails.  Policies (named, versioned sets of rules) and ablations are then
+``ledger`` measures a text once and puts the measurements beside a mask of the
+rules it fails; ``stored`` keeps that as a table.  Policies (named, versioned sets of rules) and ablations are then
 bit operations on the mask and never read a text again.
 
 Defined results: a null text counts as empty; a null id stays null; repeated rows
@@ -143,6 +143,12 @@ def ledger(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataF
     return source.mapInArrow(judge, schema).select(F.col("id").alias(doc_id), *MEASURES, failures().alias("fail_mask"))
 
 
+def stored(entries: DataFrame, path: str) -> DataFrame:
+    """The ledger written to ``path`` and read from there, for any number of policies and ablations."""
+    entries.write.parquet(path)
+    return entries.sparkSession.read.schema(entries.schema).parquet(path)
+
+
 def apply_policy(entries: DataFrame, policy: str = DEFAULT_POLICY) -> DataFrame:
     """``kept``: no rule of the policy failed."""
     return entries.withColumn("kept", F.col("fail_mask").bitwiseAND(F.lit(mask_of(POLICIES[policy]))) == 0)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -70,14 +71,25 @@ def op8_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return left.select("doc_id", "n_words", "n_removed", F.sha2(kept, 256).alias("kept_sha256"))
 
 
+def _ledger(spark: SparkSession, folder: str) -> DataFrame:
+    return quality.stored(quality.ledger(_table(spark, folder, "documents")), f"{scratch_folder(spark)}/ledger")
+
+
 def op9_quality_ledger(spark: SparkSession, folder: str) -> DataFrame:
     """Measurements, failed rules and the verdict of every document."""
-    judged = quality.apply_policy(quality.ledger(_table(spark, folder, "documents")))
+    judged = quality.apply_policy(_ledger(spark, folder))
     base = F.col("fail_mask").bitwiseAND(F.lit(quality.mask_of(quality.BASE))) != 0
     return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
                          base.alias("base_failed"), "kept", "fail_mask", "n_lines", "n_upper")
 
 
+def quality_ablation(spark: SparkSession, folder: str) -> DataFrame:
+    """By policy and rule: documents that fail it, that it alone rejects, and that would be kept without it."""
+    ledger = _ledger(spark, folder)
+    each = (quality.ablation(ledger, p).select(F.lit(p).alias("policy"), "*") for p in quality.POLICIES)
+    return reduce(DataFrame.unionByName, each)
+
+
 def op10_token_ids(spark: SparkSession, folder: str) -> DataFrame:
     """Place, length and checksum of every document's ids, read back from the files."""
     import public_tokenizers
@@ -121,4 +133,5 @@ def catalogue() -> dict[str, Query]:
         "op7_hmm_score": op7_hmm_score,
         "op8_substring_dedup": op8_substring_dedup,
         "op9_quality_ledger": op9_quality_ledger,
+        "quality_ablation": quality_ablation,
     }
