@@ -221,3 +221,46 @@ def test_health_drops_over_the_whole_table(spark):
     got = drops.withColumn("date_key", F.date_format("date_key", "yyyy-MM-dd")).select(*columns).collect()
     assert sorted(tuple(r) for r in got) == sorted(want.fetchall())
     assert any(r.date_key < "1998" for r in got) and any(r.date_key > "1998-03-31" for r in got)
+
+
+def _days(runs):
+    """Runs of days as a row a day."""
+    return runs.withColumn("date_key", F.explode(F.sequence("date_key", F.date_sub("until", 1))))
+
+
+def test_health_runs_equal_the_days(spark, rows):
+    import random
+
+    rng, day0 = random.Random(7), date(2024, 1, 1)
+    owners = ["a", "b", "c", None, "stray"]
+    used = [(rng.choice(owners), "u", day0 + timedelta(days=rng.randrange(60))) for _ in range(250)] + [("stray", "u", day0)] * 220
+    used += [("b", "u", day0 + timedelta(days=1))] * 220
+    usage = spark.createDataFrame(used, "account_id STRING, user_id STRING, event_date DATE")
+    at = lambda n: datetime(2024, 1, 1, tzinfo=UTC) + timedelta(days=n)
+    tickets = [(f"t{i}", rng.choice(owners), rng.choice(["critical", "low"]), at(rng.randrange(-5, 50)), rng.choice([None, at(rng.randrange(50, 70))]))
+               for i in range(60)]
+    support = spark.createDataFrame(tickets, "ticket_id STRING, account_id STRING, severity STRING, created_at TIMESTAMP, resolved_at TIMESTAMP")
+    now = spark.createDataFrame([("a", "Failed / Overdue", None), ("b", "Good Standing", "past_due"), ("c", "Good Standing", None), (None, "Good Standing", None)],
+                                "account_id STRING, payment_status STRING, subscription_status STRING")
+    dated = spark.createDataFrame([("a", "Good Standing", None, day0, day0 + timedelta(days=20)), ("a", "Failed / Overdue", None, day0 + timedelta(days=20), None),
+                                   ("b", "Good Standing", "past_due", day0 + timedelta(days=30), None)],
+                                  "account_id STRING, payment_status STRING, subscription_status STRING, valid_from DATE, valid_to DATE")
+    for standing in (now, dated):
+        daily, runs = (health.health_daily(usage, support, standing, runs=r) for r in (False, True))
+        columns = ("account_id", "date_key", "open_tickets_count", "unresolved_p1_tickets", "payment_status", "health_score")
+        assert rows(_days(runs), *columns) == rows(daily, *columns)
+        drops = rows(health.health_drops(daily))
+        assert drops and rows(health.health_drops(runs)) == drops
+        summed = daily.groupBy("date_key", "payment_status").agg(
+            F.count(F.lit(1)).alias("accounts"), F.sum("open_tickets_count").alias("tickets"))
+        totals = health.totals_by_day(runs, "payment_status", {"tickets": F.col("open_tickets_count")})
+        assert rows(totals, "date_key", "payment_status", "accounts", "tickets") == rows(summed, "date_key", "payment_status", "accounts", "tickets")
+
+
+def test_health_runs_grow_with_the_changes_not_with_the_days(spark):
+    d = Domain(spark, SF)
+    runs = health.health_daily(d.order_usage, d.support, d.standing, runs=True)
+    days = runs.select(F.sum(F.date_diff("until", "date_key")).alias("days"), F.count(F.lit(1)).alias("runs")).first()
+    span = d.order_usage.agg(F.date_diff(F.max("event_date"), F.min("event_date"))).first()[0] + 1
+    assert days.days == d.accounts.count() * span
+    assert days.runs < days.days / 10

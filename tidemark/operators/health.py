@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark import schemas as S
@@ -162,7 +162,7 @@ def extend_history(history: DataFrame, snapshot: DataFrame, day) -> DataFrame:
 
 
 def health_daily(usage: DataFrame, support: DataFrame, standing: DataFrame,
-                 first_day: str | None = None, last_day: str | None = None) -> DataFrame:
+                 first_day: str | None = None, last_day: str | None = None, runs: bool = False) -> DataFrame:
     """Health per account of ``standing`` and calendar day between two dates (inclusive).
 
     Without a date, the range begins or ends with the days of ``usage``.
@@ -173,18 +173,18 @@ def health_daily(usage: DataFrame, support: DataFrame, standing: DataFrame,
 
     ``standing`` is a history (``standing_history``), whose state of each day counts, or one row an
     account, which counts for every day.  Before an account's first known state it is in good standing.
+
+    With ``runs`` there is one row per account and run of days on which score, tickets and standing stay
+    the same, from ``date_key`` to the day before ``until``: rows grow with the changes, not with the days.
+    Rows that are ``listed`` are of accounts that ``standing`` does not name, which have no calendar.
     """
     first = F.lit(first_day).cast("date") if first_day else usage.agg(F.min("event_date")).scalar()
     last = F.lit(last_day).cast("date") if last_day else usage.agg(F.max("event_date")).scalar()
     first_no, last_no = F.unix_date(first), F.unix_date(last)
     in_range = usage.where(F.col("event_date").between(first, last)).select(
         "account_id", "user_id", F.unix_date("event_date").alias("_day"))
-    events = in_range.groupBy("account_id", "_day").agg(F.count(F.lit(1)).alias("events"))
     dated = "valid_from" in standing.columns
     accounts = standing.select("account_id").distinct() if dated else standing.select("account_id")
-    users = presence_changes(in_range, ["account_id"], "user_id", "_day",
-                             {"active_users_7d": 7, "active_users_30d": 30}).drop("members")
-    calendar = accounts.select("account_id", F.explode(F.sequence(first_no, last_no)).alias("_day"))
 
     # A ticket opens and closes its place in the backlog; changes before the
     # range are booked on its first day.
@@ -202,25 +202,60 @@ def health_daily(usage: DataFrame, support: DataFrame, standing: DataFrame,
     begun = F.unix_date("valid_from") if dated else first_no
     states = standing.where(begun <= last_no).groupBy("account_id", F.greatest(begun, first_no).alias("_day")).agg(
         F.max_by(F.struct(*STANDING), begun).alias("_standing"))
-    parts = [calendar, events, users, tickets, states]
-    stacked = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
-    summed = ("events", "active_users_7d", "active_users_30d", "open_tickets_count", "unresolved_p1_tickets")
+    if not runs:
+        calendar = accounts.select("account_id", F.explode(F.sequence(first_no, last_no)).alias("_day"))
+        return _by_day([calendar, *_activity(in_range), tickets, states], last_no)
+    named = _by_run(in_range, accounts, tickets, states, first_no, last_no)
+    # rows of accounts without a calendar are on the days of their own changes
+    listed = in_range.join(accounts.select(F.col("account_id").alias("_named")), F.col("account_id").eqNullSafe(F.col("_named")), "left_anti")
+    return named.withColumn("listed", F.lit(False)).unionByName(
+        _by_day(_activity(listed), last_no).withColumn("until", F.date_add("date_key", 1)).withColumn("listed", F.lit(True))
+        .select(*named.columns, "listed"))
+
+
+_SUMMED = ("events", "active_users_7d", "active_users_30d", "open_tickets_count", "unresolved_p1_tickets")
+
+
+def _activity(in_range: DataFrame) -> list[DataFrame]:
+    """Events and changes of the present users by account and day."""
+    events = in_range.groupBy("account_id", "_day").agg(F.count(F.lit(1)).alias("events"))
+    users = presence_changes(in_range, ["account_id"], "user_id", "_day",
+                             {"active_users_7d": 7, "active_users_30d": 30}).drop("members")
+    return [events, users]
+
+
+def _stacked(parts: list[DataFrame]) -> DataFrame:
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+
+
+def _scored(df: DataFrame) -> DataFrame:
+    """``payment_status`` and the unrounded ``_score`` from the accumulated counts and the standing."""
+    known = df.withColumns({"payment_status": F.coalesce("_standing.payment_status", F.lit(S.GOOD_STANDING)),
+                            "subscription_status": F.col("_standing.subscription_status")})
+    return known.withColumn("_score", C.health_score(
+        F.col("_events_30d"), F.col("open_tickets_count"), F.col("unresolved_p1_tickets"),
+        F.col("payment_status"), F.col("subscription_status")))
+
+
+def _by_day(parts: list[DataFrame], last_no: Column) -> DataFrame:
+    """Health on every (account, day) that ``parts`` have; trailing counts are of the rows before."""
+    stacked = _stacked(parts)
+    if "_standing" not in stacked.columns:
+        stacked = stacked.withColumns({"open_tickets_count": F.lit(0), "unresolved_p1_tickets": F.lit(0), "_standing": F.lit(None).cast(
+            "struct<payment_status: string, subscription_status: string>")})
     daily = stacked.where(F.col("_day") <= last_no).groupBy("account_id", "_day").agg(
-        *[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in summed], F.any_value("_standing", True).alias("_standing"))
+        *[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in _SUMMED], F.any_value("_standing", True).alias("_standing"))
 
     by_day = Window.partitionBy("account_id").orderBy("_day")
     upto = by_day.rowsBetween(Window.unboundedPreceding, 0)
-    daily = daily.withColumns({
-        **{c: F.sum(c).over(upto) for c in summed[1:]},
+    daily = _scored(daily.withColumns({
+        **{c: F.sum(c).over(upto) for c in _SUMMED[1:]},
         "total_events_7d": F.sum("events").over(by_day.rowsBetween(-6, 0)),
         "_prior_7d": F.sum("events").over(by_day.rowsBetween(-13, -7)),
         "_events_30d": F.sum("events").over(by_day.rowsBetween(-29, 0)),
         "_standing": F.last("_standing", True).over(upto),
-    }).withColumns({"payment_status": F.coalesce("_standing.payment_status", F.lit(S.GOOD_STANDING)),
-                    "subscription_status": F.col("_standing.subscription_status")})
-    score = C.health_score(F.col("_events_30d"), F.col("open_tickets_count"), F.col("unresolved_p1_tickets"),
-                           F.col("payment_status"), F.col("subscription_status"))
-    shown = F.round(score, 1)
+    }))
+    shown = F.round("_score", 1)
     growth = C.ratio(F.col("total_events_7d") - F.col("_prior_7d"), F.col("_prior_7d"))
     return daily.select(
         "account_id", F.date_from_unix_date("_day").alias("date_key"), "active_users_7d", "active_users_30d",
@@ -230,11 +265,80 @@ def health_daily(usage: DataFrame, support: DataFrame, standing: DataFrame,
     )
 
 
+def _by_run(in_range: DataFrame, accounts: DataFrame, tickets: DataFrame, states: DataFrame,
+            first_no: Column, last_no: Column) -> DataFrame:
+    """Health of ``accounts`` by runs of days: a row begins where an event, a ticket or a state begins or ends."""
+    begin = accounts.select("account_id", first_no.alias("_day"), F.lit(True).alias("_named"))
+    # an event counts for 30 days
+    moves = F.array(F.struct(F.col("_day").alias("at"), F.col("n")), F.struct((F.col("_day") + 30).alias("at"), (-F.col("n")).alias("n")))
+    events = in_range.groupBy("account_id", "_day").agg(F.count(F.lit(1)).alias("n")).select("account_id", F.explode(moves).alias("m")).select(
+        "account_id", F.col("m.at").alias("_day"), F.col("m.n").alias("_events_30d"))
+    summed = ("_events_30d", "open_tickets_count", "unresolved_p1_tickets")
+    changes = _stacked([begin, events, tickets, states]).where(F.col("_day") <= last_no).groupBy("account_id", "_day").agg(
+        *[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in summed], F.any_value("_standing", True).alias("_standing"),
+        F.any_value("_named", True).alias("_named"))
+    by_day = Window.partitionBy("account_id").orderBy("_day")
+    upto = by_day.rowsBetween(Window.unboundedPreceding, 0)
+    # the first row of an account in ``accounts`` is its beginning
+    held = changes.withColumns({
+        **{c: F.sum(c).over(upto) for c in summed}, "_standing": F.last("_standing", True).over(upto),
+        "_named": F.first("_named").over(upto), "_until": F.coalesce(F.lead("_day").over(by_day), last_no + 1)}).where("_named")
+    return _scored(held).select(
+        "account_id", F.date_from_unix_date("_day").alias("date_key"), F.date_from_unix_date("_until").alias("until"),
+        "open_tickets_count", "unresolved_p1_tickets", "payment_status", F.round("_score", 1).alias("health_score"))
+
+
+def totals_by_day(runs: DataFrame, by: str, totals: dict[str, Column]) -> DataFrame:
+    """``accounts`` and sums of ``totals`` of every day and value of ``by``, from runs of days (``health_daily``).
+
+    A run adds on its first day and takes away after its last, so no account has a row a day.
+    """
+    def change(at: str, sign: int) -> Column:
+        return F.struct(F.col(at).alias("_at"), F.lit(sign).alias("accounts"), *[(sign * c).alias(n) for n, c in totals.items()])
+
+    names = ("accounts", *totals)
+    moved = runs.select(by, F.explode(F.array(change("date_key", 1), change("until", -1))).alias("m")).select(by, "m.*")
+    per_day = moved.groupBy(by, "_at").agg(*[F.sum(n).alias(n) for n in names])
+    # the days of the calendar and the values of ``by`` at most
+    in_time = Window.partitionBy(by).orderBy("_at")
+    upto = in_time.rowsBetween(Window.unboundedPreceding, 0)
+    held = per_day.withColumns({**{n: F.sum(n).over(upto) for n in names}, "_next": F.lead("_at").over(in_time)}).where("accounts > 0")
+    return held.withColumn("date_key", F.explode(F.sequence("_at", F.date_sub("_next", 1)))).select("date_key", by, *names)
+
+
 def health_drops(daily: DataFrame, drop: float = 0.20, days: int = 7) -> DataFrame:
-    """Account days whose score fell by more than ``drop`` against ``days`` earlier."""
+    """Account days whose score fell by more than ``drop`` against ``days`` earlier; ``daily`` may be runs of days."""
+    if "until" in daily.columns:
+        return _run_drops(daily.where("NOT listed"), drop, days).unionByName(
+            health_drops(daily.where("listed").drop("until", "listed"), drop, days))
     before = F.lag("health_score", days).over(Window.partitionBy("account_id").orderBy("date_key"))
+    return _fallen(daily.withColumn("previous_score", before), drop)
+
+
+def _fallen(compared: DataFrame, drop: float) -> DataFrame:
     fall = C.ratio(F.col("previous_score") - F.col("health_score"), F.col("previous_score"))
     return (
-        daily.withColumn("previous_score", before).withColumn("drop_pct", F.round(fall * 100.0, 2))
+        compared.withColumn("drop_pct", F.round(fall * 100.0, 2))
         .where(fall > drop).select("account_id", "date_key", "previous_score", "health_score", "drop_pct")
     )
+
+
+def _run_drops(runs: DataFrame, drop: float, days: int) -> DataFrame:
+    """The drops of runs of days: a score counts from its first day on, and as the earlier one ``days`` later."""
+    by_day = Window.partitionBy("account_id").orderBy("date_key")
+    upto = by_day.rowsBetween(Window.unboundedPreceding, 0)
+    end = F.max("until").over(Window.partitionBy("account_id"))
+    other = ~F.col("health_score").eqNullSafe(F.lag("health_score").over(by_day))
+    scores = runs.withColumns({"_end": end, "_other": F.lag("health_score").over(by_day).isNull() | other}).where("_other")
+    none = F.lit(None).cast("double")
+    moves = F.array(F.struct(F.col("date_key"), F.col("health_score"), none.alias("previous_score")),
+                    F.struct(F.date_add("date_key", days).alias("date_key"), none.alias("health_score"), F.col("health_score").alias("previous_score")))
+    changes = scores.select("account_id", "_end", F.explode(moves).alias("m")).select("account_id", "_end", "m.*").where(
+        F.col("date_key") < F.col("_end")).groupBy("account_id", "date_key").agg(
+        F.max("_end").alias("_end"), F.max("health_score").alias("health_score"), F.max("previous_score").alias("previous_score"))
+    held = changes.withColumns({
+        "health_score": F.last("health_score", True).over(upto), "previous_score": F.last("previous_score", True).over(upto),
+        "_until": F.coalesce(F.lead("date_key").over(by_day), F.col("_end"))})
+    fallen = _fallen(held.withColumn("_from", F.col("date_key")).withColumn("date_key", F.struct("_from", "_until")), drop)
+    days_of = F.sequence(F.col("date_key._from"), F.date_sub("date_key._until", 1))
+    return fallen.withColumn("date_key", F.explode(days_of))

@@ -404,10 +404,10 @@ def standing_history(d: Domain) -> DataFrame:
 @query
 def health_daily_as_of(d: Domain) -> DataFrame:
     """Accounts and summed health by day and standing, each day with the standing known then."""
-    daily = health.health_daily(d.order_usage, d.support, health.standing_history(d.month_ends))
-    return _date_text(daily.groupBy("date_key", "payment_status").agg(
-        F.count(F.lit(1)).alias("accounts"), F.sum(F.col("health_score").cast("decimal(10,1)")).cast("double").alias("score_sum"),
-        F.sum("open_tickets_count").alias("open_tickets")), "date_key")
+    runs = health.health_daily(d.order_usage, d.support, health.standing_history(d.month_ends), runs=True)
+    daily = health.totals_by_day(runs, "payment_status", {
+        "score_sum": F.col("health_score").cast("decimal(10,1)"), "open_tickets": F.col("open_tickets_count")})
+    return _date_text(daily.withColumn("score_sum", F.col("score_sum").cast("double")), "date_key")
 
 
 # ------------------------------------------------------------------- serving
