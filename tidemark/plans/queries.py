@@ -595,7 +595,7 @@ def backlog_alerts(d: Domain) -> DataFrame:
 @query
 def health_drop_alerts(d: Domain) -> DataFrame:
     """Alerts of the weekly falls."""
-    drops = health.health_drops(health.health_daily(d.order_usage, d.support, d.standing))
+    drops = health.health_drops(health.health_daily(d.order_usage, d.support, d.standing, runs=True))
     return rules.drop_alerts(drops, d.dim_account, B.SUPPORT_AS_OF).select(*_ALERT_VIEW)
 
 
