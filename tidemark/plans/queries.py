@@ -392,7 +392,7 @@ def health_daily(d: Domain) -> DataFrame:
 @query
 def rule_health_drop_wow(d: Domain) -> DataFrame:
     """Weekly falls on all days of the orders, which stand in for usage in the years of the tickets."""
-    return _date_text(health.health_drops(health.health_daily(d.order_usage, d.support, d.standing)), "date_key")
+    return _date_text(health.health_drops(health.health_daily(d.order_usage, d.support, d.standing, runs=True)), "date_key")
 
 
 @query
