@@ -5,6 +5,7 @@ from datetime import datetime, timedelta, timezone
 from decimal import Decimal
 
 import pytest
+from pyspark.sql import functions as F
 
 from tidemark import schemas as S
 from tidemark.sources import storage
@@ -371,3 +372,33 @@ def test_effects_of_batches_the_mart_holds_do_not_count_again(spark, tmp_path):
     storage.publish(spark, root, "r", [], NOW, marks={"live_batch": 0})
     assert feed.health(mart(spark, ("a", 65)))["a"].health_score == 40.0
     assert feed.job.finished() == 1 and feed.job.included() == 0
+
+
+def test_copies_are_told_apart_without_the_envelope(spark, tmp_path):
+    events = E.normalise(spark.createDataFrame(
+        [("e1", "a", "high", T0), ("e1", "a", "medium", T0), ("e2", "b", "high", T0), (None, None, None, T0)],
+        "event_id STRING, account_id STRING, severity STRING, timestamp TIMESTAMP"), "support.events")
+    job = LiveJob(spark, str(tmp_path))
+    narrow = events.withColumn("_error", F.lit(None).cast("string"))
+    first = job._first_copies(narrow, "event", [], 0, storage.Published(), NOW)
+    assert not {"_event_hash", "_published_at", "_retry_count", "_max_retries"} & set(first.columns)
+    want = E.drop_copies(E.with_envelope(events, NOW))
+    got = live._enveloped(first.drop("_error"), NOW)
+    columns = sorted(want.columns)
+    assert sorted(map(repr, got.select(columns).collect())) == sorted(map(repr, want.select(columns).collect()))
+
+
+def test_unknown_keys_are_written_before_they_are_joined(spark, tmp_path):
+    job = LiveJob(spark, str(tmp_path), known=lambda: {"account_id": spark.createDataFrame([("a",)], "account_id STRING")})
+    events = E.normalise(spark.createDataFrame(
+        [("e1", "a", "u", "f", T0), ("e2", "z", "u", "f", T0)],
+        "event_id STRING, account_id STRING, user_id STRING, feature STRING, timestamp TIMESTAMP"), "product.events")
+    split = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    job.process(events, 0)
+    assert [r.account_id for r in spark.read.parquet(f"{tmp_path}/unknown_account_id/batch_id=0").collect()] == ["z"]
+    assert spark.conf.get("spark.sql.files.maxPartitionBytes") == split
+    inbox = set(spark.read.parquet(f"{tmp_path}/inbox/batch_id=0").columns)
+    assert inbox == {*E.EVENT_FIELDS, "_topic", "_raw", "_error"}
+    assert [(r.event_id, r._event_hash) for r in job.table("accepted", job.ACCEPTED).collect()] == [
+        (r.event_id, r._event_hash) for r in E.with_envelope(events, T0).where("event_id = 'e1'").collect()]
+    assert [r._fatal_error for r in job.table("dead_letters", job.LETTERS).collect()] == ["Unknown account_id: z"]

@@ -912,7 +912,8 @@ def _as_events(events: DataFrame) -> DataFrame:
 
 
 def _in_parts(events: DataFrame, n: int = PARTS) -> list[DataFrame]:
-    """Events in ``n`` parts of about equal size, one time after another."""
+    """Events in ``n`` parts of about equal size, one time after another; written once, and each part is read from there."""
+    events = storage.stage(events, scratch_folder(events.sparkSession), "events", "stream_events")
     at = F.unix_micros("timestamp")
     cuts = events.agg(F.percentile_approx(at, [i / n for i in range(1, n)], 1000)).first()[0]
     part = sum(((at > F.lit(c)).cast("int") for c in cuts), F.lit(0))

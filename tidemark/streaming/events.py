@@ -6,7 +6,7 @@ deduplication and dead-lettering are written once.
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -122,17 +122,20 @@ def redrive(letters: DataFrame, known: Mapping[str, DataFrame], max_retries: int
     return valid, kept
 
 
-def reject_unknown(events: DataFrame, known: Mapping[str, DataFrame], topics: Sequence[str] = KEYED_TOPICS) -> DataFrame:
+def reject_unknown(events: DataFrame, known: Mapping[str, DataFrame], topics: Sequence[str] = KEYED_TOPICS,
+                   stage: Callable[[DataFrame, str], DataFrame] | None = None) -> DataFrame:
     """Set ``_error`` on rows of ``topics`` whose key is not in ``known``.
 
     The check runs on distinct keys; the events are then joined with the unknown
     ones, which Spark broadcasts while their measured size allows it, each key
-    spread over several tasks.
+    spread over several tasks.  ``stage`` writes the unknown values of a key and reads them
+    again: without it Spark estimates their size from that of all events.
     """
     out = events
     for key, frame in known.items():
         used = events.where(F.col("_topic").isin(*topics)).select(key).where(F.col(key).isNotNull()).distinct()
-        unknown = used.join(frame.select(key), key, "left_anti").withColumn("_unknown", F.lit(True))
+        unknown = used.join(frame.select(key), key, "left_anti")
+        unknown = (stage(unknown, key) if stage else unknown).withColumn("_unknown", F.lit(True))
         missing = F.when(F.col("_topic").isin(*topics) & F.col("_unknown"),
                          F.concat(F.lit(f"Unknown {key}: "), F.col(key).cast("string")))
         joined = with_attributes(out, unknown, key, ["event_id"], "left")

@@ -34,6 +34,11 @@ LATE_AFTER = "2 hours"
 FILES_PER_BATCH = 1_000
 OFFSETS_PER_BATCH = 10_000_000
 COMPACT_EVERY = 16
+# Rows are sorted as they are read, and take ten times their stored size or more: a task reads this much of a
+# file, so that it sorts in memory; row groups are what a file can be divided at.
+SPLIT_BYTES = 16 * 1024 * 1024
+ROW_GROUP_BYTES = 8 * 1024 * 1024
+_SPLIT_CONF = "spark.sql.files.maxPartitionBytes"
 
 
 # ----------------------------------------------------------------- sources
@@ -81,6 +86,11 @@ def _utc_now() -> datetime:
     return datetime.now(timezone.utc)
 
 
+def _enveloped(rows: DataFrame, at) -> DataFrame:
+    """Rows of ``_first_copies`` with their delivery columns."""
+    return E.with_envelope(rows, at).withColumn("_event_hash", F.lower(F.hex("_key"))).drop("_key")
+
+
 def _by_topic(name: str, greatest: str | None = None) -> list[Column]:
     """Observed counts, or the greatest time in microseconds, of each topic and of rows of no known one."""
     topic = F.coalesce("_topic", F.lit(""))
@@ -119,15 +129,18 @@ class LiveJob:
 
     # ------------------------------------------------------------- tables
     def _write(self, df: DataFrame, table: str, batch_id: int, partition_by: str | None = None,
-               sort_by: str | None = None) -> None:
-        """Replace the batch's part of a table.
+               sort_by: str | None = None, finish: Callable[[DataFrame], DataFrame] | None = None) -> None:
+        """Replace the batch's part of a table; ``finish`` adds what need not be moved to its file.
 
-        Rows of one date are brought together first, so a batch that spans many
-        dates still writes few files; sorted files are pruned by their statistics.
+        Of a table partitioned by date, rows of one date are brought together first, so a batch that
+        spans many dates still writes few files; of a sorted one, row groups are pruned by their statistics.
         """
+        if partition_by:
+            df = df.hint("rebalance", F.col(partition_by))
         if partition_by or sort_by:
-            df = df.hint("rebalance", F.col(partition_by or sort_by)).sortWithinPartitions(partition_by or sort_by)
-        writer = df.write.mode("overwrite").option("partitionOverwriteMode", "static")
+            df = df.sortWithinPartitions(partition_by or sort_by)
+        writer = (finish(df) if finish else df).write.mode("overwrite").option("partitionOverwriteMode", "static")
+        writer = writer.option("parquet.block.size", ROW_GROUP_BYTES).option("compression", "zstd")
         if partition_by:
             writer = writer.partitionBy(partition_by)
         writer.parquet(f"{self.root}/{table}/batch_id={batch_id}")
@@ -152,7 +165,8 @@ class LiveJob:
     ENVELOPED = (", ".join(f"{n} {t}" for n, t in E.EVENT_TYPES.items())
                  + ", _topic STRING, _raw STRING, _event_hash STRING, event_date DATE, _published_at TIMESTAMP, _retry_count INT, "
                    "_max_retries INT")
-    CHECKED = f"{ENVELOPED}, _error STRING"
+    # The envelope follows from these, so it is not stored or moved with them.
+    CHECKED = ", ".join(f"{n} {t}" for n, t in E.EVENT_TYPES.items()) + ", _topic STRING, _raw STRING, _error STRING"
     ACCEPTED = f"{ENVELOPED}, late BOOLEAN"
     LETTERS = f"{ENVELOPED}, _last_error STRING, _fatal_error STRING, _dead_lettered_at TIMESTAMP"
     REDRIVES = "_event_hash STRING, republished BOOLEAN"
@@ -165,6 +179,14 @@ class LiveJob:
 
     # -------------------------------------------------------------- batch
     def process(self, batch: DataFrame, batch_id: int) -> None:
+        before = self.spark.conf.get(_SPLIT_CONF)
+        self.spark.conf.set(_SPLIT_CONF, SPLIT_BYTES)
+        try:
+            self._process(batch, batch_id)
+        finally:
+            self.spark.conf.set(_SPLIT_CONF, before)
+
+    def _process(self, batch: DataFrame, batch_id: int) -> None:
         at = self.clock()
         # A stream's session has it off; the work below is ordinary batch work.
         batch.sparkSession.conf.set("spark.sql.adaptive.enabled", "true")
@@ -172,25 +194,26 @@ class LiveJob:
         if batch_id - _upto(gathered) > self.compact_every:
             gathered = self.compact(batch_id, gathered)
 
-        enveloped = E.with_envelope(batch, at).withColumn("event_date", F.to_date("timestamp"))
-        checked = E.reject_unknown(E.with_error(enveloped), self.known())
+        filled = E.with_envelope(batch, at).select(*batch.columns, F.to_date("timestamp").alias("event_date"))
+        checked = E.reject_unknown(E.with_error(filled), self.known(), stage=lambda unknown, key: self._staged(unknown, f"unknown_{key}", batch_id))
         arrived = Observation()
         days = F.sort_array(F.collect_set(F.coalesce(F.col("event_date").cast("string"), F.lit(NO_DATE))))  # the calendar's at most
-        self._write(checked.observe(arrived, days.alias("days"), *_by_topic("received")), "inbox", batch_id)
+        stored = [c.split(" ")[0] for c in self.CHECKED.split(", ")]
+        self._write(checked.observe(arrived, days.alias("days"), *_by_topic("received")).select(*stored), "inbox", batch_id)
         inbox = self._part("inbox", self.CHECKED, batch_id)
         days = storage.observed(arrived).get("days", [])
 
         newest = self.table("batch_log", self.LOG, batch_id).agg(F.max("max_ts")).first()[0]  # a few rows a batch
         late = F.col("timestamp") < F.lit(newest) - F.expr(f"INTERVAL {LATE_AFTER}") if newest else F.lit(False)
-        fresh = self._unseen(E.drop_copies(inbox.where("_error IS NULL").drop("_error")), "event", "_event_hash", days, batch_id, gathered)
-        consumed = Observation()
-        self._write(fresh.withColumn("late", late).observe(consumed, *_by_topic("consumed"), *_by_topic("max_ts", "timestamp")),
-                    "accepted", batch_id, sort_by="event_date")
+        fresh = self._first_copies(inbox.where("_error IS NULL").drop("_error"), "event", days, batch_id, gathered, at)
+        consumed, dead = Observation(), Observation()
+        self._write(fresh.observe(consumed, *_by_topic("consumed"), *_by_topic("max_ts", "timestamp")), "accepted", batch_id,
+                    sort_by="event_date", finish=lambda rows: _enveloped(rows, at).withColumn("late", late))
         fresh = self._part("accepted", self.ACCEPTED, batch_id)
 
-        failed = self._unseen(E.drop_copies(inbox.where("_error IS NOT NULL")), "letter", "_event_hash", days, batch_id, gathered)
-        dead = Observation()
-        self._write(E.dead_letters(failed, at).observe(dead, *_by_topic("dead_lettered")), "dead_letters", batch_id, sort_by="event_date")
+        failed = self._first_copies(inbox.where("_error IS NOT NULL"), "letter", days, batch_id, gathered, at)
+        self._write(failed.observe(dead, *_by_topic("dead_lettered")), "dead_letters", batch_id, sort_by="event_date",
+                    finish=lambda rows: E.dead_letters(_enveloped(rows, at), at))
 
         product = keep_first(fresh.where(F.col("_topic") == "product.events"), ["event_id"], ["timestamp", "_event_hash"])
         inserted = self._unseen(product, "usage", "event_id", days, batch_id, gathered)
@@ -206,6 +229,17 @@ class LiveJob:
         # Last: a batch is finished when it is logged.
         self._write(self._log(*map(storage.observed, (arrived, consumed, dead))), "batch_log", batch_id)
 
+    def _first_copies(self, rows: DataFrame, kind: str, days: Sequence[str], batch_id: int, gathered: storage.Published, at) -> DataFrame:
+        """One row per idempotency key that no earlier batch has; ``_key`` is the key in half the bytes of its text."""
+        keyed = E.with_envelope(rows, at).select(*rows.columns, F.to_date("timestamp").alias("event_date"), F.unhex("_event_hash").alias("_key"))
+        earlier = self.keys(kind, days, batch_id, gathered).select(F.unhex("key").alias("_key"))
+        return keep_first(keyed, ["_key"], E.COPY_ORDER).join(earlier, "_key", "left_anti")
+
+    def _staged(self, df: DataFrame, table: str, batch_id: int) -> DataFrame:
+        """Written and read again, so that its size is known where it is joined."""
+        self._write(df, table, batch_id)
+        return self._part(table, ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in df.schema.fields), batch_id)
+
     def _unseen(self, rows: DataFrame, kind: str, key: str, days: Sequence[str], batch_id: int, gathered: storage.Published) -> DataFrame:
         """Rows whose key is not among those of the earlier batches, which are read for the dates of this one."""
         earlier = self.keys(kind, days, batch_id, gathered).select(F.col("key").alias(key))
