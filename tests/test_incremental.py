@@ -151,3 +151,45 @@ def test_sessions_merge_as_if_built_at_once(spark, rows, seed):
         left = stored.join(hit, ["user_id", "session_start"], "left_anti").unionByName(merged)
         stored = spark.createDataFrame(left.collect(), stored.schema)
     assert rows(stored, *columns) == rows(usage.sessions(df(events)), *columns)
+
+
+def test_only_months_whose_breaches_may_differ_are_judged_again(spark, tmp_path, rows):
+    root = str(tmp_path / "wh")
+    ticket = lambda i, severity, created, resolved=None: dict(
+        ticket_id=f"t{i}", account_id="a", severity=severity, status="resolved" if resolved else "open", created_at=created, resolved_at=resolved)
+    landed = [ticket(1, "Critical", ago(100)), ticket(2, "Low", ago(99), ago(98)), ticket(3, "Low", ago(1)), ticket(4, "High", ago(60), ago(58)),
+              ticket(5, "Low", None)]
+
+    def judged(run_id, days_later, tickets=None):
+        run = incremental.Increment(spark, root, run_id, (T + timedelta(days=days_later)).strftime("%Y-%m-%d %H:%M:%S"), None)
+        run._support(tickets)
+        storage.publish(spark, root, run_id, run.tables, T)
+        return rows(storage.read_dates(spark, root, "fact_support", incremental.SUPPORT, by="created_month"), "ticket_id", "sla_breached"), {
+            n.split("/")[1][:7] for n, r in storage.published(spark, root).runs.items() if n.startswith("fact_support/") and r == run_id}
+
+    first = [("t1", True), ("t2", False), ("t3", False), ("t4", True), ("t5", None)]
+    assert judged("day1", 0, frame(spark, "support_tickets", landed, T))[0] == first
+    assert judged("day2", 1) == (first, {"2024-01"})  # t1 and t4 are breached for good
+    third = [(n, b or n == "t3") if b is not None else (n, b) for n, b in first]
+    assert judged("day3", 3) == (third, {"2024-01"})
+    assert judged("day4", 9) == (third, set())
+    assert judged("back", -1) == (first, {"2023-10", "2024-01"})  # at an earlier time than the last
+    assert judged("day5", 9, frame(spark, "support_tickets", [dict(landed[0], resolved_at=ago(99.9), status="resolved")], T))[0] == [("t1", False), *third[1:]]
+
+
+def test_rows_without_copies_are_not_ranked(spark, tmp_path, rows):
+    accounts = frame(spark, "accounts", first_day()["accounts"], T)
+    invoice = lambda i, account, amount: dict(invoice_id=i, account_id=account, amount=Decimal(amount), status="open")
+    old = [invoice("i1", "acc_1", 1), invoice("i2", "acc_2", 2), invoice("i3", "nobody", 3), invoice("i4", None, 4), invoice(None, "acc_3", 5)]
+    new = [invoice("i1", "acc_1", 9), invoice("i1", "acc_1", 9), invoice(None, "acc_4", 6)]
+    run = incremental.Increment(spark, str(tmp_path / "wh"), "r", "2024-01-31 00:00:00", None)
+    arrived = {"accounts": accounts, "invoices": frame(spark, "invoices", old, ago(1)).unionByName(frame(spark, "invoices", new, T)),
+               "users": frame(spark, "users", [], T)}
+    one = run._one_a_key(arrived)
+    assert spark.read.parquet(f"{run.root}/run_id=r/repeated_keys").count() == 2
+    assert rows(one["invoices"], "invoice_id", "amount") == sorted(
+        [("i1", Decimal(9)), ("i2", Decimal(2)), ("i3", Decimal(3)), ("i4", Decimal(4)), (None, Decimal(6))], key=repr)
+    known = run._of_accounts({"invoices": one["invoices"]}, arrived, accounts)["invoices"]
+    assert known.columns == arrived["invoices"].columns
+    assert rows(known, "invoice_id") == sorted([("i1",), ("i2",), (None,)], key=repr)
+    assert rows(spark.read.parquet(f"{run.root}/run_id=r/unknown_accounts")) == [("nobody",)]

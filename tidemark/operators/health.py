@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
@@ -17,8 +18,8 @@ from tidemark.operators.usage import trailing_usage
 TICKET_COUNTS = ("total_tickets", "open_tickets", "critical_tickets", "critical_open_tickets", "sla_breached_count", "unresolved")
 
 
-def ticket_counts(support: DataFrame, *keys: str) -> DataFrame:
-    """Ticket counts by ``keys``; counts of parts add up.
+def ticket_counts(support: DataFrame, *keys: str, more: Sequence[Column] = ()) -> DataFrame:
+    """Ticket counts by ``keys``, with ``more`` aggregates; counts of parts add up.
 
     ``critical_tickets`` counts them whatever their status, which is what health
     and the support rule use; ``critical_open_tickets`` only those still open.
@@ -30,7 +31,7 @@ def ticket_counts(support: DataFrame, *keys: str) -> DataFrame:
         F.count_if(critical).alias("critical_tickets"),
         F.count_if(critical & (F.col("status") == "open")).alias("critical_open_tickets"),
         F.count_if("sla_breached").alias("sla_breached_count"),
-        F.count_if(F.col("resolved_at").isNull()).alias("unresolved"),
+        F.count_if(F.col("resolved_at").isNull()).alias("unresolved"), *more,
     )
 
 

@@ -10,8 +10,8 @@ job, and merges them into dated tables:
 * ``usage_sessions`` by the date they begin; sessions are summaries that merge, so new
   events are made to sessions of their own and joined with those they touch;
 * ``fact_support`` by the month of creation, with the newest version of a ticket, and
-  ``support_counts``; months with unresolved tickets are refreshed too, because a breach
-  depends on the time of the run.
+  ``support_counts``; months with tickets that are neither resolved nor breached are
+  refreshed too, because a breach depends on the time of the run.
 
 Accounts, users, subscriptions and invoices are replaced by key.  The marts follow from
 the summaries and from the last days' facts, not from all facts.  One entry of the
@@ -19,19 +19,25 @@ publish log makes all of it visible.
 
 An event belongs to the date of its own time: a copy of it carries the same time, and is
 looked for in that date alone.
+
+Of the rows that arrived, only those whose key comes twice are ranked, and accounts that are
+not known are listed before rows are filtered by them.  Both lists are short as a rule, so
+the rows are not moved for them; long ones are joined by a shuffle.
 """
 
 from __future__ import annotations
 
 from dataclasses import replace
 from datetime import datetime, timedelta, timezone
+from functools import reduce
 
 from pyspark.sql import DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidemark import schemas as S
+from tidemark.functions import columns as C
 from tidemark.operators import facts, health, sketches, usage
-from tidemark.operators.keyed import keep_first, keep_latest, replace_rows, with_known_key
+from tidemark.operators.keyed import keep_first, keep_latest, replace_rows, with_unknown_key
 from tidemark.plans.daily import Run, audited, build_marts
 from tidemark.sources import storage
 from tidemark.streaming.live import LiveJob
@@ -39,7 +45,7 @@ from tidemark.streaming.live import LiveJob
 USAGE = S.WAREHOUSE["fact_usage"]
 SUPPORT = S.WAREHOUSE["fact_support"] + ", created_month DATE"
 SUPPORT_COUNTS = ("account_id STRING, total_tickets BIGINT, open_tickets BIGINT, critical_tickets BIGINT, critical_open_tickets BIGINT, "
-                "sla_breached_count BIGINT, unresolved BIGINT, created_month DATE")
+                "sla_breached_count BIGINT, unresolved BIGINT, pending BIGINT, judged_at TIMESTAMP, created_month DATE")
 DAYS = "account_id STRING, daily_events BIGINT, event_date DATE"
 HOURS = "feature STRING, window_start TIMESTAMP, window_end TIMESTAMP, event_count BIGINT, event_date DATE"
 USERS = "events BIGINT, users BINARY, event_date DATE"
@@ -116,13 +122,12 @@ class Increment(Run):
 
     # ------------------------------------------------------------- build
     def build(self, raw: dict[str, DataFrame], recipients: dict | None, train_churn: bool) -> dict:
-        new = {name: _newest(self.arrived(df, name), name) for name, df in raw.items()}
+        arrived = {name: self.arrived(df, name) for name, df in raw.items()}
+        new = self._one_a_key(arrived)
         accounts = self._replaced("dim_account", "account_id", facts.dim_account(new["accounts"]) if "accounts" in new else None)
 
-        def of_accounts(name: str) -> DataFrame | None:
-            return with_known_key(new[name], accounts, "account_id", spread_by=[S.BRONZE_KEYS[name]]) if name in new else None
-
-        made = {name: of_accounts(name) for name in S.BRONZE_KEYS if name != "accounts"}
+        known = self._of_accounts({name: df for name, df in new.items() if name != "accounts"}, arrived, accounts)
+        made = {name: known.get(name) for name in S.BRONZE_KEYS if name != "accounts"}
         users = self._replaced("dim_user", "user_id", made["users"] and facts.dim_user(made["users"]))
         plans = self.put("dim_plan", facts.dim_plan(self.spark))
         subscriptions = self._replaced("fact_subscription", "subscription_id", made["subscriptions"] and facts.fact_subscription(made["subscriptions"]))
@@ -143,6 +148,30 @@ class Increment(Run):
             open_tickets=self.dated("fact_support", SUPPORT, "created_month", dates=self._unresolved_months()),
             as_of=self.as_of, recipients=recipients, train_churn=train_churn)
 
+    def _one_a_key(self, arrived: dict[str, DataFrame]) -> dict[str, DataFrame]:
+        """One row a key of every dataset.  Keys are told apart by their hash first; only rows whose hash comes twice are ranked."""
+        if not arrived:
+            return {}
+        marked = {name: df.withColumn("_key", F.xxhash64(F.lit(name), S.BRONZE_KEYS[name])) for name, df in arrived.items()}
+        keys = reduce(DataFrame.unionByName, [df.select("_key") for df in marked.values()])
+        repeated = storage.stage(keys.groupBy("_key").agg(F.count(F.lit(1)).alias("copies")).where("copies > 1").select("_key"),
+                                 self.root, self.run_id, "repeated_keys")
+
+        def one(name: str) -> DataFrame:
+            single, copies = (marked[name].join(repeated, "_key", how).select(*arrived[name].columns) for how in ("left_anti", "left_semi"))
+            return single.unionByName(_newest(copies, name))
+
+        return {name: one(name) for name in arrived}
+
+    def _of_accounts(self, new: dict[str, DataFrame], arrived: dict[str, DataFrame], accounts: DataFrame) -> dict[str, DataFrame]:
+        """Rows of known accounts."""
+        if not new:
+            return {}
+        named = reduce(DataFrame.unionByName, [arrived[name].select("account_id") for name in new]).where("account_id IS NOT NULL").distinct()
+        unknown = storage.stage(named.join(accounts.select("account_id"), "account_id", "left_anti"), self.root, self.run_id, "unknown_accounts")
+        return {name: with_unknown_key(df.where("account_id IS NOT NULL"), unknown, "account_id", spread_by=[S.BRONZE_KEYS[name]])
+                for name, df in new.items()}
+
     def _replaced(self, name: str, key: str, new: DataFrame | None) -> DataFrame:
         if new is None and name in self.state.runs:
             return self.stored(name)  # stays at the run it is
@@ -163,25 +192,43 @@ class Increment(Run):
         days = self.dated("support_counts", SUPPORT_COUNTS, "created_month")
         return [str(r[0]) for r in days.where("unresolved > 0").select("created_month").distinct().collect()]
 
+    def _due_months(self) -> list[str]:
+        """Months where a breach may differ at the time of this run: an unresolved ticket that was none may have become one,
+        and at an earlier time than the last it may not be one yet."""
+        days = self.dated("support_counts", SUPPORT_COUNTS, "created_month")
+        due = (F.col("pending") > 0) | (F.col("judged_at") > C.as_timestamp(self.as_of))
+        return [str(r[0]) for r in days.where((F.col("unresolved") > 0) & F.coalesce(due, F.lit(True))).select("created_month").distinct().collect()]
+
     def _support(self, tickets: DataFrame | None) -> None:
         base = [c for c in S.struct(S.WAREHOUSE["fact_support"]).fieldNames() if c not in ("resolution_time_hours", "sla_breached")]
-        dates = set(self._unresolved_months())
+        fresh = None if tickets is None else tickets.withColumn("severity", F.lower("severity")).select(*base, _month("created_at").alias("created_month"))
+        if not storage.published_dates(self.state, "fact_support"):  # nothing to merge with
+            if fresh is not None:
+                self._judged(fresh.drop("created_month"))
+            return
+        dates = set(self._due_months())
         new = None
-        if tickets is not None:
-            fresh = tickets.withColumn("severity", F.lower("severity")).select(*base, _month("created_at").alias("created_month"))
-            names = storage.stage_dates(fresh, self.root, self.run_id, "changed_tickets", "created_month")
-            dates |= {n.split("/", 1)[1] for n in names}
-            new = storage.read_dates(self.spark, self.root, "changed_tickets", SUPPORT, None,
-                                     storage.Published(runs=dict.fromkeys(names, self.run_id)), "created_month").select(*base)
+        if fresh is not None:
+            changed, months = self._staged(fresh, "changed_tickets", SUPPORT, "created_month")
+            dates |= set(months)
+            new = changed.select(*base)
         if not dates:
             return
         rows = self.dated("fact_support", SUPPORT, "created_month", dates).select(*base)
         if new is not None:
             rows = replace_rows(rows, new, ["ticket_id"])
-        judged = facts.fact_support(rows, self.as_of).withColumn("created_month", _month("created_at"))
+        self._judged(rows)
+
+    def _judged(self, tickets: DataFrame) -> None:
+        """Write whole months of tickets, with breaches as of this run, and their counts."""
+        judged = facts.fact_support(tickets, self.as_of).withColumn("created_month", _month("created_at"))
         written = self.put_dates(judged, "fact_support", "created_month")
-        counted = health.ticket_counts(self.dated("fact_support", SUPPORT, "created_month", written), "account_id", "created_month")
-        self.put_dates(counted, "support_counts", "created_month")
+        if not written:
+            return
+        rows = self.dated("fact_support", SUPPORT, "created_month", written)
+        pending = F.count_if(F.col("resolved_at").isNull() & ~F.col("sla_breached"))
+        counted = health.ticket_counts(rows, "account_id", "created_month", more=[pending.alias("pending")])
+        self.put_dates(counted.withColumn("judged_at", C.as_timestamp(self.as_of)), "support_counts", "created_month")
 
     def _usage(self, events: DataFrame | None) -> list[str]:
         """Merge new events, from the landing and the live job; the dates that changed."""
@@ -193,18 +240,16 @@ class Increment(Run):
             self.marks["live_batch"] = upto
         if arrivals is None:
             return []
-        run = {"run_id": self.run_id}
-        names = storage.stage_dates(arrivals, self.root, self.run_id, "usage_arrivals")
-        arrived = storage.read_dates(self.spark, self.root, "usage_arrivals", USAGE, None, storage.Published(runs=dict.fromkeys(names, run["run_id"])))
-        dates = [n.split("/", 1)[1] for n in names]
-        old = self.dated("fact_usage", USAGE, dates=dates)
-        fresh = keep_first(arrived, ["usage_id"], ["event_timestamp", "account_id", "user_id", "feature"]).join(
-            old.select("usage_id"), "usage_id", "left_anti").select(*old.columns)
-        names = storage.stage_dates(fresh, self.root, self.run_id, "usage_changes")
-        if not names:
+        changes, dates = self._staged(arrivals, "usage_arrivals", USAGE)
+        stored = set(storage.published_dates(self.state, "fact_usage")).intersection(dates)
+        if self.live is not None or stored:  # else events of the landing, one a key, of dates that hold none yet
+            if self.live is not None:
+                changes = keep_first(changes, ["usage_id"], ["event_timestamp", "account_id", "user_id", "feature"])
+            old = self.dated("fact_usage", USAGE, dates=dates)
+            fresh = changes.join(old.select("usage_id"), "usage_id", "left_anti").select(*old.columns)
+            changes, dates = self._staged(fresh, "usage_changes", USAGE)
+        if not dates:
             return []
-        changes = storage.read_dates(self.spark, self.root, "usage_changes", USAGE, None, storage.Published(runs=dict.fromkeys(names, self.run_id)))
-        dates = [n.split("/", 1)[1] for n in names]
         merged = self.dated("fact_usage", USAGE, dates=dates).unionByName(changes)
         self.put_dates(merged, "fact_usage")
         rebuilt = self.dated("fact_usage", USAGE, dates=dates)
@@ -215,23 +260,37 @@ class Increment(Run):
         self.put("dim_date", facts.dim_date(self.dated("usage_days", DAYS), "event_date"))
         return dates
 
+    def _staged(self, df: DataFrame, name: str, schema: str, by: str = "event_date") -> tuple[DataFrame, list[str]]:
+        """Rows written by date that are not published themselves, and their dates."""
+        names = storage.stage_dates(df, self.root, self.run_id, name, by)
+        read = storage.read_dates(self.spark, self.root, name, schema, None, storage.Published(runs=dict.fromkeys(names, self.run_id)), by)
+        return read, [n.split("/", 1)[1] for n in names]
+
     def _sessions(self, changes: DataFrame, dates: list[str]) -> None:
         """Join the sessions of new events with the stored ones they touch; only the dates of these are written."""
-        fresh = usage.sessions(changes, SESSION_GAP).select(*[c.split(" ")[0] for c in SESSIONS.split(", ")[:-1]])
+        fresh = storage.stage(usage.sessions(changes, SESSION_GAP).select(*[c.split(" ")[0] for c in SESSIONS.split(", ")[:-1]]),
+                              self.root, self.run_id, "new_sessions")
         longest = int(self.state.marks.get("longest_session_days", 0))
         near = _days_around(dates, before=longest + 1, after=1)
+        published = set(storage.published_dates(self.state, "usage_sessions"))
+        span = Observation()
+
+        def observed(sessions: DataFrame) -> DataFrame:
+            both = sessions.withColumn("start_date", F.to_date("session_start"))
+            return both.observe(span, F.max(F.date_diff(F.to_date("session_end"), F.to_date("session_start"))).alias("days"))
+
+        if published.isdisjoint(near) and published.isdisjoint(dates):  # nothing to join them with
+            self.put_dates(observed(fresh), "usage_sessions", "start_date")
+            self.marks["longest_session_days"] = max(longest, storage.observed(span).get("days") or 0)
+            return
         stored = self.dated("usage_sessions", SESSIONS, "start_date", near)
         merged, touched = merge_sessions(stored.drop("start_date"), fresh, SESSION_GAP)
-        both = merged.withColumn("start_date", F.to_date("session_start"))
-        span = Observation()
-        observed = both.observe(span, F.max(F.date_diff(F.to_date("session_end"), F.to_date("session_start"))).alias("days"))
-        names = storage.stage_dates(observed, self.root, self.run_id, "session_changes", "start_date")
+        touched = storage.stage(touched, self.root, self.run_id, "touched_sessions")
+        changed, names = self._staged(observed(merged), "session_changes", SESSIONS, "start_date")
         self.marks["longest_session_days"] = max(longest, storage.observed(span).get("days") or 0)
         # a session that was joined to an earlier one leaves the date it began on
-        changed = storage.read_dates(self.spark, self.root, "session_changes", SESSIONS, None,
-                                     storage.Published(runs=dict.fromkeys(names, self.run_id)), "start_date")
         left = [str(r[0]) for r in touched.select(F.to_date("session_start")).distinct().collect()]  # of the dates around
-        dates = sorted({n.split("/", 1)[1] for n in names} | set(left))
+        dates = sorted({*names, *left})
         kept = self.dated("usage_sessions", SESSIONS, "start_date", dates).join(touched, ["user_id", "session_start"], "left_anti")
         written = set(self.put_dates(kept.unionByName(changed), "usage_sessions", "start_date"))
         self.removed += [f"usage_sessions/{d}" for d in left if d not in written]
