@@ -69,6 +69,64 @@ def test_known_pieces_are_forgotten(tokenizer, monkeypatch):
         assert ids.tolist() == tokenizer.encode(text, add_special_tokens=False).ids
 
 
+class Counting:
+    """A tokenizer that counts the texts it is given."""
+
+    def __init__(self, tokenizer):
+        self.tokenizer, self.texts = tokenizer, 0
+
+    def __getattr__(self, name):
+        return getattr(self.tokenizer, name)
+
+    def encode_batch_fast(self, texts, **options):
+        self.texts += len(texts)
+        return self.tokenizer.encode_batch_fast(texts, **options)
+
+
+def test_new_pieces_are_encoded_together(tokenizer):
+    counting = Counting(tokenizer)
+    texts = [" ".join(f"w{i}x{j}," for j in range(1000)) for i in range(6)]
+    ids, offsets = token_ids.encode_texts(token_ids._Known(counting), pa.array(texts))
+    for i, text in enumerate(texts):
+        assert ids[offsets[i]:offsets[i + 1]].tolist() == tokenizer.encode(text, add_special_tokens=False).ids
+    assert counting.texts < 1000  # of 6,000 different pieces
+
+
+@pytest.mark.parametrize("together", [1, 2, 7, 512])
+def test_joined_pieces_encode_like_whole_texts(tokenizer, monkeypatch, together):
+    monkeypatch.setattr(token_ids, "ENCODED_TOGETHER", together)
+    texts = [*TEXTS, *(f" {a} {b}" for a in TEXTS for b in ("z", "'s", "\n", "ß", "<|endoftext|>", "1,  "))]
+    ids, offsets = token_ids.encode_texts(token_ids._Known(tokenizer), pa.array(texts))
+    for i, text in enumerate(texts):
+        assert ids[offsets[i]:offsets[i + 1]].tolist() == tokenizer.encode(text, add_special_tokens=False).ids, repr(text)
+
+
+def test_pieces_are_encoded_apart_where_tokens_do_not_tell_their_bytes(tokenizer):
+    known = token_ids._Known(tokenizer)
+    known.widths = known.widths + 1
+    broken = [b"a b \xff c", b"\xe4\xbd d"]  # not UTF-8: a replacement has other bytes
+    for texts in ([" ".join(TEXTS)], broken):
+        ids, offsets = token_ids.encode_texts(known, pa.array(texts))
+        for i, text in enumerate(texts):
+            text = text if isinstance(text, str) else text.decode("utf-8", "replace")
+            assert ids[offsets[i]:offsets[i + 1]].tolist() == tokenizer.encode(text, add_special_tokens=False).ids
+    known = token_ids._Known(tokenizer)
+    ids, offsets = token_ids.encode_texts(known, pa.array(broken))
+    assert ids[:offsets[1]].tolist() == tokenizer.encode(broken[0].decode("utf-8", "replace"), add_special_tokens=False).ids
+
+
+def test_pieces_met_again_are_kept(tokenizer, monkeypatch):
+    monkeypatch.setattr(token_ids, "KNOWN", 5)
+    counting = Counting(tokenizer)
+    known = token_ids._Known(counting)
+    for text in ("a b c d", "a b c e f g", "h"):
+        token_ids.encode_texts(known, pa.array([text]))
+    before = counting.texts
+    ids, _ = token_ids.encode_texts(known, pa.array(["a b c"]))
+    assert counting.texts == before
+    assert ids.tolist() == tokenizer.encode("a b c", add_special_tokens=False).ids
+
+
 @pytest.mark.parametrize("n,top", [(1, 1), (5, 3), (1000, 100), (5000, 10**9), (3000, 3000), (2000, 2**40)])
 def test_elias_fano(n, top):
     rng = np.random.default_rng(n)

@@ -18,6 +18,7 @@ import os
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -30,7 +31,7 @@ from tidemark.llm import words as W
 END_ID = 2  # fixed by the contract
 SHARD_BYTES = 32 << 20  # of text
 KNOWN = 1 << 20  # different pieces a worker keeps
-ENCODED_TOGETHER = 1 << 14
+ENCODED_TOGETHER = 1 << 9  # pieces
 SAMPLE = 512  # documents between sampled positions
 
 
@@ -96,38 +97,81 @@ _CUT_BEFORE[0x21:0x7F] = True
 _CUT_BEFORE[0xC3:0xE0] = True
 
 
+def _widths(tokenizer) -> np.ndarray:
+    """Bytes of text that every token stands for: a byte-level token has one character a byte."""
+    vocabulary = tokenizer.get_vocab(with_added_tokens=True)
+    widths = np.zeros(max(vocabulary.values(), default=-1) + 1, np.int64)
+    widths[list(vocabulary.values())] = list(map(len, vocabulary))
+    for number, added in tokenizer.get_added_tokens_decoder().items():
+        widths[number] = len(added.content.encode())
+    return widths
+
+
 class _Known:
-    """Ids of the pieces that this worker has met, by hash; forgotten when there are too many."""
+    """Ids of the pieces that this worker has met, by hash; when there are too many, those not met again are forgotten."""
 
     def __init__(self, tokenizer):
-        self.tokenizer = tokenizer
-        self.forget()
+        self.tokenizer, self.widths = tokenizer, _widths(tokenizer)
+        self.hashes, self.ids = np.empty(0, np.uint64), np.empty(0, np.uint32)
+        self.begins, self.sizes = np.empty(0, np.int64), np.empty(0, np.int64)
+        self.again = np.empty(0, bool)  # met since it was encoded or last kept
 
     def forget(self) -> None:
-        self.hashes, self.bounds, self.ids = np.empty(0, np.uint64), np.zeros(1, np.int64), np.empty(0, np.uint32)
+        self.hashes, begins, self.sizes = self.hashes[self.again], self.begins[self.again], self.sizes[self.again]
+        bounds = W.sums(self.sizes)
+        self.ids = self.ids[np.arange(bounds[-1]) + np.repeat(begins - bounds[:-1], self.sizes)]
+        self.begins, self.again = bounds[:-1], np.zeros(len(begins), bool)
 
-    def encode(self, hashes: np.ndarray, raw: bytes, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    def encode(self, hashes: np.ndarray, data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Ids, and where each piece's begin and how many they are, for pieces ascending by hash."""
         if len(self.hashes) > KNOWN:
             self.forget()
         at = np.searchsorted(self.hashes, hashes)
-        new = np.flatnonzero(self.hashes[np.minimum(at, len(self.hashes) - 1)] != hashes) if len(self.hashes) else np.arange(len(hashes))
+        met = self.hashes[np.minimum(at, len(self.hashes) - 1)] == hashes if len(self.hashes) else np.zeros(len(hashes), bool)
+        self.again[at[met]] = True
+        new = np.flatnonzero(~met)
         if len(new):
-            lists = []
-            for i in range(0, len(new), ENCODED_TOGETHER):
-                part = new[i:i + ENCODED_TOGETHER]
-                pieces = [raw[s:e].decode("utf-8", "replace") for s, e in zip(starts[part].tolist(), ends[part].tolist())]
-                lists += [np.array(e.ids, np.uint32) for e in self.tokenizer.encode_batch_fast(pieces, add_special_tokens=False)]
-            both = np.concatenate([self.hashes, hashes[new]])
-            lengths = np.concatenate([np.diff(self.bounds), np.fromiter(map(len, lists), np.int64, len(lists))])
-            begins = W.sums(lengths)[:-1]
-            flat = np.concatenate([self.ids, *lists])
-            order = np.argsort(both, kind="stable")
-            self.hashes, size = both[order], lengths[order]
-            self.bounds = W.sums(size)
-            self.ids = flat[np.arange(len(flat)) + np.repeat(begins[order] - self.bounds[:-1], size)]
-            at = np.searchsorted(self.hashes, hashes)
-        return self.ids, self.bounds[at], self.bounds[at + 1] - self.bounds[at]
+            ids, begins, sizes = self._encode_new(data, starts[new], ends[new])
+            self.hashes = np.insert(self.hashes, at[new], hashes[new])
+            self.begins = np.insert(self.begins, at[new], begins + len(self.ids))
+            self.sizes = np.insert(self.sizes, at[new], sizes)
+            self.again = np.insert(self.again, at[new], False)
+            self.ids = np.concatenate([self.ids, ids])
+            at += W.sums(~met)[:-1]
+        return self.ids, self.begins[at], self.sizes[at]
+
+    def _encode_new(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        joins = (data[starts] == 0x20) & _CUT_BEFORE[data[np.minimum(starts + 1, ends - 1)]]  # safe whatever stands before
+        order = np.argsort(~joins, kind="stable")
+        lists, counts = [], []
+        for i in range(0, len(order), ENCODED_TOGETHER):
+            part = order[i:i + ENCODED_TOGETHER]
+            length = ends[part] - starts[part]
+            bounds = W.sums(length)
+            raw = data[np.arange(bounds[-1]) + np.repeat(starts[part] - bounds[:-1], length)].tobytes()
+            ids, count = (self._joined(raw, bounds) if joins[part].all() else None) or self._apart(raw, bounds)
+            lists.append(ids)
+            counts.append(count)
+        sizes, begins = np.empty(len(order), np.int64), np.empty(len(order), np.int64)
+        sizes[order] = np.concatenate(counts)
+        begins[order] = W.sums(sizes[order])[:-1]
+        return np.concatenate(lists), begins, sizes
+
+    def _joined(self, raw: bytes, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray] | None:
+        """Ids of pieces that each begin at a safe cut, encoded as one text; None unless every piece ends where a token does."""
+        encoded = self.tokenizer.encode_batch_fast([raw.decode("utf-8", "replace")], add_special_tokens=False)
+        ids = np.array(encoded[0].ids, np.uint32)
+        stops = W.sums(self.widths[ids])
+        at = np.searchsorted(stops, bounds)
+        if stops[-1] != bounds[-1] or (stops[at] != bounds).any():
+            return None
+        return ids, np.diff(at)
+
+    def _apart(self, raw: bytes, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        pieces = [raw[s:e].decode("utf-8", "replace") for s, e in zip(bounds[:-1].tolist(), bounds[1:].tolist())]
+        lists = [e.ids for e in self.tokenizer.encode_batch_fast(pieces, add_special_tokens=False)]
+        counts = np.fromiter(map(len, lists), np.int64, len(lists))
+        return np.fromiter(chain.from_iterable(lists), np.uint32, int(counts.sum())), counts
 
 
 @lru_cache(maxsize=2)
@@ -148,8 +192,13 @@ def encode_texts(known: _Known, column: pa.Array) -> tuple[np.ndarray, np.ndarra
     cut[offsets] = True
     starts = np.flatnonzero(cut[:-1])
     ends = np.append(starts[1:], len(data))
-    hashes, first, group = np.unique(W.segment_hashes(data, starts, ends), return_index=True, return_inverse=True)
-    flat, begins, lengths = known.encode(hashes, data.tobytes(), starts[first], ends[first])
+    coded = pa.array(W.segment_hashes(data, starts, ends)).dictionary_encode()
+    hashes, group = coded.dictionary.to_numpy(), coded.indices.to_numpy()
+    some = np.empty(len(hashes), np.int64)
+    some[group] = np.arange(len(group))  # a place where each different piece stands
+    order = np.argsort(hashes)
+    begins, lengths = np.empty(len(hashes), np.int64), np.empty(len(hashes), np.int64)
+    flat, begins[order], lengths[order] = known.encode(hashes[order], data, starts[some[order]], ends[some[order]])
     size = lengths[group]
     at = W.sums(size)
     ids = flat[np.arange(at[-1]) + np.repeat(begins[group] - at[:-1], size)]
