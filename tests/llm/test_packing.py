@@ -3,9 +3,11 @@
 import zlib
 from bisect import bisect_left, insort
 from collections import Counter
+from unittest.mock import MagicMock
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -122,6 +124,21 @@ def test_odd_texts_blocks_and_names(spark, frame, odd, clash, tmp_path, monkeypa
     check(rows, docs, capacity)
 
 
+def test_new_pieces_reach_the_tokenizer_together(spark, monkeypatch):
+    docs, given, tokenizer = MagicMock(), [], packing.token_ids._tokenizer(TOKENIZER)
+    packing.cut(docs, "unused", TOKENIZER)
+    encode = docs.select.return_value.mapInArrow.call_args.args[0]
+    counting = MagicMock(wraps=tokenizer)
+    counting.encode_batch_fast.side_effect = lambda texts, **options: given.extend(texts) or tokenizer.encode_batch_fast(texts, **options)
+    monkeypatch.setattr(packing.token_ids, "_known", lambda path: packing.token_ids._Known(counting))
+    monkeypatch.setattr(packing.TaskContext, "get", lambda: MagicMock(partitionId=lambda: 0))
+    texts = [" ".join(f"w{i}x{j}," for j in range(1000)) for i in range(6)]
+    rows = [r for b in encode([pa.RecordBatch.from_pydict({"doc_id": list(range(6)), "text": texts})]) for r in b.to_pylist()]
+    for i, text in enumerate(texts):
+        assert b"".join(r["ids"] for r in rows if r["doc_id"] == i) == np.array(ids_of(text), "<u4").tobytes()
+    assert len(given) < 1000  # of 6,000 different pieces
+
+
 def test_empty(frame, tmp_path):
     assert place(frame([]), tmp_path, 16).count() == 0
 
