@@ -1,7 +1,9 @@
 """Health as stream state, against composed effects and the replay of all events."""
 
+from pyspark.sql import functions as F
+
 from tests.test_streaming import NOW, Feed, billing, fold, mart, product, subscription, support
-from tidemark.streaming import effects, events as E
+from tidemark.streaming import effects, events as E, state as keyed
 from tidemark.streaming.live import LiveJob
 from tidemark.streaming.state import HealthState
 
@@ -54,3 +56,24 @@ def test_state_equals_the_replay(spark, tmp_path, rows):
     assert rows(state.current_health(base), *SHOWN) == rows(replayed, *SHOWN)
     assert (got["hot"].health_score, got["hot"].events_last_30d - 10) == (fold(80, sent)[0], 80)
     assert spark.read.parquet(f"{feed.job.root}/health_effects").where("account_id = 'hot'").count() == 2   # a row a batch
+
+
+def test_state_is_one_value_a_group(spark, tmp_path, rows, monkeypatch):
+    """30 accounts in eight groups, some with nulls; a later run keeps to the groups of the first."""
+    monkeypatch.setattr(keyed, "GROUP", 4, raising=False)
+    known = lambda column, account: F.when(F.col("account_id") != account, F.col(column))
+    base = mart(spark, *[(f"a{i}", 3 * i) for i in range(30)]).withColumns(
+        {"payment_status": known("payment_status", "a1"), "last_updated_at": known("last_updated_at", "a2"), "events_last_30d": known("events_last_30d", "a29")})
+    feed = Feed(spark, tmp_path)
+    feed.send(product=[product(i, f"a{i}") for i in range(20)] + [product(40, "nobody")], billing=[billing(50, "a3")])
+    state = HealthState(spark, feed.job, str(tmp_path / "state"))
+    first = state.start(base)
+    first.awaitTermination()
+    assert first.lastProgress["stateOperators"][0]["numRowsTotal"] <= 8
+    assert rows(state.current_health(base), *SHOWN) == rows(feed.job.current_health(base), *SHOWN)
+    feed.send(product=[product(100 + i, f"a{i}") for i in range(1, 29, 3)], subscription=[subscription(90, "cancelled", "a28")])
+    again = HealthState(spark, feed.job, str(tmp_path / "state"))
+    later = again.start(base.where("account_id < 'a2'"))
+    later.awaitTermination()
+    assert later.lastProgress["stateOperators"][0]["numRowsTotal"] == first.lastProgress["stateOperators"][0]["numRowsTotal"]
+    assert rows(again.current_health(base), *SHOWN) == rows(feed.job.current_health(base), *SHOWN)

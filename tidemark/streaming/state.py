@@ -1,4 +1,4 @@
-"""Customer health as the state of a stream: one keyed value an account.
+"""Customer health as the state of a stream, kept for groups of accounts.
 
 The live job composes the effects of a micro-batch to one row an account before
 anything is keyed (``effects.account_effects``), so an account that sends a third of all
@@ -6,13 +6,17 @@ events sends one row a batch here.  The processor applies these rows to the stat
 order of the batches; a batch that was written twice is applied once.  The state starts
 from a published mart and is kept in a state store, so a restart goes on where the last
 finished batch ended.
+
+A Python processor pays for every key, every call to the state store and every cell, not for what
+a value or a cell holds.  The key is therefore a group of some ``GROUP`` accounts, by hash, whose health is one
+value; seeds come and changes go as one row a group, effects as one array a row.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
-from datetime import datetime, timedelta
+from typing import NamedTuple
 
 from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
@@ -23,48 +27,72 @@ from tidemark.sources import storage
 from tidemark.streaming.live import LiveJob
 
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
-EPOCH = datetime(1970, 1, 1)  # sessions are in UTC
-STATE = "tenths INT, forced BOOLEAN, tier STRING, events BIGINT, payment STRING, last_at TIMESTAMP, batch BIGINT"
+# A batch that touches one account of a group writes all of it again, which takes about as long as the calls for one key.
+GROUP = 256
+KINDS = {"account_id": "STRING", "tenths": "INT", "forced": "BOOLEAN", "tier": "STRING", "events": "BIGINT", "payment": "STRING",
+         "last_at": "BIGINT", "batch": "BIGINT"}  # times in microseconds
+EFFECT = ("batch_id", "d", "lo", "hi", "product_events", "payment_failed", "forced", "last_at")  # as an array
+STATE = ", ".join(f"{name} ARRAY<{kind}>" for name, kind in KINDS.items())
 CURRENT = ("account_id STRING, health_score DOUBLE, health_tier STRING, events_last_30d BIGINT, payment_status STRING, "
            "last_updated_at TIMESTAMP, batch BIGINT")
 
 
+class Health(NamedTuple):
+    """An account's health: ``KINDS`` without the id."""
+
+    tenths: int
+    forced: bool
+    tier: str
+    events: int
+    payment: str
+    last_at: int
+    batch: int
+
+    def after(self, effect: list[int]) -> Health:
+        """The health after the effects of a batch."""
+        batch, d, lo, hi, product_events, payment_failed, forced, last_at = effect
+        tenths = max(lo, min(hi, self.tenths + d))
+        score = tenths / 10
+        tier = "Critical" if forced else "Healthy" if score >= S.HEALTHY_FROM else "At Risk" if score >= S.AT_RISK_FROM else "Critical"
+        return Health(tenths, bool(forced), tier, self.events + product_events, S.PAYMENT_TROUBLE if payment_failed else self.payment,
+                      last_at, batch)
+
+
+def _packed(accounts: dict[str, Health]) -> tuple[list, ...]:
+    """The columns of ``STATE``."""
+    return [*accounts], *map(list, zip(*accounts.values()))
+
+
 class HealthProcessor(StatefulProcessor):
-    """Applies composed effects to an account's health; accounts that the mart does not name change nothing."""
+    """Applies composed effects to the health of a group's accounts; accounts that the mart does not name change nothing."""
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.health = handle.getValueState("health", STATE)
 
     def handleInitialState(self, key, row, timerValues) -> None:
-        self.health.update((round(row.health_score * 10), False, row.health_tier, row.events_last_30d, row.payment_status,
-                            row.last_updated_at, row.batch))
+        self.health.update(tuple(row[name] for name in KINDS))
 
     def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
         if not self.health.exists():
             return
-        tenths, forced, tier, events, payment, last_at, batch = self.health.get()
-        before = batch
-        for row in sorted(rows, key=lambda r: r.batch_id):
-            if row.batch_id <= batch:  # of a batch that was written again
-                continue
-            tenths = max(row.lo, min(row.hi, tenths + row.d))
-            forced, batch, events = row.forced, row.batch_id, events + row.product_events
-            payment = S.PAYMENT_TROUBLE if row.payment_failed else payment
-            last_at = EPOCH + timedelta(microseconds=row.last_at)
-            score = tenths / 10
-            tier = "Critical" if forced else "Healthy" if score >= S.HEALTHY_FROM else "At Risk" if score >= S.AT_RISK_FROM else "Critical"
-        if batch > before:
-            self.health.update((tenths, forced, tier, events, payment, last_at, batch))
-            yield Row(account_id=key[0], health_score=tenths / 10, health_tier=tier, events_last_30d=events, payment_status=payment,
-                      last_updated_at=last_at, batch=batch)
+        ids, *columns = self.health.get()
+        accounts = dict(zip(ids, map(Health._make, zip(*columns))))
+        changed = {}
+        for account_id, effect in sorted(((row.account_id, row.effect) for row in rows), key=lambda r: r[1][0]):
+            health = accounts.get(account_id)
+            if health is not None and effect[0] > health.batch:  # else of a batch that was written again
+                accounts[account_id] = changed[account_id] = health.after(effect)
+        if changed:
+            self.health.update(_packed(accounts))
+            yield Row(**dict(zip(KINDS, _packed(changed))))
 
 
 @dataclass
 class HealthState:
     """The stateful twin of ``LiveJob.current_health``: reads the job's effects as a stream.
 
-    ``root`` gets the checkpoint and the changed accounts of every batch.  ``mart`` seeds the
-    state in the first run; a mart that has been built anew needs a new ``root``.
+    ``root`` gets the checkpoint, the number of groups and the changed accounts of every batch.  ``mart``
+    seeds the state in the first run; a mart that has been built anew needs a new ``root``.
     """
 
     spark: SparkSession
@@ -75,15 +103,32 @@ class HealthState:
         """Follow the effects of the batches after ``after_batch`` (by default those the mart does not hold)."""
         after = self.job.included() if after_batch is None else after_batch
         self.spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
-        seed = mart.select("account_id", "health_score", "health_tier", F.col("events_last_30d").cast("bigint").alias("events_last_30d"),
-                           "payment_status", "last_updated_at", F.lit(after).cast("bigint").alias("batch"))
+        seed = mart.select(
+            "account_id", F.rint(F.col("health_score") * 10).cast("int").alias("tenths"), F.lit(False).alias("forced"),
+            F.col("health_tier").alias("tier"), F.col("events_last_30d").cast("bigint").alias("events"), F.col("payment_status").alias("payment"),
+            F.unix_micros("last_updated_at").alias("last_at"), F.lit(after).cast("bigint").alias("batch"))
+        group = F.pmod(F.xxhash64("account_id"), F.lit(self._groups(mart))).alias("_group")
+        seeds = seed.groupBy(group).agg(F.sort_array(F.collect_list(F.struct(*KINDS))).alias("_all")).select(
+            "_group", *[F.col(f"_all.{name}").alias(name) for name in KINDS])
         arriving = self.spark.readStream.schema(f"{LiveJob.EFFECTS}, batch_id BIGINT").parquet(f"{self.job.root}/health_effects")
-        changed = arriving.groupBy("account_id").transformWithState(
-            HealthProcessor(), CURRENT, "Update", "None", initialState=seed.groupBy("account_id"))
+        effect = F.array(*[F.col(name).cast("bigint") for name in EFFECT]).alias("effect")
+        changed = arriving.select(group, "account_id", effect).groupBy("_group").transformWithState(
+            HealthProcessor(), STATE, "Update", "None", initialState=seeds.groupBy("_group"))
         return (changed.writeStream.outputMode("update").foreachBatch(self._keep).option("checkpointLocation", f"{self.root}/checkpoint")
                 .trigger(**(trigger or {"availableNow": True})).start())
 
+    def _groups(self, mart: DataFrame) -> int:
+        """The number of groups: follows from the mart's size in the first run, and stays as the state is keyed by it."""
+        path = f"{self.root}/groups"
+        if not storage.table_exists(self.spark, f"{self.root}/checkpoint"):
+            storage.overwrite(self.spark.createDataFrame([(mart.count() // GROUP + 1,)], "groups BIGINT"), path)
+        return self.spark.read.schema("groups BIGINT").parquet(path).first()[0]
+
     def _keep(self, changed: DataFrame, batch_id: int) -> None:
+        changed = changed.select(F.inline(F.arrays_zip(*KINDS))).select(
+            "account_id", (F.col("tenths") / F.lit(10.0)).alias("health_score"), F.col("tier").alias("health_tier"),
+            F.col("events").alias("events_last_30d"), F.col("payment").alias("payment_status"),
+            F.timestamp_micros("last_at").alias("last_updated_at"), "batch")
         changed.write.mode("overwrite").parquet(f"{self.root}/changed/trigger={batch_id}")
 
     def current_health(self, mart: DataFrame) -> DataFrame:
